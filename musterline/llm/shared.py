@@ -59,6 +59,12 @@ def bucketed(docs: DataFrame, id_col: str, text_col: str, bucket_mb: float = 8.0
 
 # ---- connected components -------------------------------------------------------------------
 
+def digest(pairs: DataFrame) -> tuple:
+    """Number and order-free hash of the rows; a round that changes no edge leaves it as it was."""
+    code = F.xxhash64("u", "v")
+    return tuple(pairs.agg(F.count("*"), F.bit_xor(code), F.sum(F.shiftright(code, 20))).first())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): for every node of an edge, the smallest node reachable from it.
 
@@ -73,6 +79,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct().checkpoint()
     )
+    after = digest(pairs)
     while True:
         # large star: every neighbour that is larger than the centre is linked to the centre's minimum
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -85,10 +92,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
             .where(F.col("u") != F.col("v")).distinct().checkpoint()
         )
-        # two forests are equal when nothing is left of either after removing the other
-        changed = small.exceptAll(pairs).limit(1).count() + pairs.exceptAll(small).limit(1).count()
-        pairs = small
-        if not changed:
+        before, after, pairs = after, digest(small), small
+        if before == after:
             break
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
