@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +16,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op6_simhash": op6_simhash}
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rlz import substring_dedup
+
+    found = substring_dedup(table(spark, sf_dir, "documents"), joined=True)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op6_simhash": op6_simhash, "op10_substring": op10_substring}
 ORACLE: dict[str, str] = {}
