@@ -10,6 +10,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from .rankbpe import encode
+
+    return encode(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"), ids=False, digests=True)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -23,5 +31,5 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op6_simhash": op6_simhash, "op10_substring": op10_substring}
+QUERIES = {"op5_bpe": op5_bpe, "op6_simhash": op6_simhash, "op10_substring": op10_substring}
 ORACLE: dict[str, str] = {}
