@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from .shared import text_of
 
 LONG = 256
+ID = 20  # bits of a token id
+MASK = (1 << ID) - 1
+NONE = 1 << 62
 CACHE = 200_000  # distinct chunks remembered per task; more only means that some are encoded again
 MAX_FILE = 64 << 20  # a vocabulary file is broadcast only up to this size
 
@@ -35,6 +38,21 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)]
 
 
+class Memo(dict):
+    """Results by chunk; when full, the generation before stays in reach."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        if len(self) >= CACHE:
+            self.older = dict(self)
+            self.clear()
+        found = self[key] = self.older.get(key) or self.make(key)
+        return found
+
+
 class Bpe:
     """One tokenizer file: BPE whose words end in a suffix, over byte symbols, lower-cased and NFC."""
 
@@ -47,17 +65,18 @@ class Bpe:
         self.ids = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merge: dict[int, int] = {}  # both ids of a pair in one number -> rank and new id in one number
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merge[self.ids[a], self.ids[b]] = rank, self.ids[a + b]
+            self.merge[self.ids[a] << ID | self.ids[b]] = rank << ID | self.ids[a + b]
         self.inner = [self.ids[s] for s in byte_symbols()]
         self.last = [self.ids[s + self.suffix] for s in byte_symbols()]
         words = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(words)
         self.gaps = regex.compile(f"[^{WHITE}]+")
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known: dict[str, tuple[str, str, list[int]]] = {}
+        self.known = Memo(self.chunk)
+        self.of_word: dict[str, list[int]] = {}
 
     def word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
@@ -65,19 +84,19 @@ class Bpe:
         parts = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         if len(parts) > LONG:
             return self._heap(parts)
-        merge, none = self.merge, (1 << 60, 0)
-        ranks = [merge.get(pair, none) for pair in zip(parts, parts[1:])]
+        get = self.merge.get
+        ranks = [get(a << ID | b, NONE) for a, b in zip(parts, parts[1:])]
         while ranks:
             low = min(ranks)
-            if low is none:
+            if low == NONE:
                 break
             at = ranks.index(low)
-            parts[at : at + 2] = [low[1]]
+            parts[at : at + 2] = [new := low & MASK]
             del ranks[at]
             if at:
-                ranks[at - 1] = merge.get((parts[at - 1], parts[at]), none)
+                ranks[at - 1] = get(parts[at - 1] << ID | new, NONE)
             if at < len(ranks):
-                ranks[at] = merge.get((parts[at], parts[at + 1]), none)
+                ranks[at] = get(new << ID | parts[at + 1], NONE)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
@@ -87,8 +106,8 @@ class Bpe:
 
         def offer(i: int) -> None:
             j = after[i]
-            if j >= 0 and (found := merge.get((parts[i], parts[j]))):
-                heapq.heappush(heap, (found[0], i, parts[i], parts[j]))
+            if j >= 0 and (found := merge.get(parts[i] << ID | parts[j])) is not None:
+                heapq.heappush(heap, (found >> ID, i, parts[i], parts[j]))
 
         heap: list[tuple[int, int, int, int]] = []
         for i in range(n - 1):
@@ -98,7 +117,7 @@ class Bpe:
             j = after[i] if alive[i] else -1
             if j < 0 or parts[i] != a or parts[j] != b:
                 continue
-            parts[i], alive[j], after[i] = merge[a, b][1], False, after[j]
+            parts[i], alive[j], after[i] = merge[a << ID | b] & MASK, False, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             offer(i)
@@ -108,12 +127,14 @@ class Bpe:
 
     def chunk(self, chunk: str) -> tuple[str, str, list[int]]:
         """Ids as text, decoded text and ids of one run of characters without white space."""
-        if (found := self.known.get(chunk)) is None:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            ids = [i for word in self.words.findall(chunk) for i in self.word(word)]
-            found = self.known[chunk] = " ".join(map(str, ids)), self.decode(ids), ids
-        return found
+        ids, of_word = [], self.of_word
+        for word in self.words.findall(chunk):
+            if (own := of_word.get(word)) is None:
+                if len(of_word) >= CACHE:
+                    of_word.clear()
+                own = of_word[word] = self.word(word)
+            ids += own
+        return " ".join(map(str, ids)), self.decode(ids), ids
 
     def chunks(self, text: str):
         """The runs without white space of a text in normal form."""
@@ -125,13 +146,13 @@ class Bpe:
     def pieces(self, text: str) -> list[tuple[str, str, list[int]]]:
         """What ``chunk`` gives, for each chunk and special token of a text."""
         if self.marks is None or not self.marks.search(text):
-            return list(map(self.chunk, self.chunks(text)))
+            return list(map(self.known.__getitem__, self.chunks(text)))
         out, at = [], 0
         for mark in self.marks.finditer(text):
-            out += map(self.chunk, self.chunks(text[at : mark.start()]))
+            out += map(self.known.__getitem__, self.chunks(text[at : mark.start()]))
             out.append((str(self.special[mark[0]]), mark[0], [self.special[mark[0]]]))
             at = mark.end()
-        return out + list(map(self.chunk, self.chunks(text[at:])))
+        return out + list(map(self.known.__getitem__, self.chunks(text[at:])))
 
     def encode(self, text: str) -> list[int]:
         return [i for _, _, ids in self.pieces(text) for i in ids]
