@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .shared import saved, text_of
 
 SAMPLE_ROWS = 2000
+FEW = 24  # repeated windows of a text that are looked up one by one
 BLANKS = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -48,10 +49,15 @@ def repeat_words(words: Column, window: int = 3) -> Column:
         step = lambda x, k: F.least(F.lit(window), F.when(k == 0, F.lit(window)).otherwise(x - places[k - 1]))
         return F.aggregate(F.transform(places, step), F.lit(0), lambda a, x: a + x)
 
-    def repeated(h: Column) -> Column:
+    def by_sort(h: Column) -> Column:
         ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         same = lambda s: F.filter(s, lambda x, k: ((k > 0) & (s[F.greatest(k - 1, F.lit(0))]["h"] == x["h"])) | ((k < F.size(s) - 1) & (s[F.least(k + 1, F.size(s) - 1)]["h"] == x["h"])))
-        places = F.array_sort(F.transform(let(ordered, same), lambda x: x["i"]))
+        return F.array_sort(F.transform(let(ordered, same), lambda x: x["i"]))
+
+    def repeated(h: Column) -> Column:
+        twice = let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, k: (k > 0) & (s[F.greatest(k - 1, F.lit(0))] == x))))
+        # the same places either way: a few repeated values are looked up, many are sorted out
+        places = let(twice, lambda d: F.when(F.size(d) <= FEW, F.filter(at, lambda i: F.array_contains(d, h[i]))).otherwise(by_sort(h)))
         return let(places, covered)
 
     count = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(repeated(h)))
@@ -74,14 +80,15 @@ def base_metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.withColumn("base_failed", failed).drop("__words", "__lines")
 
 
-def default_rules(text_col: str = "text") -> dict[str, Column]:
-    """Rejecting conditions on the raw text; null text is empty and passes all of them."""
+def default_rules(text_col: str = "text", n_words: str | None = None, n_symbols: str | None = None) -> dict[str, Column]:
+    """Rejecting conditions on the raw text, or on counts that are columns already; null text is empty and passes all of them."""
     text = text_of(text_col)
-    n = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
+    n = F.col(n_words) if n_words else F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
+    symbols = F.col(n_symbols) if n_symbols else F.regexp_count(text, F.lit(r"[#*$%&|<>]"))
     letters = F.regexp_count(text, F.lit(r"\p{L}"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     return {
-        "symbols": share(F.regexp_count(text, F.lit(r"[#*$%&|<>]")), n) > 0.5,
+        "symbols": share(symbols, n) > 0.5,
         "shouting": share(F.regexp_count(text, F.lit(r"\p{Lu}")), letters) > 0.5,
         "letters": share(letters, F.length(text)) < 0.4,
         "word_length": (n > 0) & ~share(F.length(text), n).between(2.5, 30),

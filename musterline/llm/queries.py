@@ -21,10 +21,10 @@ def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cascade import base_metrics, cascade, default_rules, plan
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rules = default_rules()
+    docs = base_metrics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rules = default_rules(n_words="n_words", n_symbols="n_symbols")
     order = [r["rule"] for r in plan(docs, rules)]
-    found = cascade(base_metrics(docs), {"base": F.col("base_failed"), **rules}, order=["base", *order])
+    found = cascade(docs, {"base": F.col("base_failed"), **rules}, order=["base", *order])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
