@@ -59,6 +59,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hpylm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vptree import nearest
 
@@ -74,6 +80,6 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_urls": op1_urls, "op2_quality": op2_quality, "op3_chats": op3_chats, "op5_bpe": op5_bpe,
-    "op6_simhash": op6_simhash, "op7_mixing": op7_mixing, "op9_vptree": op9_vptree, "op10_substring": op10_substring,
+    "op6_simhash": op6_simhash, "op7_mixing": op7_mixing, "op8_hpylm": op8_hpylm, "op9_vptree": op9_vptree, "op10_substring": op10_substring,
 }
 ORACLE: dict[str, str] = {"op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE}

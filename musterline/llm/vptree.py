@@ -160,15 +160,3 @@ def nearest(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-
-ORACLE = """
-WITH v AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-), p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
-SELECT query_id, CAST(rank AS INT) AS rank, vec_id FROM r WHERE rank <= 20
-"""
