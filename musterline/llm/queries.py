@@ -39,6 +39,12 @@ def op3_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(fold(events))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import predict
+
+    return predict(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -79,7 +85,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_urls": op1_urls, "op2_quality": op2_quality, "op3_chats": op3_chats, "op5_bpe": op5_bpe,
+    "op1_urls": op1_urls, "op2_quality": op2_quality, "op3_chats": op3_chats, "op4_langid": op4_langid, "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash, "op7_mixing": op7_mixing, "op8_hpylm": op8_hpylm, "op9_vptree": op9_vptree, "op10_substring": op10_substring,
 }
 ORACLE: dict[str, str] = {"op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE}
