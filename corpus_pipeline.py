@@ -29,8 +29,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group (null ids stay when nothing else names their group)."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["stays"]), "left_semi")
+    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays"))
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["__stays"]), "left_semi")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +48,9 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     source that is not repeated.
     """
     last = (F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))
-    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("of")).agg(F.max(F.col("epochs") + last.cast("long")).alias("copies")).where("copies > 0")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["of"]))
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("__of")).agg(F.max(F.col("epochs") + last.cast("long")).alias("__copies")).where("__copies > 0")
+    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__of"]))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
