@@ -14,21 +14,23 @@ import json
 import os
 import unicodedata
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_of
+from .shared import pieces, spans, text_buffers, text_of, word_hashes
 
 LONG = 256
 ID = 20  # bits of a token id
 MASK = (1 << ID) - 1
 NONE = 1 << 62
 CACHE = 200_000  # distinct chunks remembered per task; more only means that some are encoded again
+PIECE = 4 << 20  # bytes of text encoded at once
 MAX_FILE = 64 << 20  # a vocabulary file is broadcast only up to this size
 
 # The code points of the Unicode property White_Space.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-NOT_WHITE = "\x1c\x1d\x1e\x1f"  # str.split() also splits at these
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+WIDE = WHITE[6:]  # those outside ASCII
 
 
 def byte_symbols() -> list[str]:
@@ -38,21 +40,6 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)]
 
 
-class Memo(dict):
-    """Results by chunk; when full, the generation before stays in reach."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.older = make, {}
-
-    def __missing__(self, key):
-        if len(self) >= CACHE:
-            self.older = dict(self)
-            self.clear()
-        found = self[key] = self.older.get(key) or self.make(key)
-        return found
-
-
 class Bpe:
     """One tokenizer file: BPE whose words end in a suffix, over byte symbols, lower-cased and NFC."""
 
@@ -73,10 +60,12 @@ class Bpe:
         self.last = [self.ids[s + self.suffix] for s in byte_symbols()]
         words = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(words)
-        self.gaps = regex.compile(f"[^{WHITE}]+")
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known = Memo(self.chunk)
+        self.known: dict[bytes, tuple[bytes, bytes, list[int]]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes, list[int]]] = {}
         self.of_word: dict[str, list[int]] = {}
+        pairs = sorted(self.merge)
+        self.pairs, self.results = np.array(pairs, np.int64), np.array([self.merge[p] for p in pairs], np.int64)
 
     def word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
@@ -99,6 +88,60 @@ class Bpe:
                 ranks[at] = get(new << ID | parts[at + 1], NONE)
         return parts
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and result of merging each pair, NONE where there is no such merge (or no part, -1)."""
+        key = left << ID | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((left >= 0) & (right >= 0) & (self.pairs[at] == key), self.results[at], NONE)
+
+    def many(self, words: list[str]) -> list[list[int]]:
+        """Ids of many pre-tokens; those of similar length step together, one row of parts and ranks each."""
+        out: list = [None] * len(words)
+        if not len(self.pairs):
+            return [self.word(w) for w in words]
+        raw = [w.encode() for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        low = 0
+        for width in (4, 8, 12, 16, 24, 40):
+            rows = np.flatnonzero((size > low) & (size <= width))
+            low = width
+            for some in np.array_split(rows, max(1, len(rows) * width >> 18)):
+                if len(some):
+                    self._together([raw[i] for i in some], size[some], width, inner, last, some, out)
+        for i in np.flatnonzero(size > low):
+            out[i] = self.word(words[i])
+        return out
+
+    def _together(self, raw, size, width, inner, last, rows, out) -> None:
+        column = np.arange(width)
+        text = np.frombuffer(b"".join(raw), np.uint8)
+        parts = np.full((len(rows), width), -1, np.int64)
+        parts[column[None, :] < size[:, None]] = inner[text]
+        parts[np.arange(len(rows)), size - 1] = last[text[np.cumsum(size) - 1]]
+        ranks = self.ranks(parts[:, :-1], parts[:, 1:])
+        while True:
+            at = ranks.argmin(axis=1)
+            lowest = ranks[np.arange(len(rows)), at]
+            live = lowest != NONE
+            for i, ids, n in zip(rows[~live].tolist(), parts[~live].tolist(), (parts[~live] >= 0).sum(axis=1).tolist()):
+                out[i] = ids[:n]
+            if not live.any():
+                return
+            rows, parts, ranks, at = rows[live], parts[live], ranks[live], at[live]
+            row, new = np.arange(len(rows)), lowest[live] & MASK
+            # delete the boundary behind ``at``
+            after = np.concatenate([parts[:, 1:], np.full((len(rows), 1), -1)], axis=1)
+            parts = np.where(column[None, :] > at[:, None], after, parts)
+            parts[row, at] = new
+            after = np.concatenate([ranks[:, 1:], np.full((len(rows), 1), NONE)], axis=1)
+            ranks = np.where(column[None, :-1] >= at[:, None], after, ranks)
+            # refresh the ranks on both sides
+            inside = at > 0
+            ranks[row[inside], at[inside] - 1] = self.ranks(parts[row[inside], at[inside] - 1], new[inside])
+            inside = at < width - 1
+            ranks[row[inside], at[inside]] = self.ranks(new[inside], parts[row[inside], at[inside] + 1])
+
     def _heap(self, parts: list[int]) -> list[int]:
         n, merge = len(parts), self.merge
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
@@ -125,43 +168,93 @@ class Bpe:
                 offer(before[i])
         return [p for p, live in zip(parts, alive) if live]
 
-    def chunk(self, chunk: str) -> tuple[str, str, list[int]]:
-        """Ids as text, decoded text and ids of one run of characters without white space."""
-        ids, of_word = [], self.of_word
-        for word in self.words.findall(chunk):
-            if (own := of_word.get(word)) is None:
-                if len(of_word) >= CACHE:
-                    of_word.clear()
-                own = of_word[word] = self.word(word)
-            ids += own
-        return " ".join(map(str, ids)), self.decode(ids), ids
-
-    def chunks(self, text: str):
-        """The runs without white space of a text in normal form."""
+    def normal(self, text: str) -> bytes:
+        """The text in normal form as UTF-8, chunks apart by ASCII white space, special tokens as chunks behind a byte 255."""
+        if self.marks is not None and self.marks.search(text):
+            out, at = [], 0
+            for mark in self.marks.finditer(text):
+                out += [self._normal(text[at : mark.start()]), b"\xff" + mark[0].encode()]
+                at = mark.end()
+            return b" ".join([*out, self._normal(text[at:])])
+        return self._normal(text)
+
+    def _normal(self, text: str) -> bytes:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        return self.gaps.findall(text) if any(c in text for c in NOT_WHITE) else text.split()
-
-    def pieces(self, text: str) -> list[tuple[str, str, list[int]]]:
-        """What ``chunk`` gives, for each chunk and special token of a text."""
-        if self.marks is None or not self.marks.search(text):
-            return list(map(self.known.__getitem__, self.chunks(text)))
-        out, at = [], 0
-        for mark in self.marks.finditer(text):
-            out += map(self.known.__getitem__, self.chunks(text[at : mark.start()]))
-            out.append((str(self.special[mark[0]]), mark[0], [self.special[mark[0]]]))
-            at = mark.end()
-        return out + list(map(self.known.__getitem__, self.chunks(text[at:])))
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            if any(c in text for c in WIDE):
+                text = text.translate(dict.fromkeys(map(ord, WIDE), " "))
+            return text.encode()
+        return text.lower().encode()
+
+    def chunks(self, chunks: list[bytes]) -> list[tuple[bytes, bytes, list[int]]]:
+        """Ids as text, decoded text and ids of runs of bytes without white space."""
+        if len(self.known) >= CACHE:  # the generation before stays in reach
+            self.known, self.older = {}, self.known
+            self.of_word.clear()
+        known, older, of_word = self.known, self.older, self.of_word
+        missing = {}
+        for chunk in chunks:
+            if chunk not in known:
+                if (found := older.get(chunk)) is not None:
+                    known[chunk] = found
+                elif chunk[0] != 255:
+                    missing[chunk] = self.words.findall(chunk.decode())
+                else:
+                    mark = chunk[1:]
+                    known[chunk] = str(self.special[mark.decode()]).encode(), mark, [self.special[mark.decode()]]
+        fresh = list({w for words in missing.values() for w in words if w not in of_word})
+        of_word.update(zip(fresh, self.many(fresh)))
+        tokens = self.tokens
+        for chunk, words in missing.items():
+            ids = of_word[words[0]] if len(words) == 1 else [i for w in words for i in of_word[w]]
+            known[chunk] = " ".join(map(str, ids)).encode(), " ".join([tokens[i] for i in ids]).encode(), ids
+        return [known[c] for c in chunks]
 
     def encode(self, text: str) -> list[int]:
-        return [i for _, _, ids in self.pieces(text) for i in ids]
+        return [i for _, _, ids in self.chunks(self.normal(text).split()) for i in ids]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by one space, the form that a tokenizer without a decoder gives; unknown ids are skipped."""
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
+class Chunks:
+    """The chunks of some texts: each distinct one encoded once, and which of them stands where."""
+
+    def __init__(self, bpe: Bpe, texts: list[str]):
+        normal = [bpe.normal(t) for t in texts]
+        raw = np.frombuffer(b"".join(normal), np.uint8)
+        starts, ends, self.rows = spans(raw, np.append(0, np.cumsum([len(t) for t in normal], dtype=np.int64)))
+        self.texts = len(texts)
+        _, first, self.index = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True) if len(starts) else (None, starts, starts)
+        whole = raw.tobytes()
+        self.found = bpe.chunks([whole[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())])
+        self.sizes = np.fromiter((len(x[2]) for x in self.found), np.int64, len(self.found))
+        self.ids = np.fromiter((i for x in self.found for i in x[2]), np.int32, int(self.sizes.sum()))
+
+    def per_text(self, sizes: np.ndarray) -> np.ndarray:
+        """Sum over each text's chunks."""
+        return np.bincount(self.rows, weights=sizes[self.index], minlength=self.texts).astype(np.int64)
+
+    def laid_out(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The values of each chunk in the order of the texts; ``values`` holds those of the distinct chunks one after the other."""
+        begin = (np.cumsum(sizes) - sizes)[self.index]
+        size = sizes[self.index]
+        out = np.empty(int(size.sum()), values.dtype)
+        place = np.append(0, np.cumsum(size))
+        for low, high in pieces(place, 1 << 21):
+            n = size[low:high]
+            out[place[low] : place[high]] = values[np.arange(place[high] - place[low]) + np.repeat(begin[low:high] - place[low:high] + place[low], n)]
+        return out
+
+    def joined(self, which: int) -> list[bytes]:
+        """Each text's chunks (0: ids as text, 1: decoded) joined by one space."""
+        sizes = np.fromiter((len(x[which]) + 1 for x in self.found), np.int64, len(self.found))
+        values = np.frombuffer(b" ".join([*(x[which] for x in self.found), b""]), np.uint8)
+        out, ends = self.laid_out(values, sizes).tobytes(), np.cumsum(self.per_text(sizes)).tolist()
+        return [out[s : max(s, e - 1)] for s, e in zip([0, *ends], ends)]
+
+
 def load(path: str) -> bytes:
     if os.path.getsize(path) > MAX_FILE:
         raise ValueError(f"{path} is larger than {MAX_FILE} bytes")
@@ -182,23 +275,17 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def work(batches):
         bpe = Bpe(shared.value)
-        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for batch in batches:
-            rows: list[list] = [[] for _ in range(1 + ids + 2 * digests)]
-            for value in batch.column(1):
-                found = bpe.pieces(value.as_py())
-                if digests:
-                    joined = " ".join([x[0] for x in found])
-                    rows[0].append(joined.count(" ") + 1 if joined else 0)
-                    rows[-2].append(sha(joined))
-                    rows[-1].append(sha(" ".join([x[1] for x in found])))
+            for low, high in pieces(text_buffers(batch.column(1))[1], PIECE):
+                part = batch.slice(low, high - low)
+                found = Chunks(bpe, part.column(1).to_pylist())
+                columns = [pa.array(found.per_text(found.sizes))]
                 if ids:
-                    own = [i for x in found for i in x[2]]
-                    rows[1].append(own)
-                    if not digests:
-                        rows[0].append(len(own))
-            types = [pa.int64()] + [pa.list_(pa.int32())] * ids + [pa.string()] * (2 * digests)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, rows, types)], names=[f.split(" ")[0] for f in schema.split(", ")])
+                    offsets = np.append(0, np.cumsum(columns[0].to_numpy()))
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found.laid_out(found.ids, found.sizes))))
+                if digests:
+                    columns += [pa.array([hashlib.sha256(t).hexdigest() for t in found.joined(i)]) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[f.split(" ")[0] for f in schema.split(", ")])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t")).mapInArrow(work, schema)
 
