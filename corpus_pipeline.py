@@ -35,10 +35,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur earlier; documents that consist of nothing else go."""
-    found = rlz.substring_dedup(docs, carry=docs.columns).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    cut = F.col("n_removed") > 0
-    new = {"text": F.when(cut, F.col("kept")).otherwise(F.col("row.text")), "n_chars": F.when(cut, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))}
-    return found.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    found = rlz.substring_dedup(docs, carry=others).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    size = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("kept"), "n_chars": size}
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from .shared import pieces, text_buffers
 
@@ -156,11 +157,11 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             model = w, temperature(logits, np.array([y for _, _, y in apart]))
     shared = docs.sparkSession.sparkContext.broadcast((model, idf, languages))
 
-    def work(batches):
+    def work(texts):
         (model, idf, languages), grams = shared.value, Grams()
-        for batch in batches:
+        for column in texts:
             names, scores = [], []
-            for found in grams.rows(batch.column(2)):
+            for found in grams.rows(column):
                 if found and model:
                     w, heat = model
                     p = softmax((weights(*found, idf) @ w[found[0]] + w[FEATURES]) / heat)
@@ -170,9 +171,9 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 else:
                     names.append(UNKNOWN)
                     scores.append(0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), batch.column(3)], names=["doc_id", "held_out", "lang_pred", "score", "row"])
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
+    judge = F.arrow_udf(work, "struct<lang_pred:string,score:double>", ArrowUDFType.SCALAR_ITER).asNondeterministic()  # evaluated once
     row = F.struct(*[F.col(f"`{c}`") for c in carry or [id_col]])
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), text.alias("text"), row.alias("row"))
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(work, f"doc_id long, held_out boolean, lang_pred string, score double, row {kind}")
+    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), judge(text).alias("p"), row.alias("row"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score", "row")

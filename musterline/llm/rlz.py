@@ -24,7 +24,7 @@ from .shared import bucketed, pieces, rolled, signed, spans, text_buffers, word_
 
 WINDOW = 20
 GRAM = 6
-BUCKET_MB = 8.0
+BUCKET_MB = 6.0
 PART = "bucket int, id long, pos int, g long, e long, kind byte"
 WHOLE, EDGE, SINGLE = 1, 2, 3  # block repeats as a whole; block needs its windows checked; window repeats
 
@@ -129,6 +129,7 @@ def _kept(bucket: Bucket, keep: np.ndarray, joined: bool):
     if not joined and len(starts):
         last = np.append(rows[1:] != rows[:-1], True)
         ends = np.where(last, bucket.offsets[rows + 1], np.append(starts[1:], 0))
+        starts = np.where(np.append(True, rows[1:] != rows[:-1]), bucket.offsets[rows], starts)
     starts, ends, rows = starts[keep], ends[keep], rows[keep]
     length = ends - starts
     gap = np.append(rows[1:] == rows[:-1], False).astype(np.int64) if joined and len(rows) else np.zeros(len(rows), np.int64)
@@ -148,8 +149,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A word goes if some run of ``window`` words that covers it also starts earlier: in a smaller id, or earlier in
     the same document. ``spans`` are the removed word ranges [start, end); ``kept`` is the text of the other words,
-    joined by one space or, by default, with the white space that followed each. Null text counts as empty and gives
-    an empty ``kept``. Texts shorter than a window lose nothing. Rows with a null id lose nothing and count
+    joined by one space or, by default, with the white space that followed each, so that a text which loses nothing and
+    has words is kept as it was. Null text counts as empty and gives an empty ``kept``. Texts shorter than a window lose nothing. Rows with a null id lose nothing and count
     for no other row; equal rows (same id and text) count as one document and get equal results. An empty table
     gives no rows. Columns of ``docs`` may have any names.
     """
