@@ -90,7 +90,7 @@ def default_rules(text_col: str = "text", n_words: str | None = None, n_symbols:
     return {
         "symbols": share(symbols, n) > 0.5,
         "shouting": share(F.regexp_count(text, F.lit(r"\p{Lu}")), letters) > 0.5,
-        "letters": share(letters, F.length(text)) < 0.4,
+        "letters": (F.length(text) > 0) & (share(letters, F.length(text)) < 0.4),
         "word_length": (n > 0) & ~share(F.length(text), n).between(2.5, 30),
         "lists": share(F.regexp_count(text, F.lit(r"[\x20\n]\|[\x20\n]")), n) > 0.25,
         "same_lines": (F.size(lines) > 3) & (share(F.size(F.array_distinct(lines)), F.size(lines)) < 0.5),

@@ -91,7 +91,8 @@ def whole(chunks: DataFrame, columns: dict[str, str]) -> DataFrame:
     """One row per conversation: text columns of its chunks joined in order, under new names."""
     parts = F.array_sort(F.collect_list(F.struct("chunk", *columns)))
     grouped = chunks.groupBy("conv_id").agg(parts.alias("p"))
-    return grouped.select("conv_id", *[F.array_join(F.transform("p", lambda x, c=c: x[c]), "").alias(new) for c, new in columns.items()])
+    field = lambda c: F.array_join(F.transform("p", lambda x: x[c]), "")
+    return grouped.select("conv_id", *[field(c).alias(new) for c, new in columns.items()])
 
 
 def format_chats(messages: DataFrame, mask_role: str = "assistant") -> DataFrame:

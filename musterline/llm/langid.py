@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from .shared import pieces, text_buffers
+from .shared import pieces, release, text_buffers
 
 FEATURES = 1 << 15
 GRAMS = 3
@@ -171,6 +171,7 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 else:
                     names.append(UNKNOWN)
                     scores.append(0.0)
+            release()
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     judge = F.arrow_udf(work, "struct<lang_pred:string,score:double>", ArrowUDFType.SCALAR_ITER).asNondeterministic()  # evaluated once

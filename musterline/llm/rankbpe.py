@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import pieces, spans, text_buffers, text_of, word_hashes
+from .shared import pieces, release, spans, text_buffers, text_of, word_hashes
 
 LONG = 256
 ID = 20  # bits of a token id
@@ -61,15 +61,15 @@ class Bpe:
         words = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(words)
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known: dict[bytes, tuple[bytes, bytes, list[int]]] = {}
-        self.older: dict[bytes, tuple[bytes, bytes, list[int]]] = {}
-        self.of_word: dict[str, list[int]] = {}
+        # ids of chunks and words, as the bytes of 32-bit integers
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.of_word: dict[bytes, bytes] = {}
         pairs = sorted(self.merge)
         self.pairs, self.results = np.array(pairs, np.int64), np.array([self.merge[p] for p in pairs], np.int64)
 
-    def word(self, word: str) -> list[int]:
+    def word(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
-        raw = word.encode()
         parts = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         if len(parts) > LONG:
             return self._heap(parts)
@@ -94,23 +94,20 @@ class Bpe:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((left >= 0) & (right >= 0) & (self.pairs[at] == key), self.results[at], NONE)
 
-    def many(self, words: list[str]) -> list[list[int]]:
+    def many(self, raw: list[bytes]) -> list[bytes]:
         """Ids of many pre-tokens; those of similar length step together, one row of parts and ranks each."""
-        out: list = [None] * len(words)
-        if not len(self.pairs):
-            return [self.word(w) for w in words]
-        raw = [w.encode() for w in words]
+        out: list = [b""] * len(raw)
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
         low = 0
-        for width in (4, 8, 12, 16, 24, 40):
+        for width in (4, 8, 12, 16, 24, 40) if len(self.pairs) else ():
             rows = np.flatnonzero((size > low) & (size <= width))
             low = width
             for some in np.array_split(rows, max(1, len(rows) * width >> 18)):
                 if len(some):
                     self._together([raw[i] for i in some], size[some], width, inner, last, some, out)
         for i in np.flatnonzero(size > low):
-            out[i] = self.word(words[i])
+            out[i] = np.array(self.word(raw[i]), np.int32).tobytes()
         return out
 
     def _together(self, raw, size, width, inner, last, rows, out) -> None:
@@ -124,8 +121,10 @@ class Bpe:
             at = ranks.argmin(axis=1)
             lowest = ranks[np.arange(len(rows)), at]
             live = lowest != NONE
-            for i, ids, n in zip(rows[~live].tolist(), parts[~live].tolist(), (parts[~live] >= 0).sum(axis=1).tolist()):
-                out[i] = ids[:n]
+            done = parts[~live]
+            ids, at_byte = done.astype(np.int32).tobytes(), 4 * width * np.arange(len(done))
+            for i, start, end in zip(rows[~live].tolist(), at_byte.tolist(), (at_byte + 4 * (done >= 0).sum(axis=1)).tolist()):
+                out[i] = ids[start:end]
             if not live.any():
                 return
             rows, parts, ranks, at = rows[live], parts[live], ranks[live], at[live]
@@ -186,32 +185,40 @@ class Bpe:
             return text.encode()
         return text.lower().encode()
 
-    def chunks(self, chunks: list[bytes]) -> list[tuple[bytes, bytes, list[int]]]:
-        """Ids as text, decoded text and ids of runs of bytes without white space."""
+    def chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of runs of bytes without white space."""
         if len(self.known) >= CACHE:  # the generation before stays in reach
             self.known, self.older = {}, self.known
             self.of_word.clear()
         known, older, of_word = self.known, self.older, self.of_word
-        missing = {}
+        missing, plain = {}, []
         for chunk in chunks:
             if chunk not in known:
                 if (found := older.get(chunk)) is not None:
                     known[chunk] = found
-                elif chunk[0] != 255:
-                    missing[chunk] = self.words.findall(chunk.decode())
+                elif chunk.isalpha():  # ASCII letters only: one word
+                    if chunk in of_word:
+                        known[chunk] = of_word[chunk]
+                    else:
+                        plain.append(chunk)
+                elif chunk[0] == 255:
+                    known[chunk] = np.int32(self.special[chunk[1:].decode()]).tobytes()
                 else:
-                    mark = chunk[1:]
-                    known[chunk] = str(self.special[mark.decode()]).encode(), mark, [self.special[mark.decode()]]
-        fresh = list({w for words in missing.values() for w in words if w not in of_word})
+                    missing[chunk] = [w.encode() for w in self.words.findall(chunk.decode())]
+        fresh = list({w for words in missing.values() for w in words if w not in of_word}.union(plain))
         of_word.update(zip(fresh, self.many(fresh)))
-        tokens = self.tokens
-        for chunk, words in missing.items():
-            ids = of_word[words[0]] if len(words) == 1 else [i for w in words for i in of_word[w]]
-            known[chunk] = " ".join(map(str, ids)).encode(), " ".join([tokens[i] for i in ids]).encode(), ids
+        known.update((w, of_word[w]) for w in plain)
+        known.update((chunk, b"".join([of_word[w] for w in words])) for chunk, words in missing.items())
         return [known[c] for c in chunks]
 
     def encode(self, text: str) -> list[int]:
-        return [i for _, _, ids in self.chunks(self.normal(text).split()) for i in ids]
+        return np.frombuffer(b"".join(self.chunks(self.normal(text).split())), np.int32).tolist()
+
+    def strings(self, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, starts and lengths by id of each token's text: 0 its number, 1 the token; each with one space behind."""
+        names = [(str(i) if which == 0 else self.tokens.get(i, "")).encode() + b" " for i in range(max(self.tokens, default=-1) + 1)]
+        size = np.fromiter(map(len, names), np.int64, len(names))
+        return np.frombuffer(b"".join(names), np.uint8), np.cumsum(size) - size, size
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by one space, the form that a tokenizer without a decoder gives; unknown ids are skipped."""
@@ -228,33 +235,32 @@ class Chunks:
         self.texts = len(texts)
         _, first, self.index = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True) if len(starts) else (None, starts, starts)
         whole = raw.tobytes()
-        self.found = bpe.chunks([whole[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())])
-        self.sizes = np.fromiter((len(x[2]) for x in self.found), np.int64, len(self.found))
-        self.ids = np.fromiter((i for x in self.found for i in x[2]), np.int32, int(self.sizes.sum()))
-
-    def per_text(self, sizes: np.ndarray) -> np.ndarray:
-        """Sum over each text's chunks."""
-        return np.bincount(self.rows, weights=sizes[self.index], minlength=self.texts).astype(np.int64)
-
-    def laid_out(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The values of each chunk in the order of the texts; ``values`` holds those of the distinct chunks one after the other."""
-        begin = (np.cumsum(sizes) - sizes)[self.index]
-        size = sizes[self.index]
-        out = np.empty(int(size.sum()), values.dtype)
-        place = np.append(0, np.cumsum(size))
-        for low, high in pieces(place, 1 << 21):
-            n = size[low:high]
-            out[place[low] : place[high]] = values[np.arange(place[high] - place[low]) + np.repeat(begin[low:high] - place[low:high] + place[low], n)]
-        return out
-
-    def joined(self, which: int) -> list[bytes]:
-        """Each text's chunks (0: ids as text, 1: decoded) joined by one space."""
-        sizes = np.fromiter((len(x[which]) + 1 for x in self.found), np.int64, len(self.found))
-        values = np.frombuffer(b" ".join([*(x[which] for x in self.found), b""]), np.uint8)
-        out, ends = self.laid_out(values, sizes).tobytes(), np.cumsum(self.per_text(sizes)).tolist()
+        found = bpe.chunks([whole[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())])
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        own = np.frombuffer(b"".join(found), np.int32)
+        self.counts = np.bincount(self.rows, weights=size[self.index], minlength=self.texts).astype(np.int64)
+        self.ids = picked(own, (np.cumsum(size) - size)[self.index], size[self.index])
+
+    def joined(self, strings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[bytes]:
+        """Each text's tokens as ``strings`` spells them, joined by one space."""
+        values, start, size = strings
+        size = size[self.ids]
+        out = picked(values, start[self.ids], size).tobytes()
+        ends = np.append(0, np.cumsum(size))[np.cumsum(self.counts)].tolist()
         return [out[s : max(s, e - 1)] for s, e in zip([0, *ends], ends)]
 
 
+def picked(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """values[start : start + size] of each pair, one after the other."""
+    place = np.append(0, np.cumsum(size))
+    out = np.empty(int(place[-1]), values.dtype)
+    for low, high in pieces(place, 1 << 20):
+        n = size[low:high]
+        shift = start[low:high] - place[low:high] + place[low]
+        out[place[low] : place[high]] = values[np.arange(place[high] - place[low]) + np.repeat(shift, n)]
+    return out
+
+
 def load(path: str) -> bytes:
     if os.path.getsize(path) > MAX_FILE:
         raise ValueError(f"{path} is larger than {MAX_FILE} bytes")
@@ -275,17 +281,18 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def work(batches):
         bpe = Bpe(shared.value)
+        spelled = [bpe.strings(i) for i in (0, 1)] if digests else []
         for batch in batches:
             for low, high in pieces(text_buffers(batch.column(1))[1], PIECE):
                 part = batch.slice(low, high - low)
                 found = Chunks(bpe, part.column(1).to_pylist())
-                columns = [pa.array(found.per_text(found.sizes))]
+                columns = [pa.array(found.counts)]
                 if ids:
-                    offsets = np.append(0, np.cumsum(columns[0].to_numpy()))
-                    columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found.laid_out(found.ids, found.sizes))))
-                if digests:
-                    columns += [pa.array([hashlib.sha256(t).hexdigest() for t in found.joined(i)]) for i in (0, 1)]
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(found.counts)).astype(np.int32)), pa.array(found.ids)))
+                columns += [pa.array([hashlib.sha256(t).hexdigest() for t in found.joined(s)]) for s in spelled]
+                del found
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[f.split(" ")[0] for f in schema.split(", ")])
+            release()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t")).mapInArrow(work, schema)
 

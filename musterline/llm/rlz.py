@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bucketed, pieces, rolled, signed, spans, text_buffers, word_hashes
+from .shared import bucketed, pieces, release, rolled, signed, spans, text_buffers, word_hashes
 
 WINDOW = 20
 GRAM = 6
@@ -165,6 +165,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = source.where(F.col("id").isNotNull())
 
     def blocks(table):
+        release()
         b = Bucket(table, window, gram)
         _, first = b.repeats(b.e, b.g, b.anchor)
         ids, pos = b.places(b.anchor[first])
@@ -173,6 +174,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def edges(table, said):
         if not table.num_rows or not said.num_rows:
             return _rows(0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0)
+        release()
         b = Bucket(table, window, gram)
         at, h, g = b.windows_of(np.flatnonzero(b.told(said.to_pandas(), EDGE)))
         _, first = b.repeats(h, g, at)
@@ -182,6 +184,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def parse(table, said):
         if not table.num_rows:
             return nothing(table)
+        release()
         b, said = Bucket(table, window, gram), said.to_pandas()
         again, _ = b.repeats(b.e, b.g, b.anchor)
         whole = np.flatnonzero(again | b.told(said, WHOLE))

@@ -198,3 +198,15 @@ def gathered(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def release() -> None:
+    """Give memory that a finished piece of work has freed back to the system; a worker outlives its tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

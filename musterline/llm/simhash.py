@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, saved, text_of
+from .shared import components, release, saved, text_of
 
 SHINGLE = 4
 DISTANCE = 4
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         for batch in batches:
             values = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in batch.column(1)), np.uint64, len(batch))
+            release()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["id", "fp"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).cast("binary").alias("t"))
