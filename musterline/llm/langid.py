@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from .shared import pieces, release, text_buffers
+from .shared import pieces, release, row_offsets
 
 FEATURES = 1 << 15
 GRAMS = 3
@@ -31,7 +31,7 @@ class Grams:
 
     def rows(self, column):
         """(columns, counts) of each text of an Arrow string column in order; nothing for a text without letters."""
-        _, offsets = text_buffers(column)
+        offsets = row_offsets(column)
         for low, high in pieces(offsets, 1 << 20):
             texts = [(x or "").lower() for x in column.slice(low, high - low).to_pylist()]
             code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).copy()

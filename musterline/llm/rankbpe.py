@@ -18,14 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import pieces, release, spans, text_buffers, text_of, word_hashes
+from .shared import pieces, release, row_offsets, spans, text_of, word_hashes
 
 LONG = 256
 ID = 20  # bits of a token id
 MASK = (1 << ID) - 1
 NONE = 1 << 62
-CACHE = 200_000  # distinct chunks remembered per task; more only means that some are encoded again
-PIECE = 4 << 20  # bytes of text encoded at once
+CACHE = 100_000  # distinct chunks remembered per task; more only means that some are encoded again
+PIECE = 2 << 20  # bytes of text encoded at once
 MAX_FILE = 64 << 20  # a vocabulary file is broadcast only up to this size
 
 # The code points of the Unicode property White_Space.
@@ -283,7 +283,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         bpe = Bpe(shared.value)
         spelled = [bpe.strings(i) for i in (0, 1)] if digests else []
         for batch in batches:
-            for low, high in pieces(text_buffers(batch.column(1))[1], PIECE):
+            for low, high in pieces(row_offsets(batch.column(1)), PIECE):
                 part = batch.slice(low, high - low)
                 found = Chunks(bpe, part.column(1).to_pylist())
                 columns = [pa.array(found.counts)]
@@ -291,8 +291,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(found.counts)).astype(np.int32)), pa.array(found.ids)))
                 columns += [pa.array([hashlib.sha256(t).hexdigest() for t in found.joined(s)]) for s in spelled]
                 del found
+                release()
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[f.split(" ")[0] for f in schema.split(", ")])
-            release()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t")).mapInArrow(work, schema)
 

@@ -154,6 +154,13 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
+def row_offsets(column) -> np.ndarray:
+    """Byte offsets of the rows of an Arrow string column, without copying its text."""
+    import pyarrow.compute as pc
+
+    return np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+
+
 def pieces(offsets: np.ndarray, size: int = 1 << 20):
     """Row ranges (low, high) of about ``size`` bytes each; a longer row stands alone."""
     low, n = 0, len(offsets) - 1
