@@ -1,4 +1,170 @@
-"""Registered queries and the SQL that states the same results."""
+"""Registered queries over the driver's tables, and the SQL that states the same results."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import grades, text
+from ..operators import dqa
 
 QUERIES: dict = {}
-ORACLE: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Registers a function (spark, sf_dir) under ``name``, with its SQL if there is one."""
+
+    def register(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE[name] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def school_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A school-year table made of line items: school_id, year, enrollment, current, med_exempt, rel_exempt."""
+    q, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")
+    factor = F.when(F.col("l_returnflag") == "A", 12).when(F.col("l_returnflag") == "N", 9).otherwise(0)
+    grouped = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("school_id"), F.year("l_shipdate").alias("year"))
+    return grouped.agg(
+        F.sum(q).cast("int").alias("enrollment"), F.floor(F.sum(q * factor) / 10.0).cast("int").alias("current"),
+        (F.sum(F.when(F.col("l_linestatus") == "F", line).otherwise(0)).cast("int") - 2).alias("med_exempt"),
+        F.when(F.sum(line) % 11 != 0, F.sum(line)).cast("int").alias("rel_exempt"),
+    )
+
+
+SY = """
+SELECT l_partkey AS school_id, CAST(year(l_shipdate) AS INT) AS year, CAST(sum(CAST(l_quantity AS INT)) AS INT) AS enrollment,
+  CAST(floor(sum(CAST(l_quantity AS INT) * CASE l_returnflag WHEN 'A' THEN 12 WHEN 'N' THEN 9 ELSE 0 END) / 10.0) AS INT) AS current,
+  CAST(CAST(sum(CASE WHEN l_linestatus = 'F' THEN l_linenumber ELSE 0 END) AS INT) - 2 AS INT) AS med_exempt,
+  CASE WHEN sum(l_linenumber) % 11 = 0 THEN NULL ELSE CAST(sum(l_linenumber) AS INT) END AS rel_exempt
+FROM lineitem GROUP BY l_partkey, year(l_shipdate)
+"""
+WITH_SY = f"WITH sy AS ({SY}) "
+
+
+def shifted(df: DataFrame) -> DataFrame:
+    return df.withColumn("enrollment", F.col("enrollment") - 20)
+
+
+RULE_SQL = {
+    "zero_enrollment": "enrollment IS NULL OR enrollment <= 0",
+    "zero_current": "current IS NULL OR current = 0",
+    "negative": "least(enrollment, current, med_exempt, rel_exempt) < 0",
+    "too_high": "greatest(current, med_exempt, rel_exempt) > enrollment",
+    "coverage_outlier": "enrollment <> 0 AND (current * 1.0 / enrollment < 0 OR current * 1.0 / enrollment > 1.05)",
+    "over_coverage": "current + med_exempt + rel_exempt > enrollment",
+}
+for _rule in dqa.row_rules():
+    _base = f"(SELECT * REPLACE (enrollment - 20 AS enrollment) FROM ({SY}))" if _rule.name == "zero_enrollment" else f"({SY})"
+
+    @query(f"dqa_{_rule.name}", f"SELECT * FROM {_base} WHERE {RULE_SQL[_rule.name]}")
+    def _by_rule(spark, sf_dir, rule=_rule.name):
+        df = school_years(spark, sf_dir)
+        return dqa.broken(shifted(df) if rule == "zero_enrollment" else df, next(r for r in dqa.row_rules() if r.name == rule))
+
+
+@query("dqa_summary", WITH_SY + " UNION ALL ".join(f"SELECT '{k}' AS \"check\", CAST(count(*) FILTER (WHERE {v}) AS BIGINT) AS issue_count FROM sy" for k, v in RULE_SQL.items()))
+def dqa_summary(spark, sf_dir):
+    return dqa.summary(school_years(spark, sf_dir), dqa.row_rules())
+
+
+def _deviation_sql(column: str, threshold: float) -> str:
+    return WITH_SY + f""", m AS (SELECT *, avg({column}) OVER (PARTITION BY school_id) AS mean FROM sy)
+    SELECT school_id, year, {column}, round(mean, 6) AS mean, round(abs({column} - mean) / mean, 6) AS deviation FROM m WHERE mean <> 0 AND abs({column} - mean) / mean > {threshold}"""
+
+
+def _deviation(spark, sf_dir, column, threshold):
+    found = dqa.deviation(school_years(spark, sf_dir), column, threshold)
+    return found.select("school_id", "year", column, F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
+
+
+@query("dqa_enrollment_deviation", _deviation_sql("enrollment", 1.0))
+def dqa_enrollment_deviation(spark, sf_dir):
+    return _deviation(spark, sf_dir, "enrollment", 1.0)
+
+
+@query("dqa_current_deviation", _deviation_sql("current", 0.75))
+def dqa_current_deviation(spark, sf_dir):
+    return _deviation(spark, sf_dir, "current", 0.75)
+
+
+@query("dqa_deviation_history", WITH_SY + """, m AS (SELECT *, avg(enrollment) OVER (PARTITION BY school_id) AS mean FROM sy)
+SELECT * FROM sy WHERE school_id IN (SELECT school_id FROM m WHERE mean <> 0 AND abs(enrollment - mean) / mean > 1.0)""")
+def dqa_deviation_history(spark, sf_dir):
+    df = school_years(spark, sf_dir)
+    return dqa.with_history(df, dqa.deviation(df, "enrollment", 1.0))
+
+
+@query("dqa_extreme_outliers", WITH_SY + """, m AS (SELECT *, median(enrollment) OVER (PARTITION BY school_id) AS med FROM sy)
+SELECT school_id, year, enrollment, round(enrollment / med, 6) AS ratio, CASE WHEN enrollment / med >= 10 THEN 'high' ELSE 'low' END AS outlier_type
+FROM m WHERE med > 0 AND (enrollment / med >= 10 OR enrollment / med <= 1 / 10.0)""")
+def dqa_extreme_outliers(spark, sf_dir):
+    return dqa.extreme(school_years(spark, sf_dir)).select("school_id", "year", "enrollment", F.round("ratio", 6).alias("ratio"), "outlier_type")
+
+
+@query("dqa_duplicates", """SELECT l_partkey AS school_id, CAST(year(l_shipdate) AS INT) AS year, count(*) AS n_rows,
+count(DISTINCT row(l_quantity, l_returnflag)) = 1 AS identical FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
+def dqa_duplicates(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("school_id"), F.year("l_shipdate").alias("year"), "l_quantity", "l_returnflag")
+    return dqa.duplicates(rows)
+
+
+@query("dedupe_max_enrollment", """SELECT school_id, year, enrollment, l_orderkey, l_linenumber FROM (
+SELECT l_partkey AS school_id, CAST(year(l_shipdate) AS INT) AS year, CAST(l_quantity AS INT) AS enrollment, l_orderkey, l_linenumber,
+row_number() OVER (PARTITION BY l_partkey, year(l_shipdate) ORDER BY CAST(l_quantity AS INT) DESC, l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n = 1""")
+def dedupe_max_enrollment(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("school_id"), F.year("l_shipdate").alias("year"), F.col("l_quantity").cast("int").alias("enrollment"), "l_orderkey", "l_linenumber")
+    return dqa.largest_first(rows, ties=("l_orderkey", "l_linenumber"))
+
+
+_PARTS = "coalesce(med_exempt > enrollment, false) OR coalesce(rel_exempt > enrollment, false) OR coalesce(med_exempt + rel_exempt > enrollment, false)"
+_FIXED = f"""SELECT school_id, year, enrollment, CASE WHEN current < 0 OR current > enrollment THEN NULL ELSE current END AS current,
+CASE WHEN {_PARTS} THEN NULL ELSE med_exempt END AS med_exempt, CASE WHEN {_PARTS} THEN NULL ELSE rel_exempt END AS rel_exempt,
+nullif(concat_ws('; ', CASE WHEN current < 0 THEN 'current <0' END, CASE WHEN current > enrollment THEN 'current > enrollment' END, CASE WHEN {_PARTS} THEN 'exemptions > enrollment' END), '') AS excluded_note FROM sy"""
+
+
+@query("dqa_fix_invalid", WITH_SY + _FIXED)
+def dqa_fix_invalid(spark, sf_dir):
+    return dqa.blank_invalid(school_years(spark, sf_dir))
+
+
+@query("dqa_cap_current", WITH_SY + "SELECT * REPLACE (CASE WHEN current > enrollment - med_exempt - rel_exempt THEN enrollment - med_exempt - rel_exempt ELSE current END AS current) FROM sy")
+def dqa_cap_current(spark, sf_dir):
+    return dqa.cap_current(school_years(spark, sf_dir))
+
+
+@query("exclusion_ledger", f"WITH sy AS (SELECT * REPLACE (enrollment - 20 AS enrollment) FROM ({SY})), f AS ({_FIXED}), " + """b AS (
+SELECT sy.*, f.current AS c2, f.med_exempt AS m2, f.rel_exempt AS r2,
+nullif(concat_ws(', ', CASE WHEN sy.current IS NOT NULL AND f.current IS NULL THEN 'current' END, CASE WHEN sy.med_exempt IS NOT NULL AND f.med_exempt IS NULL THEN 'med_exempt' END, CASE WHEN sy.rel_exempt IS NOT NULL AND f.rel_exempt IS NULL THEN 'rel_exempt' END), '') AS lost
+FROM sy JOIN f USING (school_id, year))
+SELECT school_id, year, enrollment, current, med_exempt, rel_exempt, CASE WHEN enrollment > 0 THEN lost END AS blanked,
+CASE WHEN enrollment <= 0 THEN 'zero_enrollment' WHEN (c2 IS NULL OR m2 IS NULL OR r2 IS NULL) AND lost IS NOT NULL THEN 'invalid_count'
+WHEN c2 IS NULL OR m2 IS NULL OR r2 IS NULL THEN 'missing_count' WHEN c2 = 0 THEN 'zero_vaccinated' END AS exclusion_reason FROM b""")
+def exclusion_ledger(spark, sf_dir):
+    return dqa.ledger(shifted(school_years(spark, sf_dir)))
+
+
+@query("std_county", r"""SELECT c_custkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(regexp_replace(c_mktsegment || ' County-' || c_name, '\s+', ' ', 'g'))), 'county', '', 'g'), '[/.-]', ' ', 'g'), '\pP', '', 'g'), '\s+', ' ', 'g')) AS county FROM customer""")
+def std_county(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", text.county_name(F.concat("c_mktsegment", F.lit(" County-"), "c_name")).alias("county"))
+
+
+@query("type_class", "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'charter' WHEN p_size % 5 IN (1, 2) THEN 'private' WHEN p_size % 5 = 3 THEN 'public' END AS school_type FROM part")
+def type_class(spark, sf_dir):
+    label = F.element_at(F.array(*map(F.lit, ["Public Charter", "Non-public", " religious ", "LEA public", "other"])), F.col("p_size") % 5 + 1)
+    return table(spark, sf_dir, "part").select("p_partkey", text.school_type(label).alias("school_type"))
+
+
+@query("level_code", "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'p,e' WHEN 1 THEN 'e,m' WHEN 2 THEN 'm,h' WHEN 3 THEN 'm,e' END AS level_code FROM part")
+def level_code(spark, sf_dir):
+    span = F.element_at(F.array(*map(F.lit, ["PreK-6", "K-8", "Grades: 6-12", "6-6", "ungraded"])), F.col("p_size") % 5 + 1)
+    return table(spark, sf_dir, "part").select("p_partkey", grades.level_code(span).alias("level_code"))
