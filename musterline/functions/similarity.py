@@ -11,6 +11,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _counts(a: Column, b: Column, then: Callable[[Column], Column]) -> Column:
@@ -95,7 +96,10 @@ def soundex(s: bytes) -> str:
     return (out + "000")[:4]
 
 
-@F.pandas_udf("struct<jw:double,osa:int,soundex:int>")
+EDITS = T.StructType([T.StructField("jw", T.DoubleType()), T.StructField("osa", T.IntegerType()), T.StructField("soundex", T.IntegerType())])
+
+
+@F.pandas_udf(EDITS)
 def edits(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Jaro-Winkler distance, restricted Damerau distance, and whether Soundex codes differ; null if either side is null."""
     memo: dict = {}

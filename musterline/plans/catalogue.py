@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import grades, text
-from ..operators import dqa
+from ..functions import address, grades, similarity, text
+from ..operators import dqa, linkage, places, rollups
+from . import model_tables
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -62,11 +65,11 @@ RULE_SQL = {
     "coverage_outlier": "enrollment <> 0 AND (current * 1.0 / enrollment < 0 OR current * 1.0 / enrollment > 1.05)",
     "over_coverage": "current + med_exempt + rel_exempt > enrollment",
 }
-for _rule in dqa.row_rules():
-    _base = f"(SELECT * REPLACE (enrollment - 20 AS enrollment) FROM ({SY}))" if _rule.name == "zero_enrollment" else f"({SY})"
+for _rule in RULE_SQL:
+    _base = f"(SELECT * REPLACE (enrollment - 20 AS enrollment) FROM ({SY}))" if _rule == "zero_enrollment" else f"({SY})"
 
-    @query(f"dqa_{_rule.name}", f"SELECT * FROM {_base} WHERE {RULE_SQL[_rule.name]}")
-    def _by_rule(spark, sf_dir, rule=_rule.name):
+    @query(f"dqa_{_rule}", f"SELECT * FROM {_base} WHERE {RULE_SQL[_rule]}")
+    def _by_rule(spark, sf_dir, rule=_rule):
         df = school_years(spark, sf_dir)
         return dqa.broken(shifted(df) if rule == "zero_enrollment" else df, next(r for r in dqa.row_rules() if r.name == rule))
 
@@ -168,3 +171,238 @@ def type_class(spark, sf_dir):
 def level_code(spark, sf_dir):
     span = F.element_at(F.array(*map(F.lit, ["PreK-6", "K-8", "Grades: 6-12", "6-6", "ungraded"])), F.col("p_size") % 5 + 1)
     return table(spark, sf_dir, "part").select("p_partkey", grades.level_code(span).alias("level_code"))
+
+
+def _concat_query(name: str, table_name: str, key: str, source, f, alias: str, sql: str):
+    @query(name, sql)
+    def run(spark, sf_dir):
+        return table(spark, sf_dir, table_name).select(key, f(source()).alias(alias))
+
+
+_concat_query("std_name", "part", "p_partkey", lambda: F.concat(F.lit("The "), "p_name", F.lit("  Elem. School & Arts")), text.school_name, "name",
+              "SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) || ' elementary and arts' AS name FROM part")
+_concat_query("std_district", "supplier", "s_suppkey", lambda: F.concat(F.lit("Unit "), F.col("s_suppkey").cast("string"), F.lit(" Unified School District &amp; Co.")), text.district_name, "district",
+              "SELECT s_suppkey, 'unit ' || s_suppkey || ' and co' AS district FROM supplier")
+_concat_query("clean_address", "supplier", "s_suppkey", lambda: F.concat(F.col("s_suppkey").cast("string"), F.lit(" North Second Oak, Suite "), F.col("s_nationkey").cast("string"), F.lit(" # 7 Hill Avenue")), address.clean_address, "address",
+              "SELECT s_suppkey, s_suppkey || ' N 2ND OAK STE ' || s_nationkey || ' APT 7 HILL AVE' AS address FROM supplier")
+_concat_query("po_box", "customer", "c_custkey", lambda: F.when(F.col("c_custkey") % 3 == 0, "P. O. Box 1").when(F.col("c_custkey") % 3 == 1, "12 Oak"), text.is_po_box, "po_box",
+              "SELECT c_custkey, c_custkey % 3 = 0 AS po_box FROM customer")
+_concat_query("school_level", "part", "p_partkey", lambda: F.element_at(F.array(*map(F.lit, ["Oak Elementary", "Oak Middle High", "Hill High", "High Road", "Pre-K Oak"])), F.col("p_size") % 5 + 1), text.school_level, "level",
+              "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'Elementary' WHEN 1 THEN 'Middle/High' WHEN 2 THEN 'High' WHEN 4 THEN 'PreK' END AS level FROM part")
+_concat_query("colon_grades", "part", "p_partkey", lambda: F.element_at(F.array(*map(F.lit, ["KG:01:02", "XG", "12:PK", "05", ""])), F.col("p_size") % 5 + 1), grades.colon_grades, "grades",
+              "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'k-2' WHEN 2 THEN 'prek-12' WHEN 3 THEN '5' END AS grades FROM part")
+
+
+def name_pairs(spark, sf_dir):
+    """Pairs of different part names of one brand."""
+    names = table(spark, sf_dir, "part").select("p_brand", "p_name").distinct()
+    other = names.withColumnRenamed("p_name", "q_name")
+    return names.join(other, "p_brand").where("p_name < q_name").select("p_name", "q_name").distinct()
+
+
+_PAIRS = """WITH n AS (SELECT DISTINCT p_brand, p_name FROM part),
+p AS (SELECT DISTINCT a.p_name, b.p_name AS q_name FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.p_name < b.p_name),
+c AS (SELECT s, ch, count(*) AS n FROM (SELECT p_name AS s, unnest(string_split(p_name, '')) AS ch FROM (SELECT DISTINCT p_name FROM part)) GROUP BY s, ch),
+u AS (SELECT p_name, q_name, sum(x) AS dot, sum(least(x, y)) AS low, sum(greatest(x, y)) AS high, sum(abs(x - y)) AS gap, sqrt(sum(x * x)) * sqrt(sum(y * y)) AS norm, sum(x * y) AS xy FROM (
+  SELECT p.p_name, p.q_name, k.ch, coalesce(a.n, 0) AS x, coalesce(b.n, 0) AS y FROM p JOIN (SELECT DISTINCT s, ch FROM c) k ON k.s = p.p_name OR k.s = p.q_name
+  LEFT JOIN c a ON a.s = p.p_name AND a.ch = k.ch LEFT JOIN c b ON b.s = p.q_name AND b.ch = k.ch GROUP BY ALL) GROUP BY p_name, q_name) """
+for _name, _f, _sql in (("sim_cosine", similarity.cosine, "greatest(0, 1 - xy / norm)"), ("sim_qgram", similarity.qgram, "gap"), ("sim_jaccard", similarity.jaccard, "1 - low / high")):
+
+    @query(_name, _PAIRS + f"SELECT p_name, q_name, round(CAST({_sql} AS DOUBLE), 6) AS distance FROM u")
+    def _by_measure(spark, sf_dir, f=_f):
+        return name_pairs(spark, sf_dir).select("p_name", "q_name", F.round(f(F.col("p_name"), F.col("q_name")), 6).alias("distance"))
+
+
+@query("sim_edits")
+def sim_edits(spark, sf_dir):
+    return name_pairs(spark, sf_dir).withColumn("e", similarity.edits("p_name", "q_name")).select("p_name", "q_name", "e.*")
+
+
+@query("sim_levenshtein", _PAIRS + "SELECT p_name, q_name, CAST(levenshtein(p_name, q_name) AS INT) AS distance FROM p")
+def sim_levenshtein(spark, sf_dir):
+    return name_pairs(spark, sf_dir).select("p_name", "q_name", F.levenshtein("p_name", "q_name").alias("distance"))
+
+
+def _rosters(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id1"), (F.col("c_custkey") % 500).cast("string").alias("name"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_nationkey").cast("string")).alias("county"), (F.col("c_custkey") % 7).cast("string").alias("zip"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id2"), (F.col("s_suppkey") % 500).cast("string").alias("name"), F.col("s_nationkey").cast("string").alias("county"), (F.col("s_suppkey") % 5).cast("string").alias("zip"))
+    return c, s
+
+
+_ROSTERS = """WITH c AS (SELECT c_custkey AS id1, CAST(c_custkey % 500 AS VARCHAR) AS name, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS county, CAST(c_custkey % 7 AS VARCHAR) AS zip FROM customer),
+s AS (SELECT s_suppkey AS id2, CAST(s_suppkey % 500 AS VARCHAR) AS name, CAST(s_nationkey AS VARCHAR) AS county, CAST(s_suppkey % 5 AS VARCHAR) AS zip FROM supplier), """
+_ONE_TO_ONE = """a AS (SELECT *, row_number() OVER (PARTITION BY id1 ORDER BY turn, id2) AS k FROM p), b AS (SELECT *, row_number() OVER (PARTITION BY id2 ORDER BY turn, id1) AS m FROM a WHERE k = 1)
+SELECT id1 AS orig_id_1, id2 AS orig_id_2 FROM b WHERE m = 1"""
+
+
+@query("exact_match_any", _ROSTERS + "p AS (SELECT id1, id2, CASE WHEN c.county = s.county THEN 0 WHEN c.zip = s.zip THEN 1 END AS turn FROM c JOIN s USING (name) WHERE c.county = s.county OR c.zip = s.zip), " + _ONE_TO_ONE)
+def exact_match_any(spark, sf_dir):
+    return linkage.exact(*_rosters(spark, sf_dir), "name", ["county", "zip"], "id1", "id2").matched
+
+
+@query("exact_match_all", _ROSTERS + "p AS (SELECT id1, id2, 0 AS turn FROM c JOIN s USING (name) WHERE (c.county IS NULL OR c.county = s.county) AND c.zip = s.zip), " + _ONE_TO_ONE)
+def exact_match_all(spark, sf_dir):
+    return linkage.exact(*_rosters(spark, sf_dir), "name", ["county", "zip"], "id1", "id2", "all").matched
+
+
+@query("place_join", _ROSTERS + "o AS (SELECT county, min(id2) AS id2 FROM s GROUP BY county) SELECT id1 AS orig_id_1, id2 AS orig_id_2, CAST(1 AS DOUBLE) AS match_score, 'Exact Match (county)' AS match_category FROM c JOIN o USING (county)")
+def place_join(spark, sf_dir):
+    return linkage.by_key(*_rosters(spark, sf_dir), "county", "id1", "id2").matched
+
+
+@query("left_anti_unmatched", _ROSTERS + "x AS (SELECT 1) SELECT id1, name, county, zip FROM c WHERE county IS NULL OR county NOT IN (SELECT county FROM s)")
+def left_anti_unmatched(spark, sf_dir):
+    return linkage.by_key(*_rosters(spark, sf_dir), "county", "id1", "id2").left
+
+
+def _names(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id1"), F.col("p_name").alias("name"), F.col("p_brand").alias("county"))
+    typo = F.concat(F.substring("p_name", 1, 3), F.lit("x"), F.substring("p_name", 5, 100))
+    q = table(spark, sf_dir, "part").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("id2")).select("id2", F.when(F.col("id2") % 3 == 0, typo).otherwise(F.col("p_name")).alias("name"), F.col("p_brand").alias("county"))
+    return p, q
+
+
+@query("fuzzy_block_match")
+def fuzzy_block_match(spark, sf_dir):
+    return linkage.fuzzy(*_names(spark, sf_dir), "name", ["county"], "id1", "id2").matched
+
+
+@query("fuzzy_cascade")
+def fuzzy_cascade(spark, sf_dir):
+    shared = spark.sparkContext
+    if shared.getCheckpointDir() is None:
+        shared.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="musterline-"))
+    passes = [
+        linkage.Pass("same name", lambda a, b: linkage.exact(a, b, "name", ["county"], "id1", "id2")),
+        linkage.Pass("near name", lambda a, b: linkage.fuzzy(a, b, "name", ["county"], "id1", "id2", 0.3, 0.15, 0.1)),
+    ]
+    return linkage.cascade(*_names(spark, sf_dir), passes, "id1", "id2").matched
+
+
+def _points(spark, sf_dir):
+    s = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(s.alias("id"), (40 + (s * 37 % 101) / 20000.0).alias("lat"), (-80 + (s * 53 % 89) / 20000.0).alias("lon"))
+
+
+_POINTS = """WITH p AS (SELECT s_suppkey AS id, 40 + (s_suppkey * 37 % 101) / 20000.0 AS lat, -80 + (s_suppkey * 53 % 89) / 20000.0 AS lon FROM supplier),
+d AS (SELECT a.id AS id_1, b.id AS id_2, 2 * 6371000.0 * asin(least(1.0, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS m FROM p a JOIN p b ON a.id < b.id) """
+
+
+@query("near_duplicates_50m", _POINTS + "SELECT id_1, id_2, round(m, 1) AS distance_m FROM d WHERE m > 0 AND m <= 50")
+def near_duplicates_50m(spark, sf_dir):
+    return places.near_pairs(_points(spark, sf_dir), "id", "lat", "lon")
+
+
+@query("range_geo_join", _POINTS + "SELECT id_1, id_2, CAST(round(m) AS BIGINT) AS metres FROM d WHERE m <= 120")
+def range_geo_join(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    side = lambda k: p.select(*[F.col(c).alias(f"{k}_{c}") for c in p.columns])
+    return places.within(side("l"), side("r"), 120).where("l_id < r_id").select(F.col("l_id").alias("id_1"), F.col("r_id").alias("id_2"), F.round("distance_m").cast("long").alias("metres"))
+
+
+@query("modal_value", """SELECT o_custkey, o_orderpriority FROM (SELECT o_custkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) AS k FROM orders GROUP BY 1, 2) WHERE k = 1""")
+def modal_value(spark, sf_dir):
+    return rollups.modal(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority")
+
+
+@query("majority_type", """SELECT o_custkey, o_orderstatus FROM (SELECT o_custkey, o_orderstatus, count(*) AS n, sum(count(*)) OVER (PARTITION BY o_custkey) AS t FROM orders GROUP BY 1, 2) WHERE n > 0.5 * t""")
+def majority_type(spark, sf_dir):
+    return rollups.majority(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderstatus")
+
+
+@query("packed_ids", "SELECT s_nationkey, string_agg(DISTINCT s_name, '; ' ORDER BY s_name) AS packed, count(*) AS n_records FROM supplier GROUP BY 1")
+def packed_ids(spark, sf_dir):
+    return rollups.packed(table(spark, sf_dir, "supplier"), ["s_nationkey"], "s_name")
+
+
+@query("explode_ids", "SELECT DISTINCT s_nationkey, s_name AS packed FROM supplier")
+def explode_ids(spark, sf_dir):
+    return rollups.unpacked(packed_ids(spark, sf_dir).drop("n_records"), "packed")
+
+
+@query("location_keys", """SELECT r_name AS state, n_name AS county, s_nationkey % 3 AS district, count(*) AS n_records, min(s_suppkey) AS first_id, arg_min(s_name, s_suppkey) AS school_name
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
+def location_keys(spark, sf_dir):
+    joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    keys = [F.col("r_name").alias("state"), F.col("n_name").alias("county"), (F.col("s_nationkey") % 3).alias("district")]
+    return joined.groupBy(*keys).agg(F.count("*").alias("n_records"), F.min("s_suppkey").alias("first_id"), F.min_by("s_name", "s_suppkey").alias("school_name"))
+
+
+@query("years_by_school", WITH_SY + "SELECT school_id, " + ", ".join(f'count(*) FILTER (WHERE year = {y}) AS "{y}"' for y in range(1992, 1999)) + ", CAST(count(DISTINCT year) FILTER (WHERE year BETWEEN 1992 AND 1998) AS INT) AS n_years FROM sy GROUP BY school_id")
+def years_by_school(spark, sf_dir):
+    return rollups.years_wide(school_years(spark, sf_dir), "school_id", list(range(1992, 1999)))
+
+
+@query("missing_years", WITH_SY + ", s AS (SELECT school_id, unnest(generate_series(min(year), max(year))) AS year FROM sy GROUP BY 1) SELECT school_id, CAST(year AS INT) AS year FROM s ANTI JOIN sy USING (school_id, year)")
+def missing_years(spark, sf_dir):
+    return rollups.missing_years(school_years(spark, sf_dir), "school_id")
+
+
+_LONG = " UNION ALL ".join(f"SELECT school_id, year, '{c}' AS metric, {c} AS value FROM sy" for c in ("enrollment", "current", "med_exempt", "rel_exempt"))
+
+
+@query("wide_to_long", WITH_SY + _LONG)
+def wide_to_long(spark, sf_dir):
+    return school_years(spark, sf_dir).unpivot(["school_id", "year"], ["enrollment", "current", "med_exempt", "rel_exempt"], "metric", "value")
+
+
+@query("distribution_profile", WITH_SY + f"""SELECT metric AS "column", count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS n_missing, count(*) FILTER (WHERE value < 0) AS n_negative, count(*) FILTER (WHERE value = 0) AS n_zero,
+CAST(min(value) AS DOUBLE) AS low, quantile_cont(value, 0.25) AS p25, median(value) AS mid, round(avg(value), 6) AS average, quantile_cont(value, 0.75) AS p75, CAST(max(value) AS DOUBLE) AS high FROM ({_LONG}) GROUP BY 1""")
+def distribution_profile(spark, sf_dir):
+    return rollups.profile(school_years(spark, sf_dir), ["enrollment", "current", "med_exempt", "rel_exempt"])
+
+
+@query("api_cost", """WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1) SELECT event_type, n AS requests, greatest(300 + n - 500, 0) - greatest(300 - 500, 0) AS billable, round((greatest(300 + n - 500, 0) - greatest(300 - 500, 0)) * 5.0 / 1000, 6) AS cost FROM c""")
+def api_cost(spark, sf_dir):
+    calls = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("requests"))
+    return calls.withColumn("billable", rollups.billable(F.col("requests"), F.lit(300), F.lit(500)).cast("long")).withColumn("cost", F.round(F.col("billable") * 5.0 / 1000, 6))
+
+
+def _survey(spark, sf_dir):
+    k = F.col("c_custkey")
+    pick = lambda values, by: F.element_at(F.array(*map(F.lit, values)), (by % len(values)).cast("int") + 1)
+    return table(spark, sf_dir, "customer").select(
+        k.alias("row_id"), pick(["child", "teen", "school"], k).alias("pop"), pick(["MMR", "DTaP", "MMR, PAC", "1+ MMR"], k).alias("vaccine"), pick(["24 Months", "35 Months", "19 Months", "13-17 Years", "Kindergarten"], k).alias("age_range"),
+        (2010 + k % 12).cast("int").alias("year"), F.when(k % 11 != 0, 100 + k % 50).cast("int").alias("n"), ((k % 90) / 100.0).alias("p"))
+
+
+_SURVEY = """WITH v AS (SELECT c_custkey AS row_id, ['child', 'teen', 'school'][c_custkey % 3 + 1] AS pop, ['MMR', 'DTaP', 'MMR, PAC', '1+ MMR'][c_custkey % 4 + 1] AS vaccine,
+['24 Months', '35 Months', '19 Months', '13-17 Years', 'Kindergarten'][c_custkey % 5 + 1] AS age_range, CAST(2010 + c_custkey % 12 AS INT) AS year, CAST(CASE WHEN c_custkey % 11 <> 0 THEN 100 + c_custkey % 50 END AS INT) AS n, CAST((c_custkey % 90) / 100.0 AS DOUBLE) AS p FROM customer),
+f AS (SELECT * FROM v WHERE vaccine ILIKE '%mmr%' AND vaccine NOT ILIKE '%pac%' AND age_range NOT IN ('13 Months', '19 Months') AND n IS NOT NULL AND p IS NOT NULL) """
+_COHORT_ROWS = ", ".join(f"('{k}', {o}, {w}, {model_tables.DOSES[k]})" for k, v in model_tables.COHORTS.items() for o, w in v)
+
+
+@query("vaxview_expand", _SURVEY + f"""SELECT row_id, f.pop, vaccine, age_range, year, n, p, CAST(year + o AS INT) AS cohort, CAST(CASE WHEN age_range = '24 Months' THEN 2 WHEN age_range = '35 Months' THEN 3 WHEN f.pop = 'school' THEN 5 WHEN f.pop = 'teen' THEN -o - 1 END AS INT) AS life_year,
+CAST(w AS DOUBLE) AS weight, CAST(dose AS INT) AS dose FROM f JOIN (VALUES {_COHORT_ROWS}) AS t(pop, o, w, dose) ON f.pop = t.pop""")
+def vaxview_expand(spark, sf_dir):
+    return model_tables.spread_cohorts(model_tables.survey_rows(_survey(spark, sf_dir)))
+
+
+@query("vaxview_stats", _SURVEY + "SELECT row_id, round_even(p * n, 0) AS x, round(sqrt(p * (1 - p)), 6) AS sd, round(sqrt(p * (1 - p) / n), 6) AS se FROM f")
+def vaxview_stats(spark, sf_dir):
+    return model_tables.statistics(model_tables.survey_rows(_survey(spark, sf_dir))).select("row_id", "x", F.round("sd", 6).alias("sd"), F.round("se", 6).alias("se"))
+
+
+@query("locations_tree", """WITH l AS (SELECT r_name AS st, n_name AS co, s_suppkey AS id FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT DISTINCT st AS loc_id, NULL AS parent_id, 'state' AS level FROM l UNION ALL SELECT DISTINCT st || '/' || co, st, 'county' FROM l UNION ALL SELECT DISTINCT st || '/' || co || '/' || id, st || '/' || co, 'school' FROM l""")
+def locations_tree(spark, sf_dir):
+    joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return model_tables.location_tree(joined.select(F.col("r_name").alias("state"), F.col("n_name").alias("county"), F.col("s_suppkey").alias("school_id")))
+
+
+@query("linkage_key", WITH_SY + "SELECT school_id || '-' || year AS obs_id, school_id, year, current AS positive, enrollment AS sample_n, year - 5 AS cohort, 5 AS age, 2 AS dose, CAST(1 AS DOUBLE) AS weight FROM sy")
+def linkage_key(spark, sf_dir):
+    return model_tables.observations(school_years(spark, sf_dir))
+
+
+@query("html_json_extract", r"SELECT page_id, nullif(regexp_extract(html, '<html lang=\"([a-z]+)\"', 1), '') AS lang, length(nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '')) AS title_chars FROM pages")
+def html_json_extract(spark, sf_dir):
+    found = lambda p: F.nullif(F.regexp_extract("html", p, 1), F.lit(""))
+    return table(spark, sf_dir, "pages").select("page_id", found('<html lang="([a-z]+)"').alias("lang"), F.length(found("(?s)<title>(.*?)</title>")).cast("long").alias("title_chars"))
+
+
+@query("collapse_places")
+def collapse_places(spark, sf_dir):
+    levels = F.element_at(F.array(*map(F.lit, ["p,e", "e,m", "h", "", "m"])), (F.col("s_suppkey") % 5).cast("int") + 1)
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 4 != 0, F.col("s_nationkey").cast("string")).alias("place_id"), levels.alias("level_code"))
+    return linkage.collapse_places(rows, "s_suppkey")
