@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address, grades, similarity, text
-from ..operators import dqa, linkage, places, rollups
-from . import model_tables
+from ..operators import dqa, linkage, places, reports, rollups
+from . import finalize, model_tables
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -406,3 +406,18 @@ def collapse_places(spark, sf_dir):
     levels = F.element_at(F.array(*map(F.lit, ["p,e", "e,m", "h", "", "m"])), (F.col("s_suppkey") % 5).cast("int") + 1)
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 4 != 0, F.col("s_nationkey").cast("string")).alias("place_id"), levels.alias("level_code"))
     return linkage.collapse_places(rows, "s_suppkey")
+
+
+@query("finalize_cleaned", WITH_SY + f""", f AS ({_FIXED}) SELECT school_id, year, enrollment, current, med_exempt, rel_exempt FROM f
+WHERE enrollment > 0 AND current IS NOT NULL AND med_exempt IS NOT NULL AND rel_exempt IS NOT NULL AND current <> 0""")
+def finalize_cleaned(spark, sf_dir):
+    return finalize.finalize(school_years(spark, sf_dir)).cleaned
+
+
+@query("call_summary", """WITH c AS (SELECT event_type AS api, CASE WHEN event_id % 7 = 0 THEN 'E' || event_id % 3 END AS code, 1 AS n FROM events),
+k AS (SELECT api, code, sum(n) AS n FROM c WHERE code IS NOT NULL GROUP BY 1, 2), s AS (SELECT api, string_agg(code || ': ' || CAST(n AS BIGINT), '; ' ORDER BY n DESC, code) AS failures FROM k GROUP BY 1)
+SELECT c.api, count(*) AS requests, count(*) FILTER (WHERE code IS NULL) AS succeeded, count(*) FILTER (WHERE code IS NOT NULL) AS failed, round(count(*) * 5.0 / 1000, 6) AS cost, any_value(failures) AS failures FROM c LEFT JOIN s USING (api) GROUP BY c.api""")
+def call_summary(spark, sf_dir):
+    calls = table(spark, sf_dir, "events").select(F.col("event_type").alias("api"), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("E"), (F.col("event_id") % 3).cast("string"))).alias("code"), F.lit(1).alias("requests"))
+    kinds = {r[0]: 5.0 for r in calls.select("api").distinct().collect()}  # a handful of services
+    return reports.call_summary(calls, kinds).withColumn("cost", F.round("cost", 6))

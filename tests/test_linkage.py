@@ -128,3 +128,29 @@ def test_queries_equal_sql(spark, name):
         assert rows == sorted(str(r) for r in db.execute(f"SELECT {quoted} FROM ({catalogue.ORACLE[name]})").fetchall())
     else:
         assert rows
+
+
+def test_finalize_conserves_rows(spark):
+    from musterline.plans.finalize import finalize_series
+
+    rows = [(1, 2022, 70, 60, 1, 2, "mmr"), (1, 2022, 80, 60, 1, 2, "mmr"), (2, 2022, 0, 1, 1, 1, "mmr"), (3, 2022, 70, 99, 1, 2, "mmr"), (4, 2022, 70, 69, 1, 2, "MMR2"), (None, 2022, 70, 60, 1, 2, "mmr")]
+    df = spark.createDataFrame(rows, "school_id int, year int, enrollment int, current int, med_exempt int, rel_exempt int, vaccine_type string")
+    out = finalize_series(df, "vaccine_type", ["Mmr"])["mmr"]
+    assert out.cleaned.count() + out.excluded.count() == 5
+    assert {(r["school_id"], r["sample_n"]) for r in out.observations.collect()} == {(1, 80)}
+    with pytest.raises(ValueError, match="no series"):
+        finalize_series(df, "vaccine_type", ["x"])
+
+
+def test_survey_and_reports(spark):
+    from musterline.operators import reports
+    from musterline.sources import survey
+
+    raw = spark.createDataFrame([("MMR", "Wisconsin", "Age", "24 Months", "2020", "90.0 ^", "205"), ("MMR", "Wisconsin", "Age", "24 Months", "2016-2019", "90", "5")], "vaccine string, geography string, dimension_type string, dimension string, birth_year string, estimate string, sample_size string")
+    got = survey.household_survey(raw, "Wisconsin", "child", "birth_year", "birth").collect()
+    assert [(r["year"], r["n"], r["p"], r["x"]) for r in got] == [(2020, 205.0, 0.9, 184.0)]
+    df = spark.createDataFrame([(1, 2020, "open", 1.0, "p", "1 Oak"), (1, 2021, "closed", 1.0, "p", "1 Oak"), (2, 2021, None, None, " ", "Oak")], "school_id int, year int, business_status string, lat double, place_id string, addr_clean string").withColumn("lon", F.col("lat"))
+    assert [r["school_id"] for r in reports.closed_schools(df).collect()] == [1]
+    assert [tuple(r)[-3:] for r in reports.missing_places(df).collect()] == [(True, True, True)]
+    u = spark.createDataFrame([(0.99, None, None, "e", "1 Oak"), (0.9, None, None, None, "1 Oak"), (0.1, 0.9, "closed", "e", "1 Oak"), (None, None, None, "h", "1"), (0.2, None, None, "e", None), (0.2, None, None, "e", "1 Oak")], "best_sim double, nces_sim double, nces_status string, level_code string, addr_clean string")
+    assert [r["explanation"] for r in reports.explained(u).collect()] == ["same name, other location", "likely a spelling variant", "closed school", "not an elementary school", "no usable address", "no similar school"]
