@@ -36,6 +36,11 @@ LEVELS = [
     (r"\bmiddle\b", "Middle"),
     (r"\bhigh school\b|\bsenior high\b|\bhigh\b(?!\s*road\b)|\bhs\b", "High"),
 ]
+LEVEL_WORDS = [
+    (r"middle/high|middle (and )?high|middlehigh|(elementary|elem)/middle|elementary (and )?middle", ""),
+    (r"\b(elementary|middle|high) school\b|\bhs\b|\bsenior high( school)?\b", ""),
+    (r"\b(elementary|lower|primary|middle)\b", ""), (r"\bhigh\s*$", ""),
+]
 TYPES = [
     (r"charter", "charter"), (r"non[- ]?public|oosle|private|independent|religious", "private"), (r"\bpublic\b|\blea\b|special", "public"),
 ]
@@ -72,6 +77,11 @@ def school_level(c: Column) -> Column:
     return first_match(squish(c), LEVELS)
 
 
+def without_level(c: Column) -> Column:
+    """A name without its level words."""
+    return squish(rewritten(F.lower(squish(c)), LEVEL_WORDS))
+
+
 def school_type(c: Column) -> Column:
     return first_match(F.nullif(F.lower(F.trim(c)), F.lit("")), TYPES)
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address, grades, similarity, text
-from ..operators import dqa, linkage, places, reports, rollups
-from . import finalize, model_tables
+from ..operators import audit, dqa, linkage, places, reports, rollups, rosters
+from ..sources import cleaners
+from . import costs, finalize, model_tables, standardize
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def durable(spark: SparkSession) -> None:
+    """Checkpoints go to the cluster's shared folder; to a temporary one only where it names none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="musterline-"))
+
+
 def school_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A school-year table made of line items: school_id, year, enrollment, current, med_exempt, rel_exempt."""
     q, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")
@@ -269,9 +276,7 @@ def fuzzy_block_match(spark, sf_dir):
 
 @query("fuzzy_cascade")
 def fuzzy_cascade(spark, sf_dir):
-    shared = spark.sparkContext
-    if shared.getCheckpointDir() is None:
-        shared.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="musterline-"))
+    durable(spark)
     passes = [
         linkage.Pass("same name", lambda a, b: linkage.exact(a, b, "name", ["county"], "id1", "id2")),
         linkage.Pass("near name", lambda a, b: linkage.fuzzy(a, b, "name", ["county"], "id1", "id2", 0.3, 0.15, 0.1)),
@@ -421,3 +426,61 @@ def call_summary(spark, sf_dir):
     calls = table(spark, sf_dir, "events").select(F.col("event_type").alias("api"), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("E"), (F.col("event_id") % 3).cast("string"))).alias("code"), F.lit(1).alias("requests"))
     kinds = {r[0]: 5.0 for r in calls.select("api").distinct().collect()}  # a handful of services
     return reports.call_summary(calls, kinds).withColumn("cost", F.round("cost", 6))
+
+
+_DELAYED = "SELECT *, CASE WHEN enrollment - current - med_exempt - rel_exempt < 0 THEN 0 ELSE enrollment - current - med_exempt - rel_exempt END AS delayed FROM sy"
+_AUDIT_SQL = {
+    "duplicates_conflicting": "false", "negative_values": "least(current, delayed, med_exempt, rel_exempt, enrollment) < 0", "exceeding_enrollment": "greatest(current, delayed, med_exempt, rel_exempt) > enrollment",
+    "coverage_outliers": "enrollment <> 0 AND (current * 1.0 / enrollment < 0 OR current * 1.0 / enrollment > 1.05)", "over_coverage": "current + delayed + med_exempt + rel_exempt > enrollment",
+    "enrollment_deviation": "me <> 0 AND abs(enrollment - me) / me > 0.5", "vaccination_deviation": "(mc <> 0 AND abs(current - mc) / mc > 0.5) OR (mc = 0 AND current <> 0)", "extreme_outliers": "enrollment > 10 * md",
+}
+
+
+@query("audit_summary", WITH_SY + f", d AS ({_DELAYED}), a AS (SELECT *, avg(enrollment) OVER w AS me, avg(current) OVER w AS mc, median(enrollment) OVER w AS md FROM d WINDOW w AS (PARTITION BY school_id)) "
+       + " UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER (WHERE {v}) AS issue_count, 'requires_review' AS action_type FROM a" for k, v in _AUDIT_SQL.items()))
+def audit_summary(spark, sf_dir):
+    room = F.col("enrollment") - F.col("current") - F.col("med_exempt") - F.col("rel_exempt")
+    df = school_years(spark, sf_dir).withColumn("delayed", F.when(room < 0, 0).otherwise(room))
+    return audit.run_checks(df).summary
+
+
+@query("county_slips", """WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS name, CASE WHEN o_custkey % 3 = 0 AND year(o_orderdate) >= 1997 THEN 'x' WHEN o_custkey % 3 = 1 AND o_orderpriority = '1-URGENT' THEN 'x' ELSE 'y' END AS county, year(o_orderdate) AS y FROM orders),
+t AS (SELECT name, county, count(*) AS n, list(DISTINCT y) AS years FROM r GROUP BY 1, 2), k AS (SELECT *, max(n) OVER (PARTITION BY name) AS top, row_number() OVER (PARTITION BY name ORDER BY n DESC, county) AS i FROM t)
+SELECT CAST(a.name AS BIGINT) AS id, a.county AS county_std, b.county AS corrected_county_std FROM k a JOIN k b ON a.name = b.name AND b.i = 1 AND a.n < a.top WHERE NOT list_has_any(a.years, b.years)""")
+def county_slips(spark, sf_dir):
+    k, y = F.col("o_custkey"), F.year("o_orderdate")
+    county = F.when((k % 3 == 0) & (y >= 1997), "x").when((k % 3 == 1) & (F.col("o_orderpriority") == "1-URGENT"), "x").otherwise("y")
+    rows = table(spark, sf_dir, "orders").select(k.cast("long").alias("id"), k.cast("string").alias("school_name_std"), county.alias("county_std"), y.cast("string").alias("year"))
+    schools = rows.groupBy("id", "school_name_std", "county_std").agg(F.count("*").alias("n_records"), F.collect_set("year").alias("years"))
+    return rosters.county_slips(schools, "id")
+
+
+@query("cost_estimate", """WITH c AS (SELECT 'geocoding' AS api, count(DISTINCT user_id) * 500 AS n, 4000 AS prior, 5.0 AS usd, 10000 AS free, 0.86 AS f FROM events UNION ALL SELECT 'place_details_pro', count(DISTINCT event_type) * 1500, 0, 17.0, 5000, 0.46 FROM events),
+e AS (SELECT *, round_even(CAST(n * f AS DOUBLE), 0) AS x FROM c)
+SELECT api, CAST(n AS BIGINT) AS requests_ceiling, CAST(x AS BIGINT) AS requests_expected, CAST(prior AS BIGINT) AS requests_before, CAST(round(x * usd / 1000, 2) AS DOUBLE) AS usd_list_expected, CAST(round(n * usd / 1000, 2) AS DOUBLE) AS usd_list_ceiling,
+CAST(round((greatest(prior + x - free, 0) - greatest(prior - free, 0)) * usd / 1000, 2) AS DOUBLE) AS usd_after_free_expected, CAST(round((greatest(prior + n - free, 0) - greatest(prior - free, 0)) * usd / 1000, 2) AS DOUBLE) AS usd_after_free_ceiling FROM e""")
+def cost_estimate(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    asked = lambda api, key, times: costs.would_ask(events, [key]).select(F.lit(api).alias("api"), (F.col("requests") * times).alias("requests"))
+    prior = spark.createDataFrame([("geocoding", 4000)], "api string, prior long")
+    return costs.estimate(asked("geocoding", "user_id", 500).union(asked("place_details_pro", "event_type", 1500)), prior)
+
+
+def rosters_of(spark, sf_dir):
+    """Records, a directory and a department's list, made of parts: three spellings of the same schools."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    school = F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" Elementary School"))
+    shared = [F.col("p_brand").alias("county"), F.concat(F.col("p_size").cast("string"), F.lit(" Oak Street")).alias("street"), F.lit("public").alias("school_type")]
+    typo = F.concat(F.substring(school, 1, 4), F.lit("x"), F.substring(school, 5, 200))
+    years = part.where("p_partkey % 2 = 0").withColumn("year_source", F.explode(F.array(F.lit("2020"), F.lit("2021"))))
+    records = years.select((F.col("p_partkey") * 10 + F.col("year_source").cast("int") % 10).alias("vacc_data_id"), F.when(F.col("p_partkey") % 4 == 0, typo).otherwise(school).alias("school_name"), "year_source", *shared)
+    listed = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("id"), school.alias("name"), F.lit("p,e").alias("levelCode"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit("53000").alias("zip"), *shared)
+    directory = cleaners.directory(listed.withColumnsRenamed({"street": "street1", "school_type": "schoolType"}), po_box="keep").withColumnRenamed("id", "data1_id")
+    department = cleaners.department(part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("data2_id"), school.alias("school_name"), F.lit("K-5").alias("grades"), *shared))
+    return cleaners.kindergarten(records), directory, department
+
+
+@query("standardize_schools")
+def standardize_schools(spark, sf_dir):
+    durable(spark)
+    return standardize.standardize(*rosters_of(spark, sf_dir)).joined.select("vacc_data_id", "year_source", "school_name_std", "county_std", "school_id", "match_method", "level_code_master")
