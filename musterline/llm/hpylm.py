@@ -1,15 +1,15 @@
-"""Language-model scoring with a hierarchical Pitman-Yor model.
+"""Language-model scoring with a hierarchical Pitman-Yor model of word bigrams.
 
-A word's context is the trigger word seen last before it in the text (or none yet): the ``TRIGGERS`` most frequent short words
-of the training text, which is where a text shows its language and register. Each context is a Chinese restaurant
-whose customers are words; all context restaurants share one parent, whose customers are their tables, over a uniform
-base of all training words and one unknown. Seating is sampled by Gibbs sweeps over the distributed vocabulary: a row
-holds one word with its customers in every context, so a sweep needs nothing but the table totals of the sweep before.
+A word's context is the word before it (or the start of the text). Each context is a Chinese restaurant whose customers
+are the words that follow; all context restaurants share one parent, whose customers are their tables, over a uniform
+base of all training words and one unknown. Seating is sampled by Gibbs sweeps over the distributed counts: a sweep
+needs the tables of each context, the parent's probability of each word and the parent's totals of the sweep before. A
+pair seen once has one table in every sweep, so only the others are seated anew.
 A word's probability is the average of the predictive probabilities of the kept samples, and a text's score is
-the sum of the log10 probabilities of its words and its end.
+the sum of the log10 probabilities of its words and its end; after an unseen word it is the parent's.
 
-Counts come from all training text. Documents meet the vocabulary through hash buckets: a bucket asks once for each
-of its distinct words, so that a frequent word costs one row per bucket.
+Counts come from all training text. Documents meet pairs and words through hash buckets: a bucket asks once for each
+of its distinct pairs and words, so that a frequent one costs one row per bucket.
 """
 
 from __future__ import annotations
@@ -18,15 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bucketed, gathered, mixed, pieces, release, rolled, row_offsets, saved, spans, text_buffers, word_hashes
+from .shared import bucketed, gathered, mixed, pieces, release, row_offsets, saved, spans, text_buffers, word_hashes
 
-TRIGGERS = 8
-SHORT = 4  # bytes of the longest trigger word
 BURN_IN = 1
 SAMPLES = 2
 CONCENTRATION = 1.0
 BUCKET_MB = 8.0
 PIECE = 4 << 20  # bytes of text counted at once
+ALONE = b" "  # stands for the context where a word itself is asked for; no word holds a space
 
 
 def uniforms(seeds: np.ndarray, step: int) -> np.ndarray:
@@ -127,28 +126,26 @@ class Words:
         self.starts, self.ends, self.raw = np.append(starts[first], 0), np.append(ends[first], 0), raw
         self.keys, self.n = keys, len(keys) + 1
 
-    def contexts(self, triggers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Context of every word and of every text's end: 0 before the first trigger, else one more than its place."""
-        hashes = np.append(self.keys, np.uint64(0))
-        order = np.argsort(triggers)
-        at = np.minimum(np.searchsorted(triggers[order], hashes), max(0, len(order) - 1))
-        of = np.where(triggers[order][at] == hashes, order[at], -1) if len(order) else np.full(len(hashes), -1)
-        of[-1] = -1
-        mark = of[self.index]
-        last = np.maximum.accumulate(np.where(mark >= 0, np.arange(len(mark)), -1)) if len(mark) else mark
-        first = np.searchsorted(self.rows, np.arange(len(self.offsets)))
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Context and word of every distinct pair, and pair and row of every word and text's end; the start is the empty word."""
+        none, size = self.n - 1, len(self.offsets) - 1
+        first = np.searchsorted(self.rows, np.arange(size + 1))
+        padded = np.append(none, self.index)  # the word before each place
+        before = padded[:-1].copy()
+        full = first[1:] > first[:-1]
+        before[first[:-1][full]] = none
+        last = np.where(full, padded[first[1:]], none)
+        code = np.concatenate([before, last]) * self.n + np.concatenate([self.index, np.full(size, none)])
+        pairs, of = np.unique(code, return_inverse=True)
+        return pairs // self.n, pairs % self.n, of, np.concatenate([self.rows, np.arange(size)])
 
-        def seen(upto: np.ndarray, start: np.ndarray) -> np.ndarray:
-            place = np.where(upto > 0, last[np.maximum(upto - 1, 0)], -1) if len(last) else np.full(len(upto), -1)
-            return np.where(place >= start, mark[np.maximum(place, 0)] + 1, 0) if len(mark) else np.zeros(len(upto), np.int64)
+    def words(self, which=slice(None)):
+        import pyarrow as pa
 
-        return seen(np.arange(len(mark)), first[self.rows]), seen(first[1:], first[:-1])
+        return gathered(self.raw, self.starts[which], self.ends[which]).cast(pa.binary())
 
-    def words(self):
-        return gathered(self.raw, self.starts, self.ends)
 
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5, samples: int = SAMPLES, burn_in: int = BURN_IN, triggers: int = TRIGGERS) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5, samples: int = SAMPLES, burn_in: int = BURN_IN) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows whose crc32(id as text) mod ``folds`` is not ``fold``. Tokens are the words, A-Z lower-cased, and
@@ -162,121 +159,114 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     held = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == fold
     source = docs.select(F.col(id_col).cast("long").alias("id"), held.alias("held"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    k = triggers + 1
-    columns = [f"n{i}" for i in range(k)]
 
-    def parts(batches):
+    def count(batches):
         for batch in batches:
             text, train = batch.column(1), ~batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
             for low, high in pieces(row_offsets(text), PIECE):
                 release()
-                yield Words(text.slice(low, high - low)), train[low:high]
-
-    def short(batches):
-        for w, learned in parts(batches):
-            n = np.bincount(w.index, weights=learned[w.rows], minlength=w.n).astype(np.int64)
-            keep = np.flatnonzero((w.ends - w.starts <= SHORT) & (n > 0))
-            yield pa.RecordBatch.from_arrays([gathered(w.raw, w.starts[keep], w.ends[keep]).cast(pa.binary()), pa.array(n[keep])], names=["word", "n"])
+                w, learned = Words(text.slice(low, high - low)), train[low:high]
+                context, word, of, at = w.bigrams()
+                n = np.bincount(of, weights=learned[at], minlength=len(context)).astype(np.int64)
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([w.words(context[some]), w.words(word[some]), pa.array(n[some])], names=["ctx", "word", "n"])
+
+    counted = source.select("held", "text").mapInArrow(count, "ctx binary, word binary, n long")
+    seen = saved(counted.groupBy("ctx", "word").agg(F.sum("n").alias("n")))
+    once = F.sum((F.col("n") == 1).cast("long"))
+    follow = seen.groupBy("ctx").agg(F.count("*").alias("t"), once.alias("t1"))
+    precede = seen.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("c"), once.alias("c1"))
+    # every training word is followed by a word or the end, so n is also its number of customers as a context
+    none = F.expr("cast(array() as array<float>)")
+    state = saved(precede.join(follow, precede.word == follow.ctx).select("word", "n", "t1", "c1", "t", "c", F.lit(1).cast("long").alias("up"), none.alias("b"), none.alias("p")))
 
-    frequent = source.select("held", "text").mapInArrow(short, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    chosen = [bytes(r["word"]) for r in frequent.orderBy(F.desc("n"), "word").limit(triggers).collect()]
-    raw, ends = np.frombuffer(b"".join(chosen), np.uint8), np.cumsum([len(w) for w in chosen], dtype=np.int64)
-    marks = word_hashes(raw, np.append(0, ends[:-1]), ends) if chosen else np.zeros(0, np.uint64)
-
-    def count(batches):
-        for w, learned in parts(batches):
-            own, end = w.contexts(marks)
-            n = np.bincount(w.index * k + own, weights=learned[w.rows], minlength=w.n * k).astype(np.int64).reshape(w.n, k)
-            n[-1] += np.bincount(end, weights=learned, minlength=k).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([w.words().cast(pa.binary()), *map(pa.array, n.T.copy())], names=["word", *columns])
-
-    counted = source.select("held", "text").mapInArrow(count, "word binary, " + ", ".join(f"{c} long" for c in columns))
-    vocabulary = saved(counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]))
-
-    def rows(batches):
-        for batch in batches:
-            raw, offsets = text_buffers(batch.column(0))
-            seeds = rolled(raw.astype(np.uint64) + np.uint64(1), offsets[:-1], offsets[1:])
-            yield batch, np.column_stack([batch.column(1 + i).to_numpy() for i in range(k)]), seeds
-
-    def gathered_totals(work) -> dict[int, int]:
-        """Sums by name over the vocabulary of the arrays that ``work`` gives for each batch."""
-
-        def summed(batches):
-            total = 0
-            for _, n, seeds in rows(batches):
-                total = total + work(n, seeds)
-            if not np.isscalar(total):
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(np.asarray(total, np.int64))], names=["i", "n"])
-
-        got = vocabulary.mapInArrow(summed, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-        return {r["i"]: r["n"] for r in got}
-
-    def census(n, _):
-        c = (n > 0).sum(axis=1)
-        return np.concatenate([n.sum(axis=0), [(c > 0).sum(), (n == 1).sum(), (n == 2).sum(), (c == 1).sum(), (c == 2).sum()]])
-
-    found = gathered_totals(census)
-    seating = Seating(k)
-    seating.customers = np.array([found.get(i, 0) for i in range(k)], float)
-    total, seating.types = int(seating.customers.sum()), found.get(k, 0)
-    seating.own, seating.parent = (discount_of(found.get(i, 0), found.get(i + 1, 0)) for i in (k + 1, k + 3))
-    for sweep in range(burn_in + samples):
-
-        def tables(n, seeds, sweep=sweep):
-            t, c, up = seating.tables(n, seeds, sweep)
-            return np.concatenate([t.sum(axis=0), [c.sum(), up.sum()]])
-
-        got = gathered_totals(tables)
-        seating.totals.append((np.array([got.get(i, 0) for i in range(k)], float), float(got.get(k, 0)), float(got.get(k + 1, 0))))
     kept = range(burn_in, burn_in + samples)
+    seating = Seating(0)
+    how_many = lambda c, v: F.coalesce(F.sum((F.col(c) == v).cast("long")), F.lit(0))
+    seating.own = discount_of(*seen.select(how_many("n", 1), how_many("n", 2)).first())
+    found = state.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types"), how_many("c", 1).alias("c1"), how_many("c", 2).alias("c2")).first()
+    total, seating.types, seating.parent = found["n"], found["types"], discount_of(found["c1"], found["c2"])
+    own, unknown = seating.own, []
+    gain = lambda t: F.col("n") - own * t
+    many = seen.where("n > 1").withColumn("gain", gain(F.lit(1)) if 0 in kept else F.lit(0.0))
+
+    def seats(batches):
+        for batch in batches:
+            n, opening, seeds = (batch.column(i).to_numpy() for i in (2, 4, 5))
+            t = seat(n, np.maximum(opening, 1e-12), own, seeds.view(np.uint64), sweep)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(t)], names=["ctx", "word", "n", "gain", "t"])
 
-    def price(batches):
-        for batch, n, seeds in rows(batches):
-            lp = np.log10(seating.probability(n, seeds, kept)).astype(np.float32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * k), pa.array(lp.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.sum(axis=1)), lists], names=["word", "n", "lp"])
+    def seats_above(batches):
+        for batch in batches:
+            c, seeds = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("c", "seed"))
+            up = seat(c, np.full(len(c), share), seating.parent, seeds.view(np.uint64), sweep)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(up)], names=[*batch.schema.names[:-1], "up"])
 
-    priced = vocabulary.mapInArrow(price, "word binary, n long, lp array<float>")
+    for sweep in range(burn_in + samples):
+        if sweep:
+            share = max((CONCENTRATION + seating.parent * tables) / (seating.types + 1), 1e-12)
+            rooms = state.select(F.col("word").alias("ctx"), (CONCENTRATION + own * F.col("t")).alias("room"))
+            asked = many.join(rooms, "ctx").join(state.select("word", p.alias("base")), "word")
+            seated = asked.select("ctx", "word", "n", "gain", (F.col("room") * F.col("base")).alias("opening"), F.xxhash64("ctx", "word").alias("seed"))
+            seated = saved(seated.mapInArrow(seats, "ctx binary, word binary, n long, gain double, t long"))
+            opened = lambda by, name: seated.groupBy(F.col(by).alias(f"of_{name}")).agg(F.sum("t").alias(name))
+            new = state.join(opened("ctx", "more_t"), F.col("word") == F.col("of_more_t"), "left").join(opened("word", "more_c"), F.col("word") == F.col("of_more_c"), "left")
+            new = new.select("word", "n", "t1", "c1", *[(F.col(f"{x}1") + F.coalesce(f"more_{x}", F.lit(0))).alias(x) for x in "tc"], "b", "p", F.xxhash64("word").alias("seed"))
+            state = new.mapInArrow(seats_above, "word binary, n long, t1 long, c1 long, t long, c long, b array<float>, p array<float>, up long")
+            state = saved(state)
+            many = seated.select("ctx", "word", "n", (F.col("gain") + gain(F.col("t"))).alias("gain") if sweep in kept else "gain")
+        customers, tables = (float(x or 0) for x in state.agg(F.sum("c"), F.sum("up")).first())
+        rest = (CONCENTRATION + seating.parent * tables) / (CONCENTRATION + customers) / (seating.types + 1)
+        p = F.greatest(F.col("c") - seating.parent * F.col("up"), F.lit(0.0)) / (CONCENTRATION + customers) + rest
+        if sweep in kept:
+            unknown.append(rest)
+            back = (CONCENTRATION + own * F.col("t")) / (CONCENTRATION + F.col("n")) / samples
+            state = state.withColumns({"b": F.concat("b", F.array(back.cast("float"))), "p": F.concat("p", F.array(p.cast("float")))})
+
+    word = F.struct("n", "b", "p")
+    nothing = F.lit(None).cast("struct<n:bigint,b:array<float>,p:array<float>>")
+    pairs = seen.where("n = 1").select("ctx", "word", F.lit(1 - own).cast("float").alias("gain"), nothing.alias("w"))
+    pairs = pairs.union(many.select("ctx", "word", (F.col("gain") / samples).cast("float"), nothing))
+    priced = pairs.union(state.select(F.lit(ALONE), "word", F.lit(None).cast("float"), word))
     grouped = bucketed(source, "id", "text", BUCKET_MB)
 
-    def asked_of(w: Words):
-        own, end = w.contexts(marks)
-        asked = np.zeros((w.n, k), bool)
-        asked[w.index, own] = True
-        asked[-1, end] = True
-        return own, end, asked
-
     def ask(table):
         release()
         w = Words(table.column("text"))
-        mask = (asked_of(w)[2] << np.arange(k)).sum(axis=1).astype(np.int32)
-        bucket = np.full(w.n, table.column("bucket")[0].as_py(), np.int32)
-        return pa.table({"bucket": bucket, "i": np.arange(w.n, dtype=np.int32), "mask": mask, "word": w.words().cast(pa.binary())})
+        context, word, _, _ = w.bigrams()
+        bucket = np.full(len(word) + w.n, table.column("bucket")[0].as_py(), np.int32)
+        i = np.append(np.arange(len(word)), -1 - np.arange(w.n)).astype(np.int32)  # pairs upwards, words downwards
+        return pa.table({
+            "bucket": bucket, "i": i, "ctx": pa.chunked_array([w.words(context), pa.array([ALONE] * w.n, pa.binary())]),
+            "word": pa.chunked_array([w.words(word), w.words()]),
+        })
 
     def add_up(table, prices):
         if not table.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known")}, **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
         release()
         w, size = Words(table.column("text")), table.num_rows
-        own, end, asked = asked_of(w)
-        prices = prices.sort_by("i")
-        at = prices["i"].to_numpy()
-        n, lp = np.zeros(w.n), np.zeros((w.n, k))
-        n[at] = prices["n"].to_numpy()
-        place, context = np.nonzero(asked[at])
-        lp[at[place], context] = prices["lp"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        context, word, of, at = w.bigrams()
+        i = prices["i"].to_numpy()
+        gain, alone = np.zeros(len(word)), prices.filter(pa.array(i < 0))
+        gain[i[i >= 0]] = prices["gain"].to_numpy()[i >= 0]
+        found = -1 - alone["i"].to_numpy()
+        n, back, up = np.zeros(w.n), np.full((w.n, samples), 1 / samples), np.tile(np.array(unknown), (w.n, 1))
+        if len(found):
+            fields = dict(zip(("n", "b", "p"), alone["w"].combine_chunks().flatten()))
+            n[found] = fields["n"].to_numpy()
+            for x, name in ((back, "b"), (up, "p")):
+                x[found] = fields[name].flatten().to_numpy(zero_copy_only=False).reshape(-1, samples)
+        lp = np.log10(gain / (CONCENTRATION + n[context]) + (back[context] * up[word]).sum(axis=1))
         base = np.log10((n + 0.5) / (total + 0.5 * (seating.types + 1)))
-        add = lambda x: np.bincount(w.rows, weights=x[w.index], minlength=size) + x[-1]
-        score = np.bincount(w.rows, weights=lp[w.index, own], minlength=size) + lp[-1, end]
+        add = lambda x: np.bincount(at, weights=x[of], minlength=size)
         return pa.table({
-            "doc_id": table["id"], "held_out": table["held"], "n_tokens": np.bincount(w.rows, minlength=size) + 1,
-            "n_known": add((n > 0).astype(np.float64)).round().astype(np.int64), "base_score": add(base), "score": score,
+            "doc_id": table["id"], "held_out": table["held"], "n_tokens": np.bincount(at, minlength=size),
+            "n_known": add((n > 0).astype(np.float64)[word]).round().astype(np.int64), "base_score": add(base[word]), "score": np.minimum(add(lp), 0),
         })
 
-    asked = grouped.groupBy("bucket").applyInArrow(ask, "bucket int, i int, mask int, word binary")
-    wanted = F.filter("lp", lambda x, i: F.get(F.array(*[F.col("mask").bitwiseAND(F.lit(1 << j)) != 0 for j in range(k)]), i))
-    answers = asked.join(priced, "word").select("bucket", "i", "n", wanted.alias("lp"))
+    asked = grouped.groupBy("bucket").applyInArrow(ask, "bucket int, i int, ctx binary, word binary")
+    answers = asked.join(priced, ["ctx", "word"]).select("bucket", "i", "gain", "w")
     scored = grouped.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
         add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )

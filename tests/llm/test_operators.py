@@ -274,6 +274,26 @@ def test_language_model(spark, odd, none):
     assert score_documents(none).count() == 0
 
 
+def test_scores_use_the_word_before(spark):
+    from musterline.llm.hpylm import score_documents
+
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    train = [i for i in range(200) if i not in held]
+    rows = [(i, "zebras graze Quietly" if i % 2 else "storks circle slowly") for i in train]
+    rows += [(held[0], "zebras graze quietly"), (held[1], "zebras circle quietly"), (held[2], "unseen graze unseen")]
+    score = {r["doc_id"]: (r["score"], r["base_score"]) for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert abs(score[held[0]][1] - score[held[1]][1]) < 0.1  # the same but for order
+    assert score[held[0]][0] > score[held[1]][0] + 2
+    one = [(train[0], "a b c"), (held[0], "b c x a"), (held[1], None)]  # every pair once, so no seating is drawn
+    got = {r["doc_id"]: r["score"] for r in score_documents(spark.createDataFrame(one, "doc_id long, text string")).collect()}
+    d = 0.95
+    base = lambda known: (known * (1 - d) + (1 + 4 * d) / 5) / 5
+    p = lambda follows, n, known=1: (follows * (1 - d) + (1 + n * d) * base(known)) / (1 + n)
+    assert math.isclose(got[held[0]], sum(map(math.log10, (p(0, 1), p(1, 1), p(0, 1, 0), p(0, 0), p(0, 1)))), rel_tol=1e-5)
+    assert math.isclose(got[held[1]], math.log10(p(0, 1)), rel_tol=1e-5)
+    assert math.isclose(got[train[0]], 4 * math.log10(p(1, 1)), rel_tol=1e-5)
+
+
 def test_model_probabilities_add_up():
     from musterline.llm.hpylm import Seating
 
