@@ -4,7 +4,9 @@ Inner product becomes a metric by one more coordinate: a vector x of a shard who
 sqrt(M^2 - |x|^2), a query is scaled to norm M and gets 0, and then a smaller distance is a larger product. Each
 shard's tree splits at the median distance to a vantage point; a subtree is skipped when the triangle inequality, with the
 current k-th distance multiplied by ``factor``, excludes it. Factor one is exact search, smaller factors prune more.
-Equal vectors of a shard are one leaf entry with the ids it may have to return.
+Equal vectors of a shard are one leaf entry with the ids it may have to return. A shard has one tree per binary order of
+norms, so that M is near the norms of its points. The tree first finds enough vectors to bound the k-th product from below,
+then every vector whose distance is within that bound plus rounding; ranks come from exact products of all of them.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
 LEAF = 512
 FACTOR = 1.0
-MARGIN = 12  # more candidates than asked for, so that rounding in the tree cannot decide a tie
+PAIRS = 1 << 20  # most pairs of a query and a point held at once
 
 
 class Tree:
@@ -26,6 +28,8 @@ class Tree:
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
         self.points, self.leaf = points, leaf
         self.squares = np.einsum("ij,ij->i", points, points)
+        size = 2.0**-52 * 16 * (points.shape[1] + 4) * float(self.squares.max(initial=0))
+        self.rounding = size  # more than a squared distance can be off
         self.root = self._build(np.arange(len(points)))
 
     def _build(self, rows: np.ndarray):
@@ -74,6 +78,29 @@ class Tree:
         visit(self.root, np.arange(len(queries)))
         return best, found
 
+    def within(self, queries: np.ndarray, squared: np.ndarray, factor: float = FACTOR) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and rows of all points whose squared distance is at most ``squared`` of the query, or may be but for rounding."""
+        limit = squared + self.rounding
+        reach = np.sqrt(np.maximum(limit, 0)) * factor + 3 * np.sqrt(self.rounding)
+        asked, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def visit(node, at: np.ndarray) -> None:
+            if not len(at):
+                return
+            if isinstance(node, np.ndarray):
+                squares = self._between(queries[at], node) ** 2
+                i, j = np.nonzero(squares <= (limit[at] + self.rounding)[:, None])
+                asked.append(at[i])
+                rows.append(node[j])
+                return
+            vantage, middle, inner, outer = node
+            distance = self._between(queries[at], np.array([vantage]))[:, 0]
+            visit(inner, at[distance - middle <= reach[at]])
+            visit(outer, at[middle - distance <= reach[at]])
+
+        visit(self.root, np.arange(len(queries)))
+        return np.concatenate(asked), np.concatenate(rows)
+
 
 def matrix(column) -> np.ndarray:
     """A list column without nulls, of one length, as doubles."""
@@ -82,46 +109,91 @@ def matrix(column) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products row by row, added in order, so that equal vectors have equal products."""
-    total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total += a[:, j] * b[:, j]
+def products(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows i of a and rows j of b, added in order, so that equal vectors have equal products."""
+    total = np.zeros(len(i))
+    for x in range(a.shape[1]):
+        total += a[i, x] * b[j, x]
     return total
 
 
+def norms_of(rows: np.ndarray) -> np.ndarray:
+    """Norms, without overflow of squares."""
+    top = np.abs(rows).max(axis=1)
+    return top * np.sqrt(((rows / top[:, None]) ** 2).sum(axis=1))
+
+
 def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
     """(query_id, vec_id, score) of each query's k nearest in one shard, its own id left out."""
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
     _, first, of = np.unique(vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel(), return_index=True, return_inverse=True)
-    by = np.argsort(of, kind="stable")  # ids of a class stay ascending
-    start = np.searchsorted(of[by], np.arange(len(first) + 1))
+    by, ids_of = np.unique(np.column_stack([of, ids]), axis=0).T  # distinct ids of each class, ascending
+    start = np.searchsorted(by, np.arange(len(first) + 1))
     points = vectors[first]
-    norms = np.sqrt((points**2).sum(axis=1))
-    top = norms.max()
-    tree = Tree(np.column_stack([points, np.sqrt(np.maximum(top**2 - norms**2, 0))]))
-    scaled = queries * (top / np.sqrt((queries**2).sum(axis=1)))[:, None]
-    want = k + 1 + MARGIN
-    _, rows = tree.search(np.column_stack([scaled, np.zeros(len(queries))]), want, factor)
-    q, c = np.nonzero(rows >= 0)
-    c = rows[q, c]
-    score = products(queries[q], points[c])
+    norms, lengths = norms_of(points), norms_of(queries)
+    trees = []  # the power of two that scales a tree's points, its points and the tree
+    order = np.frexp(norms)[1]
+    for power in np.unique(order):
+        rows = np.flatnonzero(order == power)
+        own, norm = np.ldexp(points[rows], -power), np.ldexp(norms[rows], -power)
+        top = norm.max()
+        trees.append((power, rows, top, Tree(np.column_stack([own, np.sqrt(np.maximum(top**2 - norm**2, 0))]))))
+    unit = np.column_stack([queries / lengths[:, None], np.zeros(len(queries))])
+    want = (k + 1) * int(np.unique(ids_of, return_counts=True)[1].max())  # so many vectors hold k other ids
+    parts = []
+    step = max(1, PAIRS // len(points))
+    for low in range(0, len(queries), step):
+        at = np.arange(low, min(low + step, len(queries)))
+        seen = np.full((len(at), want), -np.inf)
+        for _, rows, top, tree in trees:
+            _, found = tree.search(unit[at] * top, min(want, len(rows)), factor)
+            q, c = np.nonzero(found >= 0)
+            score = np.full(found.shape, -np.inf)
+            score[q, c] = products(queries, at[q], points, rows[found[q, c]])
+            seen = -np.partition(-np.concatenate([seen, score], axis=1), want - 1, axis=1)[:, :want]
+        least = seen.min(axis=1)  # no smaller product can be among the k
+        for power, rows, top, tree in trees:
+            with np.errstate(invalid="ignore"):
+                squared = 2 * top * (top - np.ldexp(least / lengths[at], -power))
+            q, c = tree.within(unit[at] * top, np.where(np.isfinite(squared), squared, np.inf), factor)
+            c = rows[c]
+            score = products(queries, at[q], points, c)
+            fits = score >= least[q]
+            parts.append(best_of(at[q[fits]], c[fits], score[fits], ids_of, start, query_ids, k))
+    q, found, score = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    q, found, score = ranked(q, found, score, k)
+    return query_ids[q], found, score
+
+
+def best_of(q, c, score, ids, start, query_ids, k: int):
+    """The k best of (query, id, score) among the classes ``c`` of equal vectors, the query's own id left out."""
     size = np.minimum(start[c + 1] - start[c], k + 1)
-    each = np.repeat(np.arange(len(q)), size)
-    place = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
-    found = ids[by[start[c[each]] + place]]
-    q, score = q[each], score[each]
-    other = found != query_ids[q]
-    q, score, found = q[other], score[other], found[other]
+    out = [np.zeros(0, np.int64)], [np.zeros(0, ids.dtype)], [np.zeros(0)]
+    ends = np.cumsum(size)
+    low = 0
+    while low < len(q):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + 4 * PAIRS, side="right")))
+        n = size[low:high]
+        each = low + np.repeat(np.arange(high - low), n)
+        place = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+        found = ids[start[c[each]] + place]
+        other = found != query_ids[q[each]]
+        for x, y in zip(out, ranked(q[each][other], found[other], score[each][other], k)):
+            x.append(y)
+        low = high
+    return tuple(np.concatenate(x) for x in out)
+
+
+def ranked(q, found, score, k: int):
+    """The k rows of each query by score, then id; an id that stands twice with the same score counts once."""
     order = np.lexsort((found, -score, q))
-    q, score, found = q[order], score[order], found[order]
-    new = np.ones(len(q), bool)  # an id that stands twice with the same vector counts once
-    new[1:] = (q[1:] != q[:-1]) | (found[1:] != found[:-1])
-    q, score, found = q[new], score[new], found[new]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    keep = rank < k
-    return query_ids[q[keep]], found[keep], score[keep]
+    q, found, score = q[order], found[order], score[order]
+    new = np.ones(len(q), bool)
+    new[1:] = (q[1:] != q[:-1]) | (found[1:] != found[:-1]) | (score[1:] != score[:-1])
+    q, found, score = q[new], found[new], score[new]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], found[keep], score[keep]
 
 
 def nearest(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", query_mod: int = 20, factor: float = FACTOR) -> DataFrame:

@@ -342,6 +342,25 @@ def test_nearest(spark, factor, least):
     assert nearest(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("long", [None, 1e18, 1e38])
+def test_nearest_of_ties_and_of_very_long_vectors(spark, long):
+    from musterline.llm.vptree import nearest
+
+    if long is None:
+        vectors = np.eye(100)[np.random.default_rng(6).permutation(100)]
+    else:
+        vectors = np.random.default_rng(5).normal(size=(2000, 8)).astype(np.float32).astype(np.float64)
+        vectors[1999] *= long
+    got = {}
+    for r in nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for q in range(0, len(vectors), 20):
+        score = np.zeros(len(vectors))
+        for j in range(vectors.shape[1]):
+            score += vectors[q, j] * vectors[:, j]
+        assert got[q] == [int(i) for i in np.lexsort((np.arange(len(score)), -score)) if i != q][:20]
+
+
 def brute_repeats(rows, window=20):
     seen, out = set(), {}
     for i, text in sorted({(r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None}, key=lambda x: x[0]):
