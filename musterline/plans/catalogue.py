@@ -472,7 +472,7 @@ def rosters_of(spark, sf_dir):
     school = F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" Elementary School"))
     shared = [F.col("p_brand").alias("county"), F.concat(F.col("p_size").cast("string"), F.lit(" Oak Street")).alias("street"), F.lit("public").alias("school_type")]
     typo = F.concat(F.substring(school, 1, 4), F.lit("x"), F.substring(school, 5, 200))
-    years = part.where("p_partkey % 2 = 0").withColumn("year_source", F.explode(F.array(F.lit("2020"), F.lit("2021"))))
+    years = part.withColumn("year_source", F.explode(F.array(F.lit("2020"), F.lit("2021"))))
     records = years.select((F.col("p_partkey") * 10 + F.col("year_source").cast("int") % 10).alias("vacc_data_id"), F.when(F.col("p_partkey") % 4 == 0, typo).otherwise(school).alias("school_name"), "year_source", *shared)
     listed = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("id"), school.alias("name"), F.lit("p,e").alias("levelCode"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit("53000").alias("zip"), *shared)
     directory = cleaners.directory(listed.withColumnsRenamed({"street": "street1", "school_type": "schoolType"}), po_box="keep").withColumnRenamed("id", "data1_id")

@@ -113,3 +113,11 @@ def test_scaffold(tmp_path):
         scaffold.script("cleaning", "md", str(tmp_path))
     with pytest.raises(ValueError, match="two letters"):
         scaffold.folders(str(tmp_path), "Maryland")
+
+
+def test_every_part_is_a_record(spark):
+    from musterline.plans import catalogue
+
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    records, _, _ = catalogue.rosters_of(spark, "/root/testdata/sf0.001")
+    assert records.count() == 2 * parts.count() == records.select("vacc_data_id").distinct().count()
