@@ -7,6 +7,8 @@ by number, and one edge each way between a host and its parent domain. A host wh
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from .shared import saved, shared_dir, text_of
 #: The rules of the registered query: verdict and pattern (host, then path prefix).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
+TOLERANCE = 1e-6
+
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -51,19 +55,21 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str | None = "h
         to = F.explode(F.array_distinct(F.transform(F.regexp_extract_all(text_of(html_col), F.lit(LINK), 1), lower_ascii)))
         links = pages.select(own.alias("a"), to.alias("b")).where("a != '' and a != b").groupBy("a", "b").agg(F.count("*").cast("double").alias("w"))
         hosts = hosts.union(links.select("b")).distinct()
-    parent = F.regexp_extract("a", r"^[^.]+\.(.+)$", 1)
-    up = hosts.select("a", parent.alias("b"))
-    for _ in range(2):  # parents of parents, up to the third level of a name
-        up = up.union(up.where("b like '%.%'").select(F.col("b").alias("a"), F.regexp_extract("b", r"^[^.]+\.(.+)$", 1).alias("b")))
+    labels = F.split("a", r"\.", -1)
+    # the name from each label on and its parent, as long as no label is empty
+    chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.when(~F.array_contains(F.slice(labels, 1, i), ""), F.struct(
+        F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("a"), F.array_join(F.slice(labels, i + 1, F.size(labels)), ".").alias("b"))))
+    up = hosts.select(F.explode(chain).alias("e")).select("e.a", "e.b")
     up = up.where("b like '%.%'").distinct().withColumn("w", F.lit(1.0))
     edges = up.union(up.select("b", "a", "w"))
     return edges if links is None else edges.union(links).groupBy("a", "b").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = 0.85) -> DataFrame:
     """(host, trust, distrust) of edges (a, b, w) and seeds (host, good, bad).
 
-    Both walks run in one pass over one table of directed shares. Mass at a host without edges stays out of the walk.
+    Both walks run in one pass over one table of directed shares, until no host's trust or distrust changes by more than
+    ``tolerance`` of itself in a round. Mass at a host without edges stays out of the walk.
     """
     shared_dir(edges.sparkSession)
     edges = edges.where("w > 0")
@@ -76,16 +82,19 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: flo
     part = lambda c, total: F.coalesce(F.col(c) / F.lit(float(total or 1)), F.lit(0.0))
     hosts = flow.select(F.col("src").alias("host")).union(flow.select("dst")).union(seeds.select("host")).distinct()
     nodes = saved(hosts.join(seeds, "host", "left").select("host", part("good", sums["g"]).alias("st"), part("bad", sums["b"]).alias("sd")))
-    ranks = nodes.select("host", F.col("st").alias("trust"), F.col("sd").alias("distrust"))
-    for i in range(1, rounds + 1):
+    ranks = nodes.select("host", "st", "sd", F.col("st").alias("trust"), F.col("sd").alias("distrust"))
+    moved = lambda c: F.coalesce(F.abs(F.col(c) - F.col(f"old_{c}")) / F.nullif(F.col(c), F.lit(0.0)), F.lit(0.0))
+    for i in count(1):
         sent = flow.join(ranks, flow.src == ranks.host).groupBy("dst").agg(F.sum(F.col("t") * F.col("trust")).alias("t"), F.sum(F.col("d") * F.col("distrust")).alias("d"))
-        ranks = nodes.join(sent, nodes.host == sent.dst, "left").select(
-            "host", ((1 - damping) * F.col("st") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
+        ranks = ranks.join(sent, ranks.host == sent.dst, "left").select(
+            "host", "st", "sd", F.col("trust").alias("old_trust"), F.col("distrust").alias("old_distrust"), ((1 - damping) * F.col("st") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
             ((1 - damping) * F.col("sd") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
         )
-        if i % 4 == 0 or i == rounds:
+        if i % 4 == 0:
             ranks = ranks.checkpoint()
-    return ranks
+            if (ranks.agg(F.max(F.greatest(moved("trust"), moved("distrust")))).first()[0] or 0) <= tolerance:
+                return ranks.select("host", "trust", "distrust")
+        ranks = ranks.drop("old_trust", "old_distrust")
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", threshold: float = 1.0) -> DataFrame:
@@ -97,10 +106,10 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     own = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")).withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
-    count = lambda v: F.sum((F.col("found.verdict") == v).cast("double"))
-    seeds = saved(own.where("host != '' and found is not null").groupBy("host").agg(count("allow").alias("good"), count("block").alias("bad")))
+    tally = lambda v: F.sum((F.col("found.verdict") == v).cast("double"))
+    seeds = saved(own.where("host != '' and found is not null").groupBy("host").agg(tally("allow").alias("good"), tally("block").alias("bad")))
     ranks = propagate(saved(host_edges(pages, url_col, html_col)), seeds)
-    blocked = F.round("distrust", 12) > threshold * F.round("trust", 12)
+    blocked = F.col("distrust") > threshold * F.col("trust") * (1 + 10 * TOLERANCE)  # what the walks have left to move decides nothing
     verdicts = ranks.select(F.col("host").alias("of"), F.when(blocked, "block").otherwise("allow").alias("method"), "trust", "distrust")
     return own.join(verdicts, F.col("host") == F.col("of"), "left").select(
         "page_id", "host", "path", F.col("found.rule").alias("rule"),

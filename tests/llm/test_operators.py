@@ -86,6 +86,28 @@ def test_distrust_flows_to_those_who_link(spark):
     assert got["fan"]["distrust"] > got["fan"]["trust"] == 0 and got["friend"]["trust"] > got["friend"]["distrust"] == 0
 
 
+def test_far_and_faint_distrust_blocks(spark):
+    from musterline.llm.urltrust import judge, propagate
+
+    far = [(f"h{i}", f"h{i + 1}", 1.0) for i in range(20)]  # h0 links on to h20, the seed, twenty links away
+    seeds = [("h20", 0.0, 1.0), ("elsewhere", 1.0, 1e15)]
+    edges, seeds = spark.createDataFrame(far, "a string, b string, w double"), spark.createDataFrame(seeds, "host string, good double, bad double")
+    got = {r["host"]: r for r in propagate(edges, seeds).collect()}
+    for i in range(21):
+        assert math.isclose(got[f"h{i}"]["distrust"], 0.15 * 0.85 ** (20 - i) / (1e15 + 1), rel_tol=1e-9) and got[f"h{i}"]["trust"] == 0
+    pages = [(1, "http://e.com/x", ""), (2, "http://a.b.c.d.e.org/es/", ""), (3, "http://e.org/", ""), (4, "http://c.d.e.org/", "")]
+    got = {r["page_id"]: r["verdict"] for r in judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "allow", 2: "block", 3: "block", 4: "block"}
+
+
+def test_parents_of_long_names(spark):
+    from musterline.llm.urltrust import host_edges
+
+    edges = host_edges(spark.createDataFrame([("http://a.b.c.d.e.com/", None), ("http://x..y.z/", None)], "url string, html string")).collect()
+    up = {(".".join("abcde"[i:]) + ".com", ".".join("abcde"[i + 1 :]) + ".com") for i in range(4)} | {("x..y.z", ".y.z")}
+    assert {(r["a"], r["b"]) for r in edges} == up | {(b, a) for a, b in up}
+
+
 def brute_quality(text):
     text = text or ""
     w = text.encode().split()
