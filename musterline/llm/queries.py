@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatlog, mixing
+from . import chatlog, mixing, urltrust
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urltrust import judge
 
-    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +88,4 @@ QUERIES = {
     "op1_urls": op1_urls, "op2_quality": op2_quality, "op3_chats": op3_chats, "op4_langid": op4_langid, "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash, "op7_mixing": op7_mixing, "op8_hpylm": op8_hpylm, "op9_vptree": op9_vptree, "op10_substring": op10_substring,
 }
-ORACLE: dict[str, str] = {"op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op1_urls": urltrust.ORACLE, "op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE}

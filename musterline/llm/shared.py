@@ -5,6 +5,7 @@ Words everywhere are maximal runs of bytes other than space and the control byte
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,14 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 # ---- durable intermediates ------------------------------------------------------------------
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one where it is unset."""
+    """The folder all executors share (``spark.checkpoint.dir``); a temporary one where it is unset and the master is local."""
     context = spark.sparkContext
     named = context.getCheckpointDir()
     if named is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="musterline-")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = folder or tempfile.mkdtemp(prefix="musterline-")
         context.setCheckpointDir(folder)
         named = context.getCheckpointDir()
     return named

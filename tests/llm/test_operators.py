@@ -101,13 +101,44 @@ def test_far_and_faint_distrust_blocks(spark):
 
 
 def test_parents_of_long_names(spark):
-    from musterline.llm.urltrust import host_edges
+    from musterline.llm.urltrust import host_edges, host_links
 
-    edges = host_edges(spark.createDataFrame([("http://a.b.c.d.e.com/", None), ("http://x..y.z/", None)], "url string, html string")).collect()
+    edges = host_edges(host_links(spark.createDataFrame([("http://a.b.c.d.e.com/", None), ("http://x..y.z/", None)], "url string, html string"))).collect()
     up = {(".".join("abcde"[i:]) + ".com", ".".join("abcde"[i + 1 :]) + ".com") for i in range(4)} | {("x..y.z", ".y.z")}
     assert {(r["a"], r["b"]) for r in edges} == up | {(b, a) for a, b in up}
 
 
+def test_walk_against_a_solved_system(spark, monkeypatch):
+    from musterline.llm import urltrust
+
+    monkeypatch.setattr(urltrust, "SPLIT", 3)  # sources of four edges and more are split
+    rng, n = random.Random(11), 40
+    edges = {(f"h{a}", f"h{b}"): rng.randint(1, 5) for a, b in ((rng.randrange(n), min(rng.randrange(n), rng.randrange(n))) for _ in range(110)) if a != b}
+    seeds = {f"h{i}": (rng.randint(0, 3), rng.randint(0, 3)) for i in range(0, n, 5)}
+    names = sorted({x for e in edges for x in e} | set(seeds))
+    at, w = {x: i for i, x in enumerate(names)}, np.zeros((len(names), len(names)))
+    for (a, b), x in edges.items():
+        w[at[a], at[b]] = x
+    good, bad = (np.array([seeds.get(x, (0, 0))[k] for x in names], float) for k in (0, 1))
+    step = lambda m: np.divide(m, m.sum(axis=1, keepdims=True), out=np.zeros_like(m), where=m.sum(axis=1, keepdims=True) > 0).T
+    trust, distrust = (np.linalg.solve(np.eye(len(names)) - 0.85 * step(m), 0.15 * s / s.sum()) for m, s in ((w, good), (w.T, bad)))
+    rows = spark.createDataFrame([(a, b, float(x)) for (a, b), x in edges.items()], "a string, b string, w double")
+    got = {r["host"]: r for r in urltrust.propagate(rows, spark.createDataFrame([(h, float(g), float(b)) for h, (g, b) in seeds.items()], "host string, good double, bad double")).collect()}
+    assert set(got) == set(names)
+    for x, t, d in zip(names, trust, distrust):
+        assert 0.5 * t <= got[x]["trust"] + 1e-12 and got[x]["trust"] <= t + 1e-12 and got[x]["distrust"] <= d + 1e-12
+        assert (got[x]["distrust"] > got[x]["trust"]) == (d > t)
+
+
+def test_pages_with_repeats_and_long_html(spark):
+    from musterline.llm.urltrust import judge
+
+    long = '<a href="//far.test/1">' + "x" * 200_000 + '<a href="//spam.org/">'
+    rows = [(1, "http://a.test/", long), (1, "http://a.test/", long), (None, "http://spam.org/es/", None), (2, "http://" + "h" * 5000 + ".spam.org/", None)]
+    got = judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r["page_id"] or 0, r["verdict"]) for r in got) == [(0, "block"), (1, "block"), (1, "block"), (2, "block")]
+
+
 def brute_quality(text):
     text = text or ""
     w = text.encode().split()
