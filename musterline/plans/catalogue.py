@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def durable(spark: SparkSession) -> None:
-    """Checkpoints go to the cluster's shared folder; to a temporary one only where it names none."""
+    """Checkpoints go to the cluster's shared folder; to a temporary one only where it names none and the master is local."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="musterline-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="musterline-"))
 
 
 def school_years(spark: SparkSession, sf_dir: str) -> DataFrame:
