@@ -46,6 +46,22 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
+def maybe_among(df: DataFrame, key: Column, keys: DataFrame, name: str, bits: int = 1 << 26) -> DataFrame:
+    """``df`` with boolean ``name``: true wherever the long ``key`` is in the one column of ``keys``, and for few others.
+
+    The keys set bits of a map of at most ``bits`` bits, which is broadcast: eight megabytes however many keys there are.
+    Null keys are not among any.
+    """
+    spot = lambda k: F.pmod(k, F.lit(bits))
+    place = spot(F.col(keys.columns[0]))
+    maps = keys.select(F.bitmap_bucket_number(place).alias("__of"), F.bitmap_bit_position(place).alias("__bit")).groupBy("__of").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    found = df.withColumn("__spot", spot(key)).join(F.broadcast(maps), F.bitmap_bucket_number("__spot") == F.col("__of"), "left")
+    bit = F.bitmap_bit_position("__spot").cast("int")
+    byte = F.conv(F.hex(F.col("__map").substr((F.shiftright(bit, 3) + 1), F.lit(1))), 16, 10).cast("int")
+    one = F.call_function("shiftright", byte, bit.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1)) == 1
+    return found.withColumn(name, F.coalesce(one, F.lit(False))).drop("__spot", "__of", "__map")
+
+
 def text_of(column: str | Column) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

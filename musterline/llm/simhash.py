@@ -1,21 +1,24 @@
 """SimHash near-duplicate detection with multi-index hashing.
 
-A fingerprint bit is the majority of that bit over the XXH64 hashes (seed 42) of all word shingles of the text,
-after lower-casing A-Z. Fingerprints at most ``distance`` bits apart are linked, and documents that links
-connect form one component. No bucket is capped: inside each table bucket a star of links to one centre joins
-what it can first, and the exact join that follows only has to emit pairs that are still apart.
+A fingerprint bit is the majority of that bit over the XXH64 hashes of all word shingles of the text, after lower-casing
+A-Z; further words of a longer fingerprint come from further seeds. ``near_duplicates`` links fingerprints at most
+``distance`` bits apart; ``similar_documents`` takes longer fingerprints and links texts whose sets of shingles are as
+similar as asked. Documents that links connect form one component. No bucket is capped: inside each table bucket a
+star of links to one centre joins what it can first, and the exact join that follows only emits pairs that are still apart
+and leaves out buckets of one component.
 """
 
 from __future__ import annotations
 
 from functools import partial
 from itertools import accumulate
+from math import acos, ceil, comb, log2, pi
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, release, saved, text_of
+from .shared import components, maybe_among, release, saved, text_of
 
 SHINGLE = 4
 DISTANCE = 4
@@ -23,52 +26,96 @@ SEED = 42
 BITS = 64
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The fingerprint of one whole text; a text without words has zero."""
-    import xxhash
-
+def shingled(text: bytes, shingle: int) -> list[bytes]:
+    """All shingles of a text, repeats included; of fewer words the whole sequence, of none nothing."""
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
-    ends = list(accumulate(map(len, words)))
     if len(words) <= shingle:
-        parts = [joined]
-    else:
-        ends = [e + i for i, e in enumerate(ends)]
-        parts = [joined[s:e] for s, e in zip([0, *[x + 1 for x in ends]], ends[shingle - 1 :])]
-    digest, total, n = partial(xxhash.xxh64_digest, seed=SEED), np.zeros(BITS, np.int64), len(parts)
+        return [joined]
+    ends = [e + i for i, e in enumerate(accumulate(map(len, words)))]
+    return [joined[s:e] for s, e in zip([0, *[x + 1 for x in ends]], ends[shingle - 1 :])]
+
+
+def hashed(parts: list[bytes], seed: int) -> np.ndarray:
+    """Big-endian digests of the parts as rows of bytes."""
+    import xxhash
+
+    return np.frombuffer(b"".join(map(partial(xxhash.xxh64_digest, seed=seed), parts)), np.uint8).reshape(-1, 8)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The fingerprint of one whole text; a text without words has zero."""
+    parts = shingled(text, shingle)
+    return majority(parts, seed) if parts else 0
+
+
+def majority(parts: list[bytes], seed: int) -> int:
+    total, n = np.zeros(BITS, np.int64), len(parts)
     for low in range(0, n, 8192):
-        bits = np.unpackbits(np.frombuffer(b"".join(map(digest, parts[low : low + 8192])), np.uint8))
-        total += bits.reshape(-1, BITS).sum(axis=0, dtype=np.int32)
+        total += np.unpackbits(hashed(parts[low : low + 8192], seed), axis=1).sum(axis=0, dtype=np.int32)
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): one signed 64-bit fingerprint per row. Null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 0) -> DataFrame:
+    """(id, fp): a signed 64-bit fingerprint per row, or with ``words`` an array of so many and ``key``, a hash of the text.
+
+    Null text counts as empty.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    source = source.select("id", F.xxhash64("text", F.octet_length("text")).alias("key"), F.col("text").cast("binary").alias("t"))
 
     def work(batches):
         import pyarrow as pa
 
         for batch in batches:
-            values = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in batch.column(1)), np.uint64, len(batch))
+            rows = batch.num_rows
+            found = np.zeros((rows, max(1, words)), np.uint64)
+            for i, x in enumerate(batch.column(2)):
+                parts = shingled(x.as_py() or b"", shingle)
+                if parts:
+                    found[i] = [majority(parts, SEED + j) for j in range(max(1, words))]
             release()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["id", "fp"])
+            flat = pa.array(found.ravel().view(np.int64))
+            fp = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * words), flat) if words else flat
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], names=["id", "key", "fp"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).cast("binary").alias("t"))
-    return source.mapInArrow(work, "id long, fp long")
+    return source.mapInArrow(work, f"id long, key long, fp {'array<long>' if words else 'long'}")
 
 
-def segments(distance: int = DISTANCE) -> list[tuple[int, int, int]]:
-    """(lowest bit, width, radius) of three segments.
+def segments(n: int, distance: int = DISTANCE, bits: int = BITS) -> list[tuple[int, int, int]]:
+    """(lowest bit, width, radius) of the segments that find all pairs of ``n`` fingerprints within ``distance`` bits.
 
-    If three segments all differed by more than their radius, the whole would differ by more than ``distance``;
-    the radii are therefore as even as possible and add up to ``distance`` - 2.
+    If m segments all differed by more than their radius, the whole would differ by more than ``distance``; the radii
+    are therefore as even as possible and add up to ``distance`` - m + 1. Of all m, the one with the least work is taken:
+    keys of a fingerprint, and others met in its buckets, of which a corpus has more than random bits would.
     """
-    total = max(0, distance - 2)
-    radii = sorted((total // 3 + (i < total % 3) for i in range(3)), reverse=True)
-    widths = [22, 21, 21]
-    return [(sum(widths[:i]), widths[i], radii[i]) for i in range(3)]
+    best = None
+    for m in range(1, distance + 2):
+        radii = [(distance - m + 1) // m + (i < (distance - m + 1) % m) for i in range(m)]
+        widths = [bits // m + (i < bits % m) for i in range(m)]
+        balls = [sum(comb(w, r) for r in range(radius + 1)) for w, radius in zip(widths, radii)]
+        work = sum(balls) + 8 * n * sum(b / 2**w for b, w in zip(balls, widths))
+        if best is None or work < best[0]:
+            best = work, [(sum(widths[:i]), w, r) for i, (w, r) in enumerate(zip(widths, radii))]
+    return best[1]
+
+
+def share_of_bits(similarity: float) -> float:
+    """Expected share of differing bits of two sets of that Jaccard similarity: their angle over pi."""
+    return acos(2 * similarity / (1 + similarity)) / pi
+
+
+def long_segments(n: int, similarity: float, recall: float) -> list[tuple[int, int, int]]:
+    """Segments of radius one, as wide as suits ``n``, and so many that ``recall`` of the pairs of that similarity share one within its radius."""
+    width = max(12, min(28, ceil(log2(max(2, n))) - 2))
+    p = share_of_bits(similarity)
+    miss = 1 - (1 - p) ** width - width * p * (1 - p) ** (width - 1)
+    count = 1
+    while miss**count > 1 - recall:
+        count += 1
+    return [(i * width, width, 1) for i in range(count)]
 
 
 def ball(width: int, radius: int) -> list[int]:
@@ -79,36 +126,65 @@ def ball(width: int, radius: int) -> list[int]:
     return masks
 
 
-def keys(nodes: DataFrame, balls: bool, distance: int) -> DataFrame:
+def word(fp: str, i: int, single: bool):
+    return F.col(fp) if single else F.col(fp)[i]
+
+
+def cut(low: int, width: int, single: bool):
+    """Bits ``low`` .. ``low`` + ``width`` of a fingerprint, also across words."""
+    at, shift = divmod(low, BITS)
+    part = F.shiftrightunsigned(word("fp", at, single), shift)
+    if shift + width > BITS:
+        part = part.bitwiseOR(F.shiftleft(word("fp", at + 1, single), BITS - shift))
+    return part.bitwiseAND(F.lit((1 << width) - 1))
+
+
+def keys(nodes: DataFrame, balls: bool, parts: list[tuple[int, int, int]], single: bool) -> DataFrame:
     """One row per node, segment and (with ``balls``) mask of its Hamming ball; k holds segment and bits."""
     lists = []
-    for i, (low, width, radius) in enumerate(segments(distance)):
-        part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
+    for i, (low, width, radius) in enumerate(parts):
+        part = cut(low, width, single)
         masks = ball(width, radius) if balls else [0]
-        lists.append(F.array(*[part.bitwiseXOR(F.lit(m)).cast("long") + F.lit(i << 32) for m in masks]))
+        lists.append(F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m, part=part, i=i: part.bitwiseXOR(m) + F.lit(i << 32)) if len(masks) > 64 else F.array(*[part.bitwiseXOR(F.lit(m)).cast("long") + F.lit(i << 32) for m in masks]))
     return nodes.withColumn("k", F.explode(F.concat(*lists)))
 
 
-def apart(x: str, y: str):
-    return F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
+def apart(x: str, y: str, words: int):
+    """Differing bits."""
+    return sum((F.bit_count(word(x, i, not words).bitwiseXOR(word(y, i, not words))) for i in range(1, max(1, words))), F.bit_count(word(x, 0, not words).bitwiseXOR(word(y, 0, not words))))
 
 
-def linked(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(fp, root) for every distinct fingerprint that has a link; root is the smallest fingerprint of its component."""
+def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None) -> DataFrame:
+    """(fp, root) for every distinct fingerprint; root is the smallest fingerprint of its component.
+
+    ``check`` takes pairs of fingerprints (p, q) and leaves those that are linked.
+    """
     nodes = saved(prints.groupBy("fp").agg(F.count("*").alias("n")))
-    table = keys(nodes, False, distance)
-    centre = table.groupBy("k").agg(F.max(F.struct("n", "fp")).alias("c")).select("k", F.col("c.fp").alias("b"))
-    stars = table.join(centre, "k").where((F.col("fp") != F.col("b")) & (apart("fp", "b") <= distance))
-    first = components(stars.select(F.col("fp").alias("a"), "b").distinct())
+    parts = parts or segments(nodes.count(), distance)
+    check, single = check or (lambda pairs: pairs), not words
+    table = keys(nodes, False, parts, single)
+    centre = table.groupBy("k").agg(F.max(F.struct("n", "fp")).alias("c")).select("k", F.col("c.fp").alias("q"))
+    stars = table.select("k", F.col("fp").alias("p")).join(centre, "k").where((F.col("p") != F.col("q")) & (apart("p", "q", words) <= distance))
+    first = components(check(stars.select("p", "q").distinct()), "p", "q")
     named = saved(nodes.join(first, nodes.fp == first.node, "left").select("fp", F.coalesce("root", "fp").alias("c")))
-    left = keys(named, True, distance).select("k", F.col("fp").alias("p"), F.col("c").alias("a"))
-    right = keys(named, False, distance).select(F.col("k").alias("k2"), F.col("fp").alias("q"), F.col("c").alias("b"))
+    left = keys(named, True, parts, single).select("k", F.col("fp").alias("p"), F.col("c").alias("a"))
+    right = keys(named, False, parts, single).select(F.col("k").alias("k2"), F.col("fp").alias("q"), F.col("c").alias("b"))
+    reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
+    left = left.join(reach, F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
     # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough
-    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart("p", "q") <= distance))
+    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart("p", "q", words) <= distance))
+    rest = check(rest.select("p", "q", "a", "b").distinct()) if words else rest
     second = components(rest.select("a", "b").distinct())
     return named.join(second, named.c == second.node, "left").select("fp", F.coalesce("root", "c").alias("root"))
 
 
+def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """``prints`` with component_id, the smallest id of the component."""
+    members = saved(prints.groupBy("fp").agg(F.min("id").alias("low")).join(roots, "fp"))
+    smallest = saved(members.groupBy("root").agg(F.min("low").alias("component_id")))  # written, so that a large component's join may be split
+    return prints.join(members.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (signed long), fingerprint (16 hex digits), component_id.
 
@@ -117,11 +193,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows with a null id take part and get their component's smallest id (null if it has none). An empty
     table gives no rows; other columns of ``docs`` are not read.
     """
-    prints = saved(fingerprints(docs, id_col, text_col, shingle))
-    roots = linked(prints, distance)
-    members = prints.groupBy("fp").agg(F.min("id").alias("low")).join(roots, "fp")
-    smallest = members.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = members.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return prints.join(found, "fp").select(
+    prints = saved(fingerprints(docs, id_col, text_col, shingle).select("id", "fp"))
+    return grouped(prints, linked(prints, distance)).select(
         F.col("id").alias("doc_id"), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95) -> DataFrame:
+    """One row per row of ``docs``: doc_id, component_id.
+
+    Links are pairs of texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least ``similarity``,
+    compared as 64-bit hashes. Candidates share a segment of long fingerprints but for one bit; the segments are so many that
+    ``recall`` of the pairs right at ``similarity``, and more of those above, become candidates, at every size of the table.
+    Texts of one fingerprint are one. Nulls, repeats and empty tables are as in ``near_duplicates``.
+    """
+    parts = long_segments(docs.count(), similarity, recall)
+    bits = sum(w for _, w, _ in parts)
+    words, p = ceil(bits / BITS), share_of_bits(similarity)
+    distance = ceil(BITS * words * p + 3 * (BITS * words * p * (1 - p)) ** 0.5)
+    prints = saved(fingerprints(docs, id_col, text_col, shingle, words))
+    keyed = saved(prints.groupBy("fp").agg(F.min("key").alias("key")))
+
+    def hashes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [np.unique(hashed(x, SEED).copy().view(np.int64)) if (x := shingled(t.as_py(), shingle)) else np.zeros(0, np.int64) for t in batch.column(1)]
+            release()
+            ends = np.append(0, np.cumsum([len(x) for x in sets])).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["of", "set"])
+
+    def check(pairs: DataFrame) -> DataFrame:
+        pairs = saved(pairs)
+        asked = saved(pairs.select(F.col("p").alias("fp")).union(pairs.select("q")).distinct().join(keyed, "fp"))
+        text = docs.select(text_of(text_col).alias("text")).select(F.xxhash64("text", F.octet_length("text")).alias("of"), F.col("text").cast("binary").alias("t"))
+        some = maybe_among(text, F.col("of"), asked.select("key").distinct(), "__asked").where("__asked").drop("__asked")
+        some = some.join(asked.select(F.col("key").alias("of")).distinct(), "of", "left_semi").groupBy("of").agg(F.first("t").alias("t"))
+        sets = saved(asked.join(some.mapInArrow(hashes, "of long, set array<long>"), F.col("key") == F.col("of")).select("fp", "set"))
+        both = pairs.join(sets.select(F.col("fp").alias("p"), F.col("set").alias("x")), "p").join(sets.select(F.col("fp").alias("q"), F.col("set").alias("y")), "q")
+        shared = F.size(F.array_intersect("x", "y"))
+        return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select(*pairs.columns)
+
+    return grouped(prints, linked(prints, distance, parts, words, check)).select(F.col("id").alias("doc_id"), "component_id")

@@ -365,6 +365,38 @@ def test_model_probabilities_add_up():
     assert np.allclose(known + unknown, 1)
 
 
+def test_similar_documents(spark, odd, none):
+    from musterline.llm.simhash import long_segments, segments, shingled, similar_documents
+
+    rng, texts = random.Random(21), []
+    vocabulary = ["".join(rng.choices("abcdefg", k=6)) for _ in range(500)]
+    for size in (8, 40, 40, 300, 300):
+        base = rng.choices(vocabulary, k=size)
+        texts.append(" ".join(base))
+        for changes in (1, 1, 2, 3, 8):
+            new = list(base)
+            for at in rng.sample(range(size), min(size, changes * size // 100 + 1)):
+                new[at] = rng.choice(vocabulary)
+            texts.append(" ".join(new))
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()] + [(1000 + i, t) for i, t in enumerate(texts)]
+    sets = [set(shingled((t or "").encode(), 5)) for _, t in rows]
+    group = list(range(len(rows)))
+    alike = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    for _ in rows:
+        group = [min(group[j] for j in range(len(rows)) if alike(sets[i], sets[j])) for i in range(len(rows))]
+    low = {}
+    for (i, _), g in zip(rows, group):
+        if i is not None:
+            low[g] = min(low.get(g, 1 << 60), i)
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame(rows[-len(texts):], "doc_id long, text string"))
+    got = Counter((r["doc_id"], r["component_id"]) for r in similar_documents(docs, recall=0.999).collect())
+    assert got == Counter((i, low.get(g)) for (i, _), g in zip(rows, group))
+    assert similar_documents(none).count() == 0
+    for n in (1, 10**5, 10**8, 10**11):
+        assert sum(r + 1 for _, _, r in segments(n)) > 4 and sum(w for _, w, _ in segments(n)) == 64
+        assert len(long_segments(n, 0.8, 0.95)) > 4
+
+
 @pytest.mark.parametrize("factor, least", [(1.0, 1.0), (0.7, 0.9)])
 def test_nearest(spark, factor, least):
     from musterline.llm.vptree import nearest
