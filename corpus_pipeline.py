@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from musterline.llm import langid, mixing, rankbpe, rlz, simhash
-from musterline.llm.shared import saved
+from musterline.llm.shared import maybe_among, saved
 
 MIN_SCORE = 0.4  # language predictions below this probability are rejected
 
@@ -28,9 +28,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (null ids stay when nothing else names their group)."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__stays"]), "left_semi")
+    """The document with the smallest id of each group of texts whose five-word shingles are 0.8 alike or more.
+
+    Null ids stay when nothing else names one of their groups. Only the text of documents that may go is moved.
+    """
+    found = simhash.similar_documents(docs)
+    stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__stays"))
+    gone = saved(stays.where(~F.col("__stays")).select(F.col("doc_id").alias("__gone")))
+    asked = maybe_among(docs, F.xxhash64("doc_id"), gone.select(F.xxhash64("__gone").alias("__key")), "__asked")
+    some = asked.where("__asked").drop("__asked")
+    return asked.where("not __asked").drop("__asked").union(some.join(gone, some["doc_id"].eqNullSafe(gone["__gone"]), "left_anti"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
