@@ -46,10 +46,10 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def maybe_among(df: DataFrame, key: Column, keys: DataFrame, name: str, bits: int = 1 << 26) -> DataFrame:
+def maybe_among(df: DataFrame, key: Column, keys: DataFrame, name: str, bits: int = 1 << 24) -> DataFrame:
     """``df`` with boolean ``name``: true wherever the long ``key`` is in the one column of ``keys``, and for few others.
 
-    The keys set bits of a map of at most ``bits`` bits, which is broadcast: eight megabytes however many keys there are.
+    The keys set bits of a map of at most ``bits`` bits, which is broadcast: two megabytes however many keys there are.
     Null keys are not among any.
     """
     spot = lambda k: F.pmod(k, F.lit(bits))

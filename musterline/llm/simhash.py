@@ -109,7 +109,7 @@ def share_of_bits(similarity: float) -> float:
 
 def long_segments(n: int, similarity: float, recall: float) -> list[tuple[int, int, int]]:
     """Segments of radius one, as wide as suits ``n``, and so many that ``recall`` of the pairs of that similarity share one within its radius."""
-    width = max(12, min(28, ceil(log2(max(2, n))) - 2))
+    width = max(14, min(28, ceil(log2(max(2, n))) - 6))
     p = share_of_bits(similarity)
     miss = 1 - (1 - p) ** width - width * p * (1 - p) ** (width - 1)
     count = 1
@@ -126,56 +126,54 @@ def ball(width: int, radius: int) -> list[int]:
     return masks
 
 
-def word(fp: str, i: int, single: bool):
-    return F.col(fp) if single else F.col(fp)[i]
-
-
-def cut(low: int, width: int, single: bool):
-    """Bits ``low`` .. ``low`` + ``width`` of a fingerprint, also across words."""
+def cut(words: list[str], low: int, width: int):
+    """Bits ``low`` .. ``low`` + ``width`` of a fingerprint in columns of 64 bits, also across two of them."""
     at, shift = divmod(low, BITS)
-    part = F.shiftrightunsigned(word("fp", at, single), shift)
+    part = F.shiftrightunsigned(words[at], shift)
     if shift + width > BITS:
-        part = part.bitwiseOR(F.shiftleft(word("fp", at + 1, single), BITS - shift))
+        part = part.bitwiseOR(F.shiftleft(words[at + 1], BITS - shift))
     return part.bitwiseAND(F.lit((1 << width) - 1))
 
 
-def keys(nodes: DataFrame, balls: bool, parts: list[tuple[int, int, int]], single: bool) -> DataFrame:
+def keys(nodes: DataFrame, words: list[str], balls: bool, parts: list[tuple[int, int, int]]) -> DataFrame:
     """One row per node, segment and (with ``balls``) mask of its Hamming ball; k holds segment and bits."""
     lists = []
     for i, (low, width, radius) in enumerate(parts):
-        part = cut(low, width, single)
-        masks = ball(width, radius) if balls else [0]
-        lists.append(F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m, part=part, i=i: part.bitwiseXOR(m) + F.lit(i << 32)) if len(masks) > 64 else F.array(*[part.bitwiseXOR(F.lit(m)).cast("long") + F.lit(i << 32) for m in masks]))
+        part, masks = cut(words, low, width), ball(width, radius) if balls else [0]
+        of = lambda m, part=part, i=i: part.bitwiseXOR(m).cast("long") + F.lit(i << 32)
+        few = len(masks) <= 64
+        lists.append(F.array(*[of(F.lit(m)) for m in masks]) if few else F.transform(F.lit(masks).cast("array<long>"), of))
     return nodes.withColumn("k", F.explode(F.concat(*lists)))
 
 
-def apart(x: str, y: str, words: int):
-    """Differing bits."""
-    return sum((F.bit_count(word(x, i, not words).bitwiseXOR(word(y, i, not words))) for i in range(1, max(1, words))), F.bit_count(word(x, 0, not words).bitwiseXOR(word(y, 0, not words))))
-
-
 def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None) -> DataFrame:
-    """(fp, root) for every distinct fingerprint; root is the smallest fingerprint of its component.
+    """(fp, root) for every distinct fingerprint; fingerprints of one component have one root.
 
-    ``check`` takes pairs of fingerprints (p, q) and leaves those that are linked.
+    A node stands for a fingerprint: itself, or of a fingerprint of several ``words`` its 64-bit hash. ``check`` takes pairs of
+    nodes (p, q, ..) with all nodes (node, fp), and leaves the pairs that are linked.
     """
-    nodes = saved(prints.groupBy("fp").agg(F.count("*").alias("n")))
+    single, own = not words, [f"w{i}" for i in range(max(1, words))]
+    nodes = prints.groupBy("fp").agg(F.count("*").alias("n"))
+    nodes = saved(nodes.select("fp", (F.col("fp") if single else F.xxhash64("fp")).alias("node"), "n", *[(F.col("fp") if single else F.col("fp")[i]).alias(w) for i, w in enumerate(own)]))
     parts = parts or segments(nodes.count(), distance)
-    check, single = check or (lambda pairs: pairs), not words
-    table = keys(nodes, False, parts, single)
-    centre = table.groupBy("k").agg(F.max(F.struct("n", "fp")).alias("c")).select("k", F.col("c.fp").alias("q"))
-    stars = table.select("k", F.col("fp").alias("p")).join(centre, "k").where((F.col("p") != F.col("q")) & (apart("p", "q", words) <= distance))
-    first = components(check(stars.select("p", "q").distinct()), "p", "q")
-    named = saved(nodes.join(first, nodes.fp == first.node, "left").select("fp", F.coalesce("root", "fp").alias("c")))
-    left = keys(named, True, parts, single).select("k", F.col("fp").alias("p"), F.col("c").alias("a"))
-    right = keys(named, False, parts, single).select(F.col("k").alias("k2"), F.col("fp").alias("q"), F.col("c").alias("b"))
+    check = check or (lambda pairs, nodes: pairs)
+    other = [f"o{i}" for i in range(len(own))]
+    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(own[1:], other[1:])), F.bit_count(F.col("w0").bitwiseXOR(F.col("o0"))))
+    aside = lambda df, **names: df.select(*[F.col(c).alias(n) for n, c in names.items()], *[F.col(w).alias(o) for w, o in zip(own, other)])
+    table = keys(nodes, own, False, parts)
+    centre = table.groupBy("k").agg(F.max(F.struct("n", "node", *own)).alias("c")).select("k", F.col("c.node").alias("q"), *[F.col(f"c.{w}").alias(o) for w, o in zip(own, other)])
+    stars = table.select("k", F.col("node").alias("p"), *own).join(centre, "k").where((F.col("p") != F.col("q")) & (apart <= distance))
+    first = components(check(stars.select("p", "q").distinct(), nodes), "p", "q")
+    named = saved(nodes.withColumnRenamed("node", "p").join(first, F.col("p") == first.node, "left").select("fp", "p", *own, F.coalesce("root", "p").alias("a")))
+    left = keys(named, own, True, parts).select("k", "p", "a", *own)
+    right = aside(keys(named, own, False, parts), k2="k", q="p", b="a")
     reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
     left = left.join(reach, F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
     # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough
-    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart("p", "q", words) <= distance))
-    rest = check(rest.select("p", "q", "a", "b").distinct()) if words else rest
-    second = components(rest.select("a", "b").distinct())
-    return named.join(second, named.c == second.node, "left").select("fp", F.coalesce("root", "c").alias("root"))
+    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance))
+    rest = rest.select("a", "b") if single else check(rest.select("p", "q", "a", "b").distinct(), nodes).select("a", "b")
+    second = components(rest.distinct())
+    return named.join(second, named.a == second.node, "left").select("fp", F.coalesce("root", "a").alias("root"))
 
 
 def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
@@ -224,14 +222,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["of", "set"])
 
-    def check(pairs: DataFrame) -> DataFrame:
+    def check(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         pairs = saved(pairs)
-        asked = saved(pairs.select(F.col("p").alias("fp")).union(pairs.select("q")).distinct().join(keyed, "fp"))
+        asked = saved(pairs.select(F.col("p").alias("node")).union(pairs.select("q")).distinct().join(nodes.select("node", "fp"), "node").join(keyed, "fp").select("node", "key"))
         text = docs.select(text_of(text_col).alias("text")).select(F.xxhash64("text", F.octet_length("text")).alias("of"), F.col("text").cast("binary").alias("t"))
         some = maybe_among(text, F.col("of"), asked.select("key").distinct(), "__asked").where("__asked").drop("__asked")
         some = some.join(asked.select(F.col("key").alias("of")).distinct(), "of", "left_semi").groupBy("of").agg(F.first("t").alias("t"))
-        sets = saved(asked.join(some.mapInArrow(hashes, "of long, set array<long>"), F.col("key") == F.col("of")).select("fp", "set"))
-        both = pairs.join(sets.select(F.col("fp").alias("p"), F.col("set").alias("x")), "p").join(sets.select(F.col("fp").alias("q"), F.col("set").alias("y")), "q")
+        sets = saved(asked.join(some.mapInArrow(hashes, "of long, set array<long>"), F.col("key") == F.col("of")).select("node", "set"))
+        both = pairs.join(sets.select(F.col("node").alias("p"), F.col("set").alias("x")), "p").join(sets.select(F.col("node").alias("q"), F.col("set").alias("y")), "q")
         shared = F.size(F.array_intersect("x", "y"))
         return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select(*pairs.columns)
 
