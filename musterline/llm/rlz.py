@@ -10,8 +10,9 @@ are runs of blocks that the index holds from an earlier place. The index answers
 * otherwise a factor starts or ends inside the block, and its windows are checked one by one.
 
 Words covered by a repeated window are the duplicate spans. Repeats inside a bucket of documents are resolved
-there, so that a passage found everywhere sends one row per bucket and not one per copy. Blocks are compared
-by two 64-bit hashes together.
+there, so that a passage found everywhere sends one row per bucket and not one per copy. An anchor that has several
+surroundings in one bucket is known there to need its windows checked: the bucket sends two of its blocks for the others to
+know, however many it has. Blocks are compared by two 64-bit hashes together.
 """
 
 from __future__ import annotations
@@ -73,6 +74,26 @@ class Bucket:
         self.lo, self.hi, self.anchor = inside[edge], inside[np.append(edge[1:] - 1, len(at) - 1)] if len(at) else inside, at[edge]
         self.g, self.e = grams[self.anchor], rolled(self.hashes, self.lo, self.hi + window)
 
+    def several(self) -> np.ndarray:
+        """Which blocks have an anchor that stands in other blocks of this bucket too."""
+        order = np.lexsort((self.e, self.g))
+        g, e = self.g[order], self.e[order]
+        start = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, np.int64)
+        size = np.diff(np.append(start, len(g)))
+        out = np.zeros(len(g), bool)
+        out[order] = np.repeat(e[start] != e[start + size - 1], size)
+        return out
+
+    def ends(self) -> np.ndarray:
+        """Which blocks have the least or the greatest hash of their anchor's blocks."""
+        order = np.lexsort((self.e, self.g))
+        g, e = self.g[order], self.e[order]
+        start = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, np.int64)
+        size = np.diff(np.append(start, len(g)))
+        out = np.zeros(len(g), bool)
+        out[order] = (e == np.repeat(e[start], size)) | (e == np.repeat(e[start + size - 1], size))
+        return out
+
     def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Document id and position inside the document of words."""
         rows = self.rows[words]
@@ -168,15 +189,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         release()
         b = Bucket(table, window, gram)
         _, first = b.repeats(b.e, b.g, b.anchor)
+        first &= b.ends()
         ids, pos = b.places(b.anchor[first])
         return _rows(table.column("bucket")[0].as_py(), ids, pos, b.g[first], b.e[first], 0)
 
     def edges(table, said):
-        if not table.num_rows or not said.num_rows:
+        if not table.num_rows:
             return _rows(0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0)
         release()
-        b = Bucket(table, window, gram)
-        at, h, g = b.windows_of(np.flatnonzero(b.told(said.to_pandas(), EDGE)))
+        b, said = Bucket(table, window, gram), said.to_pandas()
+        again, _ = b.repeats(b.e, b.g, b.anchor)
+        at, h, g = b.windows_of(np.flatnonzero((b.told(said, EDGE) | b.several()) & ~again & ~b.told(said, WHOLE)))
         _, first = b.repeats(h, g, at)
         ids, pos = b.places(at[first])
         return _rows(table.column("bucket")[0].as_py(), ids, pos, g[first], h[first], 0)
@@ -187,11 +210,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         release()
         b, said = Bucket(table, window, gram), said.to_pandas()
         again, _ = b.repeats(b.e, b.g, b.anchor)
-        whole = np.flatnonzero(again | b.told(said, WHOLE))
+        covered = again | b.told(said, WHOLE)
+        whole = np.flatnonzero(covered)
         hit = np.zeros(len(b.rows) + 1, np.int64)
         np.add.at(hit, b.lo[whole], 1)
         np.add.at(hit, b.hi[whole] + window, -1)
-        at, h, g = b.windows_of(np.flatnonzero(b.told(said, EDGE) & ~again))
+        at, h, g = b.windows_of(np.flatnonzero((b.told(said, EDGE) | b.several()) & ~covered))
         if len(at):
             import pandas as pd
 
@@ -233,7 +257,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("kind", F.when(place != F.col("head"), WHOLE).when(F.col("low") != F.col("high"), EDGE).otherwise(0).cast("byte"))
         .where("kind > 0").select("bucket", "id", "pos", "g", "e", "kind")
     )
-    checked = known.groupBy("bucket").cogroup(judged.where(F.col("kind") == EDGE).groupBy("bucket")).applyInArrow(edges, PART)
+    checked = known.groupBy("bucket").cogroup(judged.groupBy("bucket")).applyInArrow(edges, PART)
     single = (
         checked.withColumn("head", F.min(place).over(same)).where(place != F.col("head"))
         .select("bucket", "id", "pos", "g", "e", F.lit(SINGLE).cast("byte").alias("kind"))
