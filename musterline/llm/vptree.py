@@ -15,8 +15,10 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 8192
-BLOCK_ROWS = 2048
+SHARD_ROWS = 8192  # at least; a larger table has larger shards, and fewer copies of its queries
+SHARD_MB = 64
+BLOCK_ROWS = 2048  # at least; more queries make larger blocks, and fewer copies of the vectors
+BLOCK_MB = 16
 LEAF = 512
 FACTOR = 1.0
 PAIRS = 1 << 20  # most pairs of a query and a point held at once
@@ -196,6 +198,11 @@ def ranked(q, found, score, k: int):
     return q[keep], found[keep], score[keep]
 
 
+def pieces_of(n: int, least: int, most_mb: float, width: float) -> int:
+    """Pieces of n vectors of ``width`` bytes: of ``least`` rows each up to 64 pieces, then 64 until a piece has ``most_mb``, then more."""
+    return max(1, min(n // least + 1, 64), int(n * width / (most_mb * 1e6)) + 1)
+
+
 def nearest(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", query_mod: int = 20, factor: float = FACTOR) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product for each query.
 
@@ -210,8 +217,10 @@ def nearest(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
     good = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.where(F.col(id_col).isNotNull() & good).select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.size(v).alias("dim"))
     queries = rows.where(F.col("id") % query_mod == 0)
-    n, n_queries = rows.count(), queries.count()
-    shards, blocks = n // SHARD_ROWS + 1, n_queries // BLOCK_ROWS + 1
+    n, n_queries, values = rows.agg(F.count("*"), F.coalesce(F.sum((F.col("id") % query_mod == 0).cast("long")), F.lit(0)), F.coalesce(F.sum("dim"), F.lit(0))).first()
+    width = max(1.0, 8 * values / max(1, n))  # bytes of a vector
+    shards = pieces_of(n, SHARD_ROWS, SHARD_MB, width)
+    blocks = pieces_of(n_queries, BLOCK_ROWS, BLOCK_MB, width)
 
     def every(count: int):
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
