@@ -84,7 +84,7 @@ class Bucket:
         out[order] = np.repeat(e[start] != e[start + size - 1], size)
         return out
 
-    def ends(self) -> np.ndarray:
+    def outermost(self) -> np.ndarray:
         """Which blocks have the least or the greatest hash of their anchor's blocks."""
         order = np.lexsort((self.e, self.g))
         g, e = self.g[order], self.e[order]
@@ -189,7 +189,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         release()
         b = Bucket(table, window, gram)
         _, first = b.repeats(b.e, b.g, b.anchor)
-        first &= b.ends()
+        first &= b.outermost()
         ids, pos = b.places(b.anchor[first])
         return _rows(table.column("bucket")[0].as_py(), ids, pos, b.g[first], b.e[first], 0)
 
