@@ -2,60 +2,100 @@
 
 A word's context is the word before it (or the start of the text). Each context is a Chinese restaurant whose customers
 are the words that follow; all context restaurants share one parent, whose customers are their tables, over a uniform
-base of all training words and one unknown. Seating is sampled by Gibbs sweeps over the distributed counts: a sweep
-needs the tables of each context, the parent's probability of each word and the parent's totals of the sweep before. A
-pair seen once has one table in every sweep, so only the others are seated anew.
-A word's probability is the average of the predictive probabilities of the kept samples, and a text's score is
-the sum of the log10 probabilities of its words and its end; after an unseen word it is the parent's.
-
-Counts come from all training text. Documents meet pairs and words through hash buckets: a bucket asks once for each
-of its distinct pairs and words, so that a frequent one costs one row per bucket.
+base of all training words and one unknown. Seating is sampled by Gibbs: in each sweep the customers of every dish are
+taken away and seated anew, their number of tables drawn from its conditional given the rooms and the parent's
+probabilities that the last sweep left. A pair seen once has one table in every sweep. A word's probability is the average of
+the predictive probabilities of the kept samples, and a text's score is the sum of the log10 probabilities of its words
+and its end; after an unseen word it is the parent's.
+
+Texts are read once, into pieces: a piece holds the hashes of its distinct words and its texts as runs of indices. Pairs of
+all pieces meet in hash parts, which give each pair's count back to its pieces and name one piece that speaks for it; words meet
+their totals in hash parts too. A piece asks once for each of its distinct pairs and words, so a frequent one costs one
+row per piece. Draws depend on the pair alone, so all pieces draw the same. Words and pairs are 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bucketed, gathered, mixed, pieces, release, row_offsets, saved, spans, text_buffers, word_hashes
+from .shared import erased, mixed, pieces, release, row_offsets, saved, spans, text_buffers, word_hashes
 
 BURN_IN = 1
 SAMPLES = 2
 CONCENTRATION = 1.0
-BUCKET_MB = 8.0
-PIECE = 4 << 20  # bytes of text counted at once
-ALONE = b" "  # stands for the context where a word itself is asked for; no word holds a space
+PIECE = 16 << 20  # bytes of text in a piece
+PART = 24 << 20  # bytes of text whose pairs meet in one part
+EXACT = 64  # customers of a dish up to which its tables are drawn from the exact distribution
 
 
+# ---- seating --------------------------------------------------------------------------------
+
 def uniforms(seeds: np.ndarray, step: int) -> np.ndarray:
     """One uniform number in (0, 1) for each seed; the same seed and step always give the same number."""
     x = mixed(seeds + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
+def ways(discount: float, most: int = EXACT) -> np.ndarray:
+    """log of the generalised Stirling numbers: the weight of n customers at t tables is opening**t times them."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[1, 1] = 0.0
+    for n in range(1, most):
+        t = np.arange(1, n + 2)
+        stay = n - t * discount
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[n + 1, 1 : n + 2] = np.logaddexp(out[n, t - 1], out[n, t] + np.where(stay > 0, np.log(np.maximum(stay, 1e-300)), -np.inf))
+    return out
+
+
+def poisson(mean: np.ndarray, seeds: np.ndarray, step: int) -> np.ndarray:
+    """Poisson numbers, by inversion up to a mean of 30 and from the normal distribution above."""
+    u = uniforms(seeds, step)
+    out, term = np.zeros(len(mean), np.int64), np.exp(-np.minimum(mean, 30.0))
+    total = term.copy()
+    for k in range(1, 90):
+        more = u > total
+        if not more.any():
+            break
+        out += more
+        term = term * np.minimum(mean, 30.0) / k
+        total = np.where(more, total + term, total)
+    normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * uniforms(seeds, step + 1))
+    return np.where(mean > 30, np.maximum(0, np.rint(mean + np.sqrt(mean) * normal)).astype(np.int64), out)
+
+
 def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seeds: np.ndarray, sweep: int) -> np.ndarray:
-    """Tables that each dish's customers fill, sampled one table after the other.
+    """Tables of each dish when its customers are seated anew, given the weight ``opening`` of a new table.
 
-    ``opening`` is a dish's weight of a new table. With n seated at t tables the next customer opens one with
-    probability opening / (opening + n - discount * t); the number of customers up to the next opening is drawn directly
-    from the (asymptotic gamma ratio) survival function of that sequence.
+    The number t has probability in proportion to opening**t times the ways of seating n at t tables. Up to ``EXACT``
+    customers that is drawn as it stands; above, the tables besides the largest are a Poisson number whose mean solves
+    n = w y**(d-1) (1-y), w (1 - y**d) / d, which the distribution approaches as n grows.
     """
     tables = (customers > 0).astype(np.int64)
-    active = np.flatnonzero(customers > 1)
-    seated, step = np.ones(len(active)), sweep * 1_000_003
-    while len(active):
-        a, t = opening[active], tables[active]
-        shift = (a - 1) / 2 - discount * t
-        with np.errstate(over="ignore", divide="ignore"):
-            ahead = np.ceil(np.maximum(seated + shift, 1e-9) * uniforms(seeds[active], step) ** (-1 / a) - shift)
-        ahead = np.maximum(ahead, seated)  # seated before the customer who opens
-        more = ahead < customers[active]
-        active, seated = active[more], ahead[more] + 1
-        tables[active] += 1
-        go = seated < customers[active]
-        active, seated = active[go], seated[go]
-        step += 1
+    log, step = ways(discount), sweep * 1_000_003
+    u = uniforms(seeds, step)
+    small = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    order = small[np.argsort(customers[small], kind="stable")]
+    edges = np.searchsorted(customers[order], np.arange(2, EXACT + 2))
+    for n, low, high in zip(range(2, EXACT + 1), edges[:-1], edges[1:]):
+        for start in range(low, high, 1 << 18):
+            at = order[start : min(high, start + (1 << 18))]
+            weight = np.arange(1, n + 1)[None, :] * np.log(opening[at])[:, None] + log[n, 1 : n + 1][None, :]
+            share = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            tables[at] = 1 + (share < u[at, None] * share[:, -1:]).sum(axis=1)
+    large = np.flatnonzero(customers > EXACT)
+    if len(large):
+        n, w = customers[large].astype(np.float64), opening[large]
+        low, high = np.zeros(len(large)), np.ones(len(large))
+        for _ in range(60):
+            y = (low + high) / 2
+            with np.errstate(divide="ignore", over="ignore"):
+                over = w * y ** (discount - 1) * (1 - y) > n
+            low, high = np.where(over, y, low), np.where(over, high, y)
+        mean = w * (1 - high**discount) / discount
+        tables[large] = np.minimum(1 + poisson(mean, seeds[large], step + 1), customers[large])
     return tables
 
 
@@ -64,85 +104,85 @@ def discount_of(ones: float, twos: float) -> float:
     return float(np.clip(ones / max(1.0, ones + 2 * twos), 0.05, 0.95))
 
 
-class Seating:
-    """Global totals of the sweeps so far; with a word's customers they give its tables, again and again the same."""
-
-    def __init__(self, contexts: int):
-        self.contexts, self.totals = contexts, []
-        self.customers = np.zeros(contexts)
-        self.types, self.own, self.parent = 0, 0.5, 0.5
-
-    def tables(self, n: np.ndarray, seeds: np.ndarray, sweep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tables in each context, customers and tables of the parent, for words with customers ``n`` (words x contexts)."""
-        t = (n > 0).astype(np.int64)
-        c = t.sum(axis=1)
-        up = (c > 0).astype(np.int64)
-        for s in range(1, sweep + 1):
-            opened, customers, tables = self.totals[s - 1]
-            p = self.base(c, up, customers, tables)
-            opening = np.maximum((CONCENTRATION + self.own * opened)[None, :] * p[:, None], 1e-12)
-            each = mixed(seeds[:, None] + np.arange(1, self.contexts + 1, dtype=np.uint64)[None, :])
-            t = seat(n.ravel(), opening.ravel(), self.own, each.ravel(), s).reshape(n.shape)
-            c = t.sum(axis=1)
-            share = max((CONCENTRATION + self.parent * tables) / (self.types + 1), 1e-12)
-            up = seat(c, np.full(len(c), share), self.parent, seeds, s)
-        return t, c, up
-
-    def base(self, c, up, customers: float, tables: float) -> np.ndarray:
-        """Predictive probability of words in the parent."""
-        rest = (CONCENTRATION + self.parent * tables) / (CONCENTRATION + customers)
-        return np.maximum(c - self.parent * up, 0) / (CONCENTRATION + customers) + rest / (self.types + 1)
-
-    def probability(self, n: np.ndarray, seeds: np.ndarray, kept: range) -> np.ndarray:
-        """Probability of words in every context, averaged over the kept sweeps."""
-        out = np.zeros(n.shape)
-        for s in kept:
-            t, c, up = self.tables(n, seeds, s)
-            opened, customers, tables = self.totals[s]
-            room = CONCENTRATION + self.customers
-            rest = (CONCENTRATION + self.own * opened) / room
-            out += np.maximum(n - self.own * t, 0) / room[None, :] + rest[None, :] * self.base(c, up, customers, tables)[:, None]
-        return out / len(kept)
+def predictive(n, tables, room_customers, room_tables, base, discount: float):
+    """Probability of dishes with n customers at their tables in restaurants of so many customers and tables, over a base."""
+    room = CONCENTRATION + room_customers
+    return np.maximum(n - discount * tables, 0) / room + (CONCENTRATION + discount * room_tables) / room * base
+
 
+# ---- pieces of text -------------------------------------------------------------------------
 
 def lowered(raw: np.ndarray) -> np.ndarray:
     return np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)
 
 
-class Words:
-    """Distinct lower-cased words of some texts in hash order, and the index of every word; the last is the end (empty)."""
-
-    def __init__(self, column):
-        raw, self.offsets = text_buffers(column)
-        raw = lowered(raw)
-        parts = []
-        for low, high in pieces(self.offsets):
-            base = self.offsets[low]
-            own, local = raw[base : self.offsets[high]], self.offsets[low : high + 1] - base
-            starts, ends, rows = spans(own, local)
-            parts.append((starts + base, ends + base, rows + low, word_hashes(own, starts, ends) if len(starts) else np.zeros(0, np.uint64)))
-        starts, ends, self.rows, hashes = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(4))
-        keys, first, self.index = np.unique(hashes, return_index=True, return_inverse=True)
-        self.starts, self.ends, self.raw = np.append(starts[first], 0), np.append(ends[first], 0), raw
-        self.keys, self.n = keys, len(keys) + 1
-
-    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Context and word of every distinct pair, and pair and row of every word and text's end; the start is the empty word."""
-        none, size = self.n - 1, len(self.offsets) - 1
-        first = np.searchsorted(self.rows, np.arange(size + 1))
-        padded = np.append(none, self.index)  # the word before each place
-        before = padded[:-1].copy()
-        full = first[1:] > first[:-1]
-        before[first[:-1][full]] = none
-        last = np.where(full, padded[first[1:]], none)
-        code = np.concatenate([before, last]) * self.n + np.concatenate([self.index, np.full(size, none)])
-        pairs, of = np.unique(code, return_inverse=True)
-        return pairs // self.n, pairs % self.n, of, np.concatenate([self.rows, np.arange(size)])
-
-    def words(self, which=slice(None)):
-        import pyarrow as pa
-
-        return gathered(self.raw, self.starts[which], self.ends[which]).cast(pa.binary())
+def tokens_of(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-cased words of some texts, all tokens as indices (one more than the words: the end), and tokens per text."""
+    raw, offsets = text_buffers(column)
+    raw, parts = lowered(raw), []
+    for low, high in pieces(offsets):
+        base = offsets[low]
+        own, local = raw[base : offsets[high]], offsets[low : high + 1] - base
+        starts, ends, rows = spans(own, local)
+        parts.append((rows + low, word_hashes(own, starts, ends) if len(starts) else np.zeros(0, np.uint64)))
+    rows, hashes = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.uint64) for i in range(2))
+    words, index = np.unique(hashes, return_inverse=True)
+    sizes = np.bincount(rows.astype(np.int64), minlength=len(offsets) - 1) + 1
+    stream = np.full(int(sizes.sum()), len(words), np.int32)
+    stream[np.arange(len(index)) + rows.astype(np.int64)] = index  # each text before has one end
+    return words, stream, sizes
+
+
+def packed(x: np.ndarray) -> bytes:
+    """An array as planes of its bytes, which compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+class Piece:
+    """Words, tokens and distinct pairs of one row of the table of pieces. The last word is the end, and the start's context."""
+
+    def __init__(self, row: dict):
+        self.name = row["piece"]
+        self.words = np.append(unpacked(row["words"], np.uint64), np.uint64(0))
+        self.tokens = unpacked(row["tokens"], np.int32).astype(np.int64)
+        self.sizes = unpacked(row["sizes"], np.int32).astype(np.int64)
+        self.held = unpacked(row["held"], np.uint8).astype(bool)
+
+    def pairs(self, inverse: bool = False):
+        """Distinct pairs in the order of their hashes: context, word, hash, and with ``inverse`` the pair of each token."""
+        wide, before = len(self.words), np.append(len(self.words) - 1, self.tokens[:-1])
+        found = np.unique(before * wide + self.tokens, return_inverse=inverse)
+        code = found[0] if inverse else found
+        context, word = code // wide, code % wide
+        keys = mixed(mixed(self.words[context] + np.uint64(0x9E3779B97F4A7C15)) ^ (self.words[word] * np.uint64(0xD6E8FEB86659FD93)))
+        order = np.argsort(keys, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return context[order], word[order], keys[order], place[found[1]] if inverse else None
+
+    def learned(self) -> np.ndarray:
+        """Which tokens are of training texts."""
+        return np.repeat(~self.held, self.sizes)
+
+
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Parts 0 .. ``parts`` - 1 of sorted hashes, ascending."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def part_column(word: Column, parts: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(word, 32) * F.lit(parts), 32).cast("int")
+
+
+def cut(hashes: np.ndarray, parts: int):
+    """(part, low, high) of the runs of sorted hashes in each part."""
+    edges = np.searchsorted(part_of(hashes, parts), np.arange(parts + 1))
+    return [(p, low, high) for p, (low, high) in enumerate(zip(edges[:-1], edges[1:])) if high > low]
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5, samples: int = SAMPLES, burn_in: int = BURN_IN) -> DataFrame:
@@ -156,118 +196,223 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     import pyarrow as pa
 
-    spark = docs.sparkSession
     held = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == fold
     source = docs.select(F.col(id_col).cast("long").alias("id"), held.alias("held"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    def count(batches):
+    def take(batches):
+        from pyspark import TaskContext
+
+        task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            text, train = batch.column(1), ~batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            text = batch.column(2)
             for low, high in pieces(row_offsets(text), PIECE):
                 release()
-                w, learned = Words(text.slice(low, high - low)), train[low:high]
-                context, word, of, at = w.bigrams()
-                n = np.bincount(of, weights=learned[at], minlength=len(context)).astype(np.int64)
-                some = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([w.words(context[some]), w.words(word[some]), pa.array(n[some])], names=["ctx", "word", "n"])
-
-    counted = source.select("held", "text").mapInArrow(count, "ctx binary, word binary, n long")
-    seen = saved(counted.groupBy("ctx", "word").agg(F.sum("n").alias("n")))
-    once = F.sum((F.col("n") == 1).cast("long"))
-    follow = seen.groupBy("ctx").agg(F.count("*").alias("t"), once.alias("t1"))
-    precede = seen.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("c"), once.alias("c1"))
-    # every training word is followed by a word or the end, so n is also its number of customers as a context
-    none = F.expr("cast(array() as array<float>)")
-    state = saved(precede.join(follow, precede.word == follow.ctx).select("word", "n", "t1", "c1", "t", "c", F.lit(1).cast("long").alias("up"), none.alias("b"), none.alias("p")))
-
-    kept = range(burn_in, burn_in + samples)
-    seating = Seating(0)
-    how_many = lambda c, v: F.coalesce(F.sum((F.col(c) == v).cast("long")), F.lit(0))
-    seating.own = discount_of(*seen.select(how_many("n", 1), how_many("n", 2)).first())
-    found = state.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types"), how_many("c", 1).alias("c1"), how_many("c", 2).alias("c2")).first()
-    total, seating.types, seating.parent = found["n"], found["types"], discount_of(found["c1"], found["c2"])
-    own, unknown = seating.own, []
-    gain = lambda t: F.col("n") - own * t
-    many = seen.where("n > 1").withColumn("gain", gain(F.lit(1)) if 0 in kept else F.lit(0.0))
-
-    def seats(batches):
+                words, stream, sizes = tokens_of(text.slice(low, high - low))
+                row = {
+                    "piece": (task << 32) + n, "ids": batch.column(0).slice(low, high - low).to_pylist(), "held": packed(batch.column(1).slice(low, high - low).to_numpy(zero_copy_only=False).astype(np.uint8)),
+                    "sizes": packed(sizes.astype(np.int32)), "words": packed(words), "tokens": packed(stream), "bytes": int(len(stream)) * 6,
+                }
+                n += 1
+                yield pa.RecordBatch.from_pylist([row], schema=shape)
+
+    shape = pa.schema([("piece", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("bytes", pa.int64())])
+    table = saved(source.mapInArrow(take, "piece long, ids array<long>, held binary, sizes binary, words binary, tokens binary, bytes long"), compression="zstd")
+    texts = ["piece", "held", "sizes", "words", "tokens"]
+    parts = int((table.agg(F.sum("bytes")).first()[0] or 0) // PART) + 1
+
+    # ---- counts of pairs, given back to the pieces that hold them
+
+    def pairs_out(batches):
         for batch in batches:
-            n, opening, seeds = (batch.column(i).to_numpy() for i in (2, 4, 5))
-            t = seat(n, np.maximum(opening, 1e-12), own, seeds.view(np.uint64), sweep)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(t)], names=["ctx", "word", "n", "gain", "t"])
+            for row in batch.to_pylist():
+                release()
+                p = Piece(row)
+                _, _, keys, of = p.pairs(inverse=True)
+                n = np.bincount(of, weights=p.learned(), minlength=len(keys)).astype(np.int64)
+                for part, low, high in cut(keys, parts):
+                    yield pa.RecordBatch.from_pylist([{"part": part, "piece": p.name, "keys": packed(keys[low:high]), "n": packed(n[low:high])}], schema=asked_shape)
 
-    def seats_above(batches):
+    asked_shape = pa.schema([("part", pa.int32()), ("piece", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+
+    def counted(group):
+        release()
+        group = group.sort_by("piece")
+        keys = [unpacked(k.as_py(), np.uint64) for k in group["keys"]]
+        n = np.concatenate([unpacked(k.as_py(), np.int64) for k in group["n"]])
+        every = np.concatenate(keys)
+        _, of = np.unique(every, return_inverse=True)
+        total = np.bincount(of, weights=n).astype(np.int64)
+        speaker = np.zeros(len(total), np.int64)
+        held_by = np.flatnonzero(n > 0)
+        speaker[of[held_by[::-1]]] = held_by[::-1]  # the first place that learned the pair
+        mine = total[of]
+        mine[(speaker[of] != np.arange(len(of)))] *= -1
+        ends = np.cumsum([len(k) for k in keys])
+        return pa.table({"piece": group["piece"], "part": group["part"], "n": pa.array([packed(mine[e - len(k) : e]) for k, e in zip(keys, ends)], pa.binary())})
+
+    asked = table.select(*texts).mapInArrow(pairs_out, "part int, piece long, keys binary, n binary")
+    counts = saved(asked.groupBy("part").applyInArrow(counted, "piece long, part int, n binary"), compression="zstd")
+    erased(table.sparkSession)
+
+    def counts_of(rows) -> np.ndarray:
+        """Counts of a piece's pairs in the order of their hashes, negative where another piece speaks for the pair."""
+        rows = sorted((r for r in rows.to_pylist() if r["n"] is not None), key=lambda r: r["part"])
+        return np.concatenate([unpacked(r["n"], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
+
+    def rows_of(words: np.ndarray, **columns):
+        """Rows of words with some figure that is not zero."""
+        some = np.flatnonzero(np.any(list(columns.values()), axis=0))
+        return pa.table({"word": pa.array(words[some].view(np.int64)), **{k: pa.array(v[some].astype(np.int64)) for k, v in columns.items()}})
+
+    def spoken(left, right):
+        """Of each word of a piece: its tokens, and of the pairs that the piece speaks for those that it begins (all, seen once, twice) and ends."""
+        if not left.num_rows:
+            return rows_of(np.zeros(0, np.uint64), n=np.zeros(0), t=np.zeros(0), ones=np.zeros(0), twos=np.zeros(0), c=np.zeros(0))
+        release()
+        p = Piece(left.to_pylist()[0])
+        context, word, _, _ = p.pairs()
+        n, wide = counts_of(right), len(p.words)
+        tally = lambda of, mask: np.bincount(of[mask], minlength=wide)
+        tokens = np.bincount(p.tokens, weights=p.learned(), minlength=wide)
+        return rows_of(p.words, n=tokens, t=tally(context, n > 0), ones=tally(context, n == 1), twos=tally(context, n == 2), c=tally(word, n > 0))
+
+    def by_piece(right: DataFrame, f, kind: str, columns=tuple(texts)) -> DataFrame:
+        return table.select(*columns).groupBy("piece").cogroup(right.groupBy("piece")).applyInArrow(f, kind)
+
+    figures = ("n", "t", "ones", "twos", "c")
+    state = by_piece(counts, spoken, "word long, n long, t long, ones long, twos long, c long").groupBy("word").agg(*[F.sum(k).alias(k) for k in figures])
+    state = saved(state.where("n > 0"))
+    erased(table.sparkSession)
+    none = F.coalesce(F.sum("n"), F.lit(0))
+    how_many = lambda v: F.coalesce(F.sum((F.col("c") == v).cast("long")), F.lit(0))
+    whole = state.agg(none.alias("n"), F.count("*").alias("types"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in ("ones", "twos")], how_many(1).alias("c1"), how_many(2).alias("c2")).first()
+    total, types = whole["n"], whole["types"]
+    own, above = discount_of(whole["ones"], whole["twos"]), discount_of(whole["c1"], whole["c2"])
+
+    # ---- sweeps: ts and ps hold each word's tables as a context and its probability in the parent after every sweep
+
+    def with_parent(batches):
+        for batch in batches:
+            c, word = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("c", "word"))
+            up = seat(c, np.full(len(c), share), above, mixed(word.view(np.uint64).copy()), sweep)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(up)], names=[*batch.schema.names, "up"])
+
+    ts, ps = F.array().cast("array<double>"), F.array().cast("array<double>")
+    state = state.select("word", "n", "t", "c", "c", F.lit(1).cast("long").alias("up"), ts.alias("ts"), ps.alias("ps")).toDF("word", "n", "t0", "c0", "c", "up", "ts", "ps").withColumn("t", F.col("t0"))
+    unknown = []
+
+    def settled(rows: DataFrame) -> DataFrame:
+        """The state with this sweep's tables and probabilities appended, written."""
+        nonlocal share
+        customers, tables = (float(x or 0) for x in rows.agg(F.sum("c"), F.sum("up")).first())
+        rest = (CONCENTRATION + above * tables) / (CONCENTRATION + customers) / (types + 1)
+        unknown.append(rest)
+        share = max((CONCENTRATION + above * tables) / (types + 1), 1e-12)
+        p = F.greatest(F.col("c") - above * F.col("up"), F.lit(0.0)) / (CONCENTRATION + customers) + rest
+        return saved(rows.select("word", "n", "t0", "c0", F.concat("ts", F.array(F.col("t").cast("double"))).alias("ts"), F.concat("ps", F.array(p)).alias("ps")))
+
+    def words_out(batches):
         for batch in batches:
-            c, seeds = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("c", "seed"))
-            up = seat(c, np.full(len(c), share), seating.parent, seeds.view(np.uint64), sweep)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(up)], names=[*batch.schema.names[:-1], "up"])
-
-    for sweep in range(burn_in + samples):
-        if sweep:
-            share = max((CONCENTRATION + seating.parent * tables) / (seating.types + 1), 1e-12)
-            rooms = state.select(F.col("word").alias("ctx"), (CONCENTRATION + own * F.col("t")).alias("room"))
-            asked = many.join(rooms, "ctx").join(state.select("word", p.alias("base")), "word")
-            seated = asked.select("ctx", "word", "n", "gain", (F.col("room") * F.col("base")).alias("opening"), F.xxhash64("ctx", "word").alias("seed"))
-            seated = saved(seated.mapInArrow(seats, "ctx binary, word binary, n long, gain double, t long"))
-            opened = lambda by, name: seated.groupBy(F.col(by).alias(f"of_{name}")).agg(F.sum("t").alias(name))
-            new = state.join(opened("ctx", "more_t"), F.col("word") == F.col("of_more_t"), "left").join(opened("word", "more_c"), F.col("word") == F.col("of_more_c"), "left")
-            new = new.select("word", "n", "t1", "c1", *[(F.col(f"{x}1") + F.coalesce(f"more_{x}", F.lit(0))).alias(x) for x in "tc"], "b", "p", F.xxhash64("word").alias("seed"))
-            state = new.mapInArrow(seats_above, "word binary, n long, t1 long, c1 long, t long, c long, b array<float>, p array<float>, up long")
-            state = saved(state)
-            many = seated.select("ctx", "word", "n", (F.col("gain") + gain(F.col("t"))).alias("gain") if sweep in kept else "gain")
-        customers, tables = (float(x or 0) for x in state.agg(F.sum("c"), F.sum("up")).first())
-        rest = (CONCENTRATION + seating.parent * tables) / (CONCENTRATION + customers) / (seating.types + 1)
-        p = F.greatest(F.col("c") - seating.parent * F.col("up"), F.lit(0.0)) / (CONCENTRATION + customers) + rest
-        if sweep in kept:
-            unknown.append(rest)
-            back = (CONCENTRATION + own * F.col("t")) / (CONCENTRATION + F.col("n")) / samples
-            state = state.withColumns({"b": F.concat("b", F.array(back.cast("float"))), "p": F.concat("p", F.array(p.cast("float")))})
-
-    word = F.struct("n", "b", "p")
-    nothing = F.lit(None).cast("struct<n:bigint,b:array<float>,p:array<float>>")
-    pairs = seen.where("n = 1").select("ctx", "word", F.lit(1 - own).cast("float").alias("gain"), nothing.alias("w"))
-    pairs = pairs.union(many.select("ctx", "word", (F.col("gain") / samples).cast("float"), nothing))
-    priced = pairs.union(state.select(F.lit(ALONE), "word", F.lit(None).cast("float"), word))
-    grouped = bucketed(source, "id", "text", BUCKET_MB)
-
-    def ask(table):
+            for row in batch.to_pylist():
+                words = unpacked(row["words"], np.uint64)
+                words = np.append(np.uint64(0), words)  # the end comes first, as its hash is zero
+                for part, low, high in cut(words, parts):
+                    yield pa.RecordBatch.from_pylist([{"part": part, "piece": row["piece"], "words": packed(words[low:high])}], schema=words_shape)
+
+    words_shape = pa.schema([("part", pa.int32()), ("piece", pa.int64()), ("words", pa.binary())])
+
+    def looked_up(asks, known):
+        """What the state knows of the asked words, a row for each piece: counts and the kept columns, zero for unknown words."""
+        if not asks.num_rows:
+            return pa.table({"piece": pa.array([], pa.int64()), "part": pa.array([], pa.int32()), "f": pa.array([], pa.binary())})
         release()
-        w = Words(table.column("text"))
-        context, word, _, _ = w.bigrams()
-        bucket = np.full(len(word) + w.n, table.column("bucket")[0].as_py(), np.int32)
-        i = np.append(np.arange(len(word)), -1 - np.arange(w.n)).astype(np.int32)  # pairs upwards, words downwards
-        return pa.table({
-            "bucket": bucket, "i": i, "ctx": pa.chunked_array([w.words(context), pa.array([ALONE] * w.n, pa.binary())]),
-            "word": pa.chunked_array([w.words(word), w.words()]),
-        })
+        word = known["word"].to_numpy().view(np.uint64) if known.num_rows else np.zeros(0, np.uint64)
+        order = np.argsort(word)
+        word, wide = word[order], 1 + 2 * depth
+        facts = np.zeros((len(word) + 1, wide))
+        if len(word):
+            facts[:-1, 0] = known["n"].to_numpy()[order]
+            for i, name in enumerate(("ts", "ps")):
+                lists = known[name].combine_chunks()
+                facts[:-1, 1 + i * depth : 1 + (i + 1) * depth] = lists.flatten().to_numpy().reshape(len(word), -1)[order][:, -depth:]
+        out = []
+        for row in asks["words"]:
+            hashes = unpacked(row.as_py(), np.uint64)
+            at = np.minimum(np.searchsorted(word, hashes), max(0, len(word) - 1))
+            at = np.where(word[at] == hashes, at, len(word)) if len(word) else np.zeros(len(hashes), np.int64)
+            out.append(packed(facts[at, 0]) + packed(facts[at, 1:].astype(np.float32).ravel()))
+        return pa.table({"piece": asks["piece"], "part": asks["part"], "f": pa.array(out, pa.binary())})
+
+    def facts_of(p: Piece, rows) -> np.ndarray:
+        """Facts of a piece's words in their order, the end last."""
+        rows = sorted((r for r in rows.to_pylist() if r["f"] is not None), key=lambda r: r["part"])
+        parts_ = []
+        for r in rows:
+            size = len(r["f"]) // (8 + 8 * depth)
+            parts_.append(np.column_stack([unpacked(r["f"][: 8 * size], np.float64), unpacked(r["f"][8 * size :], np.float32).reshape(size, 2 * depth).astype(np.float64)]))
+        facts = np.concatenate(parts_) if parts_ else np.zeros((1, 1 + 2 * depth))
+        return np.append(facts[1:], facts[:1], axis=0)
+
+    def told() -> DataFrame:
+        """Counts of pairs and facts of words for every piece."""
+        asks = table.select("piece", "words").mapInArrow(words_out, "part int, piece long, words binary")
+        known = state.select(part_column(F.col("word"), parts).alias("part"), "word", "n", "ts", "ps")
+        facts = asks.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(looked_up, "piece long, part int, f binary")
+        return counts.withColumn("f", F.lit(None).cast("binary")).unionByName(facts.withColumn("n", F.lit(None).cast("binary")))
+
+    def seated(left, right):
+        """Tables beyond the first of the pairs that a piece speaks for, by context and by word."""
+        if not left.num_rows:
+            return rows_of(np.zeros(0, np.uint64), t=np.zeros(0), c=np.zeros(0))
+        release()
+        p = Piece(left.to_pylist()[0])
+        context, word, keys, _ = p.pairs()
+        n, facts = counts_of(right), facts_of(p, right)
+        many = np.flatnonzero(n > 1)
+        opening = (CONCENTRATION + own * facts[context[many], 1]) * facts[word[many], 2]
+        more = seat(n[many], np.maximum(opening, 1e-300), own, keys[many], sweep) - 1
+        tally = lambda of: np.bincount(of[many], weights=more, minlength=len(p.words))
+        return rows_of(p.words, t=tally(context), c=tally(word))
+
+    share, sweep, depth = 1.0, 0, 1
+    state = settled(state)
+    for sweep in range(1, burn_in + samples):
+        more = by_piece(told(), seated, "word long, t long, c long").groupBy(F.col("word").alias("of")).agg(F.sum("t").alias("mt"), F.sum("c").alias("mc"))
+        new = state.join(more, F.col("word") == F.col("of"), "left")
+        new = new.select("word", "n", "t0", "c0", (F.col("c0") + F.coalesce("mc", F.lit(0))).alias("c"), "ts", "ps", (F.col("t0") + F.coalesce("mt", F.lit(0))).alias("t"))
+        kind = "word long, n long, t0 long, c0 long, c long, ts array<double>, ps array<double>, t long, up long"
+        seats = saved(new.mapInArrow(with_parent, kind))
+        old, state = state, settled(seats)
+        erased(table.sparkSession, old, seats)
 
-    def add_up(table, prices):
-        if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known")}, **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
+    kept = range(burn_in, burn_in + samples)
+    depth = burn_in + samples
+    result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+    def add_up(left, right):
+        if not left.num_rows:
+            return result.empty_table()
         release()
-        w, size = Words(table.column("text")), table.num_rows
-        context, word, of, at = w.bigrams()
-        i = prices["i"].to_numpy()
-        gain, alone = np.zeros(len(word)), prices.filter(pa.array(i < 0))
-        gain[i[i >= 0]] = prices["gain"].to_numpy()[i >= 0]
-        found = -1 - alone["i"].to_numpy()
-        n, back, up = np.zeros(w.n), np.full((w.n, samples), 1 / samples), np.tile(np.array(unknown), (w.n, 1))
-        if len(found):
-            fields = dict(zip(("n", "b", "p"), alone["w"].combine_chunks().flatten()))
-            n[found] = fields["n"].to_numpy()
-            for x, name in ((back, "b"), (up, "p")):
-                x[found] = fields[name].flatten().to_numpy(zero_copy_only=False).reshape(-1, samples)
-        lp = np.log10(gain / (CONCENTRATION + n[context]) + (back[context] * up[word]).sum(axis=1))
-        base = np.log10((n + 0.5) / (total + 0.5 * (seating.types + 1)))
-        add = lambda x: np.bincount(at, weights=x[of], minlength=size)
+        row = left.to_pylist()[0]
+        p = Piece(row)
+        context, word, keys, of = p.pairs(inverse=True)
+        n, facts = np.abs(counts_of(right)), facts_of(p, right)
+        count, t, base = facts[:, 0], facts[:, 1 : 1 + depth], facts[:, 1 + depth :]
+        base = np.where(count[:, None] > 0, base, np.array(unknown)[None, :])
+        many, probability = np.flatnonzero(n > 1), np.zeros(len(n))
+        for s in kept:
+            tables = np.minimum(n, 1)
+            if s:
+                opening = (CONCENTRATION + own * t[context[many], s - 1]) * base[word[many], s - 1]
+                tables[many] = seat(n[many], np.maximum(opening, 1e-300), own, keys[many], s)
+            probability += predictive(n, tables, count[context], t[context, s], base[word, s], own) / len(kept)
+        rows = np.repeat(np.arange(len(p.sizes)), p.sizes)
+        add = lambda x: np.bincount(rows, weights=x, minlength=len(p.sizes))
+        plain = np.log10((count + 0.5) / (total + 0.5 * (types + 1)))
         return pa.table({
-            "doc_id": table["id"], "held_out": table["held"], "n_tokens": np.bincount(at, minlength=size),
-            "n_known": add((n > 0).astype(np.float64)[word]).round().astype(np.int64), "base_score": add(base[word]), "score": np.minimum(add(lp), 0),
-        })
-
-    asked = grouped.groupBy("bucket").applyInArrow(ask, "bucket int, i int, ctx binary, word binary")
-    answers = asked.join(priced, ["ctx", "word"]).select("bucket", "i", "gain", "w")
-    scored = grouped.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-        add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
+            "doc_id": pa.array(row["ids"], pa.int64()), "held_out": pa.array(p.held), "n_tokens": pa.array(p.sizes), "n_known": pa.array(add((count > 0)[p.tokens]).round().astype(np.int64)),
+            "base_score": pa.array(add(plain[p.tokens])), "score": pa.array(np.minimum(add(np.log10(probability)[of]), 0)),
+        }, schema=result)
+
+    scored = by_piece(told(), add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double", [*texts, "ids"])
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

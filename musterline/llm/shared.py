@@ -5,6 +5,7 @@ Words everywhere are maximal runs of bytes other than space and the control byte
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -32,20 +33,31 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again: short lineage, safe from lost executors.
 
-    The files go when the application ends.
+    The files go when the application ends, or with ``erased``.
     """
     spark = df.sparkSession
     target = f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}"
-    df.write.parquet(target)
+    df.write.parquet(target, compression=compression)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(target)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(target)
 
 
+def erased(spark: SparkSession, *frames: DataFrame) -> None:
+    """Deletes the files of frames that were ``saved`` and are not needed any more, and has Spark drop the shuffle files that nothing refers to."""
+    context = spark.sparkContext
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()  # the driver's references to finished plans
+    context._jvm.System.gc()
+
+
 def maybe_among(df: DataFrame, key: Column, keys: DataFrame, name: str, bits: int = 1 << 24) -> DataFrame:
     """``df`` with boolean ``name``: true wherever the long ``key`` is in the one column of ``keys``, and for few others.
 

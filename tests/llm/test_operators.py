@@ -347,22 +347,91 @@ def test_scores_use_the_word_before(spark):
     assert math.isclose(got[train[0]], 4 * math.log10(p(1, 1)), rel_tol=1e-5)
 
 
-def test_model_probabilities_add_up():
-    from musterline.llm.hpylm import Seating
-
-    rng = np.random.default_rng(2)
-    n = rng.integers(0, 4, (50, 3)).astype(np.int64)
-    n[n.sum(axis=1) == 0, 0] = 1
-    seating = Seating(3)
-    seating.customers, seating.types = n.sum(axis=0).astype(float), len(n)
+def test_seating_against_the_exact_distribution():
+    from musterline.llm.hpylm import EXACT, seat, ways
+
+    draws, rng = 20_000, np.random.default_rng(7)
+    seeds = rng.integers(1, 1 << 62, draws).astype(np.uint64)
+    for n, opening, d in ((2, 0.3, 0.6), (5, 0.2, 0.9), (10, 0.5, 0.7), (50, 0.05, 0.8), (64, 6.0, 0.3)):
+        weight = np.exp(np.arange(1, n + 1) * math.log(opening) + ways(d)[n, 1 : n + 1])
+        share = weight / weight.sum()
+        got = seat(np.full(draws, n), np.full(draws, opening), d, seeds, 1)
+        assert np.abs(np.bincount(got, minlength=n + 1)[1:] / draws - share).max() < 0.015
+    # three customers by hand: one table (1-d)(2-d), two 3(1-d) a, three a * a times a
+    a, d = 0.4, 0.25
+    share = np.array([(1 - d) * (2 - d), 3 * (1 - d) * a, a * a])
+    got = np.bincount(seat(np.full(draws, 3), np.full(draws, a), d, seeds, 2), minlength=4)[1:] / draws
+    assert np.abs(got - share / share.sum()).max() < 0.015
+    for n, opening, d in ((200, 0.05, 0.8), (200, 0.5, 0.7), (400, 3.0, 0.6), (1000, 0.01, 0.9)):  # beyond the exact ones the mean stays near
+        log = ways(d, n)
+        weight = np.arange(1, n + 1) * math.log(opening) + log[n, 1:]
+        share = np.exp(weight - weight.max())
+        mean = (share * np.arange(1, n + 1)).sum() / share.sum()
+        got = seat(np.full(draws, n), np.full(draws, opening), d, seeds, 3).mean()
+        assert n > EXACT and abs(got - mean) < 0.12 * mean, (n, opening, d, got, mean)
+
+
+def test_predictive_probabilities_add_up():
+    from musterline.llm.hpylm import CONCENTRATION, predictive, seat
+
+    rng, d, above = np.random.default_rng(2), 0.7, 0.6
+    n = rng.integers(0, 90, 50) * rng.integers(0, 2, 50)
     seeds = rng.integers(1, 1 << 60, 50).astype(np.uint64)
+    c, tables = np.maximum(n // 2, 1), seat(n, np.full(50, 0.3), d, seeds, 1)
+    up = seat(c, np.full(50, 0.2), above, seeds, 1)
+    rest = (CONCENTRATION + above * up.sum()) / (CONCENTRATION + c.sum()) / 51
+    base = np.maximum(c - above * up, 0) / (CONCENTRATION + c.sum()) + rest
+    assert ((tables > 0) == (n > 0)).all() and (tables <= n).all()
+    known = predictive(n, tables, n.sum(), tables.sum(), base, d).sum()
+    assert math.isclose(known + predictive(0, 0, n.sum(), tables.sum(), rest, d), 1)
+
+
+def test_scores_against_a_model_in_dictionaries(spark, monkeypatch):
+    from musterline.llm import hpylm
+    from musterline.llm.shared import mixed
+
+    rng = random.Random(17)
+    vocabulary = ["".join(rng.choices("abcde", k=rng.randint(1, 3))) for _ in range(40)]
+    rows = [(i, " ".join(rng.choices(vocabulary, weights=range(40, 0, -1), k=rng.randint(0, 60)))) for i in range(60)] + [(7, "a b a b a b"), (None, "b a")]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in rows]
+    one = lambda x: np.array([x], np.uint64)
+    hashes = {b"": 0} | {w.encode(): int(hpylm.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in vocabulary + ["a", "b"]}
+    texts = [[b"", *t.encode().split(), b""] for _, t in rows]
+    pairs = Counter(p for t, h in zip(texts, held) if not h for p in zip(t, t[1:]))
+    n, follow, c0 = Counter(), Counter(), Counter()
+    for (u, w), k in pairs.items():
+        n[w] += k
+        follow[u] += 1
+        c0[w] += 1
+    own = hpylm.discount_of(sum(k == 1 for k in pairs.values()), sum(k == 2 for k in pairs.values()))
+    above = hpylm.discount_of(sum(k == 1 for k in c0.values()), sum(k == 2 for k in c0.values()))
+    key = lambda u, w: mixed(mixed(one((hashes[u] + 0x9E3779B97F4A7C15) % (1 << 64))) ^ one(hashes[w] * 0xD6E8FEB86659FD93 % (1 << 64)))
+    types, share, states, probability = len(n), None, [], {p: [] for t in texts for p in zip(t, t[1:])}
     for sweep in range(3):
-        t, c, up = seating.tables(n, seeds, sweep)
-        assert ((t > 0) == (n > 0)).all() and (t <= n).all() and (up <= c).all()
-        seating.totals.append((t.sum(axis=0).astype(float), float(c.sum()), float(up.sum())))
-    known = seating.probability(n, seeds, range(1, 3)).sum(axis=0)
-    unknown = seating.probability(np.zeros((1, 3), np.int64), seeds[:1], range(1, 3))[0]
-    assert np.allclose(known + unknown, 1)
+        tables = dict.fromkeys(pairs, 1)
+        if sweep:
+            t, p, _ = states[-1]
+            for (u, w), k in pairs.items():
+                if k > 1:
+                    tables[u, w] = int(hpylm.seat(np.array([k]), np.array([(1 + own * t[u]) * p[w]]), own, key(u, w), sweep)[0])
+        c, rooms = Counter(), Counter()
+        for (u, w), k in tables.items():
+            c[w] += k
+            rooms[u] += k
+        up = {w: int(hpylm.seat(np.array([k]), np.array([share]), above, mixed(one(hashes[w])), sweep)[0]) if sweep else 1 for w, k in c.items()}
+        rest = (1 + above * sum(up.values())) / (1 + sum(c.values())) / (types + 1)
+        share = (1 + above * sum(up.values())) / (types + 1)
+        states.append((rooms, {w: max(c[w] - above * up[w], 0) / (1 + sum(c.values())) + rest for w in c}, rest))
+        if sweep:
+            for u, w in probability:
+                gain = max(pairs[u, w] - own * tables.get((u, w), 0), 0)
+                probability[u, w].append((gain + (1 + own * rooms[u]) * states[-1][1].get(w, rest)) / (1 + n[u]))
+    expected = Counter((i, round(sum(math.log10(sum(probability[p]) / 2) for p in zip(t, t[1:])), 3)) for (i, _), t in zip(rows, texts))
+    for size in (hpylm.PIECE, 300):  # one piece, and many
+        monkeypatch.setattr(hpylm, "PIECE", size)
+        monkeypatch.setattr(hpylm, "PART", size)
+        got = hpylm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert Counter((r["doc_id"], round(r["score"], 3)) for r in got.collect()) == expected
 
 
 def test_similar_documents(spark, odd, none):
