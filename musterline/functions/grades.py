@@ -14,28 +14,29 @@ def span(low: Column, high: Column) -> Column:
     return F.when(low.isNotNull() & high.isNotNull(), F.array_join(codes, ","))
 
 
+# Grades that open and close a span of each level, and patterns of a type's lowest and highest level.
+LOWEST = [("pk", "tk"), ("k", "0", "1", "2", "3", "4", "5"), ("6", "7", "8"), ("9", "10", "11", "12")]
+HIGHEST = [("pk", "tk"), ("k", "0", "1", "2", "3", "4", "5", "6"), ("7", "8"), ("9", "10", "11", "12")]
+TYPE_LEVELS = [
+    r"^pk$| pk$| pk/| pk and ",
+    r"^elementary$|elementary/| elementary$| elementary and | elem$| elem/| elem and | elm$| elm and | elm/| es$| es/",
+    r"^middle$| middle$|/middle$|middle/| middle and ",
+    r"^high$| high$|/high$|high/| hs$|/hs$",
+]
+
+
 def level_code(grades: Column) -> Column:
-    """Level codes of a grade span such as ``PK-5`` or ``6, 8``. Grade 6 opens a middle span but closes an elementary one."""
+    """Level codes of a grade span such as ``PK-5`` or ``6, 8``; grades compare as text, so ``01`` is none. Grade 6 opens a middle span but closes an elementary one."""
     text = F.regexp_replace(F.regexp_replace(F.lower(grades), " & ungraded|grades: ", ""), "prek", "pk")
     tokens = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), ",| |-")
-
-    def level(token: Column, sixth: int) -> Column:
-        number = token.try_cast("int")
-        plain = token.rlike(r"^\d+$")
-        middle = number > 6 if sixth == 2 else number > 5
-        return (
-            F.when(token.isin("pk", "tk"), 1).when(token == "k", 2).when(plain & (number <= 12), F.when(number > 8, 4).when(middle, 3).otherwise(2))
-        )
-
-    return span(level(F.element_at(tokens, 1), 3), level(F.element_at(tokens, -1), 2))
+    level = lambda token, table: F.coalesce(*[F.when(token.isin(*names), i) for i, names in enumerate(table, 1)])
+    return span(level(F.element_at(tokens, 1), LOWEST), level(F.element_at(tokens, -1), HIGHEST))
 
 
 def level_code_of_type(text: Column) -> Column:
     """Level codes of a type text such as ``Elementary/Middle``."""
     t = F.regexp_replace(F.trim(F.regexp_replace(F.lower(text), r"\s+", " ")), "prek", "pk")
-    patterns = [r"^pk$| pk$| pk/| pk and ", r"^elementary$|elementary/| elementary$| elementary and | elem$| elem/| elem and | elm$| elm and | elm/| es$| es/",
-                r"^middle$| middle$|/middle$|middle/| middle and ", r"^high$| high$|/high$|high/| hs$|/hs$"]
-    found = [F.when(t.rlike(p), i + 1) for i, p in enumerate(patterns)]
+    found = [F.when(t.rlike(p), i) for i, p in enumerate(TYPE_LEVELS, 1)]
     return span(F.coalesce(*found), F.coalesce(*found[::-1]))
 
 

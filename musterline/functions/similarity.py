@@ -1,13 +1,14 @@
-"""Name similarity on UTF-8 bytes: unigram measures as column expressions, edit measures as one Arrow-batched UDF.
+"""Name similarity on UTF-8 bytes: unigram measures as column expressions, edit measures as Arrow-batched UDFs.
 
-The edit UDF is the only Python here: Spark has no Jaro-Winkler or restricted Damerau distance and no Soundex that
-keeps a leading digit. It computes each distinct pair of a batch once.
+The edit UDFs are the only Python here: Spark has no Jaro-Winkler or restricted Damerau distance and no Soundex that
+keeps a leading digit. Jaro-Winkler runs over all pairs of a batch at once, byte by byte; the others once per distinct value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,22 +97,89 @@ def soundex(s: bytes) -> str:
     return (out + "000")[:4]
 
 
+def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as rows of bytes, zero after their ends, and their lengths."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    wide = max(1, int(sizes.max(initial=0)))
+    return np.frombuffer(b"".join(t.ljust(wide, b"\0") for t in texts), np.uint8).reshape(len(texts), wide), sizes
+
+
+def winkler(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Jaro-Winkler distances of pairs, the same as ``jaro_winkler`` gives one by one."""
+    (x, nx), (y, ny) = padded(a), padded(b)
+    rows, wide = np.arange(len(a)), y.shape[1]
+    reach = np.maximum(np.maximum(nx, ny) // 2 - 1, 0)[:, None]
+    places = np.arange(wide)[None, :]
+    free, hit = places < ny[:, None], np.zeros(x.shape, bool)
+    for i in range(x.shape[1]):
+        fits = free & (y == x[:, i : i + 1]) & (np.abs(places - i) <= reach) & (i < nx)[:, None]
+        at = fits.argmax(axis=1)
+        found = fits[rows, at]
+        hit[:, i] = found
+        free[rows[found], at[found]] = False
+    taken = (places < ny[:, None]) & ~free
+    m = hit.sum(axis=1)
+    left, right = (np.zeros((len(a), max(1, int(m.max(initial=0)))), np.uint8) for _ in range(2))
+    for out, codes, mask in ((left, x, hit), (right, y, taken)):
+        r, c = np.nonzero(mask)
+        out[r, (np.cumsum(mask, axis=1) - 1)[r, c]] = codes[r, c]
+    moved = (left != right).sum(axis=1) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / nx + m / ny + (m - moved) / m) / 3, 0.0)
+    k = min(4, x.shape[1], wide)
+    equal = (x[:, :k] == y[:, :k]) & (np.arange(k)[None, :] < np.minimum(nx, ny)[:, None])
+    prefix = np.logical_and.accumulate(equal, axis=1).sum(axis=1)
+    return np.where((nx == 0) & (ny == 0), 0.0, np.where(m > 0, 1 - (jaro + prefix * 0.1 * (1 - jaro)), 1.0))
+
+
+STEP = 8192  # pairs compared at once
+
+
+def _scored(a: pd.Series, b: pd.Series) -> tuple[np.ndarray, np.ndarray, list, list]:
+    """Which pairs are whole, their Jaro-Winkler distances, and their sides as bytes."""
+    whole = (a.notna() & b.notna()).to_numpy()
+    x, y = ([t.encode() for t in s[whole]] for s in (a, b))
+    distance = np.full(len(a), np.nan)
+    parts = [winkler(x[i : i + STEP], y[i : i + STEP]) for i in range(0, len(x), STEP)]
+    distance[whole] = np.concatenate(parts) if parts else []
+    return whole, distance, x, y
+
+
+def _codes(values: list[bytes]) -> list[str]:
+    known = {v: soundex(v) for v in set(values)}
+    return [known[v] for v in values]
+
+
+def _unlike(x: list[bytes], y: list[bytes]) -> list[int]:
+    return [int(not (p and q and c == d)) for p, q, c, d in zip(x, y, _codes(x), _codes(y))]
+
+
+SOUNDS = T.StructType([T.StructField("jw", T.DoubleType()), T.StructField("soundex", T.IntegerType())])
 EDITS = T.StructType([T.StructField("jw", T.DoubleType()), T.StructField("osa", T.IntegerType()), T.StructField("soundex", T.IntegerType())])
 
 
+@F.pandas_udf(SOUNDS)
+def sounds(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Jaro-Winkler distance and whether Soundex codes differ; null if either side is null."""
+    whole, distance, x, y = _scored(a, b)
+    out = pd.DataFrame({"jw": distance, "soundex": pd.array([None] * len(a), "Int32")})
+    out.loc[whole, "soundex"] = _unlike(x, y)
+    return out
+
+
 @F.pandas_udf(EDITS)
 def edits(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Jaro-Winkler distance, restricted Damerau distance, and whether Soundex codes differ; null if either side is null."""
-    memo: dict = {}
-
-    def of(x, y):
-        if x is None or y is None:
-            return None, None, None
-        if (x, y) not in memo:
-            p, q = x.encode(), y.encode()
-            same = p and q and soundex(p) == soundex(q)
-            memo[x, y] = jaro_winkler(p, q), osa(p, q), int(not same)
-        return memo[x, y]
-
-    frame = pd.DataFrame([of(x, y) for x, y in zip(a, b)], columns=["jw", "osa", "soundex"])
-    return frame.astype({"jw": "float64", "osa": "Int32", "soundex": "Int32"})
+    whole, distance, x, y = _scored(a, b)
+    known = {pair: osa(*pair) for pair in set(zip(x, y))}
+    out = pd.DataFrame({"jw": distance, "osa": pd.array([None] * len(a), "Int32"), "soundex": pd.array([None] * len(a), "Int32")})
+    out.loc[whole, "osa"], out.loc[whole, "soundex"] = [known[p] for p in zip(x, y)], _unlike(x, y)
+    return out
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """All measures of two names and their sum, as one struct; null if either name is null."""
+    e = edits(a, b)
+    parts = {"osa": e["osa"], "qgram": qgram(a, b), "cosine": cosine(a, b), "jaccard": jaccard(a, b), "jw": e["jw"], "soundex": e["soundex"]}
+    total = sum((c.cast("double") for c in list(parts.values())[1:]), parts["osa"].cast("double"))
+    return F.when(a.isNotNull() & b.isNotNull(), F.struct(*[c.alias(k) for k, c in parts.items()], total.alias("score_sums")))

@@ -28,21 +28,29 @@ DISTRICT_NAME = [
     (r"\bcity schools\b", ""), (r"&amp;|&", "and"), (r"[/.-]", " "), (r"\p{P}", ""),
 ]
 LEVELS = [
-    (r"^(?=.*\bkinderg(ar|arten)\b)(?=.*(\bpre and (lower|elem)\b|\bnursery\b))", "PreK/Elementary"),
-    (r"(elementary|elem)/middle|elementary (and )?middle", "Elementary/Middle"),
-    (r"middle/high|middle (and )?high|middlehigh|^(?=.*\bmiddle\b)(?=.*\bhigh\b)", "Middle/High"),
-    (r"\bpre[- ]?k\b|\bpreschool\b|\bnursery\b", "PreK"),
-    (r"\bkinderg(ar|arten)\b|\belementary\b|\blower\b|\bprimary\b", "Elementary"),
-    (r"\bmiddle\b", "Middle"),
-    (r"\bhigh school\b|\bsenior high\b|\bhigh\b(?!\s*road\b)|\bhs\b", "High"),
+    ((r"\bkindergar\b|\bkindergarten\b", r"\bpre and lower\b|\bpre and elem\b|\bnursery\b"), "PreK/Elementary"),
+    ((r"elementary/middle|elem/middle|elementary and middle|elementary middle",), "Elementary/Middle"),
+    ((r"middle/high|middle and high|middle high|middlehigh",), "Middle/High"),
+    ((r"\bmiddle\b", r"\bhigh\b"), "Middle/High"),
+    ((r"\bpre[- ]?k\b|\bprek\b|\bpreschool\b|\bnursery\b",), "PreK"),
+    ((r"\bkindergar\b|\bkindergarten\b",), "Elementary"),
+    ((r"\belementary\b|\blower\b|\bprimary\b|\belementary school\b",), "Elementary"),
+    ((r"\bmiddle( school)?\b",), "Middle"),
+    ((r"\b(high school|senior high( school)?)\b|\bhigh\b(?!\s*road\b)|\bhs\b|\bhigh\s*$",), "High"),
 ]
 LEVEL_WORDS = [
-    (r"middle/high|middle (and )?high|middlehigh|(elementary|elem)/middle|elementary (and )?middle", ""),
-    (r"\b(elementary|middle|high) school\b|\bhs\b|\bsenior high( school)?\b", ""),
-    (r"\b(elementary|lower|primary|middle)\b", ""), (r"\bhigh\s*$", ""),
+    (r"middle/high|middle and high|middle high|middlehigh", ""),
+    (r"elementary/middle|elem/middle|elementary and middle|elementary middle", ""),
+    (r"\belementary school\b", ""),
+    (r"\bmiddle school\b", ""),
+    (r"\bhigh school\b|\bhs\b|\bsenior high( school)?\b", ""),
+    (r"\belementary\b|\blower\b|\bprimary\b|\bmiddle\b", ""),
+    (r"\bhigh\b\s*$", ""),
+    (r"elemntary|elemantary|elemenatry|elementery|elementry|elememtary|elemen", ""),
+    (r"sdchool|skool|schoool|schools", ""),
 ]
 TYPES = [
-    (r"charter", "charter"), (r"non[- ]?public|oosle|private|independent|religious", "private"), (r"\bpublic\b|\blea\b|special", "public"),
+    ((r"charter",), "charter"), ((r"non[- ]?public|oosle|private|independent|religious",), "private"), ((r"\bpublic\b|\blea\b|special",), "public"),
 ]
 PO_BOX = r"(?i)\bP\.?\s*O\.?\s*BOX\b|\bPOBOX\b|\bPOST\s+OFFICE\s+BOX\b"
 
@@ -69,8 +77,9 @@ def district_name(c: Column) -> Column:
 
 
 def first_match(c: Column, rules, flags: str = "(?i)") -> Column:
-    """The label of the first pattern found, else null."""
-    return F.coalesce(*[F.when(c.rlike(flags + p), F.lit(label)) for p, label in rules])
+    """The label of the first rule whose patterns are all found, else null."""
+    fits = lambda patterns: reduce(lambda x, y: x & y, [c.rlike(flags + p) for p in patterns])
+    return F.coalesce(*[F.when(fits(patterns), F.lit(label)) for patterns, label in rules])
 
 
 def school_level(c: Column) -> Column:

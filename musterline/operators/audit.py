@@ -51,7 +51,7 @@ def run_checks(df: DataFrame, checks: str | list[str] = "all", deviation_thresho
     if "duplicates" in chosen and has("school_id", "year"):
         identical, results["duplicates_conflicting"] = duplicate_rows(df)
         results["duplicates_identical"] = identical
-        data = df if identical.isEmpty() else df.distinct()
+        data = df.distinct()  # rows equal in all columns; a table without any stays as it is
     counts = [c for c in COUNTS if c in df.columns]
     if "negatives" in chosen and (present := [*counts, *(["enrollment"] if has("enrollment") else [])]):
         results["negative_values"] = data.where(dqa.any_of([F.col(c) < 0 for c in present]))
@@ -70,9 +70,33 @@ def run_checks(df: DataFrame, checks: str | list[str] = "all", deviation_thresho
     if "extreme_outliers" in chosen and has("school_id", "enrollment"):
         median = F.median("enrollment").over(Window.partitionBy("school_id"))
         results["extreme_outliers"] = data.withColumn("median_enroll", median).where(F.col("enrollment") > outlier_multiplier * F.col("median_enroll"))
-    counted = [r.agg(F.lit(k).alias("check"), F.count("*").alias("issue_count"), F.lit("requires_review").alias("action_type")) for k, r in results.items() if k != "duplicates_identical"]
-    none = df.sparkSession.createDataFrame([], "check string, issue_count long, action_type string")
-    return Audited(reduce(DataFrame.union, counted, none), results, data)
+    return Audited(tallied(df, data, results, deviation_threshold, coverage_threshold, outlier_multiplier), results, data)
+
+
+def tallied(df: DataFrame, data: DataFrame, results: dict[str, DataFrame], deviation_threshold: float, coverage_threshold: float, outlier_multiplier: float) -> DataFrame:
+    """(check, issue_count, action_type) of the checks in ``results``, as flags of one pass over the table and its windows."""
+    school, flags = Window.partitionBy("school_id"), {}
+    counts = [c for c in COUNTS if c in df.columns]
+    covered = F.col("mmr_coverage") if "mmr_coverage" in df.columns else dqa.coverage()
+    far = lambda c: dqa.no((F.abs(F.try_divide(F.col(c) - F.avg(c).over(school), F.avg(c).over(school))) > deviation_threshold) | ((F.avg(c).over(school) == 0) & (F.col(c) != F.avg(c).over(school))))
+    ways = {
+        "negative_values": lambda: dqa.any_of([F.col(c) < 0 for c in [*counts, *(["enrollment"] if "enrollment" in df.columns else [])]]),
+        "exceeding_enrollment": lambda: dqa.any_of([F.col(c) > F.col("enrollment") for c in counts]),
+        "coverage_outliers": lambda: (covered < 0) | (covered > coverage_threshold),
+        "over_coverage": lambda: reduce(lambda x, y: x + y, map(F.col, COUNTS)) > F.col("enrollment"),
+        "enrollment_deviation": lambda: far("enrollment"),
+        "vaccination_deviation": lambda: far("current"),
+        "extreme_outliers": lambda: F.col("enrollment") > outlier_multiplier * F.median("enrollment").over(school),
+    }
+    flags = {k: ways[k]() for k in results if k in ways}
+    none = df.sparkSession.createDataFrame([], "check string, issue_count long")
+    parts = [none]
+    if flags:
+        marked = data.select(*[dqa.no(c).cast("long").alias(k) for k, c in flags.items()])
+        parts.append(marked.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in flags]).unpivot([], list(flags), "check", "issue_count"))
+    if "duplicates_conflicting" in results:
+        parts.append(results["duplicates_conflicting"].agg(F.lit("duplicates_conflicting").alias("check"), F.count("*").alias("issue_count")))
+    return reduce(DataFrame.union, parts).withColumn("action_type", F.lit("requires_review"))
 
 
 def consolidated(results: dict[str, DataFrame]) -> DataFrame:

@@ -76,8 +76,8 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     key = [c for c in l.columns if c != "l_id"]  # rows alike in all that is compared are scored once
     on = [F.col(f"l{j}") == F.col(f"r{j}") if len(block) == 1 else F.col(f"l{j}").eqNullSafe(F.col(f"r{j}")) for j in range(len(block))]
     pairs = l.select(*key).distinct().join(r, reduce(lambda x, y: x & y, on))
-    names = pairs.select("l_name", "r_name").distinct().withColumn("e", similarity.edits("l_name", "r_name"))
-    pairs = pairs.join(names, ["l_name", "r_name"]).withColumn("jw", F.col("e.jw"))
+    # no candidate at 0.5 or farther is ever taken, so only nearer ones go on
+    pairs = pairs.withColumn("e", similarity.sounds("l_name", "r_name")).withColumn("jw", F.col("e.jw")).where((F.col("jw") < 0.5) | (F.col("jw") <= exact_at))
     pairs = pairs.withColumn("low", F.min("jw").over(Window.partitionBy(*key))).where(F.col("low") <= threshold_min)
     a, b = F.col("l_name"), F.col("r_name")
     near = (F.col("low") <= exact_at) & (F.col("jw") <= exact_at)
@@ -85,12 +85,12 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     pairs = pairs.where(near | ((F.col("low") > exact_at) & ((F.col("jw") <= threshold) | F.coalesce(alike, F.lit(False)))))
     order = Window.partitionBy(*key).orderBy("jw", "r_id")
     pairs = pairs.withColumn("__n", F.row_number().over(order)).where((F.col("__n") <= keep) | (F.col("low") <= exact_at))
-    pairs = pairs.withColumn("cos", similarity.cosine(a, b)).withColumn("jac", similarity.jaccard(a, b))
-    sound, edit = F.col("e.soundex") == 0, F.col("e.osa") / F.octet_length(b)
+    pairs = pairs.withColumn("cos", similarity.cosine(a, b)).withColumn("jac", similarity.jaccard(a, b)).withColumn("osa", similarity.edits(a, b)["osa"])
+    sound, edit = F.col("e.soundex") == 0, F.col("osa") / F.greatest(F.char_length(b), F.lit(1))
     first = ((F.col("jac") <= 0.05) & (F.col("cos") <= 0.05)) | (F.col("jw") <= 0.15) | (sound & (F.col("jw") <= 0.3))
     second = (sound & (F.col("cos") <= 0.25)) | ((F.col("jac") <= 0.15) & (F.col("cos") <= 0.15) & (edit <= 0.4)) | (F.col("jw") <= 0.21)
     grade = F.when(F.col("low") <= exact_at, 0).when((F.col("jw") < 0.5) & (F.col("jac") < 0.5), F.when(first, 1).when(second, 2))
-    other_level = F.when(F.col("l_level").eqNullSafe(F.col("r_level")), 0).otherwise(1) if level else F.lit(0)
+    other_level = F.when(F.col("l_level").isNull() | (F.col("l_level") == F.col("r_level")), 0).otherwise(1) if level else F.lit(0)
     best = first_per(pairs.withColumn("grade", grade).where("grade is not null").withColumn("other", other_level), key, "grade", "jw", F.when(F.col("grade") == 0, F.col("other")), "r_id")
     category = F.when(F.col("jw") <= exact_at, "Exact Match").when(F.col("jw") <= 2 * exact_at, "High").when(F.col("jw") <= 5 * exact_at, "Moderate").otherwise("Low")
     best = l.alias("l").join(best.alias("b"), reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, has_street_address
 
-CLOSED = ("closed", "temporarily closed", "CLOSED_PERMANENTLY", "CLOSED_TEMPORARILY")
+# States of business that a report on closed schools lists.
+CLOSED = ("closed_temporarily", "closed_permanently")
 
 
 def missing_places(df: DataFrame, key: str = "school_id") -> DataFrame:
@@ -17,17 +18,22 @@ def missing_places(df: DataFrame, key: str = "school_id") -> DataFrame:
     return df.withColumns(flags).where(" or ".join(flags)).orderBy(F.col(key).asc_nulls_last())
 
 
-def closed_schools(df: DataFrame, key: str = "school_id", year: str = "year") -> DataFrame:
-    """The latest row of each school whose state there says closed."""
-    order = Window.partitionBy(key).orderBy(F.col(year).desc_nulls_last())
-    latest = df.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
-    return latest.where(F.col("business_status").isin(*CLOSED)).orderBy(key)
+def closed_schools(df: DataFrame, keys: tuple[str, ...] = ("school_id", "school_name"), year: str = "year") -> DataFrame:
+    """Rows whose state of business says closed, with the latest such year of their school."""
+    latest = F.max(year).over(Window.partitionBy(*keys))
+    return df.where(F.col("business_status").isin(*CLOSED)).withColumn("latest_year", latest).orderBy("business_status", F.col("latest_year").desc_nulls_last(), *keys)
 
 
 def missing_addresses(df: DataFrame, key: str = "school_id", name: str = "school_name_std") -> DataFrame:
-    """Rows without a latitude or a numbered address, one per name and then per school; rows without a school all stay."""
-    rows = df.where(F.col("lat").isNull() | ~has_street_address(F.col("addr_clean"))).dropDuplicates([name])
-    return rows.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(rows.where(F.col(key).isNull()))
+    """Rows without a latitude or a numbered address, one per name and then per school; rows without a school all stay.
+
+    Of several the first in the order of the table's columns stays.
+    """
+    rows = df.where(blank_to_null(F.col("lat").cast("string")).isNull() | ~has_street_address(F.col("addr_clean")))
+    order = [F.col(key).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in df.columns if c != key]]
+    first = lambda rows, by: rows.withColumn("__n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where("__n = 1").drop("__n")
+    rows = first(rows, name)
+    return first(rows.where(F.col(key).isNotNull()), key).unionByName(rows.where(F.col(key).isNull()))
 
 
 def renames(matched: DataFrame, left: str = "name_1", right: str = "name_2") -> DataFrame:
@@ -47,16 +53,23 @@ def call_summary(calls: DataFrame, prices: dict[str, float], by_caller: bool = F
     return out.join(failures, keys, "left")
 
 
-def explained(df: DataFrame, same: float = 0.95, alike: float = 0.85) -> DataFrame:
-    """An explanation for each unmatched school from its best candidates: similarity and state by source, ordered by precedence.
+def preview(df: DataFrame, column: str, key: str, n: int = 5) -> DataFrame:
+    """The ``n`` rows of the largest values, ties by key."""
+    return df.orderBy(F.col(column).desc_nulls_last(), key).limit(n)
 
-    Columns read: best_sim (the highest over all sources), nces_sim, nces_status, level_code, addr_clean.
-    """
-    sim = F.coalesce("best_sim", F.lit(0.0))
-    reason = (
-        F.when((F.coalesce("nces_sim", F.lit(0.0)) >= alike) & F.col("nces_status").isin(*CLOSED), "closed school")
-        .when(~(F.col("level_code").isNull() | F.col("level_code").rlike("[ep]")), "not an elementary school")
-        .when(sim >= same, "same name, other location").when(sim >= alike, "likely a spelling variant")
-        .when(~has_street_address(F.col("addr_clean")), "no usable address").otherwise("no similar school")
-    )
-    return df.withColumn("explanation", reason)
+
+def unmatched_report(df: DataFrame, key: str = "school_id") -> DataFrame:
+    """Rows without a school, by name and county."""
+    return df.where(F.col(key).isNull()).orderBy(F.col("school_name").asc_nulls_last(), F.col("county_std").asc_nulls_last())
+
+
+def with_metadata(summary: DataFrame, state: str | None, at: str | None) -> DataFrame:
+    """The state and the time of a report before its columns; a null is left out."""
+    first = {k: v for k, v in (("state", state), ("generated_at", at)) if v is not None}
+    return summary.select(*[F.lit(v).alias(k) for k, v in first.items()], *summary.columns)
+
+
+def summary_lines(counted: dict[str, int]) -> list[str]:
+    """A report of counts as lines for a console, the largest first."""
+    wide = max(map(len, counted), default=0)
+    return [f"{name.ljust(wide)}  {n:>9,}" for name, n in sorted(counted.items(), key=lambda x: (-x[1], x[0]))]
