@@ -35,3 +35,10 @@ def patched(df: DataFrame, other: DataFrame, key: str, columns: list[str]) -> Da
     """Nulls of ``columns`` filled from ``other`` (one row per key)."""
     named = other.select(F.col(key), *[F.col(c).alias(f"__{c}") for c in columns])
     return df.join(named, key, "left").withColumns({c: F.coalesce(c, f"__{c}") for c in columns}).drop(*[f"__{c}" for c in columns])
+
+
+def updated(df: DataFrame, other: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Columns overwritten by those of ``other`` (one row per key) where it has the key, nulls included."""
+    named = other.select(F.col(key), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in columns])
+    joined = df.join(named, key, "left")
+    return joined.withColumns({c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)) for c in columns}).drop("__hit", *[f"__{c}" for c in columns])

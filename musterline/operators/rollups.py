@@ -78,3 +78,30 @@ def directory_latest(df: DataFrame, key: str, open_states: dict[int, str]) -> Da
 def billable(n: Column, before: Column, free: Column) -> Column:
     """Of ``n`` calls those beyond the free ones that ``before`` has left."""
     return F.greatest(before + n - free, F.lit(0)) - F.greatest(before - free, F.lit(0))
+
+
+def repacked(df: DataFrame, keys: list[str], column: str, separator: str = "; ") -> DataFrame:
+    """Packed lists of a key's rows as one list of their distinct values, sorted."""
+    return packed(unpacked(df, column, separator), keys, column, separator).select(*keys, F.col("packed").alias(column))
+
+
+def years_summary(df: DataFrame, years: list[int], series: str = "vaccine_type", key: str = "school_id", described: tuple[str, ...] = ()) -> DataFrame:
+    """One row per series and key: rows of each of ``years``, in how many the key stands, whether some stand twice or lack, and which lack.
+
+    A year lacks if the series has it for another key. Descriptions come from the key's latest year, of several rows the
+    first in the order of their values. Rows without a key are left out.
+    """
+    rows = df.where(F.col(key).isNotNull())
+    counts = [F.sum((F.col("year") == y).cast("long")).alias(str(y)) for y in years]
+    have = rows.groupBy(series, key).agg(*counts, F.collect_set("year").alias("__have"))
+    offered = rows.groupBy(series).agg(F.collect_set("year").alias("__all"))
+    out = have.join(offered, have[series].eqNullSafe(offered[series])).drop(offered[series])
+    lacking = F.array_sort(F.array_except("__all", "__have"))
+    total = reduce(lambda x, y: x + y, [F.col(str(y)) for y in years])
+    present = reduce(lambda x, y: x + y, [(F.col(str(y)) > 0).cast("int") for y in years])
+    out = out.withColumns({"n_years": present, "n_rows": total, "years_missing": F.when(F.size(lacking) > 0, F.array_join(F.transform(lacking, lambda y: y.cast("string")), "; "))})
+    out = out.withColumns({"has_duplicate_years": F.col("n_rows") > F.col("n_years"), "has_missing_years": F.col("years_missing").isNotNull()}).drop("__have", "__all")
+    if described:
+        latest = rows.groupBy(key).agg(F.max_by(F.struct(*described), F.struct("year", *described)).alias("__d"))
+        out = out.join(latest, key).select(key, *[F.col(f"__d.{c}").alias(c) for c in described], *[c for c in out.columns if c != key])
+    return out

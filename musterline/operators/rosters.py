@@ -88,3 +88,11 @@ def level_union(*codes: Column) -> Column:
     every = F.concat_ws(",", *codes)
     kept = F.array_join(F.array_compact(F.array(*[F.when(every.contains(k), F.lit(k)) for k in "pemh"])), ",")
     return F.nullif(kept, F.lit(""))
+
+
+def reaggregated(schools: DataFrame, keys: list[str], lists: list[str]) -> DataFrame:
+    """Schools that agree in ``keys`` as one: records summed, lists united, and new ids by name and county."""
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    grouped = schools.groupBy(*keys).agg(F.sum("n_records").alias("n_records"), *[union(c) for c in lists])
+    first = [c for c in ("school_name_std", "county_std") if c in keys]
+    return dense_id(grouped, [*first, *[k for k in keys if k not in first]], "vacc_school_id")

@@ -172,18 +172,6 @@ def std_county(spark, sf_dir):
     return c.select("c_custkey", text.county_name(F.concat("c_mktsegment", F.lit(" County-"), "c_name")).alias("county"))
 
 
-@query("type_class", "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'charter' WHEN p_size % 5 IN (1, 2) THEN 'private' WHEN p_size % 5 = 3 THEN 'public' END AS school_type FROM part")
-def type_class(spark, sf_dir):
-    label = F.element_at(F.array(*map(F.lit, ["Public Charter", "Non-public", " religious ", "LEA public", "other"])), F.col("p_size") % 5 + 1)
-    return table(spark, sf_dir, "part").select("p_partkey", text.school_type(label).alias("school_type"))
-
-
-@query("level_code", "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'p,e' WHEN 1 THEN 'e,m' WHEN 2 THEN 'm,h' WHEN 3 THEN 'm,e' END AS level_code FROM part")
-def level_code(spark, sf_dir):
-    span = F.element_at(F.array(*map(F.lit, ["PreK-6", "K-8", "Grades: 6-12", "6-6", "ungraded"])), F.col("p_size") % 5 + 1)
-    return table(spark, sf_dir, "part").select("p_partkey", grades.level_code(span).alias("level_code"))
-
-
 def _concat_query(name: str, table_name: str, key: str, source, f, alias: str, sql: str):
     @query(name, sql)
     def run(spark, sf_dir):
@@ -196,12 +184,6 @@ _concat_query("std_district", "supplier", "s_suppkey", lambda: F.concat(F.lit("U
               "SELECT s_suppkey, 'unit ' || s_suppkey || ' and co' AS district FROM supplier")
 _concat_query("clean_address", "supplier", "s_suppkey", lambda: F.concat(F.col("s_suppkey").cast("string"), F.lit(" North Second Oak, Suite "), F.col("s_nationkey").cast("string"), F.lit(" # 7 Hill Avenue")), address.clean_address, "address",
               "SELECT s_suppkey, s_suppkey || ' N 2ND OAK STE ' || s_nationkey || ' APT 7 HILL AVE' AS address FROM supplier")
-_concat_query("po_box", "customer", "c_custkey", lambda: F.when(F.col("c_custkey") % 3 == 0, "P. O. Box 1").when(F.col("c_custkey") % 3 == 1, "12 Oak"), text.is_po_box, "po_box",
-              "SELECT c_custkey, c_custkey % 3 = 0 AS po_box FROM customer")
-_concat_query("school_level", "part", "p_partkey", lambda: F.element_at(F.array(*map(F.lit, ["Oak Elementary", "Oak Middle High", "Hill High", "High Road", "Pre-K Oak"])), F.col("p_size") % 5 + 1), text.school_level, "level",
-              "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'Elementary' WHEN 1 THEN 'Middle/High' WHEN 2 THEN 'High' WHEN 4 THEN 'PreK' END AS level FROM part")
-_concat_query("colon_grades", "part", "p_partkey", lambda: F.element_at(F.array(*map(F.lit, ["KG:01:02", "XG", "12:PK", "05", ""])), F.col("p_size") % 5 + 1), grades.colon_grades, "grades",
-              "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'k-2' WHEN 2 THEN 'prek-12' WHEN 3 THEN '5' END AS grades FROM part")
 
 
 def name_pairs(spark, sf_dir):
@@ -224,16 +206,6 @@ for _name, _f, _sql in (("sim_cosine", similarity.cosine, "greatest(0, 1 - xy /
         return name_pairs(spark, sf_dir).select("p_name", "q_name", F.round(f(F.col("p_name"), F.col("q_name")), 6).alias("distance"))
 
 
-@query("sim_edits")
-def sim_edits(spark, sf_dir):
-    return name_pairs(spark, sf_dir).withColumn("e", similarity.edits("p_name", "q_name")).select("p_name", "q_name", "e.*")
-
-
-@query("sim_levenshtein", _PAIRS + "SELECT p_name, q_name, CAST(levenshtein(p_name, q_name) AS INT) AS distance FROM p")
-def sim_levenshtein(spark, sf_dir):
-    return name_pairs(spark, sf_dir).select("p_name", "q_name", F.levenshtein("p_name", "q_name").alias("distance"))
-
-
 def _rosters(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id1"), (F.col("c_custkey") % 500).cast("string").alias("name"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_nationkey").cast("string")).alias("county"), (F.col("c_custkey") % 7).cast("string").alias("zip"))
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id2"), (F.col("s_suppkey") % 500).cast("string").alias("name"), F.col("s_nationkey").cast("string").alias("county"), (F.col("s_suppkey") % 5).cast("string").alias("zip"))
@@ -273,21 +245,6 @@ def _names(spark, sf_dir):
     return p, q
 
 
-@query("fuzzy_block_match")
-def fuzzy_block_match(spark, sf_dir):
-    return linkage.fuzzy(*_names(spark, sf_dir), "name", ["county"], "id1", "id2").matched
-
-
-@query("fuzzy_cascade")
-def fuzzy_cascade(spark, sf_dir):
-    durable(spark)
-    passes = [
-        linkage.Pass("same name", lambda a, b: linkage.exact(a, b, "name", ["county"], "id1", "id2")),
-        linkage.Pass("near name", lambda a, b: linkage.fuzzy(a, b, "name", ["county"], "id1", "id2", 0.3, 0.15, 0.1)),
-    ]
-    return linkage.cascade(*_names(spark, sf_dir), passes, "id1", "id2").matched
-
-
 def _points(spark, sf_dir):
     s = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(s.alias("id"), (40 + (s * 37 % 101) / 20000.0).alias("lat"), (-80 + (s * 53 % 89) / 20000.0).alias("lon"))
@@ -329,14 +286,6 @@ def explode_ids(spark, sf_dir):
     return rollups.unpacked(packed_ids(spark, sf_dir).drop("n_records"), "packed")
 
 
-@query("location_keys", """SELECT r_name AS state, n_name AS county, s_nationkey % 3 AS district, count(*) AS n_records, min(s_suppkey) AS first_id, arg_min(s_name, s_suppkey) AS school_name
-FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
-def location_keys(spark, sf_dir):
-    joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    keys = [F.col("r_name").alias("state"), F.col("n_name").alias("county"), (F.col("s_nationkey") % 3).alias("district")]
-    return joined.groupBy(*keys).agg(F.count("*").alias("n_records"), F.min("s_suppkey").alias("first_id"), F.min_by("s_name", "s_suppkey").alias("school_name"))
-
-
 @query("years_by_school", WITH_SY + "SELECT school_id, " + ", ".join(f'count(*) FILTER (WHERE year = {y}) AS "{y}"' for y in range(1992, 1999)) + ", CAST(count(DISTINCT year) FILTER (WHERE year BETWEEN 1992 AND 1998) AS INT) AS n_years FROM sy GROUP BY school_id")
 def years_by_school(spark, sf_dir):
     return rollups.years_wide(school_years(spark, sf_dir), "school_id", list(range(1992, 1999)))
@@ -404,19 +353,6 @@ def linkage_key(spark, sf_dir):
     return model_tables.observations(school_years(spark, sf_dir))
 
 
-@query("html_json_extract", r"SELECT page_id, nullif(regexp_extract(html, '<html lang=\"([a-z]+)\"', 1), '') AS lang, length(nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '')) AS title_chars FROM pages")
-def html_json_extract(spark, sf_dir):
-    found = lambda p: F.nullif(F.regexp_extract("html", p, 1), F.lit(""))
-    return table(spark, sf_dir, "pages").select("page_id", found('<html lang="([a-z]+)"').alias("lang"), F.length(found("(?s)<title>(.*?)</title>")).cast("long").alias("title_chars"))
-
-
-@query("collapse_places")
-def collapse_places(spark, sf_dir):
-    levels = F.element_at(F.array(*map(F.lit, ["p,e", "e,m", "h", "", "m"])), (F.col("s_suppkey") % 5).cast("int") + 1)
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 4 != 0, F.col("s_nationkey").cast("string")).alias("place_id"), levels.alias("level_code"))
-    return linkage.collapse_places(rows, "s_suppkey")
-
-
 @query("finalize_cleaned", WITH_SY + f""", f AS ({_FIXED}) SELECT school_id, year, enrollment, current, med_exempt, rel_exempt FROM f
 WHERE enrollment > 0 AND current IS NOT NULL AND med_exempt IS NOT NULL AND rel_exempt IS NOT NULL AND current <> 0""")
 def finalize_cleaned(spark, sf_dir):

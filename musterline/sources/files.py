@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import io
 import re
+import warnings
 import zipfile
+from pathlib import Path
 from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,3 +77,82 @@ def write_report(df: DataFrame, path: str, kind: str = "csv") -> None:
     if kind not in ("csv", "parquet", "json"):
         raise ValueError(f"unknown report format {kind!r}")
     df.write.mode("overwrite").format(kind).options(**({"header": "true"} if kind == "csv" else {})).save(path)
+
+
+def write_sheet(rows: list[list], path: str) -> None:
+    """A small workbook of one sheet, texts and numbers as they are."""
+    from xml.sax.saxutils import escape
+
+    def cell(value) -> str:
+        if value is None:
+            return "<c/>"
+        if isinstance(value, (int, float)) and not isinstance(value, bool):
+            return f"<c><v>{value}</v></c>"
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
+
+    main = _MAIN.strip("{}")
+    package, office = "http://schemas.openxmlformats.org/package/2006", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    sheet = "".join(f"<row>{''.join(map(cell, r))}</row>" for r in rows)
+    kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    parts = {
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kinds}.worksheet+xml"/></Types>',
+        "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="report" sheetId="1" r:id="r1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{sheet}</sheetData></worksheet>',
+    }
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
+        for name, text in parts.items():
+            book.writestr(name, f'<?xml version="1.0" encoding="UTF-8"?>{text}')
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """A report of a few rows, as csv, parquet or xlsx by the path's extension; other extensions are errors."""
+    kind = path.rsplit(".", 1)[-1].lower()
+    if kind == "xlsx":
+        rows = [list(r) for r in summary.collect()]  # a row per check
+        write_sheet([summary.columns, *rows], path)
+    else:
+        write_report(summary, path, kind)
+
+
+def write_details(results: dict[str, DataFrame], folder: str, consolidate: DataFrame | None = None, kind: str = "csv") -> list[str]:
+    """One report per check that found something, and the consolidated table if given; names what was written."""
+    written = []
+    for name, rows in results.items():
+        if not rows.isEmpty():
+            write_report(rows, f"{folder}/{name}.{kind}", kind)
+            written.append(name)
+    if consolidate is not None:
+        write_report(consolidate, f"{folder}/consolidated.{kind}", kind)
+        written.append("consolidated")
+    return written
+
+
+def file_name(state: str, prefix: str, extension: str) -> str:
+    return f"{state}_{prefix}.{extension}"
+
+
+def expect_files(paths: list[str], step: str | None = None) -> None:
+    """An error that names the files that are not there, and the step that should have written them."""
+    missing = [p for p in paths if not Path(p).exists()]
+    if missing:
+        raise FileNotFoundError(f"missing expected output files{f' for {step}' if step else ''}:\n" + "\n".join(missing))
+
+
+def made_folder(path: str) -> str:
+    """The folder, made with its parents where it is not there."""
+    Path(path).mkdir(parents=True, exist_ok=True)
+    return path
+
+
+def check_schools(df: DataFrame) -> None:
+    """An error for a table that cannot be geocoded: no name or state column, or only null names; absent helpful columns give a warning."""
+    missing = [c for c in ("school_name", "state") if c not in df.columns]
+    if missing:
+        raise ValueError("missing columns: " + ", ".join(missing))
+    helpful = [c for c in ("addr_clean", "city", "zip", "county_std") if c not in df.columns]
+    if helpful:
+        warnings.warn("columns that help geocoding are missing: " + ", ".join(helpful), stacklevel=2)
+    if df.where("school_name is not null").isEmpty():
+        raise ValueError("all school names are null")

@@ -49,3 +49,11 @@ def combined(*surveys: DataFrame) -> DataFrame:
 def save(spark: SparkSession, surveys: DataFrame, path: str) -> DataFrame:
     surveys.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def vaxview(spark: SparkSession, child: DataFrame, school: DataFrame, teen: DataFrame, state: str, path: str | None = None, pull: bool = False) -> DataFrame:
+    """The three survey files of a state in one layout, kept at ``path`` if given. With ``pull`` they come with an interval in ``ci``, which is split."""
+    split = interval if pull else (lambda df: df)
+    child, school, teen = (split(df) if "ci" in df.columns else df for df in (child, school, teen))
+    out = combined(household_survey(child, state, "child", "birth_year", "birth year"), school_survey(school, state), household_survey(teen, state, "teen", "survey_year", "survey year"))
+    return out if path is None else save(spark, out, path)
