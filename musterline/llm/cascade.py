@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
+from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from .shared import saved, text_of
 
 SAMPLE_ROWS = 2000
+REPEAT, RUNS = 4, 3
+LEAST = 1e-4  # seconds; less cannot be told from none
 FEW = 24  # repeated windows of a text that are looked up one by one
 BLANKS = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
@@ -98,23 +102,37 @@ def default_rules(text_col: str = "text", n_words: str | None = None, n_symbols:
 
 
 def plan(docs: DataFrame, rules: dict[str, Column], id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """Rules in cascade order with the measured ``cost`` (seconds) and ``rejection`` (share) on the sample.
+    """Rules in cascade order with the measured ``cost`` (seconds) and ``rejection`` on the sample.
 
-    The sample holds about ``sample_rows`` rows chosen by a hash of the id (all rows of a smaller table).
+    The sample holds about ``sample_rows`` rows chosen by a hash of the id (all rows of a smaller table). Costs are medians of
+    ``RUNS`` runs over ``REPEAT`` copies of it. The next rule is always the one that rejects most per cost of the rows that
+    the rules before it leave, and ``rejection`` is its share of those. Rejections come from counts of rule combinations.
     """
     total = docs.count()
     spread = max(1, total // sample_rows)
     sample = saved(docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("cascade")), F.lit(spread)) == 0))
-    shares = sample.agg(F.count("*").alias("n"), *[F.sum(c.cast("int")).alias(k) for k, c in rules.items()]).first()
-
-    def seconds(*columns: Column) -> float:
-        began = time.perf_counter()
-        sample.select(*columns).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - began
-
-    floor = min(seconds(F.length(F.col(docs.columns[0]).cast("string"))) for _ in range(2))
-    table = [{"rule": k, "cost": max(seconds(c) - floor, 1e-3), "rejection": (shares[k] or 0) / max(1, shares["n"])} for k, c in rules.items()]
-    return sorted(table, key=lambda r: (-r["rejection"] / r["cost"], r["cost"], r["rule"]))
+    flags = sample.select(*[F.coalesce(c, F.lit(False)).alias(k) for k, c in rules.items()])
+    combinations = flags.groupBy(*rules).agg(F.count("*").alias("__n")).collect()  # as many rows as rules can fail together
+    copies = reduce(DataFrame.union, [sample] * REPEAT)
+
+    def seconds(c: Column) -> float:
+        runs = []
+        for _ in range(RUNS):
+            began = time.perf_counter()
+            copies.select(c).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - began)
+        return median(runs)
+
+    floor = seconds(F.length(F.col(docs.columns[0]).cast("string")))
+    cost = {k: max((seconds(c) - floor) / REPEAT, LEAST) for k, c in rules.items()}
+    table, left = [], list(rules)
+    while left:
+        reach = [r for r in combinations if not any(r[t["rule"]] for t in table)]
+        hits = {k: sum(r["__n"] for r in reach if r[k]) for k in left}
+        best = min(left, key=lambda k: (-hits[k] / cost[k], cost[k], k))
+        table.append({"rule": best, "cost": cost[best], "rejection": hits[best] / max(1, sum(r["__n"] for r in reach))})
+        left.remove(best)
+    return table
 
 
 def cascade(docs: DataFrame, rules: dict[str, Column], id_col: str = "doc_id", order: list[str] | None = None) -> DataFrame:

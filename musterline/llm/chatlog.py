@@ -45,7 +45,7 @@ def fold(events: DataFrame) -> DataFrame:
     return made.select("conv_id", "seq", "role", text.alias("text"))
 
 
-def rendered(messages: DataFrame, order: list[str] | None = None, mask_role: str = "assistant") -> DataFrame:
+def rendered(messages: DataFrame, mask_role: str = "assistant") -> DataFrame:
     """Chunks (conv_id, chunk, formatted, spans) of messages (conv_id, seq, role, text).
 
     Chunks hold ``CHUNK`` consecutive sequence numbers and in order make up the conversation. ``spans`` are the
@@ -77,8 +77,6 @@ def parsed(chunks: DataFrame) -> DataFrame:
     """Chunks read back: conv_id, chunk, n_turns, turns (role, \\n, text, \\n of each turn), loss (text under the mask), size."""
     turns = F.slice(F.split("formatted", r"<\|im_start\|>"), 2, F.length("formatted") + 1)
     body = lambda t: F.substring(t, 1, F.length(t) - len(CLOSE) - 1)
-    role = lambda t: F.substring_index(t, "\n", 1)
-    # a role could itself hold a line break only if the log's role did; it is then read up to the first
     shown = F.transform(turns, lambda t: F.concat(unescaped(body(t)), F.lit("\n")))
     loss = F.transform("spans", lambda s: unescaped(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"])))
     return chunks.select(

@@ -22,9 +22,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cascade import base_metrics, cascade, default_rules, plan
 
     docs = base_metrics(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    rules = default_rules(n_words="n_words", n_symbols="n_symbols")
-    order = [r["rule"] for r in plan(docs, rules)]
-    found = cascade(docs, {"base": F.col("base_failed"), **rules}, order=["base", *order])
+    rules = {"base": F.col("base_failed"), **default_rules(n_words="n_words", n_symbols="n_symbols")}
+    found = cascade(docs, rules, order=[r["rule"] for r in plan(docs, rules)])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -40,6 +40,24 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)]
 
 
+# The text treatment of the tokenizer files that this encoder can read.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+MODEL_OFF = ("dropout", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+
+
+def check_supported(spec: dict) -> None:
+    """An error for a file whose texts would be encoded or decoded otherwise than here."""
+    kinds = [p["type"] for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    wrong = [
+        what for what, bad in (
+            ("model", spec["model"].get("type") != "BPE" or any(spec["model"].get(k) for k in MODEL_OFF)), ("normalizer", (spec.get("normalizer") or {}).get("normalizers") != NORMALIZERS),
+            ("pre_tokenizer", kinds != ["Split", "ByteLevel"]), ("post_processor", spec.get("post_processor") is not None), ("decoder", spec.get("decoder") is not None),
+        ) if bad
+    ]
+    if wrong:
+        raise ValueError("tokenizer file with another " + ", ".join(wrong))
+
+
 class Bpe:
     """One tokenizer file: BPE whose words end in a suffix, over byte symbols, lower-cased and NFC."""
 
@@ -48,6 +66,7 @@ class Bpe:
 
         spec = json.loads(spec)
         model = spec["model"]
+        check_supported(spec)
         self.suffix = model.get("end_of_word_suffix") or ""
         self.ids = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
