@@ -24,6 +24,7 @@ SHINGLE = 4
 DISTANCE = 4
 SEED = 42
 BITS = 64
+ROUNDS, CENTRES = 2, 8  # of stars, before texts that are still apart are compared in pairs
 
 
 def shingled(text: bytes, shingle: int) -> list[bytes]:
@@ -146,34 +147,41 @@ def keys(nodes: DataFrame, words: list[str], balls: bool, parts: list[tuple[int,
     return nodes.withColumn("k", F.explode(F.concat(*lists)))
 
 
-def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None) -> DataFrame:
+def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None, rounds: int = 1, centres: int = 1, near: int | None = None) -> DataFrame:
     """(fp, root) for every distinct fingerprint; fingerprints of one component have one root.
 
-    A node stands for a fingerprint: itself, or of a fingerprint of several ``words`` its 64-bit hash. ``check`` takes pairs of
-    nodes (p, q, ..) with all nodes (node, fp), and leaves the pairs that are linked.
+    A node stands for a fingerprint: itself, or of a fingerprint of several ``words`` its 64-bit hash. In each of ``rounds``
+    every node meets ``centres`` others of each of its buckets, drawn anew, and those at most ``near`` bits apart join; what
+    comes then is exact. ``check`` takes pairs of nodes (p, q, ..) with all nodes (node, fp), and leaves the pairs that are linked.
     """
     single, own = not words, [f"w{i}" for i in range(max(1, words))]
     nodes = prints.groupBy("fp").agg(F.count("*").alias("n"))
-    nodes = saved(nodes.select("fp", (F.col("fp") if single else F.xxhash64("fp")).alias("node"), "n", *[(F.col("fp") if single else F.col("fp")[i]).alias(w) for i, w in enumerate(own)]))
+    nodes = saved(nodes.select("fp", (F.col("fp") if single else F.xxhash64("fp")).alias("node"), *[(F.col("fp") if single else F.col("fp")[i]).alias(w) for i, w in enumerate(own)]))
     parts = parts or segments(nodes.count(), distance)
     check = check or (lambda pairs, nodes: pairs)
     other = [f"o{i}" for i in range(len(own))]
     apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(own[1:], other[1:])), F.bit_count(F.col("w0").bitwiseXOR(F.col("o0"))))
-    aside = lambda df, **names: df.select(*[F.col(c).alias(n) for n, c in names.items()], *[F.col(w).alias(o) for w, o in zip(own, other)])
-    table = keys(nodes, own, False, parts)
-    centre = table.groupBy("k").agg(F.max(F.struct("n", "node", *own)).alias("c")).select("k", F.col("c.node").alias("q"), *[F.col(f"c.{w}").alias(o) for w, o in zip(own, other)])
-    stars = table.select("k", F.col("node").alias("p"), *own).join(centre, "k").where((F.col("p") != F.col("q")) & (apart <= distance))
-    first = components(check(stars.select("p", "q").distinct(), nodes), "p", "q")
-    named = saved(nodes.withColumnRenamed("node", "p").join(first, F.col("p") == first.node, "left").select("fp", "p", *own, F.coalesce("root", "p").alias("a")))
+    named = nodes.select("fp", F.col("node").alias("p"), *own, F.col("node").alias("a"))
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        """The nodes with their labels after pairs (p, q, a, b) are linked."""
+        found = components(check(pairs, nodes).select("a", "b").distinct())
+        return saved(named.join(found, named.a == found.node, "left").select("fp", "p", *own, F.coalesce("root", "a").alias("a")))
+
+    for turn in range(rounds):
+        table = keys(named, own, False, parts)
+        body = F.struct("p", "a", *own)
+        drawn = table.groupBy("k").agg(F.array_distinct(F.array(*[F.min_by(body, F.xxhash64("p", "k", F.lit(turn * centres + i))) for i in range(centres)])).alias("c"))
+        drawn = drawn.select("k", F.explode("c").alias("c")).select("k", F.col("c.p").alias("q"), F.col("c.a").alias("b"), *[F.col(f"c.{w}").alias(o) for w, o in zip(own, other)])
+        stars = table.join(drawn, "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)))
+        named = joined(stars.select("p", "q", "a", "b").distinct())
     left = keys(named, own, True, parts).select("k", "p", "a", *own)
-    right = aside(keys(named, own, False, parts), k2="k", q="p", b="a")
+    right = keys(named, own, False, parts).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(own, other)])
     reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
     left = left.join(reach, F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
     # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough
     rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance))
-    rest = rest.select("a", "b") if single else check(rest.select("p", "q", "a", "b").distinct(), nodes).select("a", "b")
-    second = components(rest.distinct())
-    return named.join(second, named.a == second.node, "left").select("fp", F.coalesce("root", "a").alias("root"))
+    return joined((rest.select("a", "b") if single else rest.select("p", "q", "a", "b")).distinct()).select("fp", F.col("a").alias("root"))
 
 
 def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
@@ -233,4 +241,5 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         shared = F.size(F.array_intersect("x", "y"))
         return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select(*pairs.columns)
 
-    return grouped(prints, linked(prints, distance, parts, words, check)).select(F.col("id").alias("doc_id"), "component_id")
+    near = int(BITS * words * p)
+    return grouped(prints, linked(prints, distance, parts, words, check, ROUNDS, CENTRES, near)).select(F.col("id").alias("doc_id"), "component_id")
