@@ -146,3 +146,30 @@ def cascade(docs: DataFrame, rules: dict[str, Column], id_col: str = "doc_id", o
     for name in reversed(order):
         first = F.when(rules[name], F.lit(name)).otherwise(first)
     return docs.withColumn("rejected_by", first).withColumn("kept", F.col("rejected_by").isNull())
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), g AS (
+  SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) > 2
+), k AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM g
+), c AS (
+  SELECT r, count(DISTINCT j) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM k WHERE n > 1) GROUP BY r
+), m AS (
+  SELECT doc_id, t, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+         length(regexp_replace(t, '\P{L}', '', 'g')) AS letters, length(regexp_replace(t, '\P{Lu}', '', 'g')) AS capitals, len(regexp_extract_all(t, '[\x20\n]\|[\x20\n]')) AS bars
+  FROM w LEFT JOIN c USING (r)
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (
+  base_failed OR coalesce(n_symbols / nullif(n_words, 0), 0) > 0.5 OR coalesce(capitals / nullif(letters, 0), 0) > 0.5 OR (length(t) > 0 AND letters / length(t) < 0.4)
+  OR (n_words > 0 AND (length(t) / n_words < 2.5 OR length(t) / n_words > 30)) OR coalesce(bars / nullif(n_words, 0), 0) > 0.25
+  OR (n_lines > 3 AND (n_lines - n_dup_lines) / n_lines < 0.5)
+) AS kept FROM b
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatlog, mixing, urltrust
+from . import cascade, chatlog, mixing, rlz, urltrust, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,29 +13,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .urltrust import judge
-
-    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+    return urltrust.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .cascade import base_metrics, cascade, default_rules, plan
-
-    docs = base_metrics(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    rules = {"base": F.col("base_failed"), **default_rules(n_words="n_words", n_symbols="n_symbols")}
-    found = cascade(docs, rules, order=[r["rule"] for r in plan(docs, rules)])
+    docs = cascade.base_metrics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rules = {"base": F.col("base_failed"), **cascade.default_rules(n_words="n_words", n_symbols="n_symbols")}
+    found = cascade.cascade(docs, rules, order=[r["rule"] for r in cascade.plan(docs, rules)])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op3_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .chatlog import chat_digests, fold
-
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.sql(f"select -1L conv_id, t turn, r role, '{said}' text from values (0L, 'user'), (1L, 'assistant') as v(t, r)")
     log = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     # each row of the table is one complete message event
     events = log.select("conv_id", F.col("turn").alias("seq"), F.struct("turn", "role", F.monotonically_increasing_id()).alias("message_id"), F.lit("message").alias("kind"), "role", "text")
-    return chat_digests(fold(events))
+    return chatlog.chat_digests(chatlog.fold(events))
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +53,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import mix
-
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,15 +63,11 @@ def op8_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .vptree import nearest
-
-    return nearest(table(spark, sf_dir, "embeddings"))
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
 
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .rlz import substring_dedup
-
-    found = substring_dedup(table(spark, sf_dir, "documents"), joined=True)
+    found = rlz.substring_dedup(table(spark, sf_dir, "documents"), joined=True)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -87,4 +75,6 @@ QUERIES = {
     "op1_urls": op1_urls, "op2_quality": op2_quality, "op3_chats": op3_chats, "op4_langid": op4_langid, "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash, "op7_mixing": op7_mixing, "op8_hpylm": op8_hpylm, "op9_vptree": op9_vptree, "op10_substring": op10_substring,
 }
-ORACLE: dict[str, str] = {"op1_urls": urltrust.ORACLE, "op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {
+    "op1_urls": urltrust.ORACLE, "op2_quality": cascade.ORACLE, "op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE, "op9_vptree": vptree.ORACLE, "op10_substring": rlz.ORACLE,
+}

@@ -271,3 +271,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias("doc_id"), F.size(words).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
         F.array().cast("array<struct<start:int,end:int>>").alias("spans"), text.alias("kept"), "row",
     ))
+
+
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), g AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) AS key FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)
+), f AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1 AS again FROM g
+), c AS (
+  SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM f WHERE again)
+), r AS (
+  SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id
+), k AS (
+  SELECT w.doc_id, words, coalesce(gone, []) AS gone FROM w LEFT JOIN r ON r.doc_id = w.doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(CASE WHEN len(gone) = 0 THEN array_to_string(words, ' ') ELSE
+  coalesce(array_to_string(list_filter(list_transform(words, lambda x, i: CASE WHEN list_contains(gone, i) THEN NULL ELSE x END), lambda x: x IS NOT NULL), ' '), '') END) AS kept_sha256 FROM k
+"""
