@@ -46,17 +46,20 @@ def targets(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, max_epochs: int =
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, cycle: tuple[int, ...] = CYCLE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, start, epochs, part, taken.
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, start, epochs, part, taken, text_key (a hash of the text).
 
     ``size`` counts words (null text: 0). ``epochs`` whole copies of every row of the source are taken and ``part``
     words of the row in the last, unfinished epoch, in which the row starts ``start`` words after the source's
-    first; ``taken`` = epochs * size + part. The taken words of a source add up to its rounded target. Keys depend on id and
-    ``seed`` alone, so reruns agree; rows with equal ids are ordered by size. Null ids and sources are ordinary values.
+    first; ``taken`` = epochs * size + part. The taken words of a source add up to its rounded target. Keys depend on ``seed`` and
+    the id, or the text where the id is null, so reruns agree; rows with equal ids are ordered by size and text. Null sources are an ordinary value.
     A source without words takes none; an empty table gives no rows. Other columns of ``docs`` are not read.
     """
-    key = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"/{seed}"))), 1, 8), 16, 10).cast("long")
+    text = text_of(text_col)
+    text_key = F.xxhash64(text, F.octet_length(text))
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("?"), text_key.cast("string")))
+    key = F.conv(F.substring(F.md5(F.concat(name, F.lit(f"/{seed}"))), 1, 8), 16, 10).cast("long")
     rows = saved(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(text_of(text_col)).alias("size"), key.alias("key")
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"), key.alias("key"), text_key.alias("text_key")
     ))
     sizes = targets(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), cycle, max_epochs)
     named = rows.alias("r").join(sizes.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))).select("r.*", "s", "n", "source_size", "target")
@@ -64,14 +67,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     named = named.withColumn("range", F.floor(F.col("key") * ranges / (1 << 32)).cast("long"))
     before = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = named.groupBy("s", "range").agg(F.sum("size").alias("sum")).select("s", "range", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("s", "range").orderBy("key", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("s", "range").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = named.join(offsets, ["s", "range"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.expr("cast(round(target) as long) div source_size")).otherwise(0).cast("long")
     placed = placed.withColumn("epochs", epochs).withColumn("budget", budget - F.col("epochs") * F.col("source_size"))
     part = F.least(F.greatest(F.col("budget") - F.col("start"), F.lit(0)), F.col("size"))
     return placed.withColumn("part", part).withColumn("taken", F.col("epochs") * F.col("size") + F.col("part")).select(
-        "doc_id", "source", "size", "source_size", "target", "start", "epochs", "part", "taken"
+        "doc_id", "source", "size", "source_size", "target", "start", "epochs", "part", "taken", "text_key"
     )
 
 

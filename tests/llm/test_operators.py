@@ -560,3 +560,56 @@ def test_pipeline(spark, odd, none):
     ids = {r["doc_id"] for r in docs.collect()}
     assert ids.isdisjoint({0, 1, 2, 3}) and 4 in ids
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_stages_against_brute_force(spark, odd):
+    import corpus_pipeline as pipeline
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    from musterline.llm.mixing import mix
+    from musterline.llm.simhash import shingled
+
+    docs = odd.union(documents(spark, [(None, "null one two three four five six", "en", "a", 1), (None, "null " * 9, "en", "a", 1), (4, "a second text of one id " * 3, "en", "a", 1)]))
+    rows = docs.collect()
+    row = lambda r: (r["doc_id"], r["text"], r["source"])
+
+    kept = Counter(map(row, pipeline.known_language(spark, docs, SF).collect()))
+    assert not kept - Counter(map(row, rows)) and all(t and any(c.isalpha() for c in t) for _, t, _ in kept)
+
+    sets = [set(shingled((r["text"] or "").encode(), 5)) for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        group = [min(group[j] for j in range(len(rows)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])) for i in range(len(rows))]
+    low, stays = {}, {}
+    for r, g in zip(rows, group):
+        if r["doc_id"] is not None:
+            low[g] = min(low.get(g, 1 << 60), r["doc_id"])
+    for r, g in zip(rows, group):
+        stays[r["doc_id"]] = stays.get(r["doc_id"], False) or r["doc_id"] == low.get(g)
+    assert Counter(map(row, pipeline.one_of_each(spark, docs, SF).collect())) == Counter(row(r) for r in rows if stays[r["doc_id"]])
+
+    expected = brute_repeats([r for r in rows if r["doc_id"] != 4])
+    got = Counter((r["doc_id"], " ".join(w.decode() for w in words(r["text"]))) for r in pipeline.without_repeats(spark, docs.where("doc_id <> 4"), SF).collect())
+    alike = Counter(r["doc_id"] for r in rows)
+    assert got == Counter({(i, text): alike[i] for i, (n, gone, text) in expected.items() if gone < n or not gone})
+
+    size, taken = Counter(), Counter()
+    for r in rows:
+        size[r["source"]] += len(words(r["text"]))
+    target = {r["source"]: r["target"] for r in mix(docs).collect()}
+    out = pipeline.mixed_sources(spark, docs, SF).collect()
+    copies = Counter(map(row, out))
+    for (_, text, source), n in copies.items():
+        taken[source] += n * len(words(text))
+    longest = {s: max(len(words(r["text"])) for r in rows if r["source"] == s) for s in size}
+    repeated = sum(len(words(r["text"])) for r in rows if r["doc_id"] == 50)  # alike rows get the largest number of copies among them
+    assert all(abs(taken[s] - target[s]) <= longest[s] + repeated for s in size)
+    assert all(n <= 3 * Counter(map(row, rows))[x] for x, n in copies.items())
+
+    library = Tokenizer.from_file(path("word_bpe_49k.json"))
+    ids = {r["doc_id"]: r["ids_sha256"] for r in pipeline.encoded(spark, docs.where("doc_id > 4"), SF).collect()}
+    for r in rows:
+        if r["doc_id"] is not None and r["doc_id"] > 4:
+            found = library.encode(r["text"], add_special_tokens=False).ids
+            assert ids[r["doc_id"]] == hashlib.sha256(" ".join(map(str, found)).encode()).hexdigest()
