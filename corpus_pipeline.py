@@ -52,12 +52,15 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares: whole copies of documents, the one at a source's cut if half of it fits.
 
-    Where rows share an id they get the largest number of copies among them; texts without words are in no copy of a
+    Rows alike in id, source and text get the largest number of copies among them; texts without words are in no copy of a
     source that is not repeated.
     """
     last = (F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))
-    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("__of")).agg(F.max(F.col("epochs") + last.cast("long")).alias("__copies")).where("__copies > 0")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__of"]))
+    mixed = mixing.mix(docs).select(F.col("doc_id").alias("__of"), F.col("source").alias("__from"), F.col("text_key").alias("__text"), (F.col("epochs") + last.cast("long")).alias("__n"))
+    copies = mixed.groupBy("__of", "__from", "__text").agg(F.max("__n").alias("__copies")).where("__copies > 0")
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = docs["doc_id"].eqNullSafe(copies["__of"]) & docs["source"].eqNullSafe(copies["__from"]) & (F.xxhash64(text, F.octet_length(text)) == copies["__text"])
+    joined = docs.join(copies, same)
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
 
 
