@@ -4,14 +4,15 @@ A word's context is the word before it (or the start of the text). Each context
 are the words that follow; all context restaurants share one parent, whose customers are their tables, over a uniform
 base of all training words and one unknown. Seating is sampled by Gibbs: in each sweep the customers of every dish are
 taken away and seated anew, their number of tables drawn from its conditional given the rooms and the parent's
-probabilities that the last sweep left. A pair seen once has one table in every sweep. A word's probability is the average of
+probabilities that the last sweep left. A pair seen once has one table in every sweep, so sweeps work on the others only. A word's probability is the average of
 the predictive probabilities of the kept samples, and a text's score is the sum of the log10 probabilities of its words
 and its end; after an unseen word it is the parent's.
 
 Texts are read once, into pieces: a piece holds the hashes of its distinct words and its texts as runs of indices. Pairs of
 all pieces meet in hash parts, which give each pair's count back to its pieces and name one piece that speaks for it; words meet
 their totals in hash parts too. A piece asks once for each of its distinct pairs and words, so a frequent one costs one
-row per piece. Draws depend on the pair alone, so all pieces draw the same. Words and pairs are 64-bit hashes.
+row per piece. Draws depend on the pair alone, so all pieces draw the same. Words are 64-bit hashes; pairs are hashes of
+``SPARE`` bits more than their number has, so that one in sixteen million is taken for another, at every size.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from .shared import erased, mixed, pieces, release, row_offsets, saved, spans, t
 BURN_IN = 1
 SAMPLES = 2
 CONCENTRATION = 1.0
-PIECE = 16 << 20  # bytes of text in a piece
+PIECE = 12 << 20  # bytes of text in a piece
 PART = 24 << 20  # bytes of text whose pairs meet in one part
+SPARE = 24
 EXACT = 64  # customers of a dish up to which its tables are drawn from the exact distribution
 
 
@@ -134,13 +136,19 @@ def tokens_of(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """An array as planes of its bytes, which compress well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    """An array as compressed planes of its bytes, behind its length."""
+    import pyarrow as pa
+
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T)
+    return len(x).to_bytes(8, "little") + (pa.compress(planes.data if x.size else b"", codec="zstd", asbytes=True))
 
 
 def unpacked(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    import pyarrow as pa
+
+    size, n = np.dtype(kind).itemsize, int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], n * size, codec="zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 class Piece:
@@ -218,7 +226,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shape = pa.schema([("piece", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("bytes", pa.int64())])
     table = saved(source.mapInArrow(take, "piece long, ids array<long>, held binary, sizes binary, words binary, tokens binary, bytes long"), compression="zstd")
     texts = ["piece", "held", "sizes", "words", "tokens"]
-    parts = int((table.agg(F.sum("bytes")).first()[0] or 0) // PART) + 1
+    size = table.agg(F.sum("bytes")).first()[0] or 0
+    parts, spare = int(size // PART) + 1, np.uint64(max(0, 64 - SPARE - int(size).bit_length()))
 
     # ---- counts of pairs, given back to the pieces that hold them
 
@@ -230,7 +239,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 _, _, keys, of = p.pairs(inverse=True)
                 n = np.bincount(of, weights=p.learned(), minlength=len(keys)).astype(np.int64)
                 for part, low, high in cut(keys, parts):
-                    yield pa.RecordBatch.from_pylist([{"part": part, "piece": p.name, "keys": packed(keys[low:high]), "n": packed(n[low:high])}], schema=asked_shape)
+                    yield pa.RecordBatch.from_pylist([{"part": part, "piece": p.name, "keys": packed(keys[low:high] >> spare), "n": packed(n[low:high])}], schema=asked_shape)
 
     asked_shape = pa.schema([("part", pa.int32()), ("piece", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
 
@@ -245,8 +254,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         speaker = np.zeros(len(total), np.int64)
         held_by = np.flatnonzero(n > 0)
         speaker[of[held_by[::-1]]] = held_by[::-1]  # the first place that learned the pair
-        mine = total[of]
-        mine[(speaker[of] != np.arange(len(of)))] *= -1
+        mine = 2 * total[of] + (speaker[of] == np.arange(len(of)))
         ends = np.cumsum([len(k) for k in keys])
         return pa.table({"piece": group["piece"], "part": group["part"], "n": pa.array([packed(mine[e - len(k) : e]) for k, e in zip(keys, ends)], pa.binary())})
 
@@ -254,10 +262,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = saved(asked.groupBy("part").applyInArrow(counted, "piece long, part int, n binary"), compression="zstd")
     erased(table.sparkSession)
 
-    def counts_of(rows) -> np.ndarray:
-        """Counts of a piece's pairs in the order of their hashes, negative where another piece speaks for the pair."""
+    def counts_of(rows) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of a piece's pairs in the order of their hashes, and whether the piece speaks for the pair."""
         rows = sorted((r for r in rows.to_pylist() if r["n"] is not None), key=lambda r: r["part"])
-        return np.concatenate([unpacked(r["n"], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
+        code = np.concatenate([unpacked(r["n"], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
+        return code >> 1, (code & 1).astype(bool)
 
     def rows_of(words: np.ndarray, **columns):
         """Rows of words with some figure that is not zero."""
@@ -265,23 +274,35 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table({"word": pa.array(words[some].view(np.int64)), **{k: pa.array(v[some].astype(np.int64)) for k, v in columns.items()}})
 
     def spoken(left, right):
-        """Of each word of a piece: its tokens, and of the pairs that the piece speaks for those that it begins (all, seen once, twice) and ends."""
-        if not left.num_rows:
-            return rows_of(np.zeros(0, np.uint64), n=np.zeros(0), t=np.zeros(0), ones=np.zeros(0), twos=np.zeros(0), c=np.zeros(0))
+        """Of each word of a piece: its tokens, and of the pairs that the piece speaks for those that it begins (all, seen once, twice) and ends.
+
+        A further row holds the piece's pairs that are seen again: their words, and context, word, hash and count of each.
+        """
         release()
         p = Piece(left.to_pylist()[0])
-        context, word, _, _ = p.pairs()
-        n, wide = counts_of(right), len(p.words)
+        context, word, keys, _ = p.pairs()
+        (n, speaks), wide = counts_of(right), len(p.words)
+        n = np.where(speaks, n, 0)
         tally = lambda of, mask: np.bincount(of[mask], minlength=wide)
         tokens = np.bincount(p.tokens, weights=p.learned(), minlength=wide)
-        return rows_of(p.words, n=tokens, t=tally(context, n > 0), ones=tally(context, n == 1), twos=tally(context, n == 2), c=tally(word, n > 0))
+        rows = rows_of(p.words, n=tokens, t=tally(context, n > 0), ones=tally(context, n == 1), twos=tally(context, n == 2), c=tally(word, n > 0))
+        again = np.flatnonzero(n > 1)
+        used, of = np.unique(np.concatenate([p.words[context[again]], p.words[word[again]]]), return_inverse=True)
+        of = of.astype(np.int32)
+        many = {"piece": p.name, "words": packed(used), "context": packed(of[: len(again)]), "follows": packed(of[len(again) :]), "keys": packed(keys[again]), "count": packed(n[again])}
+        rows = rows.append_column("many", pa.nulls(rows.num_rows, many_shape))
+        return pa.concat_tables([rows, pa.Table.from_pylist([{"many": many}], schema=rows.schema)])
+
+    many_shape = pa.struct([("piece", pa.int64()), *[(c, pa.binary()) for c in ("words", "context", "follows", "keys", "count")]])
 
-    def by_piece(right: DataFrame, f, kind: str, columns=tuple(texts)) -> DataFrame:
+    def by_piece(right: DataFrame, f, kind: str, columns: list[str] = texts) -> DataFrame:
         return table.select(*columns).groupBy("piece").cogroup(right.groupBy("piece")).applyInArrow(f, kind)
 
     figures = ("n", "t", "ones", "twos", "c")
-    state = by_piece(counts, spoken, "word long, n long, t long, ones long, twos long, c long").groupBy("word").agg(*[F.sum(k).alias(k) for k in figures])
-    state = saved(state.where("n > 0"))
+    told_by = saved(by_piece(counts, spoken, "word long, n long, t long, ones long, twos long, c long, many struct<piece:long,words:binary,context:binary,follows:binary,keys:binary,count:binary>"), compression="zstd")
+    erased(table.sparkSession)
+    state = saved(told_by.where("many is null").groupBy("word").agg(*[F.sum(k).alias(k) for k in figures]).where("n > 0"))
+    many = told_by.where("many is not null").select("many.*")
     erased(table.sparkSession)
     none = F.coalesce(F.sum("n"), F.lit(0))
     how_many = lambda v: F.coalesce(F.sum((F.col("c") == v).cast("long")), F.lit(0))
@@ -315,7 +336,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for row in batch.to_pylist():
                 words = unpacked(row["words"], np.uint64)
-                words = np.append(np.uint64(0), words)  # the end comes first, as its hash is zero
+                if not len(words) or words[0]:
+                    words = np.append(np.uint64(0), words)  # the end comes first, as its hash is zero
                 for part, low, high in cut(words, parts):
                     yield pa.RecordBatch.from_pylist([{"part": part, "piece": row["piece"], "words": packed(words[low:high])}], schema=words_shape)
 
@@ -324,7 +346,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def looked_up(asks, known):
         """What the state knows of the asked words, a row for each piece: counts and the kept columns, zero for unknown words."""
         if not asks.num_rows:
-            return pa.table({"piece": pa.array([], pa.int64()), "part": pa.array([], pa.int32()), "f": pa.array([], pa.binary())})
+            return pa.table({"piece": pa.array([], pa.int64()), "part": pa.array([], pa.int32()), "f": pa.array([], pa.binary()), "g": pa.array([], pa.binary())})
         release()
         word = known["word"].to_numpy().view(np.uint64) if known.num_rows else np.zeros(0, np.uint64)
         order = np.argsort(word)
@@ -340,44 +362,39 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             hashes = unpacked(row.as_py(), np.uint64)
             at = np.minimum(np.searchsorted(word, hashes), max(0, len(word) - 1))
             at = np.where(word[at] == hashes, at, len(word)) if len(word) else np.zeros(len(hashes), np.int64)
-            out.append(packed(facts[at, 0]) + packed(facts[at, 1:].astype(np.float32).ravel()))
-        return pa.table({"piece": asks["piece"], "part": asks["part"], "f": pa.array(out, pa.binary())})
+            out.append((packed(facts[at, 0].copy()), packed(facts[at, 1:].astype(np.float32).ravel())))
+        f, g = zip(*out)
+        return pa.table({"piece": asks["piece"], "part": asks["part"], "f": pa.array(f, pa.binary()), "g": pa.array(g, pa.binary())})
 
-    def facts_of(p: Piece, rows) -> np.ndarray:
-        """Facts of a piece's words in their order, the end last."""
+    def facts_of(rows) -> np.ndarray:
+        """Facts of the asked words in the order of their hashes, the end first."""
         rows = sorted((r for r in rows.to_pylist() if r["f"] is not None), key=lambda r: r["part"])
-        parts_ = []
-        for r in rows:
-            size = len(r["f"]) // (8 + 8 * depth)
-            parts_.append(np.column_stack([unpacked(r["f"][: 8 * size], np.float64), unpacked(r["f"][8 * size :], np.float32).reshape(size, 2 * depth).astype(np.float64)]))
-        facts = np.concatenate(parts_) if parts_ else np.zeros((1, 1 + 2 * depth))
-        return np.append(facts[1:], facts[:1], axis=0)
-
-    def told() -> DataFrame:
-        """Counts of pairs and facts of words for every piece."""
-        asks = table.select("piece", "words").mapInArrow(words_out, "part int, piece long, words binary")
+        found = [np.column_stack([unpacked(r["f"], np.float64), unpacked(r["g"], np.float32).reshape(-1, 2 * depth).astype(np.float64)]) for r in rows]
+        return np.concatenate(found) if found else np.zeros((1, 1 + 2 * depth))
+
+    def facts(asking: DataFrame) -> DataFrame:
+        """Facts of the words of every row of (piece, words)."""
+        asks = asking.select("piece", "words").mapInArrow(words_out, "part int, piece long, words binary")
         known = state.select(part_column(F.col("word"), parts).alias("part"), "word", "n", "ts", "ps")
-        facts = asks.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(looked_up, "piece long, part int, f binary")
-        return counts.withColumn("f", F.lit(None).cast("binary")).unionByName(facts.withColumn("n", F.lit(None).cast("binary")))
+        return asks.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(looked_up, "piece long, part int, f binary, g binary")
 
     def seated(left, right):
         """Tables beyond the first of the pairs that a piece speaks for, by context and by word."""
         if not left.num_rows:
             return rows_of(np.zeros(0, np.uint64), t=np.zeros(0), c=np.zeros(0))
         release()
-        p = Piece(left.to_pylist()[0])
-        context, word, keys, _ = p.pairs()
-        n, facts = counts_of(right), facts_of(p, right)
-        many = np.flatnonzero(n > 1)
-        opening = (CONCENTRATION + own * facts[context[many], 1]) * facts[word[many], 2]
-        more = seat(n[many], np.maximum(opening, 1e-300), own, keys[many], sweep) - 1
-        tally = lambda of: np.bincount(of[many], weights=more, minlength=len(p.words))
-        return rows_of(p.words, t=tally(context), c=tally(word))
+        row, known = left.to_pylist()[0], facts_of(right)
+        words, context, word = unpacked(row["words"], np.uint64), unpacked(row["context"], np.int32), unpacked(row["follows"], np.int32)
+        known = known[len(known) - len(words) :]  # without the end where no pair has it
+        opening = (CONCENTRATION + own * known[context, 1]) * known[word, 2]
+        more = seat(unpacked(row["count"], np.int64), np.maximum(opening, 1e-300), own, unpacked(row["keys"], np.uint64), sweep) - 1
+        tally = lambda of: np.bincount(of, weights=more, minlength=len(words))
+        return rows_of(words, t=tally(context), c=tally(word))
 
     share, sweep, depth = 1.0, 0, 1
     state = settled(state)
     for sweep in range(1, burn_in + samples):
-        more = by_piece(told(), seated, "word long, t long, c long").groupBy(F.col("word").alias("of")).agg(F.sum("t").alias("mt"), F.sum("c").alias("mc"))
+        more = many.groupBy("piece").cogroup(facts(many).groupBy("piece")).applyInArrow(seated, "word long, t long, c long").groupBy(F.col("word").alias("of")).agg(F.sum("t").alias("mt"), F.sum("c").alias("mc"))
         new = state.join(more, F.col("word") == F.col("of"), "left")
         new = new.select("word", "n", "t0", "c0", (F.col("c0") + F.coalesce("mc", F.lit(0))).alias("c"), "ts", "ps", (F.col("t0") + F.coalesce("mt", F.lit(0))).alias("t"))
         kind = "word long, n long, t0 long, c0 long, c long, ts array<double>, ps array<double>, t long, up long"
@@ -396,15 +413,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         row = left.to_pylist()[0]
         p = Piece(row)
         context, word, keys, of = p.pairs(inverse=True)
-        n, facts = np.abs(counts_of(right)), facts_of(p, right)
-        count, t, base = facts[:, 0], facts[:, 1 : 1 + depth], facts[:, 1 + depth :]
+        (n, _), known = counts_of(right), facts_of(right)
+        known = np.append(known[1:], known[:1], axis=0)  # the end last
+        count, t, base = known[:, 0], known[:, 1 : 1 + depth], known[:, 1 + depth :]
         base = np.where(count[:, None] > 0, base, np.array(unknown)[None, :])
-        many, probability = np.flatnonzero(n > 1), np.zeros(len(n))
+        again, probability = np.flatnonzero(n > 1), np.zeros(len(n))
         for s in kept:
             tables = np.minimum(n, 1)
             if s:
-                opening = (CONCENTRATION + own * t[context[many], s - 1]) * base[word[many], s - 1]
-                tables[many] = seat(n[many], np.maximum(opening, 1e-300), own, keys[many], s)
+                opening = (CONCENTRATION + own * t[context[again], s - 1]) * base[word[again], s - 1]
+                tables[again] = seat(n[again], np.maximum(opening, 1e-300), own, keys[again], s)
             probability += predictive(n, tables, count[context], t[context, s], base[word, s], own) / len(kept)
         rows = np.repeat(np.arange(len(p.sizes)), p.sizes)
         add = lambda x: np.bincount(rows, weights=x, minlength=len(p.sizes))
@@ -414,5 +432,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "base_score": pa.array(add(plain[p.tokens])), "score": pa.array(np.minimum(add(np.log10(probability)[of]), 0)),
         }, schema=result)
 
-    scored = by_piece(told(), add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double", [*texts, "ids"])
+    erased(table.sparkSession, told_by)
+    told = counts.withColumns({c: F.lit(None).cast("binary") for c in "fg"}).unionByName(facts(table).withColumn("n", F.lit(None).cast("binary")))
+    scored = by_piece(told, add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double", [*texts, "ids"])
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
