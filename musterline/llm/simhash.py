@@ -24,6 +24,7 @@ SHINGLE = 4
 DISTANCE = 4
 SEED = 42
 BITS = 64
+WORDS = 6  # of a fingerprint at least where texts are compared by similarity
 ROUNDS, CENTRES = 2, 8  # of stars, before texts that are still apart are compared in pairs
 
 
@@ -179,8 +180,9 @@ def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, i
     right = keys(named, own, False, parts).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(own, other)])
     reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
     left = left.join(reach, F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
-    # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough
-    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance))
+    # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough, and the first such segment
+    first = F.coalesce(*[F.when(F.bit_count(cut(own, low, width).bitwiseXOR(cut(other, low, width))) <= radius, i) for i, (low, width, radius) in enumerate(parts)])
+    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance) & (first == F.shiftright("k", 32)))
     return joined((rest.select("a", "b") if single else rest.select("p", "q", "a", "b")).distinct()).select("fp", F.col("a").alias("root"))
 
 
@@ -209,14 +211,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per row of ``docs``: doc_id, component_id.
 
     Links are pairs of texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least ``similarity``,
-    compared as 64-bit hashes. Candidates share a segment of long fingerprints but for one bit; the segments are so many that
-    ``recall`` of the pairs right at ``similarity``, and more of those above, become candidates, at every size of the table.
+    compared as 64-bit hashes. Candidates share a segment of long fingerprints but for one bit, and differ by at most one and a
+    quarter standard deviations more bits than pairs of ``similarity`` do; the segments are so many that ``recall`` of the pairs right at
+    ``similarity``, and more of those above, share one, at every size of the table.
     Texts of one fingerprint are one. Nulls, repeats and empty tables are as in ``near_duplicates``.
     """
     parts = long_segments(docs.count(), similarity, recall)
     bits = sum(w for _, w, _ in parts)
-    words, p = ceil(bits / BITS), share_of_bits(similarity)
-    distance = ceil(BITS * words * p + 3 * (BITS * words * p * (1 - p)) ** 0.5)
+    words, p = max(WORDS, ceil(bits / BITS)), share_of_bits(similarity)
+    distance = ceil(BITS * words * p + 1.25 * (BITS * words * p * (1 - p)) ** 0.5)
     prints = saved(fingerprints(docs, id_col, text_col, shingle, words))
     keyed = saved(prints.groupBy("fp").agg(F.min("key").alias("key")))
 
