@@ -104,29 +104,53 @@ def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(t.ljust(wide, b"\0") for t in texts), np.uint8).reshape(len(texts), wide), sizes
 
 
+WIDE = 64  # bytes of a text whose places fit the bits of one number
+BELOW = np.array([(1 << k) - 1 for k in range(WIDE + 1)], np.uint64)
+
+
+def _taken_bits(x: np.ndarray, nx: np.ndarray, b: list[bytes], ny: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which places of each first text have a partner, and the partners' places in the second as bits.
+
+    The places of a byte in a second text are one number, so each step takes the lowest free place in reach of all pairs at once.
+    """
+    known = {t: i for i, t in enumerate(dict.fromkeys(b))}
+    which = np.fromiter((known[t] for t in b), np.int64, len(b))
+    rows = np.repeat(np.arange(len(known)), [len(t) for t in known])
+    codes = np.frombuffer(b"".join(known), np.uint8)
+    places = np.concatenate([np.arange(len(t)) for t in known]) if known else np.zeros(0, np.int64)
+    at = np.zeros((len(known), 256), np.uint64)
+    np.bitwise_or.at(at, (rows, codes), np.uint64(1) << places.astype(np.uint64))
+    free, hit, one = BELOW[ny], np.zeros(x.shape, bool), np.uint64(1)
+    for i in range(x.shape[1]):
+        window = BELOW[np.clip(i + reach + 1, 0, WIDE)] & ~BELOW[np.clip(i - reach, 0, WIDE)]
+        found = np.where(i < nx, at[which, x[:, i]] & free & window, np.uint64(0))
+        first = found & (~found + one)
+        hit[:, i] = first != 0
+        free = free ^ first
+    return hit, BELOW[ny] ^ free
+
+
 def winkler(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """Jaro-Winkler distances of pairs, the same as ``jaro_winkler`` gives one by one."""
+    long = np.fromiter((len(t) > WIDE for t in b), bool, len(b))
+    if long.any():
+        out = np.zeros(len(a))
+        out[long] = [jaro_winkler(a[i], b[i]) for i in np.flatnonzero(long)]
+        rest = np.flatnonzero(~long)
+        out[rest] = winkler([a[i] for i in rest], [b[i] for i in rest])
+        return out
     (x, nx), (y, ny) = padded(a), padded(b)
-    rows, wide = np.arange(len(a)), y.shape[1]
-    reach = np.maximum(np.maximum(nx, ny) // 2 - 1, 0)[:, None]
-    places = np.arange(wide)[None, :]
-    free, hit = places < ny[:, None], np.zeros(x.shape, bool)
-    for i in range(x.shape[1]):
-        fits = free & (y == x[:, i : i + 1]) & (np.abs(places - i) <= reach) & (i < nx)[:, None]
-        at = fits.argmax(axis=1)
-        found = fits[rows, at]
-        hit[:, i] = found
-        free[rows[found], at[found]] = False
-    taken = (places < ny[:, None]) & ~free
+    hit, bits = _taken_bits(x, nx, b, ny, np.maximum(np.maximum(nx, ny) // 2 - 1, 0))
+    taken = ((bits[:, None] >> np.arange(y.shape[1], dtype=np.uint64)[None, :]) & np.uint64(1)).astype(bool)
     m = hit.sum(axis=1)
     left, right = (np.zeros((len(a), max(1, int(m.max(initial=0)))), np.uint8) for _ in range(2))
     for out, codes, mask in ((left, x, hit), (right, y, taken)):
         r, c = np.nonzero(mask)
-        out[r, (np.cumsum(mask, axis=1) - 1)[r, c]] = codes[r, c]
+        out[r, np.arange(len(r)) - np.repeat(np.cumsum(m) - m, m)] = codes[r, c]
     moved = (left != right).sum(axis=1) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(m > 0, (m / nx + m / ny + (m - moved) / m) / 3, 0.0)
-    k = min(4, x.shape[1], wide)
+    k = min(4, x.shape[1], y.shape[1])
     equal = (x[:, :k] == y[:, :k]) & (np.arange(k)[None, :] < np.minimum(nx, ny)[:, None])
     prefix = np.logical_and.accumulate(equal, axis=1).sum(axis=1)
     return np.where((nx == 0) & (ny == 0), 0.0, np.where(m > 0, 1 - (jaro + prefix * 0.1 * (1 - jaro)), 1.0))
