@@ -41,16 +41,15 @@ def renames(matched: DataFrame, left: str = "name_1", right: str = "name_2") ->
     return matched.where(~F.col(left).eqNullSafe(F.col(right))).orderBy((F.col("pass") != "place_id").cast("int"), left)
 
 
-def call_summary(calls: DataFrame, prices: dict[str, float], by_caller: bool = False) -> DataFrame:
-    """Requests, successes and failures of each service, the failures by code, and the list cost."""
+def call_summary(calls: DataFrame, prices: DataFrame, by_caller: bool = False) -> DataFrame:
+    """Requests, successes and failures of each service, the failures by code, and the list cost (prices: api, usd_per_1000)."""
     keys = ["api", *(["caller"] if by_caller else [])]
-    price = F.coalesce(*[F.when(F.col("api") == k, F.lit(v)) for k, v in prices.items()])
     codes = calls.where("code is not null").groupBy(*keys, "code").agg(F.sum("requests").alias("n"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("order"), "code", "n"))), lambda x: F.concat_ws(": ", x["code"], x["n"].cast("string")))
     failures = codes.groupBy(*keys).agg(F.array_join(listed, "; ").alias("failures"))
     total = calls.groupBy(*keys).agg(F.sum("requests").alias("requests"), F.sum(F.when(F.col("code").isNull(), F.col("requests")).otherwise(0)).alias("succeeded"))
-    out = total.withColumn("failed", F.col("requests") - F.col("succeeded")).withColumn("cost", F.col("requests") * price / 1000)
-    return out.join(failures, keys, "left")
+    out = total.withColumn("failed", F.col("requests") - F.col("succeeded")).join(prices.select("api", "usd_per_1000"), "api", "left")
+    return out.withColumn("cost", F.col("requests") * F.col("usd_per_1000") / 1000).drop("usd_per_1000").join(failures, keys, "left")
 
 
 def preview(df: DataFrame, column: str, key: str, n: int = 5) -> DataFrame:

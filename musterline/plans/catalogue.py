@@ -364,8 +364,8 @@ k AS (SELECT api, code, sum(n) AS n FROM c WHERE code IS NOT NULL GROUP BY 1, 2)
 SELECT c.api, count(*) AS requests, count(*) FILTER (WHERE code IS NULL) AS succeeded, count(*) FILTER (WHERE code IS NOT NULL) AS failed, round(count(*) * 5.0 / 1000, 6) AS cost, any_value(failures) AS failures FROM c LEFT JOIN s USING (api) GROUP BY c.api""")
 def call_summary(spark, sf_dir):
     calls = table(spark, sf_dir, "events").select(F.col("event_type").alias("api"), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("E"), (F.col("event_id") % 3).cast("string"))).alias("code"), F.lit(1).alias("requests"))
-    kinds = {r[0]: 5.0 for r in calls.select("api").distinct().collect()}  # a handful of services
-    return reports.call_summary(calls, kinds).withColumn("cost", F.round("cost", 6))
+    prices = calls.select("api").distinct().withColumn("usd_per_1000", F.lit(5.0))
+    return reports.call_summary(calls, prices).withColumn("cost", F.round("cost", 6))
 
 
 _DELAYED = "SELECT *, CASE WHEN enrollment - current - med_exempt - rel_exempt < 0 THEN 0 ELSE enrollment - current - med_exempt - rel_exempt END AS delayed FROM sy"

@@ -860,3 +860,29 @@ def vaxview_files(spark, sf_dir):
     home = lambda year: part.select(F.lit("MMR").alias("vaccine"), where, F.lit("Age").alias("dimension_type"), F.lit("24 Months").alias("dimension"), y.alias(year), e.alias("estimate"), n.alias("sample_size"))
     school = part.select(F.lit("MMR").alias("vaccine"), where, F.concat(y, F.lit("-xx")).alias("school_year"), e.alias("estimate"), n.alias("population"), F.lit("50.0").alias("surveyed"))
     return survey.vaxview(spark, home("birth_year"), school, home("survey_year"), "Maryland").select("pop", "vaccine", "year", "year_type", "age_range", "n", "p", "x")
+
+
+HOUSES, SIDES, ROADS, ENDS_OF, UNITS_OF = ["12", "7B", "1400", ""], ["North", "N.", "SW", "", "Southeast"], ["Oak", "First", "Mount Airy", "St. Ann", "O'Neil"], ["Street", "Av", "Blvd", "Way", "Hiway", "TRLS"], ["", " Suite 4", " #5", ", Apt 2", " Room 12-B"]
+
+
+@query("address_parts", f"""WITH s AS (SELECT p_partkey, {pick_sql(HOUSES, 'p_partkey')} AS h, {pick_sql(SIDES, 'p_partkey // 4')} AS d, {pick_sql(ROADS, 'p_partkey // 3')} AS r, {pick_sql(ENDS_OF, 'p_partkey // 7')} AS e, {pick_sql(UNITS_OF, 'p_partkey // 11')} AS u FROM part),
+m AS (SELECT *, CASE d WHEN 'North' THEN 'N' WHEN 'N.' THEN 'N' WHEN 'Southeast' THEN 'SE' ELSE d END AS dm, CASE r WHEN 'First' THEN '1ST' WHEN 'Mount Airy' THEN 'MT AIRY' WHEN 'St. Ann' THEN 'ST ANN' WHEN 'O''Neil' THEN 'O NEIL' ELSE 'OAK' END AS rm,
+  CASE WHEN u <> '' THEN upper(e) ELSE CASE e WHEN 'Street' THEN 'ST' WHEN 'Av' THEN 'AVE' WHEN 'Blvd' THEN 'BLVD' WHEN 'Way' THEN 'WAY' WHEN 'Hiway' THEN 'HWY' ELSE 'TRL' END END AS em, CASE u WHEN ' Suite 4' THEN 'STE 4' WHEN ' #5' THEN 'APT 5' WHEN ', Apt 2' THEN 'APT 2' WHEN ' Room 12-B' THEN 'RM 12 B' ELSE '' END AS um FROM s)
+SELECT p_partkey, trim(regexp_replace(concat_ws(' ', h, dm, rm, em, um), '\\s+', ' ', 'g')) AS address FROM m""")
+def address_parts(spark, sf_dir):
+    from ..functions.address import clean_address
+
+    k = F.col("p_partkey")
+    whole = F.concat(F.concat_ws(" ", pick(HOUSES, k), pick(SIDES, F.floor(k / 4)), pick(ROADS, F.floor(k / 3)), pick(ENDS_OF, F.floor(k / 7))), pick(UNITS_OF, F.floor(k / 11)))
+    return table(spark, sf_dir, "part").select("p_partkey", clean_address(whole).alias("address"))
+
+
+COUNTIES, DISTRICTS = ["Prince George's County", "St. Mary's  county", "HOWARD", "Anne Arundel Co.", "county of Kent/Cecil", "Queen & King"], ["Oak Unified School District", "Elm City Schools", "A&amp;B Public Schools", "Independent  School District 12", "P.G. County", "unifieds"]
+
+
+@query("std_places", f"""WITH s AS (SELECT p_partkey, lower(trim(regexp_replace({pick_sql(COUNTIES, 'p_partkey')}, '\\s+', ' ', 'g'))) AS c, lower(trim(regexp_replace({pick_sql(DISTRICTS, 'p_partkey // 6')}, '\\s+', ' ', 'g'))) AS d FROM part),
+t AS (SELECT p_partkey, regexp_replace(replace(c, 'county', ''), '[/.-]', ' ', 'g') AS c, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(d, 'p.g.', 'pg.'), 'school district', ''), '\\bunified\\b|\\bindependent\\b', '', 'g'), '\\bpublic schools\\b|\\bcity schools\\b', '', 'g'), '&amp;|&', 'and', 'g'), '[/.-]', ' ', 'g') AS d FROM s)
+SELECT p_partkey, trim(regexp_replace(regexp_replace(c, '\\pP', '', 'g'), '\\s+', ' ', 'g')) AS county, trim(regexp_replace(regexp_replace(d, '\\pP', '', 'g'), '\\s+', ' ', 'g')) AS district FROM t""")
+def std_places(spark, sf_dir):
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select("p_partkey", text.county_name(pick(COUNTIES, k)).alias("county"), text.district_name(pick(DISTRICTS, F.floor(k / 6))).alias("district"))
