@@ -268,10 +268,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         code = np.concatenate([unpacked(r["n"], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
         return code >> 1, (code & 1).astype(bool)
 
-    def rows_of(words: np.ndarray, **columns):
-        """Rows of words with some figure that is not zero."""
+    def runs_of(words: np.ndarray, **columns) -> list[dict]:
+        """Sorted words with some figure that is not zero, and their figures, a row for each part."""
         some = np.flatnonzero(np.any(list(columns.values()), axis=0))
-        return pa.table({"word": pa.array(words[some].view(np.int64)), **{k: pa.array(v[some].astype(np.int64)) for k, v in columns.items()}})
+        return [{"part": part, "words": packed(words[some][low:high]), **{k: packed(v[some][low:high].astype(np.int64)) for k, v in columns.items()}} for part, low, high in cut(words[some], parts)]
+
+    def summed(group, columns: tuple[str, ...]):
+        """The runs of a part as one row per word, figures added."""
+        words, of = np.unique(np.concatenate([unpacked(w.as_py(), np.uint64) for w in group["words"]]), return_inverse=True)
+        total = lambda c: np.bincount(of, weights=np.concatenate([unpacked(x.as_py(), np.int64) for x in group[c]]), minlength=len(words)).astype(np.int64)
+        return pa.table({"word": pa.array(words.view(np.int64)), **{c: pa.array(total(c)) for c in columns}})
 
     def spoken(left, right):
         """Of each word of a piece: its tokens, and of the pairs that the piece speaks for those that it begins (all, seen once, twice) and ends.
@@ -285,23 +291,26 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         n = np.where(speaks, n, 0)
         tally = lambda of, mask: np.bincount(of[mask], minlength=wide)
         tokens = np.bincount(p.tokens, weights=p.learned(), minlength=wide)
-        rows = rows_of(p.words, n=tokens, t=tally(context, n > 0), ones=tally(context, n == 1), twos=tally(context, n == 2), c=tally(word, n > 0))
+        rising = np.append(wide - 1, np.arange(wide - 1))  # the end first
+        found = {"n": tokens, "t": tally(context, n > 0), "ones": tally(context, n == 1), "twos": tally(context, n == 2), "c": tally(word, n > 0)}
+        rows = runs_of(p.words[rising], **{k: v[rising] for k, v in found.items()})
         again = np.flatnonzero(n > 1)
         used, of = np.unique(np.concatenate([p.words[context[again]], p.words[word[again]]]), return_inverse=True)
         of = of.astype(np.int32)
         many = {"piece": p.name, "words": packed(used), "context": packed(of[: len(again)]), "follows": packed(of[len(again) :]), "keys": packed(keys[again]), "count": packed(n[again])}
-        rows = rows.append_column("many", pa.nulls(rows.num_rows, many_shape))
-        return pa.concat_tables([rows, pa.Table.from_pylist([{"many": many}], schema=rows.schema)])
+        return pa.Table.from_pylist([*rows, {"many": many}], schema=spoken_shape)
 
+    figures = ("n", "t", "ones", "twos", "c")
     many_shape = pa.struct([("piece", pa.int64()), *[(c, pa.binary()) for c in ("words", "context", "follows", "keys", "count")]])
+    spoken_shape = pa.schema([("part", pa.int32()), ("words", pa.binary()), *[(c, pa.binary()) for c in figures], ("many", many_shape)])
 
     def by_piece(right: DataFrame, f, kind: str, columns: list[str] = texts) -> DataFrame:
         return table.select(*columns).groupBy("piece").cogroup(right.groupBy("piece")).applyInArrow(f, kind)
 
-    figures = ("n", "t", "ones", "twos", "c")
-    told_by = saved(by_piece(counts, spoken, "word long, n long, t long, ones long, twos long, c long, many struct<piece:long,words:binary,context:binary,follows:binary,keys:binary,count:binary>"), compression="zstd")
+    told_by = saved(by_piece(counts, spoken, "part int, words binary, n binary, t binary, ones binary, twos binary, c binary, many struct<piece:long,words:binary,context:binary,follows:binary,keys:binary,count:binary>"), compression="zstd")
     erased(table.sparkSession)
-    state = saved(told_by.where("many is null").groupBy("word").agg(*[F.sum(k).alias(k) for k in figures]).where("n > 0"))
+    add = lambda group: summed(group, figures)
+    state = saved(told_by.where("many is null").drop("many").groupBy("part").applyInArrow(add, "word long, n long, t long, ones long, twos long, c long").where("n > 0"))
     many = told_by.where("many is not null").select("many.*")
     erased(table.sparkSession)
     none = F.coalesce(F.sum("n"), F.lit(0))
@@ -381,7 +390,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def seated(left, right):
         """Tables beyond the first of the pairs that a piece speaks for, by context and by word."""
         if not left.num_rows:
-            return rows_of(np.zeros(0, np.uint64), t=np.zeros(0), c=np.zeros(0))
+            return seated_shape.empty_table()
         release()
         row, known = left.to_pylist()[0], facts_of(right)
         words, context, word = unpacked(row["words"], np.uint64), unpacked(row["context"], np.int32), unpacked(row["follows"], np.int32)
@@ -389,12 +398,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         opening = (CONCENTRATION + own * known[context, 1]) * known[word, 2]
         more = seat(unpacked(row["count"], np.int64), np.maximum(opening, 1e-300), own, unpacked(row["keys"], np.uint64), sweep) - 1
         tally = lambda of: np.bincount(of, weights=more, minlength=len(words))
-        return rows_of(words, t=tally(context), c=tally(word))
+        return pa.Table.from_pylist(runs_of(words, t=tally(context), c=tally(word)), schema=seated_shape)
+
+    seated_shape = pa.schema([("part", pa.int32()), *[(c, pa.binary()) for c in ("words", "t", "c")]])
 
     share, sweep, depth = 1.0, 0, 1
     state = settled(state)
     for sweep in range(1, burn_in + samples):
-        more = many.groupBy("piece").cogroup(facts(many).groupBy("piece")).applyInArrow(seated, "word long, t long, c long").groupBy(F.col("word").alias("of")).agg(F.sum("t").alias("mt"), F.sum("c").alias("mc"))
+        more = many.groupBy("piece").cogroup(facts(many).groupBy("piece")).applyInArrow(seated, "part int, words binary, t binary, c binary")
+        more = more.groupBy("part").applyInArrow(lambda group: summed(group, ("t", "c")), "word long, t long, c long").toDF("of", "mt", "mc")
         new = state.join(more, F.col("word") == F.col("of"), "left")
         new = new.select("word", "n", "t0", "c0", (F.col("c0") + F.coalesce("mc", F.lit(0))).alias("c"), "ts", "ps", (F.col("t0") + F.coalesce("mt", F.lit(0))).alias("t"))
         kind = "word long, n long, t0 long, c0 long, c long, ts array<double>, ps array<double>, t long, up long"
