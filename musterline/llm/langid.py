@@ -21,6 +21,7 @@ SAMPLE_DOCS = 3000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-4
 UNKNOWN = "und"
+MOST_LANGUAGES = 256  # the model, broadcast, has a quarter of a megabyte for each
 
 
 class Grams:
@@ -105,14 +106,16 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     Learns from text and non-null language of rows whose crc32(id as text) mod ``folds`` is not ``fold``. ``lang_pred`` is a
     learned language with its calibrated probability, or ``und`` with score 0 for a text that is null or without a
     letter, and for every text if nothing could be learned. Null ids count as the empty text in the fold; repeated rows
-    stay; an empty table gives no rows. Columns of ``docs`` may have any names.
+    stay; an empty table gives no rows. More than ``MOST_LANGUAGES`` languages are an error. Columns of ``docs`` may have any names.
     """
     import pyarrow as pa
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     held = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds == fold
     learned = docs.where(~held & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), text.alias("text"), F.col(lang_col).alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in learned.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in learned.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = sorted(sizes)
 
     def frequencies(batches):
