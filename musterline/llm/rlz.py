@@ -25,7 +25,7 @@ from .shared import bucketed, pieces, release, rolled, signed, spans, text_buffe
 
 WINDOW = 20
 GRAM = 6
-BUCKET_MB = 6.0
+BUCKET_MB = 3.0
 PART = "bucket int, id long, pos int, g long, e long, kind byte"
 WHOLE, EDGE, SINGLE = 1, 2, 3  # block repeats as a whole; block needs its windows checked; window repeats
 
