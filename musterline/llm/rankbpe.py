@@ -25,7 +25,7 @@ ID = 20  # bits of a token id
 MASK = (1 << ID) - 1
 NONE = 1 << 62
 CACHE = 50_000  # distinct chunks remembered per task; more only means that some are encoded again
-PIECE = 2 << 20  # bytes of text encoded at once
+PIECE = 1 << 20  # bytes of text encoded at once
 MAX_FILE = 64 << 20  # a vocabulary file is broadcast only up to this size
 
 # The code points of the Unicode property White_Space.
