@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages of operators from ``musterline.llm``, each working on all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``.
-A doc_id names one document: rows that share it are kept or dropped together.
+A doc_id names one document: rows that share it are kept or dropped together. The stages that send texts to Python have the
+session send at most ``BATCH_ROWS`` rows at once, as an executor holds several batches of whole texts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from musterline.llm import langid, mixing, rankbpe, rlz, simhash
 from musterline.llm.shared import maybe_among, saved
 
+BATCH_ROWS = 1000
 MIN_SCORE = 0.4  # language predictions below this probability are rejected
 
 
@@ -21,8 +23,15 @@ def _tokenizer() -> str:
     return path("word_bpe_49k.json")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts that are null, without letters or of no clear language go."""
+    _small_batches(spark)
     found = langid.predict(docs, carry=docs.columns)
     return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
@@ -32,6 +41,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null ids stay when nothing else names one of their groups. Only the text of documents that may go is moved.
     """
+    _small_batches(spark)
     found = simhash.similar_documents(docs)
     stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__stays"))
     gone = saved(stays.where(~F.col("__stays")).select(F.col("doc_id").alias("__gone")))
@@ -42,6 +52,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur earlier; documents that consist of nothing else go."""
+    _small_batches(spark)
     others = [c for c in docs.columns if c != "text"]
     found = rlz.substring_dedup(docs, carry=others).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     size = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))
@@ -66,6 +77,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digests of ids and of the text decoded from them."""
+    _small_batches(spark)
     return rankbpe.encode(docs, _tokenizer(), ids=True, digests=True)
 
 
