@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cascade, chatlog, mixing, rlz, urltrust, vptree
+from . import cascade, chatlog, gridjoin, mixing, rlz, runs, urltrust, variants, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,10 +71,24 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), noise=True)
+
+
+def op12_gridjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridjoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=runs.repeated))
+
+
 QUERIES = {
     "op1_urls": op1_urls, "op2_quality": op2_quality, "op3_chats": op3_chats, "op4_langid": op4_langid, "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash, "op7_mixing": op7_mixing, "op8_hpylm": op8_hpylm, "op9_vptree": op9_vptree, "op10_substring": op10_substring,
+    "op11_variants": op11_variants, "op12_gridjoin": op12_gridjoin, "op13_runs": op13_runs,
 }
 ORACLE: dict[str, str] = {
     "op1_urls": urltrust.ORACLE, "op2_quality": cascade.ORACLE, "op3_chats": chatlog.ORACLE, "op7_mixing": mixing.ORACLE, "op9_vptree": vptree.ORACLE, "op10_substring": rlz.ORACLE,
+    "op11_variants": variants.ORACLE, "op12_gridjoin": gridjoin.ORACLE, "op13_runs": runs.ORACLE,
 }
