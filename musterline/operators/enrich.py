@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-Provider = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+from .service import Provider, Service, asked
 
 
-def looked_up(df: DataFrame, keys: list[str], cache: DataFrame | None, provider: Provider, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(cache with the new answers, answers of all keys). Only distinct keys that the cache lacks reach the provider."""
+def looked_up(df: DataFrame, keys: list[str], cache: DataFrame | None, provider: Provider | Service, schema: str, caller: str = "looked_up") -> tuple[DataFrame, DataFrame]:
+    """(cache with the new answers, answers of all keys). Only distinct keys that the cache lacks reach the provider, each once, before this returns."""
     wanted = df.select(*keys).distinct()
     missing = wanted if cache is None else wanted.join(cache, keys, "left_anti")
-    fresh = missing.mapInPandas(provider, schema)
+    fresh = asked(missing, provider, schema, caller)
     known = fresh if cache is None else cache.unionByName(fresh, allowMissingColumns=True)
     return known, wanted.join(known, keys, "left")
 

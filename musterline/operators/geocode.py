@@ -1,22 +1,22 @@
 """Places and states of business of schools from injected services, with caches that a later run resumes from.
 
 A geocoder is a provider (``enrich.Provider``) that takes frames of the column query and gives rows of ``ANSWER``; a place
-service takes frames of place_id and gives rows of ``DETAILS``. Each distinct key is asked once, and none that a cache answers.
+service takes frames of place_id and gives rows of ``DETAILS``. Either may be a ``service.Service``, whose answers are kept, paced and counted.
+Each distinct key is asked once, when a function is called and not again by whoever reads its result, and none that a cache answers.
 """
 
 from __future__ import annotations
 
-import shutil
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, has_street_address, school_name, squish
-from .enrich import Provider, looked_up
+from .enrich import looked_up
+from .runlog import RunLog
+from .service import Provider, Service, asked
 
 ANSWER = "query string, found_lat double, found_lon double, found_place_id string, found_address string"
 DETAILS = "place_id string, business_status string, google_place_name string, status_reason string, http_status int"
@@ -70,15 +70,15 @@ def parsed_address(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(numbered, v).otherwise(F.col(c)) for c, v in parts.items()})
 
 
-def _answered(df: DataFrame, wanted: Column, query: Column, cache: DataFrame | None, provider: Provider) -> tuple[DataFrame, DataFrame]:
+def _answered(df: DataFrame, wanted: Column, query: Column, cache: DataFrame | None, provider: Provider | Service, caller: str) -> tuple[DataFrame, DataFrame]:
     asking = df.withColumn("query", F.when(wanted, query))
-    known, answers = looked_up(asking.where("query is not null"), ["query"], cache, provider, ANSWER)
+    known, answers = looked_up(asking.where("query is not null"), ["query"], cache, provider, ANSWER, caller)
     return known, asking.join(answers, "query", "left")
 
 
-def by_address(df: DataFrame, cache: DataFrame | None, provider: Provider) -> tuple[DataFrame, DataFrame]:
+def by_address(df: DataFrame, cache: DataFrame | None, provider: Provider | Service) -> tuple[DataFrame, DataFrame]:
     """(cache, rows): rows with a numbered address get a point and a place where they lack one."""
-    known, found = _answered(df, asks_by_address(), address_query(), cache, provider)
+    known, found = _answered(df, asks_by_address(), address_query(), cache, provider, "by_address")
     asked = F.col("query").isNotNull()
     out = found.withColumns({
         "lat": F.coalesce("lat", "found_lat"), "lon": F.coalesce("lon", "found_lon"), "place_id": F.coalesce("place_id", "found_place_id"),
@@ -88,9 +88,9 @@ def by_address(df: DataFrame, cache: DataFrame | None, provider: Provider) -> tu
     return known, out.withColumn("geo_source", source).drop("query", *[c for c in found.columns if c.startswith("found_")])
 
 
-def by_name(df: DataFrame, cache: DataFrame | None, provider: Provider) -> tuple[DataFrame, DataFrame]:
+def by_name(df: DataFrame, cache: DataFrame | None, provider: Provider | Service) -> tuple[DataFrame, DataFrame]:
     """(cache, rows): rows without point and address get both from the name and the county; new ones win."""
-    known, found = _answered(df, asks_by_name(), name_query(), cache, provider)
+    known, found = _answered(df, asks_by_name(), name_query(), cache, provider, "by_name")
     asked = F.col("query").isNotNull()
     found = found.withColumns({"__addr": F.col("addr_clean"), "__city": F.col("city"), "__zip": F.col("zip"), "__old": F.col("formatted_address")})
     out = found.withColumns({
@@ -118,7 +118,7 @@ def merge_cache(schools: DataFrame, cache: DataFrame) -> DataFrame:
     return schools.join(one, same, "left").withColumns(new).drop("__name", "__county", *[f"__{c}" for c in given])
 
 
-def geocoded(df: DataFrame, provider: Provider, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def geocoded(df: DataFrame, provider: Provider | Service, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(cache with all answers, rows): by address first, then by name for what has none."""
     for c, kind in (("place_id", "string"), ("formatted_address", "string"), ("geo_source", "string"), ("lat", "double"), ("lon", "double")):
         df = df if c in df.columns else df.withColumn(c, F.lit(None).cast(kind))
@@ -132,32 +132,27 @@ def dry_run(places: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"query": frame["query"], "found_lat": 0.0, "found_lon": 0.0, "found_place_id": "dry-" + frame["query"], "found_address": None})
 
 
-def run(df: DataFrame, provider: Provider, folder: str) -> DataFrame:
-    """``geocoded`` with the answers kept in the folder's cache, so that a run that was cut off asks only what it had not.
+def geocoder(provider: Provider, folder: str, rate: float | None = 50.0, slots: int = 4, chunk: int = 250, log: RunLog | None = None) -> Service:
+    """A geocoding service whose answers stay in the folder's cache; an answer with a point or a place is final."""
+    return Service("geocoding", provider, ANSWER, cache_paths(folder)["geocode"], "found_lat is not null or found_place_id is not null", rate=rate, slots=slots, chunk=chunk, log=log)
 
-    Answers by address are written before names are asked; new answers go in place of old ones of the same query.
-    """
-    spark, path = df.sparkSession, cache_paths(folder)["geocode"]
 
-    def cache() -> DataFrame | None:
-        try:
-            return spark.read.schema(ANSWER).parquet(path)
-        except AnalysisException:
-            return None
+def place_service(provider: Provider, folder: str, rate: float | None = 8.0, slots: int = 2, chunk: int = 250, log: RunLog | None = None) -> Service:
+    """A service of states of business whose answers stay in the folder's cache."""
+    final = f"status_reason in {RESOLVED}"
+    return Service("place_details_pro", provider, DETAILS, cache_paths(folder)["status"], final, "coalesce(cast(http_status as string), 'no response')", rate, slots, chunk, log)
 
-    for c, kind in (("place_id", "string"), ("formatted_address", "string"), ("geo_source", "string"), ("lat", "double"), ("lon", "double")):
-        df = df if c in df.columns else df.withColumn(c, F.lit(None).cast(kind))
-    for step in (by_address, by_name):
-        old = cache()
-        wanted, query = (asks_by_address(), address_query()) if step is by_address else (asks_by_name(), name_query())
-        asked = df.where(wanted).select(query.alias("query")).distinct()
-        fresh = (asked if old is None else asked.join(old, "query", "left_anti")).mapInPandas(provider, ANSWER)
-        fresh.write.mode("append").parquet(path)
-        _, df = step(df, cache(), provider)
-    return df
+
+def run(df: DataFrame, provider: Provider, folder: str, rate: float | None = 50.0, log: RunLog | None = None, **given) -> DataFrame:
+    """``geocoded`` with the answers kept in the folder's cache, so that a run that was cut off asks only what it had not.
+
+    Questions go out in chunks whose answers are written before the next ones are asked, at most ``rate`` a second. Queries that
+    got neither point nor place are asked again by the next run. ``log`` counts the questions; ``given`` goes to ``geocoder``.
+    """
+    return geocoded(df, geocoder(provider, folder, rate, log=log, **given))[1]
 
 
-def place_ids(df: DataFrame, id_col: str, names: dict[str, str], provider: Provider, cache: DataFrame | None = None) -> DataFrame:
+def place_ids(df: DataFrame, id_col: str, names: dict[str, str], provider: Provider | Service, cache: DataFrame | None = None) -> DataFrame:
     """(id, place_id) of rows whose columns ``names`` maps to those that geocoding reads; absent ones are null."""
     reads = ("school_name", "addr_clean", "city", "state", "zip", "county_std", "lat", "lon", "place_id")
     kind = lambda c: "double" if c in ("lat", "lon") else "string"
@@ -166,7 +161,7 @@ def place_ids(df: DataFrame, id_col: str, names: dict[str, str], provider: Provi
     return geocoded(rows, provider, cache)[1].select(id_col, "place_id")
 
 
-def original_then_standard(df: DataFrame, provider: Provider, original: str = "orig_name", standard: str = "school_name_std") -> DataFrame:
+def original_then_standard(df: DataFrame, provider: Provider | Service, original: str = "orig_name", standard: str = "school_name_std") -> DataFrame:
     """Rows with the place of their original name, or of the standard one where that has none; ``geocode_name_used`` tells which, or ``failed``.
 
     Rows without an original name are asked by the standard one at once. Other columns stay as they are.
@@ -222,7 +217,7 @@ def status_cache(cache: DataFrame) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
-def with_status(df: DataFrame, cache: DataFrame, provider: Provider, listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def with_status(df: DataFrame, cache: DataFrame, provider: Provider | Service, listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows with state, name, reason and source of their place, new cache).
 
     A reference directory (``listed``: place_id, business_status, nces_name, nces_source, nces_id) goes before the cache, the
@@ -245,7 +240,7 @@ def with_status(df: DataFrame, cache: DataFrame, provider: Provider, listed: Dat
     placed = blank_to_null(F.col("place_id")).isNotNull()
     first = lambda c: F.min(F.col(c)).alias(f"__p_{c}")
     prior = df.where(placed & ~settled).groupBy("place_id").agg(*[first(c) for c in STATUS])
-    fresh = prior.select("place_id").mapInPandas(provider, DETAILS).join(prior, "place_id")
+    fresh = asked(prior.select("place_id"), provider, DETAILS, "with_status").join(prior, "place_id")
     reason = F.coalesce("status_reason", "__p_status_reason")
     fresh = fresh.select(
         "place_id", F.coalesce("business_status", "__p_business_status").alias("business_status"), F.coalesce("google_place_name", "__p_google_place_name").alias("google_place_name"),
@@ -256,14 +251,32 @@ def with_status(df: DataFrame, cache: DataFrame, provider: Provider, listed: Dat
     return df, fresh.unionByName(known.join(fresh.select("place_id"), "place_id", "left_anti"))
 
 
-def retried(df: DataFrame, provider: Provider, attempts: int = 5) -> DataFrame:
-    """Rows whose look-up failed for the moment, asked again up to ``attempts`` times; each round is one plan step."""
+def retried(df: DataFrame, provider: Provider | Service, attempts: int = 5) -> DataFrame:
+    """Rows whose look-up failed for the moment, asked again up to ``attempts`` times, until none is left that may change.
+
+    Each round asks every such place once and keeps the answers; rows take their place's last one. Rows without a place get
+    the reason ``missing_place_id``.
+    """
+    again = F.col("business_status").isNull() & F.coalesce(F.col("status_reason") == "transient_error", F.lit(False))
+    unsettled = F.col("status_reason").isNull() | ~F.col("status_reason").isin(*RESOLVED)
+    keys, rounds = df.where(again & F.col("place_id").isNotNull()).select("place_id").distinct(), []
     for _ in range(attempts):
-        again = F.col("business_status").isNull() & F.coalesce(F.col("status_reason") == "transient_error", F.lit(False))
-        asked = df.where(again & F.col("place_id").isNotNull()).select("place_id").distinct()
-        new = asked.mapInPandas(provider, DETAILS).select("place_id", *[F.col(c).alias(f"__{c}") for c in STATUS[:3]])
-        df = df.join(new, "place_id", "left").withColumns({c: F.when(again, F.col(f"__{c}")).otherwise(F.col(c)) for c in STATUS[:3]}).drop(*new.columns[1:])
-    return df
+        found = asked(keys, provider, DETAILS, "retried")
+        keys = found.where(unsettled).select("place_id")
+        if found.isEmpty():
+            break
+        rounds.append((found, keys))
+        if keys.isEmpty():
+            break
+    if not rounds:
+        return df
+    last = rounds[-1][0]
+    for found, left in rounds[-2::-1]:
+        last = last.unionByName(found.join(left, "place_id", "left_anti"))
+    new = last.select("place_id", *[F.col(c).alias(f"__{c}") for c in STATUS[:3]])
+    reason = F.when(F.col("place_id").isNull(), "missing_place_id").otherwise(F.col("__status_reason"))
+    out = df.join(new, "place_id", "left").withColumn("__again", again).withColumn("__status_reason", reason)
+    return out.withColumns({c: F.when(F.col("__again"), F.col(f"__{c}")).otherwise(F.col(c)) for c in STATUS[:3]}).drop("__again", *new.columns[1:])
 
 
 def failure_codes(found: DataFrame) -> DataFrame:
@@ -291,13 +304,16 @@ def cache_paths(folder: str) -> dict[str, str]:
 
 
 def clear_cache(folder: str, what: str = "status", force: bool = False) -> list[str]:
-    """Deletes local cache folders (status, geocode, or all) and names them; without ``force`` only names what it would delete."""
+    """Deletes cache folders (status, geocode, or all) in whatever store they are and names them; without ``force`` only names what it would delete."""
     paths = cache_paths(folder)
     if what not in ("status", "geocode", "all"):
         raise ValueError(f"what is one of status, geocode and all, not {what!r}")
+    context = SparkSession.getActiveSession().sparkContext
     chosen = [p for k, p in paths.items() if what == "all" or k == what or (what == "geocode" and k == "progress")]
-    found = [p for p in chosen if Path(p).exists()]
+    targets = {p: context._jvm.org.apache.hadoop.fs.Path(p) for p in chosen}
+    stores = {p: t.getFileSystem(context._jsc.hadoopConfiguration()) for p, t in targets.items()}
+    found = [p for p in chosen if stores[p].exists(targets[p])]
     if force:
         for p in found:
-            shutil.rmtree(p)
+            stores[p].delete(targets[p], True)
     return found

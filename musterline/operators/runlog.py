@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from pathlib import Path
 
-from ..plans.costs import SERVICES
+from .prices import SERVICES
 
 META = ("run_id", "started_at", "finished_at", "status", "state", "host", "user")
 DETAIL = ("api", "caller", "requests", "succeeded", "failed", "failure_codes", "usd_per_1000", "free_per_month", "est_cost_list_usd")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import address, grades, similarity, text
 from ..operators import audit, dqa, linkage, places, reports, rollups, rosters
+from ..operators.service import durable
 from ..sources import cleaners
 from . import costs, finalize, model_tables, standardize
 
@@ -33,15 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(spark: SparkSession) -> None:
-    """Checkpoints go to the cluster's shared folder; to a temporary one only where it names none and the master is local."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="musterline-"))
-
-
 def school_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A school-year table made of line items: school_id, year, enrollment, current, med_exempt, rel_exempt."""
     q, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.prices import SERVICES
 from ..operators.rollups import billable
 
-# Service, list price of 1,000 calls, free calls a month, usual share of a dry run's requests.
-SERVICES = [("geocoding", 5.0, 10_000, 0.86), ("place_details_pro", 17.0, 5_000, 0.46)]
-
 
 def services(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SERVICES, "api string, usd_per_1000 double, free_per_month long, factor double")

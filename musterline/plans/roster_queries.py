@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import grades, locations, similarity, text
-from ..operators import enrich, geocode, linkage, places, reference, reports, review, rollups, rosters
+from ..operators import enrich, geocode, linkage, places, reference, reports, review, rollups, rosters, runlog
 from ..sources import cleaners, contract, directories, reshape, survey
 from . import standardize, sql_parts
 from .catalogue import SY, WITH_SY, _names, durable, name_pairs, query, school_years, table
@@ -355,6 +357,31 @@ def geocoded(spark, sf_dir):
     return geocode.geocoded(_schools(spark, sf_dir), _answers)[1].select("id", "addr_clean", "city", "zip", "lat", "lon", "place_id", "geo_source")
 
 
+@query("resumed_geocoding", f"""WITH {_SCHOOLS}, q AS (SELECT *, CASE WHEN id % 3 = 0 AND (lat IS NULL OR place_id IS NULL) THEN 1 WHEN id % 3 > 0 AND lat IS NULL THEN 2 ELSE 0 END AS step FROM s),
+t AS (SELECT DISTINCT CASE step WHEN 1 THEN trim(regexp_replace(concat_ws(' ', school_name, addr_clean, coalesce(city, ''), state, ''), '\\s+', ' ', 'g')) ELSE concat_ws(' ', school_name, county_std, state) END AS query FROM q WHERE step > 0)
+SELECT query, CASE WHEN length(query) % 5 > 0 THEN 'P' || length(query) END AS place_id, CAST(1 AS BIGINT) AS n_asked FROM t""")
+def resumed_geocoding(spark, sf_dir):
+    """What the service was asked by a run over a third of the schools and a later one over all: every query once."""
+    durable(spark)
+    rows, folder = _schools(spark, sf_dir), f"{spark.sparkContext.getCheckpointDir()}/answers-{uuid.uuid4().hex}"
+    for part in (rows.where("id % 4 = 1"), rows):
+        geocode.run(part, _answers, folder, rate=None)
+    told = geocode.geocoder(_answers, folder).every(spark)
+    return told.groupBy("query").agg(F.min("found_place_id").alias("place_id"), F.count("*").alias("n_asked"))
+
+
+@query("counted_calls", "WITH n AS (SELECT DISTINCT c_custkey % 400 AS n FROM customer) SELECT 'place_details_pro' AS api, 'with_status' AS caller, count(*) AS requests, count(*) FILTER (n % 6 < 3) AS succeeded, count(*) FILTER (n % 6 = 3) AS http_500, count(*) FILTER (n % 6 = 4) AS silent, count(*) FILTER (n % 6 = 5) AS unreadable FROM n")
+def counted_calls(spark, sf_dir):
+    """A run's log, filled by the look-up itself."""
+    durable(spark)
+    ids = table(spark, sf_dir, "customer").select(F.concat(F.lit("P"), F.col("c_custkey") % 400).alias("place_id"))
+    empty = spark.createDataFrame([], "place_id string, business_status string")
+    log = runlog.RunLog()
+    geocode.with_status(ids, empty, geocode.place_service(geocode.details(_fetch), f"{spark.sparkContext.getCheckpointDir()}/answers-{uuid.uuid4().hex}", rate=None, log=log))
+    rows = [(api, caller, n, good, codes["500"], codes["no response"], codes["200"]) for (api, caller), (n, good, codes) in log.calls.items()]
+    return spark.createDataFrame(rows, "api string, caller string, requests long, succeeded long, http_500 long, silent long, unreadable long")
+
+
 @query("geocode_retry", """WITH s AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 > 0 THEN c_name || repeat('x', CAST(c_custkey % 7 AS INT)) END AS o, 'std' || repeat('y', CAST(c_custkey % 4 AS INT)) AS d, 'county ' || c_nationkey || ' MD' AS rest FROM customer),
 n AS (SELECT *, length(coalesce(o, d) || ' ' || rest) AS a, length(d || ' ' || rest) AS b FROM s)
 SELECT id, CASE WHEN a % 5 > 0 THEN 'P' || a WHEN o IS NOT NULL AND b % 5 > 0 THEN 'P' || b END AS place_id, CASE WHEN a % 5 > 0 THEN 'original' WHEN o IS NOT NULL AND b % 5 > 0 THEN 'standardized' ELSE 'failed' END AS geocode_name_used FROM n""")
@@ -400,7 +427,7 @@ k AS (SELECT n, CASE WHEN n % 7 = 0 THEN 'nces' WHEN n % 5 = 0 THEN 'cache' WHEN
 def _states(spark, sf_dir):
     k = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 11 > 0, F.concat(F.lit("P"), (k % 400))).alias("place_id"))
-    ids = spark.range(400).select("id", F.concat(F.lit("P"), "id").alias("place_id"))
+    ids = table(spark, sf_dir, "customer").select((k % 400).alias("id"), F.concat(F.lit("P"), k % 400).alias("place_id")).distinct()
     cache = ids.where("id % 5 = 0").select("place_id", F.lit("CLOSED_PERMANENTLY").alias("business_status"), F.lit("old").alias("google_place_name"), F.lit("success").alias("status_reason"))
     cache = cache.union(ids.where("id % 10 = 0").select("place_id", F.lit("x"), F.lit("y"), F.lit("transient_error")))
     listed = ids.where("id % 7 = 0").select("place_id", F.lit("OPERATIONAL").alias("business_status"), F.concat(F.lit("nces "), "id").alias("nces_name"), F.lit("nces_ccd").alias("nces_source"), F.col("id").cast("string").alias("nces_id"))
@@ -416,7 +443,7 @@ def place_states(spark, sf_dir):
     return geocode.with_status(rows, cache, geocode.details(_fetch), listed)[0].select("id", "business_status", "google_place_name", "status_reason", "business_source")
 
 
-@query("status_caches", "SELECT 'P' || n AS place_id, 'CLOSED_PERMANENTLY' AS business_status, 'old' AS google_place_name, 'success' AS status_reason, 'cache' AS business_source FROM (SELECT unnest(range(0, 400, 5)) AS n)")
+@query("status_caches", "SELECT 'P' || n AS place_id, 'CLOSED_PERMANENTLY' AS business_status, 'old' AS google_place_name, 'success' AS status_reason, 'cache' AS business_source FROM (SELECT DISTINCT c_custkey % 400 AS n FROM customer WHERE c_custkey % 5 = 0)")
 def status_caches(spark, sf_dir):
     return geocode.status_cache(_states(spark, sf_dir)[1])
 

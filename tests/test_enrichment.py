@@ -105,7 +105,7 @@ def test_run_log(tmp_path):
     assert reports.summary_lines({"a": 1, "bb": 1200}) == ["bb      1,200", "a           1"]
 
 
-def test_cache_folders(tmp_path):
+def test_cache_folders(spark, tmp_path):
     paths = geocode.cache_paths(str(tmp_path))
     for p in paths.values():
         (tmp_path / p).mkdir()
