@@ -62,11 +62,26 @@ def exact(left: DataFrame, right: DataFrame, name: str, columns: list[str], left
     return split_off(pairs.select("orig_id_1", "orig_id_2"), left, right, left_id, right_id)
 
 
+def confirmed(pairs: DataFrame, every: DataFrame, within: Callable[[DataFrame], DataFrame], key: list[str], threshold_min: float, wide: float) -> DataFrame:
+    """``pairs`` with ``low`` taken over all candidates in those few groups where the pairs at hand leave open whether any is near.
+
+    These are groups whose nearest pair so far is farther than ``threshold_min``: a candidate that was left out for its bound may be nearer.
+    """
+    open_groups = pairs.where(F.col("low") > threshold_min).select(*key).distinct()
+    same = reduce(lambda x, y: x & y, [every[c].eqNullSafe(open_groups[c]) for c in key])
+    rest = every.where((F.col("least") > wide) & (F.col("least") <= threshold_min + similarity.SLACK)).join(open_groups, same, "left_semi")
+    lower = within(rest).groupBy(*key).agg(F.min("jw").alias("__low"))
+    lower = lower.select(*[F.col(c).alias(f"__{c}") for c in key], "__low")
+    joined = pairs.join(lower, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]), "left")
+    return joined.withColumn("low", F.least("low", "__low")).drop("__low", *[f"__{c}" for c in key])
+
+
 def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_id: str, right_id: str, threshold_min: float = 0.6,
           threshold: float = 0.6, exact_at: float = 0.05, keep: int = 10, level: str | None = None) -> Matched:
     """The best candidate of each left row within its block, by staged similarity.
 
-    A single block column never matches null; of several, null matches null. Candidates at most ``exact_at`` away win
+    A single block column never matches null; of several, null matches null. A bound of the distance from byte counts, lengths
+    and first bytes drops most pairs of a block in the JVM; only the rest are compared in Python. Candidates at most ``exact_at`` away win
     outright. Else those within ``threshold``, or alike in sound and letters, are cut to the nearest ``keep``, graded by all
     measures, and the best grade wins, then the smallest distance, then the smaller id.
     """
@@ -75,11 +90,17 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     l, r = side(left, left_id, "l").where("l_name is not null"), side(right, right_id, "r").where("r_name is not null")  # noqa: E741
     key = [c for c in l.columns if c != "l_id"]  # rows alike in all that is compared are scored once
     on = [F.col(f"l{j}") == F.col(f"r{j}") if len(block) == 1 else F.col(f"l{j}").eqNullSafe(F.col(f"r{j}")) for j in range(len(block))]
-    pairs = l.select(*key).distinct().join(r, reduce(lambda x, y: x & y, on))
-    # no candidate at 0.5 or farther is ever taken, so only nearer ones go on
-    pairs = pairs.withColumn("e", similarity.sounds("l_name", "r_name")).withColumn("jw", F.col("e.jw")).where((F.col("jw") < 0.5) | (F.col("jw") <= exact_at))
-    pairs = pairs.withColumn("low", F.min("jw").over(Window.partitionBy(*key))).where(F.col("low") <= threshold_min)
+    asked = l.select(*key).distinct().withColumn("l_sign", similarity.signs("l_name"))
+    held = r.join(r.select("r_name").distinct().withColumn("r_sign", similarity.signs("r_name")), "r_name")
+    every = asked.join(held, reduce(lambda x, y: x & y, on)).withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign")))
+    # a candidate is taken for a distance within the larger bound, or for its sound below 0.5; others matter at most for whether any is near
+    wide, sound = max(exact_at, min(0.5, threshold)) + similarity.SLACK, (F.col("l_sign.soundex") == F.col("r_sign.soundex")) & (F.col("least") < 0.5)
+    within = lambda rows: rows.drop("l_sign", "r_sign", "least").withColumn("e", similarity.sounds("l_name", "r_name")).withColumn("jw", F.col("e.jw")).where((F.col("jw") < 0.5) | (F.col("jw") <= exact_at))
     a, b = F.col("l_name"), F.col("r_name")
+    pairs = within(every.where((F.col("least") <= wide) | sound)).withColumn("low", F.min("jw").over(Window.partitionBy(*key)))
+    if threshold_min > wide - similarity.SLACK:
+        pairs = confirmed(pairs, every, within, key, threshold_min, wide)
+    pairs = pairs.where(F.col("low") <= threshold_min)
     near = (F.col("low") <= exact_at) & (F.col("jw") <= exact_at)
     alike = F.when(F.col("e.soundex") == 0, similarity.cosine(a, b)) <= 0.25
     pairs = pairs.where(near | ((F.col("low") > exact_at) & ((F.col("jw") <= threshold) | F.coalesce(alike, F.lit(False)))))

@@ -64,16 +64,23 @@ def directory_reference(df: DataFrame, standard: Callable[[Column], Column] = la
 def candidates(schools: DataFrame, ref: DataFrame, prefix: str, metres: float | None = None) -> DataFrame:
     """Schools (school_name, county_std, school_name_std, lat, lon) with their best candidate as columns ``prefix``_...
 
-    Candidates stand in the same county, or with ``metres`` within that distance, which plans as a join of grid cells. The most
-    similar name wins, then the nearest, then the first name.
+    Candidates stand in the same county, or with ``metres`` within that distance, which plans as a join of grid cells. Names whose
+    bound of the distance excludes them are not compared. The most similar name wins, then the nearest, then the first name.
     """
     key = ["school_name", "county_std"]
-    left = schools.where("school_name_std is not null").select(*key, "school_name_std", F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
-    ref = ref.where("ref_std is not null")
+    signed = lambda df, c, sign: df.join(df.select(c).distinct().withColumn(sign, similarity.signs(c)), c)
+    left = signed(schools.where("school_name_std is not null").select(*key, "school_name_std", F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon")), "school_name_std", "l_sign")
+    ref = signed(ref.where("ref_std is not null"), "ref_std", "r_sign")
     if metres is None:
         pairs = left.join(ref, left["county_std"].eqNullSafe(ref["ref_county"])).withColumn("distance_m", haversine_m(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")))
     else:
         pairs = within(left.where("l_lat is not null and l_lon is not null"), ref.where("r_lat is not null and r_lon is not null"), metres)
+    pairs = pairs.withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign"))).drop("l_sign", "r_sign")
+    # the pair of least bound is compared first; what cannot be as near as that is not compared at all
+    likely = pairs.groupBy(*key).agg(F.min_by(F.struct("school_name_std", "ref_std"), F.struct("least", "ref_std")).alias("p"))
+    top = likely.select(*[F.col(c).alias(f"__{c}") for c in key], similarity.sounds(F.col("p.school_name_std"), F.col("p.ref_std"))["jw"].alias("top"))
+    own = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    pairs = pairs.join(top, own).where(F.col("least") <= F.col("top") + similarity.SLACK).drop("least", "top", *[f"__{c}" for c in key])
     pairs = pairs.withColumn("sim", 1 - similarity.sounds("school_name_std", "ref_std")["jw"])
     best = pairs.groupBy(*key).agg(F.min_by(F.struct("ref_name", "ref_variant", "ref_city", "ref_status", "ref_detail", "sim", "distance_m"), F.struct(-F.col("sim"), F.coalesce("distance_m", F.lit(float("inf"))), "ref_name", "ref_variant")).alias("b"))
     fields = {

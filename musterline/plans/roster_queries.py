@@ -875,6 +875,38 @@ def located_points(spark, sf_dir):
     return places.located(points, counties, zips, "MD", ("2000",)).select("c_custkey", "county_geo", "zip_geo")
 
 
+# a slanted quadrilateral with a slanted hole, and a triangle apart from it, for each nation; edges in the order of the rings
+_SHAPES = [[(0.1, 0.2), (3.1, 0.9), (2.7, 3.3), (-0.3, 2.6)], [(0.9, 1.1), (1.9, 1.3), (1.6, 2.2)], [(3.4, 2.1), (3.9, 3.7), (3.2, 3.5)]]
+_SHAPE_EDGES = " UNION ALL ".join(f"SELECT {a} AS x1, {b} AS y1, {c} AS x2, {d} AS y2" for ring in _SHAPES for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]]))
+
+
+@query("points_in_shapes", f"""WITH e AS ({_SHAPE_EDGES}), n AS (SELECT n_nationkey AS k, n_nationkey % 5 * 3.0 AS x, n_nationkey // 5 * 3.0 AS y FROM nation),
+p AS (SELECT c_custkey, c_custkey * 37 % 1801 / 100.0 + 0.0051 AS px, c_custkey * 53 % 1901 / 100.0 + 0.0053 AS py FROM customer),
+i AS (SELECT c_custkey, k FROM p JOIN n ON px BETWEEN x - 1 AND x + 5 AND py BETWEEN y - 1 AND y + 5 JOIN e ON (y1 + y > py) <> (y2 + y > py) AND px < (x2 - x1) * (py - y1 - y) / (y2 - y1) + x1 + x GROUP BY c_custkey, k HAVING count(*) % 2 = 1)
+SELECT p.c_custkey, 'shape ' || k AS name FROM p LEFT JOIN i USING (c_custkey)""")
+def points_in_shapes(spark, sf_dir):
+    k, n = F.col("c_custkey"), F.col("n_nationkey")
+    points = table(spark, sf_dir, "customer").select("c_custkey", (k * 37 % 1801 / 100.0 + 0.0051).alias("lon"), (k * 53 % 1901 / 100.0 + 0.0053).alias("lat"))
+    corner = lambda a, b: F.struct((n % 5 * 3.0 + a).cast("double").alias("lon"), (F.floor(n / 5) * 3.0 + b).cast("double").alias("lat"))
+    shapes = table(spark, sf_dir, "nation").select(F.concat(F.lit("shape "), n).alias("name"), F.array(*[F.array(*[corner(*c) for c in ring]) for ring in _SHAPES]).alias("rings"))
+    return places.in_polygon(points, shapes).select("c_custkey", "name")
+
+
+_FAR = "CAST(2 * 6371000 * asin(least(1, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS DOUBLE)"
+
+
+@query("far_north_pairs", f"""WITH p AS (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 84 + c_custkey * 37 % 6000 / 1000.0 WHEN 1 THEN -60 - c_custkey * 53 % 3000 / 100.0 ELSE c_custkey * 41 % 200 / 100.0 END AS lat,
+  CASE WHEN c_custkey % 3 = 2 THEN CASE WHEN c_custkey % 2 = 0 THEN 179 + c_custkey * 29 % 100 / 100.0 ELSE -180 + c_custkey * 31 % 100 / 100.0 END ELSE c_custkey * 97 % 3600 / 10.0 - 180 END AS lon FROM customer)
+SELECT a.id AS id_1, b.id AS id_2, round({_FAR}, 1) AS distance_m FROM p a JOIN p b ON a.id < b.id AND {_FAR} <= 20000 AND {_FAR} > 0""")
+def far_north_pairs(spark, sf_dir):
+    """Neighbours near the poles and on both sides of the date line."""
+    k = F.col("c_custkey")
+    lat = F.when(k % 3 == 0, 84 + k * 37 % 6000 / 1000.0).when(k % 3 == 1, -60 - k * 53 % 3000 / 100.0).otherwise(k * 41 % 200 / 100.0)
+    lon = F.when(k % 3 == 2, F.when(k % 2 == 0, 179 + k * 29 % 100 / 100.0).otherwise(-180 + k * 31 % 100 / 100.0)).otherwise(k * 97 % 3600 / 10.0 - 180)
+    points = table(spark, sf_dir, "customer").select(k.alias("id"), lat.alias("lat"), lon.alias("lon"))
+    return places.near_pairs(points, "id", "lat", "lon", 20_000)
+
+
 @query("vaxview_files", """WITH s AS (SELECT p_partkey AS k, 2000 + p_partkey % 20 AS y, p_partkey % 90 + 5.5 AS e, p_partkey % 400 + 10 AS n FROM part)
 SELECT 'child' AS pop, 'MMR' AS vaccine, CAST(y AS INT) AS year, 'birth year' AS year_type, '24 Months' AS age_range, CAST(n AS DOUBLE) AS n, e / 100 AS p, round_even(n * (e / 100), 0) AS x FROM s WHERE k % 3 = 0
 UNION ALL SELECT 'teen', 'MMR', CAST(y AS INT), 'survey year', '24 Months', CAST(n AS DOUBLE), e / 100, round_even(n * (e / 100), 0) FROM s WHERE k % 3 = 0
