@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import blank_to_null, has_street_address, school_name, squish
 from .enrich import looked_up
 from .runlog import RunLog
-from .service import Provider, Service, asked
+from .service import Provider, Service, asked, durable
 
 ANSWER = "query string, found_lat double, found_lon double, found_place_id string, found_address string"
 DETAILS = "place_id string, business_status string, google_place_name string, status_reason string, http_status int"
@@ -122,8 +122,9 @@ def geocoded(df: DataFrame, provider: Provider | Service, cache: DataFrame | Non
     """(cache with all answers, rows): by address first, then by name for what has none."""
     for c, kind in (("place_id", "string"), ("formatted_address", "string"), ("geo_source", "string"), ("lat", "double"), ("lon", "double")):
         df = df if c in df.columns else df.withColumn(c, F.lit(None).cast(kind))
-    known, out = by_address(df, cache, provider)
-    return by_name(out, known, provider)
+    durable(df.sparkSession)
+    known, out = by_address(df.checkpoint(), cache, provider)
+    return by_name(out.checkpoint(), known, provider)  # what is asked next is planned from rows, not from the look-ups before
 
 
 def dry_run(places: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,7 +171,7 @@ def original_then_standard(df: DataFrame, provider: Provider | Service, original
 
     def asked(rows: DataFrame, name: Column, cache: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         known, out = geocoded(rows.withColumn("__row", F.struct(*whole.columns)).withColumn("school_name", name), provider, cache)
-        return known, out.select("__row.*", "place_id")
+        return known, out.select("__row.*", "place_id").checkpoint()
 
     known, first = asked(whole, F.coalesce(blank_to_null(F.col(original)), F.col(standard)), None)
     lacks = blank_to_null(F.col("place_id")).isNull()

@@ -71,7 +71,7 @@ def fuzzy_passes(left_id: str, right_id: str) -> list[linkage.Pass]:
     """District and type, county and type, county; the first only where both sides have districts."""
 
     def near(block, threshold):
-        return lambda a, b: linkage.fuzzy(a, b, "school_name_std", block, left_id, right_id, 0.3, threshold, 0.10)
+        return lambda a, b: linkage.fuzzy(a, b, "school_name_std", block, left_id, right_id, 0.3, threshold, 0.10, level="level_code")
 
     both = lambda a, b: bool(usable(a, ["district_std"])) and bool(usable(b, ["district_std"]))
     return [
@@ -82,12 +82,12 @@ def fuzzy_passes(left_id: str, right_id: str) -> list[linkage.Pass]:
 
 
 def standardize(records: DataFrame, directory: DataFrame, department: DataFrame, other: DataFrame | None = None, locate: Locator = nowhere,
-                directory_id: str = "data1_id", department_id: str = "data2_id", other_id: str = "data3_id") -> Standardized:
+                synonyms: Locator | None = None, directory_id: str = "data1_id", department_id: str = "data2_id", other_id: str = "data3_id") -> Standardized:
     """Cleaned tables (``sources.cleaners``) to a master list and the records with the school that each belongs to.
 
     The directory, the department's list and another source enter the master in this order. Schools of the records are
     matched on name and all the places they have, then by place, then again with slips of the county corrected, and what is left
-    by similar names against elementary schools. ``joined`` holds every record once: school_id is the master's, or
+    by similar names against elementary schools, which ``synonyms`` may list under further names. ``joined`` holds every record once: school_id is the master's, or
     ``vacc-`` and the record's own school. The records carry vacc_data_id and year_source.
     """
     master = collapsed(locate(location_keys(directory, "dir", directory_id))).checkpoint()
@@ -127,6 +127,8 @@ def standardize(records: DataFrame, directory: DataFrame, department: DataFrame,
     if columns:
         rest = without(rest, keep(linkage.exact(retried, master, "school_name_std", columns, "orig_id", "orig_id", "all").matched, "county_corrected"))
     elementary = master.where(F.col("level_code").isNull() | F.col("level_code").contains("e"))
+    if synonyms is not None:
+        elementary = synonyms(elementary).checkpoint()
     fuzzy = linkage.cascade(rest, elementary, fuzzy_passes("orig_id", "orig_id"), "orig_id", "orig_id")
     keep(fuzzy.matched, None)
 
