@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -348,6 +351,22 @@ def finalize_cleaned(spark, sf_dir):
     return finalize.finalize(school_years(spark, sf_dir)).cleaned
 
 
+_SERIES = "s AS (SELECT *, CASE school_id % 3 WHEN 0 THEN 'mmr' WHEN 1 THEN 'polio' END AS series FROM sy)"
+
+
+@query("written_series", WITH_SY + f""", {_SERIES}, r AS (SELECT *, CASE WHEN enrollment IS NULL THEN 'missing_enrollment' WHEN enrollment <= 0 THEN 'zero_enrollment' END AS early FROM s WHERE series IS NOT NULL)
+SELECT series, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(early) AS BIGINT) AS n_without_enrollment FROM r GROUP BY series""")
+def written_series(spark, sf_dir):
+    """Rows of the written clean and excluded tables of each series, read back through the manifest."""
+    durable(spark)
+    kind = F.when(F.col("school_id") % 3 == 0, " MMR").when(F.col("school_id") % 3 == 1, "Polio")
+    folder = f"{spark.sparkContext.getCheckpointDir()}/final-{uuid.uuid4().hex}"
+    lines = finalize.write_final(school_years(spark, sf_dir).withColumn("kind", kind), "kind", folder)
+    both = [finalize.read_final(spark, folder, r["table"], r["series"]).select("series", *([F.col("exclusion_reason")] if r["table"] == "excluded" else [F.lit(None).cast("string").alias("exclusion_reason")])) for r in lines.where("table in ('cleaned', 'excluded')").collect()]
+    early = F.col("exclusion_reason").isin("missing_enrollment", "zero_enrollment")
+    return reduce(DataFrame.union, both).groupBy("series").agg(F.count("*").alias("n_rows"), F.count(F.when(early, 1)).alias("n_without_enrollment"))
+
+
 @query("call_summary", """WITH c AS (SELECT event_type AS api, CASE WHEN event_id % 7 = 0 THEN 'E' || event_id % 3 END AS code, 1 AS n FROM events),
 k AS (SELECT api, code, sum(n) AS n FROM c WHERE code IS NOT NULL GROUP BY 1, 2), s AS (SELECT api, string_agg(code || ': ' || CAST(n AS BIGINT), '; ' ORDER BY n DESC, code) AS failures FROM k GROUP BY 1)
 SELECT c.api, count(*) AS requests, count(*) FILTER (WHERE code IS NULL) AS succeeded, count(*) FILTER (WHERE code IS NOT NULL) AS failed, round(count(*) * 5.0 / 1000, 6) AS cost, any_value(failures) AS failures FROM c LEFT JOIN s USING (api) GROUP BY c.api""")
