@@ -249,3 +249,50 @@ def test_labels_of_edges():
     label = labels_of(500, i, j)
     assert (label[i] == label[j]).all() and (label <= np.arange(500)).all() and (label[label] == label).all()
     assert len(set(label)) == 500 - np.linalg.matrix_rank(np.eye(500)[i] - np.eye(500)[j])
+
+
+# ---- hashes of words ------------------------------------------------------------------------
+
+def test_word_hashes_tell_patterned_words_apart():
+    from musterline.llm.shared import word_hashes
+
+    morse = b"".join(b"ab"[bin(i).count("1") % 2 :][:1] for i in range(2048))
+    mirror = morse.translate(bytes.maketrans(b"ab", b"ba"))
+    rng = random.Random(2)
+    words = [morse[:n] for n in range(1, 2048, 7)] + [mirror[:n] for n in range(1, 2048, 7)] + [b"a" * n for n in range(1, 40)] + [b"\0" * n for n in range(1, 40)]
+    words += [bytes(rng.choices(range(33, 256), k=rng.randint(1, 30))) for _ in range(3000)]
+    words = sorted(set(words))
+    rng.shuffle(words)
+    raw = np.frombuffer(b" ".join(words + words[::-1]), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words + words[::-1]]) - 1
+    starts = ends - np.array([len(w) for w in words + words[::-1]])
+    found = word_hashes(raw, starts, ends)
+    assert (found[: len(words)] == found[len(words) :][::-1]).all()  # wherever a word stands
+    assert len(set(found.tolist())) == len(words)
+    assert len(word_hashes(raw, starts[:0], ends[:0])) == 0
+
+
+def test_patterned_words_in_three_operators(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    from musterline.llm.hpylm import score_documents
+    from musterline.llm.rankbpe import encode
+    from musterline.llm.rlz import substring_dedup
+
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    mirror = morse.translate(str.maketrans("ab", "ba"))
+    frame = documents(spark, [(0, morse), (1, mirror), (2, f"{morse[:1024]} {mirror[:1024]}")])
+    library = Tokenizer.from_file(path("word_bpe_49k.json"))
+    got = {r["doc_id"]: r["ids_sha256"] for r in encode(frame, path("word_bpe_49k.json"), ids=False, digests=True).collect()}
+    for i, text in enumerate([morse, mirror, f"{morse[:1024]} {mirror[:1024]}"]):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert got[i] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+    held = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1][0]
+    kept = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 != 1][:6]
+    rows = [(held, mirror[:1024] + " " + morse[:1024])] + [(i, morse[:1024] + " x y z") for i in kept]
+    scored = {r["doc_id"]: r["n_known"] for r in score_documents(documents(spark, rows)).collect()}
+    assert scored[held] == 2  # the word seen in training, and the end
+    plain = [f"w{i}" for i in range(19)]
+    twins = documents(spark, [(0, " ".join([morse[:1024], *plain])), (1, " ".join([mirror[:1024], *plain]))])
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup(twins, joined=True).collect()} == {0: 0, 1: 0}
