@@ -26,6 +26,8 @@ SEED = 42
 BITS = 64
 WORDS = 6  # of a fingerprint at least where texts are compared by similarity
 ROUNDS, CENTRES = 2, 8  # of stars, before texts that are still apart are compared in pairs
+SPREAD = 4  # standard deviations of bits that candidates may differ by beyond the mean of pairs right at the similarity
+CELL_SETS, CELL_VALUES = 1000, 1 << 19  # sets, and values in them, on each side of a cell of pairs
 
 
 def shingled(text: bytes, shingle: int) -> list[bytes]:
@@ -207,19 +209,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95) -> DataFrame:
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of those ``pairs`` (p, q, a, b) whose sets (node, set of distinct longs) have at least that Jaccard similarity.
+
+    Pairs lie in a square of cells by the hashes of both nodes, and a set goes once to each cell that asks for it, not with each
+    of its pairs. There are so many cells that none gets more than about ``CELL_SETS`` sets and ``CELL_VALUES`` values a side.
+    """
+    n, values = sets.agg(F.count("*"), F.coalesce(F.sum(F.size("set").cast("long")), F.lit(0))).first()
+    side = max(n // CELL_SETS, values // CELL_VALUES) + 1
+    row, column = F.pmod(F.xxhash64("p"), F.lit(side)), F.pmod(F.xxhash64("q", F.lit(1)), F.lit(side))
+    pairs = pairs.select("p", "q", "a", "b", (row * side + column).alias("cell"))
+    asks = pairs.select(F.col("cell").alias("of"), F.col("p").alias("node")).union(pairs.select("cell", "q")).distinct()
+    needed = asks.join(sets, "node").select("of", "node", "set")
+
+    def compared(left, right):
+        import pyarrow as pa
+
+        lists = pa.concat_arrays(right.column("set").chunks)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.append(0, np.cumsum(sizes))
+        words, ids = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        nodes = right.column("node").to_numpy()
+        order = np.argsort(nodes)
+        p, q = (order[np.searchsorted(nodes, left.column(c).to_numpy(), sorter=order)] for c in "pq")
+        by, linked, held = np.argsort(p, kind="stable"), np.zeros(left.num_rows, bool), np.zeros(len(words), bool)
+        for rows in np.split(by, np.flatnonzero(np.diff(p[by])) + 1):
+            own, others = p[rows[0]], q[rows]
+            mine = ids[starts[own] : starts[own + 1]]
+            held[mine] = True
+            ends = np.cumsum(sizes[others])
+            at = np.arange(ends[-1]) + np.repeat(starts[others] - ends + sizes[others], sizes[others])
+            seen = np.append(0, np.cumsum(held[ids[at]]))
+            shared = seen[ends] - seen[ends - sizes[others]]
+            linked[rows] = shared >= similarity * (sizes[own] + sizes[others] - shared)
+            held[mine] = False
+        release()
+        return left.select(["a", "b"]).filter(pa.array(linked))
+
+    return pairs.groupBy("cell").cogroup(needed.groupBy("of")).applyInArrow(compared, "a long, b long")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.98) -> DataFrame:
     """One row per row of ``docs``: doc_id, component_id.
 
     Links are pairs of texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least ``similarity``,
-    compared as 64-bit hashes. Candidates share a segment of long fingerprints but for one bit, and differ by at most one and a
-    quarter standard deviations more bits than pairs of ``similarity`` do; the segments are so many that ``recall`` of the pairs right at
-    ``similarity``, and more of those above, share one, at every size of the table.
+    compared as 64-bit hashes. Candidates share a segment of long fingerprints but for one bit, and differ by at most ``SPREAD``
+    standard deviations more bits than pairs of ``similarity`` do, which leaves out about one such pair in 30,000; the segments are so
+    many that ``recall`` of the pairs right at ``similarity``, and more of those above, share one, at every size of the table.
     Texts of one fingerprint are one. Nulls, repeats and empty tables are as in ``near_duplicates``.
     """
     parts = long_segments(docs.count(), similarity, recall)
     bits = sum(w for _, w, _ in parts)
     words, p = max(WORDS, ceil(bits / BITS)), share_of_bits(similarity)
-    distance = ceil(BITS * words * p + 1.25 * (BITS * words * p * (1 - p)) ** 0.5)
+    distance = ceil(BITS * words * p + SPREAD * (BITS * words * p * (1 - p)) ** 0.5)
     prints = saved(fingerprints(docs, id_col, text_col, shingle, words))
     keyed = saved(prints.groupBy("fp").agg(F.min("key").alias("key")))
 
@@ -240,9 +282,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         some = maybe_among(text, F.col("of"), asked.select("key").distinct(), "__asked").where("__asked").drop("__asked")
         some = some.join(asked.select(F.col("key").alias("of")).distinct(), "of", "left_semi").groupBy("of").agg(F.first("t").alias("t"))
         sets = saved(asked.join(some.mapInArrow(hashes, "of long, set array<long>"), F.col("key") == F.col("of")).select("node", "set"))
-        both = pairs.join(sets.select(F.col("node").alias("p"), F.col("set").alias("x")), "p").join(sets.select(F.col("node").alias("q"), F.col("set").alias("y")), "q")
-        shared = F.size(F.array_intersect("x", "y"))
-        return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select(*pairs.columns)
+        return alike(pairs, sets, similarity)
 
     near = int(BITS * words * p)
     return grouped(prints, linked(prints, distance, parts, words, check, ROUNDS, CENTRES, near)).select(F.col("id").alias("doc_id"), "component_id")

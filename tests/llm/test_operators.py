@@ -1,6 +1,7 @@
 """Each operator against brute force, and on nulls, empty and long texts, ties, repeated rows, empty tables and odd columns."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -466,6 +467,41 @@ def test_similar_documents(spark, odd, none):
         assert len(long_segments(n, 0.8, 0.95)) > 4
 
 
+def test_similar_pairs_at_defaults(spark):
+    from musterline.llm.simhash import similar_documents
+
+    rng, rows = random.Random(1), []
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=7)) for _ in range(5000)]
+    shingles = lambda words: {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    while len(rows) < 1000:
+        base = rng.choices(vocabulary, k=rng.randint(150, 600))
+        new, share = list(base), 1.0
+        while share >= 0.81:
+            new[rng.randrange(len(new))] = rng.choice(vocabulary)
+            x, y = shingles(base), shingles(new)
+            share = len(x & y) / len(x | y)
+        if share >= 0.8:
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(new))]
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i] == got[i + 1] for i in range(0, 1000, 2)) >= 475
+    assert all(got[i] in (i, i - i % 2) for i in got)
+
+
+@pytest.mark.parametrize("most", [1, 7, 1000])
+def test_pairs_in_cells(spark, most, monkeypatch):
+    from musterline.llm import simhash
+
+    monkeypatch.setattr(simhash, "CELL_SETS", most)
+    rng = random.Random(5)
+    sets = {i: rng.sample(range(-12, 12), rng.choice((0, 1, 5, 10, 18))) for i in range(40)}
+    pairs = [(p, q, -p, -q) for p, q in itertools.permutations(sets, 2) if rng.random() < 0.6]
+    near = lambda x, y: len(x & y) >= 0.5 * len(x | y)
+    expected = Counter((a, b) for p, q, a, b in pairs if near(set(sets[p]), set(sets[q])))
+    frames = spark.createDataFrame(pairs, "p long, q long, a long, b long"), spark.createDataFrame(list(sets.items()), "node long, set array<long>")
+    assert Counter(tuple(r) for r in simhash.alike(*frames, 0.5).collect()) == expected
+    assert simhash.alike(frames[0].limit(0), frames[1].limit(0), 0.5).count() == 0
+
+
 @pytest.mark.parametrize("factor, least", [(1.0, 1.0), (0.7, 0.9)])
 def test_nearest(spark, factor, least):
     from musterline.llm.vptree import nearest
