@@ -9,7 +9,7 @@ import zipfile
 from pathlib import Path
 from xml.etree import ElementTree
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -129,6 +129,25 @@ def write_details(results: dict[str, DataFrame], folder: str, consolidate: DataF
     return written
 
 
+def write_failures(df: DataFrame, checks: dict[str, Column], folder: str, kind: str = "csv", by: str = "check") -> dict[str, int]:
+    """The rows that fail each check, written in one pass over ``df`` under ``folder``/``by``=name; how many each check found.
+
+    A row goes to every check it fails; a condition that is null fails none. Checks that find nothing get no folder and count 0.
+    The counts are taken while the rows are written. A table that has a column ``by`` is an error.
+    """
+    if by in df.columns:
+        raise ValueError(f"the table has a column {by!r} of its own")
+    failed = {name: F.coalesce(c, F.lit(False)) for name, c in checks.items()}
+    if not failed:
+        return {}
+    counted = Observation()
+    seen = df.observe(counted, *[F.count_if(c).alias(name) for name, c in failed.items()])
+    names = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in failed.items()]))
+    rows = seen.withColumn(by, F.explode(names))
+    rows.write.mode("overwrite").partitionBy(by).format(kind).options(**({"header": "true"} if kind == "csv" else {})).save(folder)
+    return {name: counted.get[name] for name in failed}
+
+
 def file_name(state: str, prefix: str, extension: str) -> str:
     return f"{state}_{prefix}.{extension}"
 

@@ -90,6 +90,21 @@ def test_files(spark, tmp_path):
     assert directories.other_source(spark, None, lambda df: df) is None
 
 
+def test_failures_in_one_pass(spark, tmp_path):
+    rows = [(1, -5), (2, 0), (3, None), (4, 900), (5, -700), (5, -700)]
+    df = spark.createDataFrame(rows, "id long, n long").repartition(3)
+    checks = {"negative": F.col("n") < 0, "wide": F.abs("n") > 500, "none": F.col("n") > 10_000}
+    folder = str(tmp_path / "failures")
+    for kind in ("parquet", "csv"):
+        assert files.write_failures(df, checks, folder, kind) == {"negative": 3, "wide": 3, "none": 0}
+        found = spark.read.option("header", True).format(kind).load(folder).selectExpr("string(check)", "bigint(id)", "bigint(n)")
+        assert sorted(map(tuple, found.collect())) == sorted((k, i, n) for k, f in (("negative", lambda n: n < 0), ("wide", lambda n: abs(n) > 500)) for i, n in rows if n is not None and f(n))
+    assert files.write_failures(df.limit(0), checks, folder, "parquet") == dict.fromkeys(checks, 0)
+    assert files.write_failures(df, {}, folder) == {}
+    with pytest.raises(ValueError, match="column 'check' of its own"):
+        files.write_failures(df.withColumn("check", F.lit(1)), checks, folder)
+
+
 def test_run_log(tmp_path):
     for day, requests in ((1, 9_000), (2, 3_000)):
         log = runlog.RunLog("md", datetime(2024, 3, day))
