@@ -293,6 +293,7 @@ h AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY round(total, 9), e
 l AS (SELECT name, string_agg(entry, ', ' ORDER BY entry) AS matched FROM h WHERE (close AND k = 1) OR (NOT close AND osa <= 3 AND jw <= 0.31 AND sx = 0) GROUP BY name)
 SELECT name, matched FROM a LEFT JOIN l USING (name)""")
 def match_locations(spark, sf_dir):
+    durable(spark)
     part, k = table(spark, sf_dir, "part"), F.col("p_partkey")
     asked = part.where(k % 2 == 0).select(F.concat(F.substring("p_name", 1, 4), F.lit("x"), F.substring("p_name", 6, 100)).alias("name")).union(part.where(k % 3 == 0).select("p_name"))
     return locations.match_locations(asked, part.where(k % 5 < 3).select(F.col("p_name").alias("name"))).select("name", "matched")
@@ -608,27 +609,42 @@ def review_unmatched(spark, sf_dir):
 
 # ---- reference list -------------------------------------------------------------------------
 
+SHARED = ["address", "zip", "city", "district", "county"]  # what schools of even keys have in common, by half the key; the sixth share an address, not a name
+
+
+def _roster(rows, key, tag: str, ending: str):
+    """A roster whose schools agree with other rosters' of their key by place (odd keys) or by a block of sixty keys and a name that is nearly the same."""
+    turn = F.when(key % 2 == 0, F.floor(key / 2) % 6)
+    block = F.concat(F.lit("block "), F.floor(key / 60).cast("string"))
+    own = F.concat(F.lit(tag), key.cast("string"))
+    shared = lambda *turns, other=own: F.when(turn.isin(*turns), block).otherwise(other)
+    near, unlike = F.concat(F.md5(key.cast("string")), F.lit(ending)), F.concat(F.lit(tag), F.md5(own))
+    street = F.concat(F.lit(tag + " street "), key.cast("string"))
+    return rows.select(
+        F.when(key % 2 == 1, F.concat(F.lit("P"), key)).alias("place_id"), F.when(turn < 5, near).otherwise(unlike).alias("school_name_std"), F.concat(F.lit(tag + " school "), key).alias("school_name"),
+        F.lit("county").alias("county"), shared(4, other=F.concat(F.lit(tag), key % 5)).alias("county_std"), shared(3, other=F.lit(None).cast("string")).alias("district_std"), F.lit("public").alias("school_type"), F.lit("e").alias("level_code"),
+        F.lit("e").alias("level_code_match"), shared(0, 5).alias("addr_clean_no_unit"), F.when(key % 3 > 0, street).alias("addr_clean"), street.alias("street"), shared(2).alias("city"), shared(1).alias("zip"), key.alias("__key"))
+
+
 def _rosters(spark, sf_dir):
-    """A directory, a department's list and a third: schools of odd places agree by place, others have unlike names."""
-    k, s, r = F.col("c_custkey"), F.col("s_suppkey"), F.col("o_orderkey")
-    same = lambda key, tag: [F.when(key % 2 == 1, F.concat(F.lit("P"), key)).alias("place_id"), F.concat(F.lit(tag), F.md5(F.concat(F.lit(tag), key.cast("string")))).alias("school_name_std"), F.concat(F.lit(tag), key % 5).alias("county_std")]
-    rest = lambda key, tag: [
-        F.concat(F.lit(tag + " school "), key).alias("school_name"), F.lit("county").alias("county"), F.lit("public").alias("school_type"), F.lit("e").alias("level_code"), F.lit("e").alias("level_code_match"), F.lit(None).cast("string").alias("district_std"), F.concat(F.lit(tag), key).alias("addr_clean_no_unit"),
-        F.when(key % 3 > 0, F.concat(F.lit(tag + " street "), key)).alias("addr_clean"), F.concat(F.lit(tag + " street "), key).alias("street"), F.concat(F.lit(tag), key).alias("city"), F.concat(F.lit(tag), key).alias("zip")]
-    one = table(spark, sf_dir, "customer").where("c_custkey < 150").select(k.alias("data1_id"), *same(k, "aa"), *rest(k, "aa"))
-    two = table(spark, sf_dir, "supplier").select(s.alias("data2_id"), *same(s, "zz"), *rest(s, "zz"))
-    third = table(spark, sf_dir, "orders").where("o_orderkey < 40").select(r.alias("data3_id"), *same(r, "qq"), *rest(r, "qq")).drop("place_id")
-    return one, two, third
-
-
-@query("reference_key", """WITH a AS (SELECT c_custkey AS k FROM customer WHERE c_custkey < 150), b AS (SELECT s_suppkey AS k FROM supplier),
-m AS (SELECT a.k AS data1_id, b.k AS data2_id FROM a LEFT JOIN b ON a.k = b.k AND a.k % 2 = 1)
-SELECT data1_id, data2_id, 'Great Schools' AS source, coalesce(CASE WHEN data2_id % 3 > 0 THEN 'zz street ' || data2_id END, CASE WHEN data1_id % 3 > 0 THEN 'aa street ' || data1_id END) AS addr_clean FROM m
-UNION ALL SELECT NULL, k, 'DOE', CASE WHEN k % 3 > 0 THEN 'zz street ' || k END FROM b WHERE k NOT IN (SELECT data2_id FROM m WHERE data2_id IS NOT NULL)
-UNION ALL SELECT NULL, NULL, 'Third', CASE WHEN o_orderkey % 3 > 0 THEN 'qq street ' || o_orderkey END FROM orders WHERE o_orderkey < 40""")
+    """A directory, a department's list and a third source, each of a whole table."""
+    sources = [("customer", "c_custkey", "aa", "x", "data1_id"), ("supplier", "s_suppkey", "zz", "y", "data2_id"), ("orders", "o_orderkey", "qq", "w", "data3_id")]
+    one, two, third = (_roster(table(spark, sf_dir, name), F.col(key), tag, ending).withColumnRenamed("__key", new) for name, key, tag, ending, new in sources)
+    return one, two, third.drop("place_id")
+
+
+_STREET = "CASE WHEN {k} % 3 > 0 THEN '{t} street ' || {k} END"
+
+
+@query("reference_key", f"""WITH a AS (SELECT c_custkey AS k FROM customer), b AS (SELECT s_suppkey AS k FROM supplier),
+m AS (SELECT a.k AS data1_id, b.k AS data2_id, CASE WHEN b.k IS NOT NULL THEN CASE WHEN a.k % 2 = 1 THEN 'place_id' ELSE {SHARED}[a.k // 2 % 6 + 1] END END AS match_pass FROM a LEFT JOIN b ON a.k = b.k AND (a.k % 2 = 1 OR a.k // 2 % 6 < 5)),
+l AS (SELECT *, 'Great Schools' AS source FROM m UNION ALL SELECT NULL, k, NULL, 'DOE' FROM b WHERE k NOT IN (SELECT data2_id FROM m WHERE data2_id IS NOT NULL)),
+t AS (SELECT o_orderkey AS data3_id, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey // 2 % 6 IN (0, 1, 3, 4) THEN o_orderkey END AS k FROM orders),
+j AS (SELECT data1_id, data2_id, data3_id, source, match_pass FROM l LEFT JOIN t ON t.k = coalesce(data1_id, data2_id) UNION ALL SELECT NULL, NULL, data3_id, 'Third', NULL FROM t WHERE k IS NULL OR k NOT IN (SELECT coalesce(data1_id, data2_id) FROM l))
+SELECT *, coalesce({_STREET.format(k='data2_id', t='zz')}, {_STREET.format(k='data1_id', t='aa')}, CASE WHEN source = 'Third' THEN {_STREET.format(k='data3_id', t='qq')} END) AS addr_clean FROM j""")
 def reference_key(spark, sf_dir):
     durable(spark)
-    return reference.reference_key(*_rosters(spark, sf_dir), prefer="doe").select("data1_id", "data2_id", "source", "addr_clean")
+    return reference.reference_key(*_rosters(spark, sf_dir), prefer="doe").select("data1_id", "data2_id", "data3_id", "source", "match_pass", "addr_clean")
 
 
 @query("collapsed_records", """WITH s AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 > 0 THEN 'P' || c_custkey % 200 END AS place_id, 'name ' || c_custkey AS name, 'county ' || c_custkey % 3 AS county, [2000 + c_custkey % 9, 2001 + c_custkey % 5] AS years FROM customer),
@@ -653,18 +669,24 @@ def collapse_crosswalk(spark, sf_dir):
     return reference.collapsed_records(rows, ["school_name_std", "county_std"])[1].select("orig_id", "place_id", "n_collapsed", "collapsed")
 
 
-@query("records_to_reference", f"""WITH s AS (SELECT c_custkey AS id, {_letters('c_custkey % 3', 'c_custkey % 5')} || c_custkey % 40 AS a, c_custkey % 6 AS county, CASE WHEN c_custkey % 10 = 0 THEN 'P' || c_custkey % 100 END AS place FROM customer WHERE c_custkey < 400),
-r AS (SELECT s_suppkey AS rid, {_letters('s_suppkey % 3', 's_suppkey % 4')} || s_suppkey % 40 AS b, s_suppkey % 6 AS county, 'P' || s_suppkey AS place FROM supplier WHERE s_suppkey < 100),
-p AS (SELECT id, rid FROM s JOIN r USING (place)), q AS (SELECT id AS id1, rid AS id2, a, b FROM s JOIN r USING (county) WHERE id NOT IN (SELECT id FROM p)), {sql_parts.fuzzy('q', 0.3, 0.169, 0.1)}
-SELECT id AS vacc_school_id, rid AS school_id, 'place_id' AS match_method FROM p UNION ALL SELECT id1, id2, 'county_type' FROM matched""")
+_RECORDS = f"""s AS (SELECT c_custkey AS id, {_letters('c_custkey % 3 + CASE WHEN c_custkey % 7 = 0 THEN 3 ELSE 0 END', 'c_custkey % 5')} || c_custkey % 40 AS a, c_custkey % 6 AS county, c_custkey % 2 AS kind, CASE WHEN c_custkey % 10 = 0 THEN 'P' || c_custkey % 100 END AS place FROM customer),
+r AS (SELECT s_suppkey AS rid, {_letters('s_suppkey % 3', 's_suppkey % 4')} || s_suppkey % 40 AS b, s_suppkey % 6 AS county, s_suppkey // 6 % 2 AS kind, 'P' || s_suppkey AS place FROM supplier)"""
+
+
+@query("records_to_reference", f"""WITH {_RECORDS}, p AS (SELECT id, rid FROM s JOIN r USING (place)), q AS (SELECT id AS id1, rid AS id2, a, b, s.kind = r.kind AS same FROM s JOIN r USING (county) WHERE id NOT IN (SELECT id FROM p)),
+t AS (WITH o AS (SELECT * EXCLUDE same FROM q WHERE same), {sql_parts.fuzzy('o', 0.3, 0.169, 0.1)} SELECT id1, id2 FROM matched),
+c AS (WITH o AS (SELECT * EXCLUDE same FROM q WHERE id1 NOT IN (SELECT id1 FROM t)), {sql_parts.fuzzy('o', 0.3, 0.15, 0.1)} SELECT id1, id2 FROM matched),
+k AS (SELECT id AS vacc_school_id, rid AS school_id, 'place_id' AS match_method FROM p UNION ALL SELECT id1, id2, 'county_type' FROM t UNION ALL SELECT id1, id2, 'county' FROM c),
+e AS (WITH o AS (SELECT x.id AS id1, y.id AS id2, x.a, y.a AS b FROM s x JOIN s y USING (county) WHERE x.id NOT IN (SELECT vacc_school_id FROM k) AND y.id IN (SELECT vacc_school_id FROM k)), {sql_parts.fuzzy('o', 0.35, 0.2, 0.1)} SELECT id1, id2 FROM matched)
+FROM k UNION ALL SELECT e.id1, k.school_id, 'self' FROM e JOIN k ON e.id2 = k.vacc_school_id""")
 def records_to_reference(spark, sf_dir):
     durable(spark)
     k, s = F.col("c_custkey"), F.col("s_suppkey")
-    letters = lambda a, n, tail: F.concat(F.expr(_letters(a, n)), tail)
-    left = table(spark, sf_dir, "customer").where(k < 400).select(k.alias("vacc_school_id"), letters("c_custkey % 3", "c_custkey % 5", k % 40).alias("school_name_std"), (k % 6).cast("string").alias("county_std"), F.lit("public").alias("school_type"), F.lit("e").alias("level_code"), F.when(k % 10 == 0, F.concat(F.lit("P"), k % 100)).alias("place_id"))
-    right = table(spark, sf_dir, "supplier").where(s < 100).select(s.alias("school_id"), letters("s_suppkey % 3", "s_suppkey % 4", s % 40).alias("school_name_std"), (s % 6).cast("string").alias("county_std"), F.lit("public").alias("school_type"), F.lit("e").alias("level_code"), F.concat(F.lit("P"), s).alias("place_id"))
-    found = reference.records_to_reference(left, right, district=False)
-    return found.where("match_method in ('place_id', 'county_type')")
+    letters = lambda a, n, tail: F.concat(F.expr(_letters(a, n)), tail).alias("school_name_std")
+    alike = lambda county, kind: [county.cast("string").alias("county_std"), F.concat(F.lit("kind "), kind).alias("school_type"), F.lit("e").alias("level_code")]
+    left = table(spark, sf_dir, "customer").select(k.alias("vacc_school_id"), letters("c_custkey % 3 + CASE WHEN c_custkey % 7 = 0 THEN 3 ELSE 0 END", "c_custkey % 5", k % 40), *alike(k % 6, k % 2), F.when(k % 10 == 0, F.concat(F.lit("P"), k % 100)).alias("place_id"))
+    right = table(spark, sf_dir, "supplier").select(s.alias("school_id"), letters("s_suppkey % 3", "s_suppkey % 4", s % 40), *alike(s % 6, F.floor(s / 6) % 2), F.concat(F.lit("P"), s).alias("place_id"))
+    return reference.records_to_reference(left, right, district=False)
 
 
 @query("location_keys", """WITH k AS (SELECT s_suppkey AS id, s_name AS name, 'name ' || s_suppkey % 20 AS std, n_name AS county, CASE WHEN s_suppkey % 4 > 0 THEN 'city ' || s_suppkey % 4 END AS city, ['p,e', 'e', 'm', NULL, 'h,m'][s_suppkey % 5 + 1] AS lvl FROM supplier JOIN nation ON s_nationkey = n_nationkey),
