@@ -544,6 +544,32 @@ def scraped_counties(spark, sf_dir):
     return directories.scraped(zips.select("zip").distinct(), fetch, "md", zips).select("state", "county", "county2", "id", "zip")
 
 
+_SPELT = ["Public charter", "LEA", "Non-Public"]
+
+
+@query("downloaded_sources", f"""WITH {_CROSSWALK}, x AS (SELECT DISTINCT lpad(CAST(zip AS VARCHAR), 5, '0') AS zip, 'county ' || fips AS county, (ratio % 10) / 10 AS ratio FROM c WHERE zip % 4 > 0),
+s AS (SELECT zip, unnest(range(1, CAST(zip AS INT) % 3 + 1)) AS page FROM (SELECT DISTINCT zip FROM x)), m AS (SELECT zip, county FROM x WHERE ratio >= 0.5), l AS (SELECT zip, county AS county2 FROM x WHERE ratio < 0.5),
+v AS (SELECT unnest(['child', 'school', 'teen']) AS pop, 2000 + p_partkey % 20 AS y, (p_partkey % 90 + 5.5) / 100 AS p FROM part WHERE p_partkey % 3 = 0)
+SELECT 'school' AS kind, zip || '-' || page AS id, zip AS at, county, county2, ['charter', 'public', 'private'][(CAST(zip AS INT) + page) % 3 + 1] AS what, CAST(NULL AS DOUBLE) AS p FROM s LEFT JOIN m USING (zip) LEFT JOIN l USING (zip)
+UNION ALL SELECT 'coverage', pop, CAST(y AS VARCHAR), NULL, NULL, 'MMR', p FROM v""")
+def downloaded_sources(spark, sf_dir):
+    """The schools as the csv has them, and the coverage as it was kept."""
+    durable(spark)
+
+    def fetch(z, page):
+        if page > int(z) % 3:
+            return 404, ""
+        return 200, f'gon.search={{"schools":[{{"id":"{z}-{page}","state":"MD","schoolType":"{_SPELT[(int(z) + page) % 3]}","address":{{"zip":"{z}"}}}}]}};'
+
+    cross, _ = _crosswalk(spark, sf_dir)
+    zips = cross.select(F.lpad(F.col("zip").cast("string"), 5, "0").alias("zip"), F.concat(F.lit("county "), "fips").alias("county"), ((F.col("ratio") % 10) / 10).alias("ratio"), F.when(F.col("zip") % 4 == 0, "WI").otherwise("MD").alias("state")).distinct()
+    folder = f"{spark.sparkContext.getCheckpointDir()}/sources-{uuid.uuid4().hex}"
+    _, coverage = directories.state_sources(spark, "md", "Maryland", zips.select("zip").distinct(), zips, fetch, _surveys(spark, sf_dir), folder, folder)
+    schools = spark.read.csv(f"{folder}/schools.csv", header=True)
+    return schools.select(F.lit("school").alias("kind"), "id", F.col("zip").alias("at"), "county", "county2", F.col("schoolType").alias("what"), F.lit(None).cast("double").alias("p")).union(
+        coverage.select(F.lit("coverage"), "pop", F.col("year").cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"), "vaccine", "p"))
+
+
 # ---- places and review ----------------------------------------------------------------------
 
 def _letters(a: str, n: str) -> str:
@@ -929,18 +955,22 @@ def far_north_pairs(spark, sf_dir):
     return places.near_pairs(points, "id", "lat", "lon", 20_000)
 
 
-@query("vaxview_files", """WITH s AS (SELECT p_partkey AS k, 2000 + p_partkey % 20 AS y, p_partkey % 90 + 5.5 AS e, p_partkey % 400 + 10 AS n FROM part)
-SELECT 'child' AS pop, 'MMR' AS vaccine, CAST(y AS INT) AS year, 'birth year' AS year_type, '24 Months' AS age_range, CAST(n AS DOUBLE) AS n, e / 100 AS p, round_even(n * (e / 100), 0) AS x FROM s WHERE k % 3 = 0
-UNION ALL SELECT 'teen', 'MMR', CAST(y AS INT), 'survey year', '24 Months', CAST(n AS DOUBLE), e / 100, round_even(n * (e / 100), 0) FROM s WHERE k % 3 = 0
-UNION ALL SELECT 'school', 'MMR', CAST(y AS INT), 'school year', 'Kindergarten', round_even(n * 50.0 / 100, 0), e / 100, round_even(round_even(n * 50.0 / 100, 0) * (e / 100), 0) FROM s WHERE k % 3 = 0""")
-def vaxview_files(spark, sf_dir):
+def _surveys(spark, sf_dir):
     k = F.col("p_partkey")
     y, e, n = (2000 + k % 20).cast("string"), F.concat(k % 90 + 5, F.lit(".5 ^")), F.concat((k % 400 + 10).cast("string"), F.lit(" *"))
     part = table(spark, sf_dir, "part")
     where = F.when(k % 3 == 0, "Maryland").otherwise("Ohio").alias("geography")
     home = lambda year: part.select(F.lit("MMR").alias("vaccine"), where, F.lit("Age").alias("dimension_type"), F.lit("24 Months").alias("dimension"), y.alias(year), e.alias("estimate"), n.alias("sample_size"))
     school = part.select(F.lit("MMR").alias("vaccine"), where, F.concat(y, F.lit("-xx")).alias("school_year"), e.alias("estimate"), n.alias("population"), F.lit("50.0").alias("surveyed"))
-    return survey.vaxview(spark, home("birth_year"), school, home("survey_year"), "Maryland").select("pop", "vaccine", "year", "year_type", "age_range", "n", "p", "x")
+    return home("birth_year"), school, home("survey_year")
+
+
+@query("vaxview_files", """WITH s AS (SELECT p_partkey AS k, 2000 + p_partkey % 20 AS y, p_partkey % 90 + 5.5 AS e, p_partkey % 400 + 10 AS n FROM part)
+SELECT 'child' AS pop, 'MMR' AS vaccine, CAST(y AS INT) AS year, 'birth year' AS year_type, '24 Months' AS age_range, CAST(n AS DOUBLE) AS n, e / 100 AS p, round_even(n * (e / 100), 0) AS x FROM s WHERE k % 3 = 0
+UNION ALL SELECT 'teen', 'MMR', CAST(y AS INT), 'survey year', '24 Months', CAST(n AS DOUBLE), e / 100, round_even(n * (e / 100), 0) FROM s WHERE k % 3 = 0
+UNION ALL SELECT 'school', 'MMR', CAST(y AS INT), 'school year', 'Kindergarten', round_even(n * 50.0 / 100, 0), e / 100, round_even(round_even(n * 50.0 / 100, 0) * (e / 100), 0) FROM s WHERE k % 3 = 0""")
+def vaxview_files(spark, sf_dir):
+    return survey.vaxview(spark, *_surveys(spark, sf_dir), "Maryland").select("pop", "vaccine", "year", "year_type", "age_range", "n", "p", "x")
 
 
 HOUSES, SIDES, ROADS, ENDS_OF, UNITS_OF = ["12", "7B", "1400", ""], ["North", "N.", "SW", "", "Southeast"], ["Oak", "First", "Mount Airy", "St. Ann", "O'Neil"], ["Street", "Av", "Blvd", "Way", "Hiway", "TRLS"], ["", " Suite 4", " #5", ", Apt 2", " Room 12-B"]

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import read_table
+from ..functions import text
+from .files import read_table, write_report
 
 PUBLIC = "year int, ncessch string, school_name string, school_status int, latitude double, longitude double"
 PRIVATE = "ppin string, school_name string, latitude double, longitude double, year int"
@@ -71,32 +72,41 @@ def public_rows(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode(F.from_json("page", shape)["results"]).alias("r")).select("r.*")
 
 
-def private_edition(spark: SparkSession, archive: bytes, state: str, start: int) -> DataFrame:
-    """One edition of the private list, out of a zip with a csv whose coordinate columns have an edition's suffix."""
-    with zipfile.ZipFile(io.BytesIO(archive)) as z:
-        name = next(n for n in z.namelist() if n.lower().endswith(".csv"))
-        frame = pd.read_csv(io.BytesIO(z.read(name)), dtype=str, encoding="utf-8-sig")
-    frame.columns = [c.upper() for c in frame.columns]
-    lat, lon = (next(c for c in frame.columns if c.startswith(p)) for p in ("LATITUDE", "LONGITUDE"))
-    frame = frame[frame["PSTABB"] == state]
-    rows = [(p, n, float(a) if isinstance(a, str) else None, float(b) if isinstance(b, str) else None, start + 1) for p, n, a, b in frame[["PPIN", "PINST", lat, lon]].itertuples(index=False)]
-    return spark.createDataFrame(rows, PRIVATE)
+def edition_rows(archive: bytes, state: str, rows: int = 10_000) -> Iterator[pd.DataFrame]:
+    """The state's schools of one edition of the private list: a zip with a csv whose coordinate columns have an edition's suffix, read in pieces."""
+    with zipfile.ZipFile(io.BytesIO(archive)) as z, z.open(next(n for n in z.namelist() if n.lower().endswith(".csv"))) as part:
+        for frame in pd.read_csv(part, dtype=str, encoding="utf-8-sig", chunksize=rows):
+            frame.columns = [c.upper() for c in frame.columns]
+            lat, lon = (next(c for c in frame.columns if c.startswith(p)) for p in ("LATITUDE", "LONGITUDE"))
+            frame = frame[frame["PSTABB"] == state]
+            yield pd.DataFrame({"ppin": frame["PPIN"], "school_name": frame["PINST"], "latitude": frame[lat].astype(float), "longitude": frame[lon].astype(float)})
 
 
 def private_schools(spark: SparkSession, fetch: Callable[[int], tuple[int, bytes | None]], state: str, last: int, first: int) -> DataFrame:
-    """All editions (odd autumns) from ``last`` down to the one in force in ``first``; ``fetch`` gives a code and the archive, 404 means there is none."""
-    out = None
-    for start in range(last - (last % 2 == 0), first - 2, -2):
-        code, archive = fetch(start)
-        if code == 404:
-            continue
-        if code != 200 or archive is None:
-            raise ValueError(f"HTTP {code} for the edition of {start}")
-        edition = private_edition(spark, archive, state, start)
-        out = edition if out is None else out.unionByName(edition)
-    if out is None:
+    """All editions (odd autumns) from ``last`` down to the one in force in ``first``; ``fetch`` gives a code and the archive, 404 means there is none.
+
+    Tasks fetch and unpack, one edition at a time; the rows are checkpointed, so an edition is fetched once and no archive reaches the driver.
+    """
+    starts = list(range(last - (last % 2 == 0), first - 2, -2))
+    wanted = spark.createDataFrame([(s,) for s in starts], "start int").repartition(max(1, len(starts)))
+
+    def unpacked(frames):
+        for frame in frames:
+            for start in frame["start"]:
+                code, archive = fetch(int(start))
+                whole = code == 200 and archive is not None
+                yield pd.DataFrame({"code": [code], "whole": [whole], "school": [False], "ppin": [None], "school_name": [None], "latitude": [None], "longitude": [None], "year": [int(start) + 1]})
+                for rows in edition_rows(archive, state) if whole else ():
+                    yield rows.assign(code=code, whole=True, school=True, year=int(start) + 1)
+
+    read = wanted.mapInPandas(unpacked, f"code int, whole boolean, school boolean, {PRIVATE}").checkpoint()
+    came = read.where("not school").orderBy(F.desc("year")).select("code", "whole", "year").collect()  # a row per edition
+    for r in came:
+        if r["code"] != 404 and not r["whole"]:
+            raise ValueError(f"HTTP {r['code']} for the edition of {r['year'] - 1}")
+    if not any(r["whole"] for r in came):
         raise ValueError("no private editions came back")
-    return out
+    return read.where("school").select("ppin", "school_name", "latitude", "longitude", "year")
 
 
 def _summary(df: DataFrame, key: str, state: Column, source: str) -> DataFrame:
@@ -199,6 +209,22 @@ def scraped(zips: DataFrame, fetch: Callable[[str, int], tuple[int, str]], state
     return out.select("state", "county", "county2", *[c for c in out.columns if c not in ("state", "county", "county2")])
 
 
+def state_sources(spark: SparkSession, state: str, state_name: str, zips: DataFrame, crosswalk: DataFrame, fetch: Callable[[str, int], tuple[int, str]],
+                  surveys: tuple[DataFrame, DataFrame, DataFrame], folder: str, survey_folder: str) -> tuple[DataFrame, DataFrame]:
+    """(schools, coverage) of a state from sources that are alike for all states: search pages, with types in one spelling, and the three surveys (child, school, teen).
+
+    Schools are kept as ``schools.parquet`` and ``schools.csv`` in ``folder``, coverage as ``vax_view.parquet`` in ``survey_folder``. The
+    Parquet table is written first and all else is read from it, so a page is fetched once, or again by a task that Spark repeats.
+    """
+    from . import survey
+
+    rows = scraped(zips, fetch, state, crosswalk).withColumn("schoolType", text.school_type(F.col("schoolType")))
+    rows.write.mode("overwrite").parquet(f"{folder}/schools.parquet")
+    schools = spark.read.parquet(f"{folder}/schools.parquet")
+    write_report(schools, f"{folder}/schools.csv")
+    return schools, survey.vaxview(spark, *surveys, state_name, f"{survey_folder}/vax_view.parquet", pull=True)
+
+
 # ---- files ----------------------------------------------------------------------------------
 
 def saved_files(links: dict[str, str], folder: str, fetch: Callable[[str], bytes]) -> dict[str, str]:
