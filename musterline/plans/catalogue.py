@@ -392,6 +392,21 @@ def audit_summary(spark, sf_dir):
     return audit.run_checks(df).summary
 
 
+_REPEATED = f"""r AS (SELECT * FROM ({_DELAYED}) UNION ALL SELECT * FROM ({_DELAYED}) WHERE school_id % 3 = 0 UNION ALL SELECT * REPLACE (current + 1 AS current) FROM ({_DELAYED}) WHERE school_id % 5 = 0),
+d AS (SELECT DISTINCT * FROM r), k AS (SELECT school_id, year FROM d GROUP BY ALL HAVING count(*) > 1)"""
+
+
+@query("audit_of_repeats", WITH_SY + f", {_REPEATED}, a AS (SELECT *, avg(enrollment) OVER w AS me, avg(current) OVER w AS mc, median(enrollment) OVER w AS md FROM d WINDOW w AS (PARTITION BY school_id)) "
+       + " UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) FILTER (WHERE {v}) AS issue_count, 'requires_review' AS action_type FROM a" for k, v in _AUDIT_SQL.items() if v != "false")
+       + " UNION ALL SELECT 'duplicates_conflicting', count(*), 'requires_review' FROM r SEMI JOIN k USING (school_id, year)")
+def audit_of_repeats(spark, sf_dir):
+    """The audit where a third of the schools stand twice, and a fifth again with another count."""
+    room = F.col("enrollment") - F.col("current") - F.col("med_exempt") - F.col("rel_exempt")
+    df = school_years(spark, sf_dir).withColumn("delayed", F.when(room < 0, 0).otherwise(room))
+    other = df.where("school_id % 5 = 0").withColumn("current", F.col("current") + 1)
+    return audit.run_checks(df.union(df.where("school_id % 3 = 0")).union(other)).summary
+
+
 @query("county_slips", """WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS name, CASE WHEN o_custkey % 3 = 0 AND year(o_orderdate) >= 1997 THEN 'x' WHEN o_custkey % 3 = 1 AND o_orderpriority = '1-URGENT' THEN 'x' ELSE 'y' END AS county, year(o_orderdate) AS y FROM orders),
 t AS (SELECT name, county, count(*) AS n, list(DISTINCT y) AS years FROM r GROUP BY 1, 2), k AS (SELECT *, max(n) OVER (PARTITION BY name) AS top, row_number() OVER (PARTITION BY name ORDER BY n DESC, county) AS i FROM t)
 SELECT CAST(a.name AS BIGINT) AS id, a.county AS county_std, b.county AS corrected_county_std FROM k a JOIN k b ON a.name = b.name AND b.i = 1 AND a.n < a.top WHERE NOT list_has_any(a.years, b.years)""")

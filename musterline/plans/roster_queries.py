@@ -507,7 +507,7 @@ n AS (SELECT max(y) AS newest FROM d)
 SELECT CAST(k AS VARCHAR) AS nces_id, 'nces_ccd' AS nces_source, name AS nces_name, array_to_string(list_transform(list_filter(list_transform(names, lambda x, i: {{'x': x, 'i': i}}), lambda p: list_position(names, p.x) = p.i), lambda p: p.x), ' | ') AS names, lat, lat AS lon, last AS last_seen,
   CASE WHEN last < newest OR st = 2 THEN 'CLOSED_PERMANENTLY' WHEN st = 6 THEN 'CLOSED_TEMPORARILY' WHEN st IN (1, 3, 4, 5, 8) THEN 'OPERATIONAL' END AS business_status FROM g, n WHERE lat IS NOT NULL""")
 def public_directory(spark, sf_dir):
-    pages = _listed(spark, sf_dir).groupBy("year").agg(F.to_json(F.struct(F.collect_list(F.struct("year", "ncessch", "school_name", "school_status", "latitude", "longitude")).alias("results"))).alias("page"))
+    pages = _listed(spark, sf_dir).groupBy("year", F.floor(F.col("ncessch").cast("long") / 1000)).agg(F.to_json(F.struct(F.collect_list(F.struct("year", "ncessch", "school_name", "school_status", "latitude", "longitude")).alias("results"))).alias("page"))
     return directories.public_summary(directories.public_rows(pages)).withColumn("names", F.array_join("names", " | "))
 
 

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,8 +145,8 @@ def load_directory(spark: SparkSession, folder: str, state: str, download: Calla
     try:
         cached = spark.read.parquet(path)
         meta = cached.select("downloaded_at", "first_year").first()
-    except Exception as e:  # noqa: BLE001 - Spark has no narrower error for a path that is not there
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         cached = meta = None
     if meta is not None and not refresh and now - meta["downloaded_at"] <= max_age_days * 86400 and meta["first_year"] <= first:
