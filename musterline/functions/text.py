@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -55,6 +56,11 @@ TYPES = [
 PO_BOX = r"(?i)\bP\.?\s*O\.?\s*BOX\b|\bPOBOX\b|\bPOST\s+OFFICE\s+BOX\b"
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that a row computes once, however often ``f`` names it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def squish(c: Column) -> Column:
     """Inner white space to one blank, none at the ends."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))
@@ -78,8 +84,8 @@ def district_name(c: Column) -> Column:
 
 def first_match(c: Column, rules, flags: str = "(?i)") -> Column:
     """The label of the first rule whose patterns are all found, else null."""
-    fits = lambda patterns: reduce(lambda x, y: x & y, [c.rlike(flags + p) for p in patterns])
-    return F.coalesce(*[F.when(fits(patterns), F.lit(label)) for patterns, label in rules])
+    fits = lambda v, patterns: reduce(lambda x, y: x & y, [v.rlike(flags + p) for p in patterns])
+    return once(c, lambda v: F.coalesce(*[F.when(fits(v, patterns), F.lit(label)) for patterns, label in rules]))
 
 
 def school_level(c: Column) -> Column:
