@@ -20,8 +20,8 @@ def lowered(df: DataFrame) -> DataFrame:
 
 def named(df: DataFrame, name: str = "school_name") -> DataFrame:
     """Adds school_level, told by the standard name, and school_name_std and county_std, the name without level words."""
-    full = text.school_name(F.col(name))
-    return df.withColumns({"school_name_std": text.without_level(full), "county_std": text.county_name(F.col("county")), "school_level": text.school_level(full)})
+    df, full = df.withColumn("__full", text.school_name(F.col(name))), F.col("__full")
+    return df.withColumns({"school_name_std": text.without_level(full), "county_std": text.county_name(F.col("county")), "school_level": text.school_level(full)}).drop("__full")
 
 
 def with_district(df: DataFrame, column: str = "district") -> DataFrame:

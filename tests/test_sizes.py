@@ -14,3 +14,12 @@ def test_an_address_is_rewritten_once(spark):
     df = spark.createDataFrame([("12 North Oak Street, Suite 4",), (" ",), (None,)], "a string").select(address.clean_address(F.col("a")).alias("b"))
     assert [r["b"] for r in df.collect()] == ["12 N OAK STREET STE 4", None, None]
     assert planned(df).count("regexp_replace(") <= 20  # each rule once
+
+
+def test_names_and_grades_are_rewritten_once(spark):
+    from musterline.sources import cleaners
+
+    rows = spark.createDataFrame([("Oak E.S. & Middle", "Howard County", "PK-5", "1 Elm St")], "school_name string, county string, grades string, street string")
+    df = cleaners.department(rows).select("school_name_std", "school_level", "level_code")
+    assert df.first() == ("oak", "Elementary/Middle", "p,e")
+    assert planned(df).count("regexp_replace(") <= 60
