@@ -176,15 +176,16 @@ def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, i
         body = F.struct("p", "a", *own)
         drawn = table.groupBy("k").agg(F.array_distinct(F.array(*[F.min_by(body, F.xxhash64("p", "k", F.lit(turn * centres + i))) for i in range(centres)])).alias("c"))
         drawn = drawn.select("k", F.explode("c").alias("c")).select("k", F.col("c.p").alias("q"), F.col("c.a").alias("b"), *[F.col(f"c.{w}").alias(o) for w, o in zip(own, other)])
-        stars = table.join(drawn, "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)))
+        stars = table.join(drawn.hint("merge"), "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)))
         named = joined(stars.select("p", "q", "a", "b").distinct())
+    # keys are many times the rows that Spark's estimate of them is made from, so their joins are never broadcast
     left = keys(named, own, True, parts).select("k", "p", "a", *own)
     right = keys(named, own, False, parts).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(own, other)])
     reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
-    left = left.join(reach, F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
+    left = left.join(reach.hint("merge"), F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
     # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough, and the first such segment
     first = F.coalesce(*[F.when(F.bit_count(cut(own, low, width).bitwiseXOR(cut(other, low, width))) <= radius, i) for i, (low, width, radius) in enumerate(parts)])
-    rest = left.join(right, (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance) & (first == F.shiftright("k", 32)))
+    rest = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance) & (first == F.shiftright("k", 32)))
     return joined((rest.select("a", "b") if single else rest.select("p", "q", "a", "b")).distinct()).select("fp", F.col("a").alias("root"))
 
 
