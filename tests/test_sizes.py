@@ -23,3 +23,16 @@ def test_names_and_grades_are_rewritten_once(spark):
     df = cleaners.department(rows).select("school_name_std", "school_level", "level_code")
     assert df.first() == ("oak", "Elementary/Middle", "p,e")
     assert planned(df).count("regexp_replace(") <= 60
+
+
+def test_a_hot_cell_is_cut_and_nothing_is_broadcast(spark, monkeypatch):
+    from musterline.operators import places
+
+    monkeypatch.setattr(places, "PAIRS", 50, raising=False)
+    rows = [(i, 40 + i % 7 / 20000, -80 + i % 5 / 20000) for i in range(70)]
+    side = lambda p: spark.createDataFrame(rows, "id long, lat double, lon double").toDF(f"{p}_id", f"{p}_lat", f"{p}_lon")
+    near, every = places.within(side("l"), side("r"), 120), places.within(side("l"), side("r"), 120_000)
+    assert every.count() == 70 * 70 and near.select("l_id", "r_id").distinct().count() == near.count() == 70 * 70
+    assert "__part" in planned(near)
+    plan = near._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin [__cell" not in plan
