@@ -50,15 +50,24 @@ def exact(left: DataFrame, right: DataFrame, name: str, columns: list[str], left
     """
     l = left.select(F.col(left_id).alias("orig_id_1"), filled(name).alias("n"), *[filled(c).alias(f"l_{c}") for c in columns])  # noqa: E741
     r = right.select(F.col(right_id).alias("orig_id_2"), filled(name).alias("n"), *[filled(c).alias(f"r_{c}") for c in columns])
-    pairs = l.join(r, "n")  # the name is the hash key; the other conditions are checked on its pairs
-    same = [F.coalesce(F.col(f"l_{c}") == F.col(f"r_{c}"), F.lit(False)) for c in columns]
+    # of the right rows that agree in a name and some columns only the smallest id counts, so no name's rows meet in pairs
+    smallest = lambda cols: r.groupBy("n", *[f"r_{c}" for c in cols]).agg(F.min(F.struct("orig_id_2")).alias("one"))
+    same = lambda cols: reduce(lambda x, y: x & y, [F.col(f"l_{c}") == F.col(f"r_{c}") for c in cols])
+    hits = []
     if require == "any":
-        turn = F.coalesce(*[F.when(s, i) for i, s in enumerate(same)])
+        tries = [([c], i, l.where(F.col(f"l_{c}").isNotNull())) for i, c in enumerate(columns)]
     else:
-        agree = reduce(lambda x, y: x & y, [F.col(f"l_{c}").isNull() | s for c, s in zip(columns, same)])
-        turn = F.when(agree & F.coalesce(*[F.col(f"l_{c}") for c in columns]).isNotNull(), F.lit(0))
-    pairs = pairs.withColumn("turn", turn).where("turn is not null").select("orig_id_1", "orig_id_2", "turn")
-    pairs = first_per(first_per(pairs, ["orig_id_1"], "turn", "orig_id_2"), ["orig_id_2"], "turn", "orig_id_1")
+        has = F.concat_ws("", *[F.when(F.col(f"l_{c}").isNotNull(), "1").otherwise("0") for c in columns])
+        marked = l.withColumn("has", has)
+        patterns = sorted(x["has"] for x in marked.select("has").distinct().collect())  # at most two to the number of columns
+        tries = [([c for c, bit in zip(columns, x) if bit == "1"], 0, marked.where(F.col("has") == x)) for x in patterns if "1" in x]
+    for cols, turn, rows in tries:
+        one = smallest(cols).withColumnRenamed("n", "r_n").where("r_n is not null")
+        hits.append(rows.join(one, (F.col("n") == F.col("r_n")) & same(cols)).select("orig_id_1", F.lit(turn).alias("turn"), F.col("one.orig_id_2").alias("orig_id_2")))
+    if not hits:
+        hits = [l.where("false").select("orig_id_1", F.lit(0).alias("turn")).join(r.select("orig_id_2"))]
+    pairs = reduce(DataFrame.union, hits).groupBy("orig_id_1").agg(F.min(F.struct("turn", "orig_id_2")).alias("b")).select("orig_id_1", "b.*")
+    pairs = pairs.groupBy("orig_id_2").agg(F.min(F.struct("turn", "orig_id_1")).alias("b")).select("b.orig_id_1", "orig_id_2")
     return split_off(pairs.select("orig_id_1", "orig_id_2"), left, right, left_id, right_id)
 
 

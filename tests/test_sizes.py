@@ -36,3 +36,15 @@ def test_a_hot_cell_is_cut_and_nothing_is_broadcast(spark, monkeypatch):
     assert "__part" in planned(near)
     plan = near._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin [__cell" not in plan
+
+
+def test_one_name_is_not_joined_in_pairs(spark):
+    from musterline.operators import linkage
+
+    rows = lambda i: spark.range(300).select(F.col("id").alias(i), F.lit("oak").alias("n"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).cast("string").alias("c"), (F.col("id") % 5).cast("string").alias("z"))
+    for require in ("any", "all"):
+        df = linkage.exact(rows("a"), rows("b"), "n", ["c", "z"], "a", "b", require).matched
+        assert "Window" not in planned(df) and planned(df).count("Aggregate") >= 3
+        got = df.collect()
+        assert len({r["orig_id_1"] for r in got}) == len({r["orig_id_2"] for r in got}) == len(got)
+        assert (1, 1) in {tuple(r) for r in got}
