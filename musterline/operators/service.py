@@ -1,13 +1,15 @@
 """Paid look-ups asked once: answers are written before anything reads them, in small chunks, at a rate all tasks share.
 
 Keys that have no final answer yet are claimed first: written down in waves of a chunk for each of ``slots`` tasks. A wave is asked
-by that many tasks at once, and its answers are appended to the service's log before the next wave starts.
+by that many tasks at once, and its answers are appended to the service's log before the next wave starts. After ``WAVES`` waves they grow
+with what has been answered, so that their number grows with the logarithm of the keys.
 Whoever needs an answer reads the log, so no plan that is run again asks again, and a run that was cut off asks only what the log
-lacks: a wave in flight at most. Spark repeats a lost task, and with it the questions of that task's chunk.
+lacks: a wave in flight at most, which is a chunk a task or a small part of what it has answered. Spark repeats a lost task, and with it the questions of that task's chunk.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import time
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from .runlog import RunLog
 
 Provider = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+WAVES = 32  # of one chunk a task; each later one is as long as a part of so many of all before it
 LOGGED = "asked_by string, asked_in string, asked_at timestamp"
 
 
@@ -60,6 +63,11 @@ def paced(provider: Provider, share: float | None, clock: Callable[[], float] =
     return lambda frames: provider(cut(frames))
 
 
+def chunked(provider: Provider, size: int) -> Provider:
+    """``provider`` with frames of at most ``size`` rows."""
+    return lambda frames: provider(f.iloc[low : low + size].reset_index(drop=True) for f in frames for low in range(0, len(f), size))
+
+
 @dataclass(frozen=True)
 class Service:
     """A provider with the log its answers go to.
@@ -110,11 +118,13 @@ class Service:
         known = known.where(F.coalesce(F.expr(self.final), F.lit(False))) if again else known
         name = uuid.uuid4().hex
         claimed = wanted.join(known.select(key).distinct(), key, "left_anti").repartition(self.slots, key).withColumn("at", F.monotonically_increasing_id())
-        claimed = claimed.select(key, F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / self.chunk).cast("long").alias("wave"))
+        chunk = F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / self.chunk)
+        later = WAVES + F.floor(F.log(F.greatest(chunk, F.lit(WAVES)) / WAVES) / math.log(1 + 1 / WAVES))
+        claimed = claimed.select(key, F.when(chunk < WAVES, chunk).otherwise(later).cast("long").alias("wave"))
         claimed.write.partitionBy("wave").parquet(f"{self.folder}/claims/{name}")
         claims = read_log(spark, f"{self.folder}/claims/{name}", f"{key} {dict(keys.dtypes)[key]}, wave long")
         last = claims.agg(F.max("wave")).first()[0]
-        provider = paced(self.provider, None if self.rate is None else self.rate / self.slots)
+        provider = chunked(paced(self.provider, None if self.rate is None else self.rate / self.slots), self.chunk)
         for wave in range(0 if last is None else last + 1):
             told = claims.where(F.col("wave") == wave).select(key).repartition(self.slots).mapInPandas(provider, self.schema)
             told = told.withColumns({"asked_by": F.lit(caller), "asked_in": F.lit(f"{name}-{wave:09d}"), "asked_at": F.current_timestamp()})

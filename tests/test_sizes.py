@@ -48,3 +48,21 @@ def test_one_name_is_not_joined_in_pairs(spark):
         got = df.collect()
         assert len({r["orig_id_1"] for r in got}) == len({r["orig_id_2"] for r in got}) == len(got)
         assert (1, 1) in {tuple(r) for r in got}
+
+
+def test_waves_grow_with_the_logarithm_of_the_keys(spark, tmp_path, monkeypatch):
+    import pandas as pd
+
+    from musterline.operators import service
+
+    def told(frames):
+        for f in frames:
+            yield pd.DataFrame({"k": f["k"], "rows": len(f)})
+
+    service.durable(spark)
+    monkeypatch.setattr(service, "WAVES", 4, raising=False)
+    s = service.Service("x", told, "k string, rows long", str(tmp_path), slots=1, chunk=2)
+    s.ask(spark.range(80).select(F.col("id").cast("string").alias("k")), "test")
+    every = s.every(spark)
+    n, keys, waves, most = every.agg(F.count("*"), F.countDistinct("k"), F.countDistinct("asked_in"), F.max("rows")).first()
+    assert n == keys == 80 and waves <= 20 and most <= 2
