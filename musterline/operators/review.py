@@ -12,6 +12,7 @@ from ..functions import similarity
 from ..functions.numeric import haversine_m
 from ..functions.text import school_name, without_level
 from .places import within
+from .service import durable
 
 # Columns of a candidate, and the explanations in the order in which they hold.
 CANDIDATE = ("name", "matched_name", "city", "status", "detail", "sim", "dist_m")
@@ -61,34 +62,87 @@ def directory_reference(df: DataFrame, standard: Callable[[Column], Column] = la
         F.col("lat").cast("double").alias("r_lat"), F.col("lon").cast("double").alias("r_lon"))
 
 
+def known(left: DataFrame, found: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``found``, which has one row or none per ``key``; nulls are equal."""
+    found = found.withColumnsRenamed({c: f"__{c}" for c in key})
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    return left.join(found, same, how).drop(*[f"__{c}" for c in key])
+
+
+def nearest_names(left: DataFrame, key: list[str], pairs_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of the pairs of ``pairs_of(left)`` those that may have the smallest Jaro-Winkler distance ``jw`` of their ``key``.
+
+    Pairs are made three times and never moved or sorted: for the smallest bound of a key, for the distance of the pairs with that
+    bound, and for the pairs whose bound is not above that distance.
+    """
+    bound = similarity.least_distance(F.col("l_sign"), F.col("r_sign"))
+    compared = lambda pairs: pairs.drop("l_sign", "r_sign").withColumn("jw", similarity.sounds("school_name_std", "ref_std")["jw"])
+    low = known(left, pairs_of(left).groupBy(*key).agg(F.min(bound).alias("low")), key).checkpoint()
+    top = known(low, compared(pairs_of(low).where(bound <= F.col("low"))).groupBy(*key).agg(F.min("jw").alias("top")), key).checkpoint()
+    return compared(pairs_of(top).where(bound <= F.col("top") + similarity.SLACK)).drop("low", "top")
+
+
+def best_in_county(left: DataFrame, ref: DataFrame) -> DataFrame:
+    """Pairs of the most similar names in the same county; a name and county are compared once, however many rows have them."""
+    named = left.select("school_name_std", "county_std").distinct()
+    listed = ref.select("ref_std", "ref_county").distinct()
+    same = named["county_std"].eqNullSafe(listed["ref_county"])
+    equal = named.join(listed, same & (F.col("school_name_std") == F.col("ref_std"))).select("school_name_std", "county_std", "ref_std", F.lit(0.0).alias("jw"))
+    rest = named.join(listed, same & (F.col("school_name_std") == F.col("ref_std")), "left_anti").withColumn("l_sign", similarity.signs("school_name_std")).checkpoint()
+    signed = listed.withColumn("r_sign", similarity.signs("ref_std")).checkpoint()
+    pairs_of = lambda some: some.join(signed, F.col("county_std").eqNullSafe(F.col("ref_county"))).drop("ref_county")
+    pairs = nearest_names(rest, ["school_name_std", "county_std"], pairs_of)
+    first = pairs.groupBy("school_name_std", "county_std").agg(F.min("jw").alias("__jw"))
+    pairs = known(pairs, first, ["school_name_std", "county_std"]).where(F.col("jw") == F.col("__jw")).select(*equal.columns).union(equal)
+    pairs = pairs.withColumnsRenamed({"school_name_std": "__name", "county_std": "__county", "ref_std": "__ref"})
+    rows = left.join(pairs, (F.col("school_name_std") == F.col("__name")) & F.col("county_std").eqNullSafe(F.col("__county")))
+    rows = rows.join(ref, (F.col("__ref") == F.col("ref_std")) & F.col("__county").eqNullSafe(F.col("ref_county")))
+    return rows.withColumn("distance_m", haversine_m(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")))
+
+
+RINGS = (16, 4, 1)  # parts of the distance within which an equal name is looked for, in turn
+
+
+def best_nearby(left: DataFrame, ref: DataFrame, metres: float) -> DataFrame:
+    """Pairs of the most similar names within a distance, the nearest of equal names first.
+
+    No name is more similar than an equal one, and none in a wider ring is nearer, so a school that has found its equal is not asked again.
+    """
+    key, found = ["school_name", "county_std"], []
+    rest = left.where("l_lat is not null and l_lon is not null").checkpoint()
+    ref = ref.where("r_lat is not null and r_lon is not null").checkpoint()
+    for part in RINGS:
+        equal = within(rest, ref, metres / part, ("school_name_std", "ref_std"))
+        nearest = known(equal, equal.groupBy(*key).agg(F.min("distance_m").alias("__least")), key).where(F.col("distance_m") == F.col("__least")).drop("__least")
+        found.append(nearest.withColumn("jw", F.lit(0.0)).checkpoint())
+        done = found[-1].select(*key).distinct().withColumn("__done", F.lit(True))
+        rest = known(rest, done, key, "left").where("__done is null").drop("__done").checkpoint()
+    signed = lambda df, c, sign: df.join(df.select(c).distinct().withColumn(sign, similarity.signs(c)), c).checkpoint()
+    r = signed(ref, "ref_std", "r_sign")
+    found.append(nearest_names(signed(rest, "school_name_std", "l_sign"), key, lambda some: within(some, r, metres)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def candidates(schools: DataFrame, ref: DataFrame, prefix: str, metres: float | None = None) -> DataFrame:
     """Schools (school_name, county_std, school_name_std, lat, lon) with their best candidate as columns ``prefix``_...
 
     Candidates stand in the same county, or with ``metres`` within that distance, which plans as a join of grid cells. Names whose
     bound of the distance excludes them are not compared. The most similar name wins, then the nearest, then the first name.
     """
+    durable(schools.sparkSession)
     key = ["school_name", "county_std"]
-    signed = lambda df, c, sign: df.join(df.select(c).distinct().withColumn(sign, similarity.signs(c)), c)
-    left = signed(schools.where("school_name_std is not null").select(*key, "school_name_std", F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon")), "school_name_std", "l_sign")
-    ref = signed(ref.where("ref_std is not null"), "ref_std", "r_sign")
-    if metres is None:
-        pairs = left.join(ref, left["county_std"].eqNullSafe(ref["ref_county"])).withColumn("distance_m", haversine_m(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")))
-    else:
-        pairs = within(left.where("l_lat is not null and l_lon is not null"), ref.where("r_lat is not null and r_lon is not null"), metres)
-    pairs = pairs.withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign"))).drop("l_sign", "r_sign")
-    # the pair of least bound is compared first; what cannot be as near as that is not compared at all
-    likely = pairs.groupBy(*key).agg(F.min_by(F.struct("school_name_std", "ref_std"), F.struct("least", "ref_std")).alias("p"))
-    top = likely.select(*[F.col(c).alias(f"__{c}") for c in key], similarity.sounds(F.col("p.school_name_std"), F.col("p.ref_std"))["jw"].alias("top"))
-    own = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
-    pairs = pairs.join(top, own).where(F.col("least") <= F.col("top") + similarity.SLACK).drop("least", "top", *[f"__{c}" for c in key])
-    pairs = pairs.withColumn("sim", 1 - similarity.sounds("school_name_std", "ref_std")["jw"])
-    best = pairs.groupBy(*key).agg(F.min_by(F.struct("ref_name", "ref_variant", "ref_city", "ref_status", "ref_detail", "sim", "distance_m"), F.struct(-F.col("sim"), F.coalesce("distance_m", F.lit(float("inf"))), "ref_name", "ref_variant")).alias("b"))
+    left = schools.where("school_name_std is not null").select(*key, "school_name_std", F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
+    # of references alike in name, county and point only the first can win
+    told, point = ["ref_name", "ref_variant", "ref_city", "ref_status", "ref_detail"], F.col("r_lat").isNotNull() & F.col("r_lon").isNotNull()
+    at = ["ref_std", *(["ref_county"] if metres is None else []), "r_lat", "r_lon"]
+    ref = ref.where("ref_std is not null").withColumns({c: F.when(point, F.col(c)) for c in ("r_lat", "r_lon")})
+    ref = ref.groupBy(*at).agg(F.min(F.struct(*told)).alias("told")).select(*at, "told.*")
+    pairs = (best_in_county(left, ref) if metres is None else best_nearby(left, ref, metres)).withColumn("sim", 1 - F.col("jw"))
+    best = pairs.groupBy(*key).agg(F.min_by(F.struct(*told, "sim", "distance_m"), F.struct(-F.col("sim"), F.coalesce("distance_m", F.lit(float("inf"))), "ref_name", "ref_variant")).alias("b"))
     fields = {
         "name": F.col("b.ref_name"), "matched_name": F.when(F.col("b.ref_variant") != F.col("b.ref_name"), F.col("b.ref_variant")), "city": F.col("b.ref_city"), "status": F.col("b.ref_status"),
         "detail": F.col("b.ref_detail"), "sim": F.bround("b.sim", 3), "dist_m": F.bround("b.distance_m")}
-    found = best.select(*[F.col(c).alias(f"__{c}") for c in key], *[v.alias(f"{prefix}_{k}") for k, v in fields.items()])
-    same = reduce(lambda x, y: x & y, [schools[c].eqNullSafe(found[f"__{c}"]) for c in key])
-    return schools.join(found, same, "left").drop(*[f"__{c}" for c in key])
+    return known(schools, best.select(*key, *[v.alias(f"{prefix}_{k}") for k, v in fields.items()]), key, "left")
 
 
 def review(joined: DataFrame, references: dict[str, DataFrame], directory: DataFrame | None = None, metres: float = 25_000, strong: float = 0.9, possible: float = 0.8, strong_metres: float = 5_000) -> DataFrame:

@@ -66,3 +66,23 @@ def test_waves_grow_with_the_logarithm_of_the_keys(spark, tmp_path, monkeypatch)
     every = s.every(spark)
     n, keys, waves, most = every.agg(F.count("*"), F.countDistinct("k"), F.countDistinct("asked_in"), F.max("rows")).first()
     assert n == keys == 80 and waves <= 20 and most <= 2
+
+
+def test_a_name_and_county_are_compared_once(spark, monkeypatch):
+    import pandas as pd
+
+    from musterline.functions import similarity
+    from musterline.operators import review
+
+    seen, own = spark.sparkContext.accumulator(0), similarity.sounds.func
+
+    @F.pandas_udf(similarity.SOUNDS)
+    def counted(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        seen.add(len(a))
+        return own(a, b)
+
+    monkeypatch.setattr(similarity, "sounds", counted)
+    schools = spark.range(60).select(F.concat(F.lit("s"), "id").alias("school_name"), F.lit("c").alias("county_std"), F.lit("oak hill").alias("school_name_std"), F.lit(40.0).alias("lat"), F.lit(-80.0).alias("lon"))
+    listed = spark.range(60).select(F.concat(F.lit("r"), F.lpad("id", 2, "0")).alias("school_name"), F.lit("oak hills").alias("school_name_std"), F.lit("c").alias("county_std"))
+    got = review.candidates(schools, review.reference(listed), "x").select("school_name", "x_name", "x_sim").collect()
+    assert len(got) == 60 and {tuple(r)[1:] for r in got} == {("r00", 0.978)} and 1 <= seen.value <= 10
