@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity
 from ..functions.numeric import haversine_m
 from ..functions.text import school_name, without_level
-from .places import within
+from .places import MOST_TASKS, in_cells, met_keys, within
 from .service import durable
 
 # Columns of a candidate, and the explanations in the order in which they hold.
@@ -174,6 +174,9 @@ def review(joined: DataFrame, references: dict[str, DataFrame], directory: DataF
     return out.select(*first, *[c for c in out.columns if c not in [*first, "school_name_std", "latest_year"]]).orderBy("likely_explanation", F.col("county_std").asc_nulls_last(), "school_name")
 
 
+HELD = 1 << 19  # pairs of names that a task of match_directory holds at most, about
+
+
 def match_directory(places: DataFrame, directory: DataFrame, metres: float = 300, least: float = 0.85, share: float = 0.5) -> DataFrame:
     """(place_id, nces_id, nces_source, nces_name, business_status, dist_m, name_sim): one school of a directory per place.
 
@@ -185,13 +188,19 @@ def match_directory(places: DataFrame, directory: DataFrame, metres: float = 300
     p = p.select("place_id", F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"), school_name(F.col("name")).alias("name_std")).distinct()
     n = directory.select("nces_id", "nces_source", "nces_name", "business_status", F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), F.explode(F.coalesce("names", F.array("nces_name"))).alias("v"))
     n = n.where("r_lat is not null and r_lon is not null").withColumn("v", school_name(F.col("v")))
-    pairs = within(p, n, metres).withColumn("name_sim", 1 - similarity.sounds("name_std", "v")["jw"]).where(F.col("name_sim") >= least)
-    named = p.groupBy("place_id").agg(F.countDistinct("name_std").alias("n_names"))
-    alike = pairs.groupBy("place_id", "nces_id").agg(F.countDistinct("name_std").alias("n_alike"))
-    enough = alike.join(named, "place_id").where(F.col("n_alike") / F.col("n_names") > share).select("place_id", "nces_id")
-    order = Window.partitionBy("place_id").orderBy((F.coalesce(F.col("business_status") == "OPERATIONAL", F.lit(False))).desc(), F.desc("name_sim"), "distance_m", "nces_id")
-    best = pairs.join(enough, ["place_id", "nces_id"]).withColumn("__n", F.row_number().over(order)).where("__n = 1")
-    return best.select("place_id", "nces_id", "nces_source", "nces_name", "business_status", F.col("distance_m").alias("dist_m"), "name_sim")
+    p = p.join(p.groupBy("place_id").agg(F.countDistinct("name_std").alias("n_names")), "place_id")
+    signed = lambda df, c, sign: df.join(df.select(c).distinct().withColumn(sign, similarity.signs(c)), c)
+    p, n = signed(p, "name_std", "l_sign"), signed(n, "v", "r_sign")
+    bound = similarity.least_distance(F.col("l_sign"), F.col("r_sign"))
+    pairs = within(p, n, metres).where(bound <= 1 - least + similarity.SLACK).drop("l_sign", "r_sign")
+    pairs = pairs.withColumn("name_sim", 1 - similarity.sounds("name_std", "v")["jw"]).where(F.col("name_sim") >= least)
+    # a task holds so many pairs, not a place with all its schools: each pair of a place and a school is judged alone, and tasks give one school per place
+    total = met_keys(*in_cells(p, n, metres), "__cell").agg(F.sum("pairs")).first()[0] or 0
+    tasks = min(MOST_TASKS, max(int(total / HELD) + 1, int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    first = F.struct((~F.coalesce(F.col("business_status") == "OPERATIONAL", F.lit(False))).alias("shut"), (-F.col("name_sim")).alias("unlike"), "distance_m", "nces_id", "nces_source", "nces_name", "business_status", "name_sim")
+    judged = pairs.repartition(tasks, "place_id", "nces_id").groupBy("place_id", "nces_id").agg(F.countDistinct("name_std").alias("n_alike"), F.max("n_names").alias("n_names"), F.min(first).alias("b"))
+    best = judged.where(F.col("n_alike") / F.col("n_names") > share).groupBy("place_id").agg(F.min("b").alias("b"))
+    return best.select("place_id", "b.nces_id", "b.nces_source", "b.nces_name", "b.business_status", F.col("b.distance_m").alias("dist_m"), "b.name_sim")
 
 
 def directory_states(place_ids: DataFrame, rows: DataFrame, names: list[str], directory: DataFrame) -> DataFrame:

@@ -86,3 +86,12 @@ def test_a_name_and_county_are_compared_once(spark, monkeypatch):
     listed = spark.range(60).select(F.concat(F.lit("r"), F.lpad("id", 2, "0")).alias("school_name"), F.lit("oak hills").alias("school_name_std"), F.lit("c").alias("county_std"))
     got = review.candidates(schools, review.reference(listed), "x").select("school_name", "x_name", "x_sim").collect()
     assert len(got) == 60 and {tuple(r)[1:] for r in got} == {("r00", 0.978)} and 1 <= seen.value <= 10
+
+
+def test_no_task_holds_a_place_with_all_its_schools(spark):
+    from musterline.operators import review
+
+    places = spark.range(3).select(F.col("id").alias("place_id"), F.lit(40.0).alias("lat"), F.lit(-80.0).alias("lon"), F.lit("oak").alias("name"))
+    listed = spark.range(5).select(F.concat(F.lit("n"), "id").alias("nces_id"), F.lit("d").alias("nces_source"), F.lit("oak").alias("nces_name"), F.lit("OPERATIONAL").alias("business_status"), F.lit(40.0).alias("lat"), F.lit(-80.0).alias("lon"), F.array(F.lit("oak")).alias("names"))
+    found = review.match_directory(places, listed)
+    assert "Window" not in planned(found) and [(r["place_id"], r["nces_id"], r["name_sim"]) for r in found.orderBy("place_id").collect()] == [(i, "n0", 1.0) for i in range(3)]
