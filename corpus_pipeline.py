@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from musterline.llm import langid, mixing, rankbpe, rlz, simhash
-from musterline.llm.shared import maybe_among, saved
+from musterline.llm.shared import erased, maybe_among, saved
 
 BATCH_ROWS = 1000
 MIN_SCORE = 0.4  # language predictions below this probability are rejected
@@ -23,7 +23,9 @@ def _tokenizer() -> str:
     return path("word_bpe_49k.json")
 
 
-def _small_batches(spark: SparkSession) -> None:
+def _ready(spark: SparkSession) -> None:
+    """Small batches, and a driver without the plans and broadcasts of the stages before, whose heap would stay at its largest."""
+    erased(spark)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
         spark.conf.set(rows, BATCH_ROWS)
@@ -31,7 +33,7 @@ def _small_batches(spark: SparkSession) -> None:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts that are null, without letters or of no clear language go."""
-    _small_batches(spark)
+    _ready(spark)
     found = langid.predict(docs, carry=docs.columns)
     return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
@@ -41,7 +43,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null ids stay when nothing else names one of their groups. Only the text of documents that may go is moved.
     """
-    _small_batches(spark)
+    _ready(spark)
     found = simhash.similar_documents(docs)
     stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__stays"))
     gone = saved(stays.where(~F.col("__stays")).select(F.col("doc_id").alias("__gone")))
@@ -52,7 +54,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur earlier; documents that consist of nothing else go."""
-    _small_batches(spark)
+    _ready(spark)
     others = [c for c in docs.columns if c != "text"]
     found = rlz.substring_dedup(docs, carry=others).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     size = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))
@@ -66,6 +68,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Rows alike in id, source and text get the largest number of copies among them; texts without words are in no copy of a
     source that is not repeated.
     """
+    _ready(spark)
     last = (F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))
     mixed = mixing.mix(docs).select(F.col("doc_id").alias("__of"), F.col("source").alias("__from"), F.col("text_key").alias("__text"), (F.col("epochs") + last.cast("long")).alias("__n"))
     copies = mixed.groupBy("__of", "__from", "__text").agg(F.max("__n").alias("__copies")).where("__copies > 0")
@@ -77,7 +80,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digests of ids and of the text decoded from them."""
-    _small_batches(spark)
+    _ready(spark)
     return rankbpe.encode(docs, _tokenizer(), ids=True, digests=True)
 
 

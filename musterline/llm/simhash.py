@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, maybe_among, release, saved, text_of
+from .shared import components, erased, maybe_among, release, saved, text_of
 
 SHINGLE = 4
 DISTANCE = 4
@@ -277,6 +277,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["of", "set"])
 
     def check(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        erased(docs.sparkSession)  # of the plans of the rounds before
         pairs = saved(pairs)
         asked = saved(pairs.select(F.col("p").alias("node")).union(pairs.select("q")).distinct().join(nodes.select("node", "fp"), "node").join(keyed, "fp").select("node", "key"))
         text = docs.select(text_of(text_col).alias("text")).select(F.xxhash64("text", F.octet_length("text")).alias("of"), F.col("text").cast("binary").alias("t"))
