@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, erased, maybe_among, release, saved, text_of
+from .shared import components, erased, maybe_among, mixed, release, saved, text_of
 
 SHINGLE = 4
 DISTANCE = 4
@@ -26,6 +26,7 @@ SEED = 42
 BITS = 64
 WORDS = 6  # of a fingerprint at least where texts are compared by similarity
 ROUNDS, CENTRES = 2, 8  # of stars, before texts that are still apart are compared in pairs
+SKETCH = 4  # words of the parities of a set, which bound how many shingles two sets do not share
 SPREAD = 4  # standard deviations of bits that candidates may differ by beyond the mean of pairs right at the similarity
 CELL_SETS, CELL_VALUES = 1000, 1 << 19  # sets, and values in them, on each side of a cell of pairs
 
@@ -62,8 +63,22 @@ def majority(parts: list[bytes], seed: int) -> int:
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
+def distinct(parts: list[bytes]) -> np.ndarray:
+    """The set of the shingles' 64-bit hashes, in order."""
+    return np.unique(hashed(parts, SEED).copy().view(np.int64)) if parts else np.zeros(0, np.int64)
+
+
+def sketch(values: np.ndarray) -> np.ndarray:
+    """Of each of ``SKETCH`` times 64 classes of hashes, whether a set has an odd number.
+
+    What two sets share cancels out, so their sketches differ in no more bits than the sets do in values.
+    """
+    odd = np.bincount(mixed(values.astype(np.uint64)) % np.uint64(SKETCH * BITS), minlength=SKETCH * BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, words: int = 0) -> DataFrame:
-    """(id, fp): a signed 64-bit fingerprint per row, or with ``words`` an array of so many and ``key``, a hash of the text.
+    """(id, key, fp): a hash of the text and a signed 64-bit fingerprint per row, or with ``words`` an array of so many, and (sketch, size) of the set of shingles.
 
     Null text counts as empty.
     """
@@ -75,17 +90,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         for batch in batches:
             rows = batch.num_rows
-            found = np.zeros((rows, max(1, words)), np.uint64)
+            found, sketches, sizes = np.zeros((rows, max(1, words)), np.uint64), np.zeros((rows, SKETCH), np.int64), np.zeros(rows, np.int64)
             for i, x in enumerate(batch.column(2)):
                 parts = shingled(x.as_py() or b"", shingle)
                 if parts:
                     found[i] = [majority(parts, SEED + j) for j in range(max(1, words))]
+                if parts and words:
+                    values = distinct(parts)
+                    sketches[i], sizes[i] = sketch(values), len(values)
             release()
-            flat = pa.array(found.ravel().view(np.int64))
-            fp = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * words), flat) if words else flat
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], names=["id", "key", "fp"])
+            lists = lambda x, rows=rows: pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
+            out = [("fp", lists(found)), ("sketch", lists(sketches)), ("size", pa.array(sizes))] if words else [("fp", pa.array(found.ravel().view(np.int64)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[x for _, x in out]], names=["id", "key", *[n for n, _ in out]])
 
-    return source.mapInArrow(work, f"id long, key long, fp {'array<long>' if words else 'long'}")
+    return source.mapInArrow(work, "id long, key long, " + ("fp array<long>, sketch array<long>, size long" if words else "fp long"))
 
 
 def segments(n: int, distance: int = DISTANCE, bits: int = BITS) -> list[tuple[int, int, int]]:
@@ -150,42 +168,50 @@ def keys(nodes: DataFrame, words: list[str], balls: bool, parts: list[tuple[int,
     return nodes.withColumn("k", F.explode(F.concat(*lists)))
 
 
-def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None, rounds: int = 1, centres: int = 1, near: int | None = None) -> DataFrame:
+def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None, rounds: int = 1, centres: int = 1, near: int | None = None, similarity: float | None = None) -> DataFrame:
     """(fp, root) for every distinct fingerprint; fingerprints of one component have one root.
 
     A node stands for a fingerprint: itself, or of a fingerprint of several ``words`` its 64-bit hash. In each of ``rounds``
     every node meets ``centres`` others of each of its buckets, drawn anew, and those at most ``near`` bits apart join; what
     comes then is exact. ``check`` takes pairs of nodes (p, q, ..) with all nodes (node, fp), and leaves the pairs that are linked.
+    With ``similarity``, prints also hold (key, sketch, size), and pairs that are surely less alike go before they are checked.
     """
     single, own = not words, [f"w{i}" for i in range(max(1, words))]
-    nodes = prints.groupBy("fp").agg(F.count("*").alias("n"))
-    nodes = saved(nodes.select("fp", (F.col("fp") if single else F.xxhash64("fp")).alias("node"), *[(F.col("fp") if single else F.col("fp")[i]).alias(w) for i, w in enumerate(own)]))
+    odd = [] if similarity is None else [f"s{i}" for i in range(SKETCH)]
+    nodes = prints.groupBy("fp").agg(F.count("*").alias("n"), *([F.min_by(F.struct("sketch", "size"), "key").alias("of")] if odd else []))
+    more = [F.col("of.sketch")[i].alias(s) for i, s in enumerate(odd)] + ([F.col("of.size").alias("size")] if odd else [])
+    nodes = saved(nodes.select("fp", (F.col("fp") if single else F.xxhash64("fp")).alias("node"), *[(F.col("fp") if single else F.col("fp")[i]).alias(w) for i, w in enumerate(own)], *more))
     parts = parts or segments(nodes.count(), distance)
     check = check or (lambda pairs, nodes: pairs)
     other = [f"o{i}" for i in range(len(own))]
-    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(own[1:], other[1:])), F.bit_count(F.col("w0").bitwiseXOR(F.col("o0"))))
-    named = nodes.select("fp", F.col("node").alias("p"), *own, F.col("node").alias("a"))
+    differ = lambda xs, ys: sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(xs[1:], ys[1:])), F.bit_count(F.col(xs[0]).bitwiseXOR(F.col(ys[0]))))
+    apart, possible, body = differ(own, other), F.lit(True), own + [c for c in nodes.columns if c in (*odd, "size")]
+    others = other + [f"o_{c}" for c in body[len(own) :]]
+    if odd:  # sets of n and k values with d that only one has are (n + k - d) / (n + k + d) alike
+        least = F.greatest(differ(odd, [f"o_{s}" for s in odd]), F.abs(F.col("size") - F.col("o_size")))
+        possible = least * F.lit(1 + similarity) <= (F.col("size") + F.col("o_size")) * F.lit(1 - similarity) + F.lit(1e-6)
+    named = nodes.select("fp", F.col("node").alias("p"), *body, F.col("node").alias("a"))
 
     def joined(pairs: DataFrame) -> DataFrame:
         """The nodes with their labels after pairs (p, q, a, b) are linked."""
         found = components(check(pairs, nodes).select("a", "b").distinct())
-        return saved(named.join(found, named.a == found.node, "left").select("fp", "p", *own, F.coalesce("root", "a").alias("a")))
+        return saved(named.join(found, named.a == found.node, "left").select("fp", "p", *body, F.coalesce("root", "a").alias("a")))
 
     for turn in range(rounds):
         table = keys(named, own, False, parts)
-        body = F.struct("p", "a", *own)
-        drawn = table.groupBy("k").agg(F.array_distinct(F.array(*[F.min_by(body, F.xxhash64("p", "k", F.lit(turn * centres + i))) for i in range(centres)])).alias("c"))
-        drawn = drawn.select("k", F.explode("c").alias("c")).select("k", F.col("c.p").alias("q"), F.col("c.a").alias("b"), *[F.col(f"c.{w}").alias(o) for w, o in zip(own, other)])
-        stars = table.join(drawn.hint("merge"), "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)))
+        whole = F.struct("p", "a", *body)
+        drawn = table.groupBy("k").agg(F.array_distinct(F.array(*[F.min_by(whole, F.xxhash64("p", "k", F.lit(turn * centres + i))) for i in range(centres)])).alias("c"))
+        drawn = drawn.select("k", F.explode("c").alias("c")).select("k", F.col("c.p").alias("q"), F.col("c.a").alias("b"), *[F.col(f"c.{w}").alias(o) for w, o in zip(body, others)])
+        stars = table.join(drawn.hint("merge"), "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)) & possible)
         named = joined(stars.select("p", "q", "a", "b").distinct())
     # keys are many times the rows that Spark's estimate of them is made from, so their joins are never broadcast
-    left = keys(named, own, True, parts).select("k", "p", "a", *own)
-    right = keys(named, own, False, parts).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(own, other)])
+    left = keys(named, own, True, parts).select("k", "p", "a", *body)
+    right = keys(named, own, False, parts).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(body, others)])
     reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
     left = left.join(reach.hint("merge"), F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
     # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough, and the first such segment
     first = F.coalesce(*[F.when(F.bit_count(cut(own, low, width).bitwiseXOR(cut(other, low, width))) <= radius, i) for i, (low, width, radius) in enumerate(parts)])
-    rest = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance) & (first == F.shiftright("k", 32)))
+    rest = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance) & possible & (first == F.shiftright("k", 32)))
     return joined((rest.select("a", "b") if single else rest.select("p", "q", "a", "b")).distinct()).select("fp", F.col("a").alias("root"))
 
 
@@ -255,7 +281,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Links are pairs of texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least ``similarity``,
     compared as 64-bit hashes. Candidates share a segment of long fingerprints but for one bit, and differ by at most ``SPREAD``
-    standard deviations more bits than pairs of ``similarity`` do, which leaves out about one such pair in 30,000; the segments are so
+    standard deviations more bits than pairs of ``similarity`` do, which leaves out about one such pair in 30,000; those whose sizes or
+    sketches prove too many shingles of only one text go too, which leaves out none, so few of a large group's pairs are listed. The segments are so
     many that ``recall`` of the pairs right at ``similarity``, and more of those above, share one, at every size of the table.
     Texts of one fingerprint are one. Nulls, repeats and empty tables are as in ``near_duplicates``.
     """
@@ -270,7 +297,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         import pyarrow as pa
 
         for batch in batches:
-            sets = [np.unique(hashed(x, SEED).copy().view(np.int64)) if (x := shingled(t.as_py(), shingle)) else np.zeros(0, np.int64) for t in batch.column(1)]
+            sets = [distinct(shingled(t.as_py(), shingle)) for t in batch.column(1)]
             release()
             ends = np.append(0, np.cumsum([len(x) for x in sets])).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
@@ -287,4 +314,4 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return alike(pairs, sets, similarity)
 
     near = int(BITS * words * p)
-    return grouped(prints, linked(prints, distance, parts, words, check, ROUNDS, CENTRES, near)).select(F.col("id").alias("doc_id"), "component_id")
+    return grouped(prints, linked(prints, distance, parts, words, check, ROUNDS, CENTRES, near, similarity)).select(F.col("id").alias("doc_id"), "component_id")

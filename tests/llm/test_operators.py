@@ -487,6 +487,38 @@ def test_similar_pairs_at_defaults(spark):
     assert all(got[i] in (i, i - i % 2) for i in got)
 
 
+def test_pairs_of_a_group_just_below_the_similarity(spark, monkeypatch):
+    from musterline.llm import simhash
+
+    rng = random.Random(31)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(3000)]
+    base, rows = rng.choices(vocabulary, k=200), []
+    for i in range(150):  # pairs of them are about 0.66 alike
+        words = list(base)
+        for at in rng.sample(range(0, 200, 5), 4):
+            words[at] = rng.choice(vocabulary)
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, rows[i][1] + " one two") for i in range(5)]
+    sets = {i: simhash.distinct(simhash.shingled(t.encode(), 5)) for i, t in rows}
+    for i, j in itertools.combinations(sets, 2):
+        apart = np.bitwise_xor(simhash.sketch(sets[i]), simhash.sketch(sets[j])).view(np.uint64)
+        assert sum(int(x).bit_count() for x in apart) <= len(np.setxor1d(sets[i], sets[j]))
+    asked, check = [], simhash.alike
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return check(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), recall=0.999).collect()}
+    group, links = {i: i for i in sets}, [(i, j) for i, j in itertools.combinations(sets, 2) if (n := len(np.intersect1d(sets[i], sets[j]))) >= 0.8 * (len(sets[i]) + len(sets[j]) - n)]
+    for _ in range(len(rows)):
+        for i, j in links:
+            group[i] = group[j] = min(group[i], group[j])
+    assert got == group and all(group[200 + i] == group[i] for i in range(5))
+    assert sum(asked) < len(rows) * 5  # of 11,935 pairs
+
+
 @pytest.mark.parametrize("most", [1, 7, 1000])
 def test_pairs_in_cells(spark, most, monkeypatch):
     from musterline.llm import simhash
