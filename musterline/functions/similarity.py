@@ -248,6 +248,23 @@ def least_distance(a: Column, b: Column) -> Column:
     return F.when((a["size"] == 0) | (b["size"] == 0), F.when(a["size"] == b["size"], 0.0).otherwise(1.0)).when(m == 0, 1.0).otherwise(whole)
 
 
+def spellings(name: Column) -> Column:
+    """Hashes of a name's bytes in any order: of all, and of all but each one. Names with at most one byte each that the other lacks have one in common."""
+    codes = F.transform(F.regexp_extract_all(F.hex(F.encode(name, "UTF-8")), F.lit("(..)"), 1), lambda x: F.xxhash64(x))
+    whole = F.aggregate(codes, F.lit(0).cast("long"), lambda h, x: h.bitwiseXOR(x))
+    pair = F.struct(whole.alias("whole"), codes.alias("codes"))
+    return F.transform(F.array(pair), lambda p: F.array_distinct(F.concat(F.array(p["whole"]), F.transform(p["codes"], lambda x: p["whole"].bitwiseXOR(x)))))[0]
+
+
+def least_unspelled(name: Column) -> Column:
+    """No name that has none of its ``spellings`` in common with this one is nearer by Jaro-Winkler.
+
+    One of the two has two bytes more than they share, so of names of n and k bytes with m in common (n - m) / n + (k - m) / k is at
+    least 2 / (n + 2); the distance is a third of that, or 0.6 of the third with four equal first bytes.
+    """
+    return 0.4 / (F.octet_length(name) + F.lit(2))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """All measures of two names and their sum, as one struct; null if either name is null."""
     e = edits(a, b)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity
+from .service import durable
 
 
 class Matched(NamedTuple):
@@ -85,12 +86,24 @@ def confirmed(pairs: DataFrame, every: DataFrame, within: Callable[[DataFrame],
     return joined.withColumn("low", F.least("low", "__low")).drop("__low", *[f"__{c}" for c in key])
 
 
+def one_byte_off(asked: DataFrame, held: DataFrame, on: Column, key: list[str], exact_at: float) -> DataFrame:
+    """(key, r_id, r_level, jw) of the nearest candidates of those rows of ``asked`` that surely have no nearer one, at most ``exact_at`` away.
+
+    Names meet on their bytes without one, so the work follows the names and not the pairs of a block.
+    """
+    spelled = lambda df, p: df.withColumn(f"{p}_spelling", F.explode(similarity.spellings(f"{p}_name")))
+    met = spelled(asked, "l").join(spelled(held, "r"), on & (F.col("l_spelling") == F.col("r_spelling"))).drop("l_spelling", "r_spelling").distinct()
+    near = met.withColumn("jw", similarity.sounds("l_name", "r_name")["jw"]).withColumn("low", F.min("jw").over(Window.partitionBy(*key)))
+    sure = (F.col("low") <= exact_at) & (F.col("low") + similarity.SLACK < similarity.least_unspelled(F.col("l_name")))
+    return near.where(sure & (F.col("jw") == F.col("low"))).drop("low")
+
+
 def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_id: str, right_id: str, threshold_min: float = 0.6,
           threshold: float = 0.6, exact_at: float = 0.05, keep: int = 10, level: str | None = None) -> Matched:
     """The best candidate of each left row within its block, by staged similarity.
 
-    A single block column never matches null; of several, null matches null. A bound of the distance from byte counts, lengths
-    and first bytes drops most pairs of a block in the JVM; only the rest are compared in Python. Candidates at most ``exact_at`` away win
+    A single block column never matches null; of several, null matches null. Rows whose nearest candidate is a byte away, with no
+    other as near, are settled by equal keys. For the rest, a bound of the distance from byte counts, lengths and first bytes drops most pairs of a block in the JVM; only the rest are compared in Python. Candidates at most ``exact_at`` away win
     outright. Else those within ``threshold``, or alike in sound and letters, are cut to the nearest ``keep``, graded by all
     measures, and the best grade wins, then the smallest distance, then the smaller id.
     """
@@ -99,9 +112,14 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     l, r = side(left, left_id, "l").where("l_name is not null"), side(right, right_id, "r").where("r_name is not null")  # noqa: E741
     key = [c for c in l.columns if c != "l_id"]  # rows alike in all that is compared are scored once
     on = [F.col(f"l{j}") == F.col(f"r{j}") if len(block) == 1 else F.col(f"l{j}").eqNullSafe(F.col(f"r{j}")) for j in range(len(block))]
-    asked = l.select(*key).distinct().withColumn("l_sign", similarity.signs("l_name"))
+    met = reduce(lambda x, y: x & y, on)
+    whole = l.select(*key).distinct()
+    durable(left.sparkSession)
+    settled = one_byte_off(whole, r, met, key, exact_at).checkpoint()  # the plan of the rest names it several times
+    nulls_too = lambda x, y: reduce(lambda p, q: p & q, [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in key])
+    asked = whole.alias("w").join(settled.select(*key).distinct().alias("s"), nulls_too("w", "s"), "left_anti").withColumn("l_sign", similarity.signs("l_name"))
     held = r.join(r.select("r_name").distinct().withColumn("r_sign", similarity.signs("r_name")), "r_name")
-    every = asked.join(held, reduce(lambda x, y: x & y, on)).withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign")))
+    every = asked.join(held, met).withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign")))
     # a candidate is taken for a distance within the larger bound, or for its sound below 0.5; others matter at most for whether any is near
     wide, sound = max(exact_at, min(0.5, threshold)) + similarity.SLACK, (F.col("l_sign.soundex") == F.col("r_sign.soundex")) & (F.col("least") < 0.5)
     within = lambda rows: rows.drop("l_sign", "r_sign", "least").withColumn("e", similarity.sounds("l_name", "r_name")).withColumn("jw", F.col("e.jw")).where((F.col("jw") < 0.5) | (F.col("jw") <= exact_at))
@@ -121,9 +139,10 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     second = (sound & (F.col("cos") <= 0.25)) | ((F.col("jac") <= 0.15) & (F.col("cos") <= 0.15) & (edit <= 0.4)) | (F.col("jw") <= 0.21)
     grade = F.when(F.col("low") <= exact_at, 0).when((F.col("jw") < 0.5) & (F.col("jac") < 0.5), F.when(first, 1).when(second, 2))
     other_level = F.when(F.col("l_level").isNull() | (F.col("l_level") == F.col("r_level")), 0).otherwise(1) if level else F.lit(0)
-    best = first_per(pairs.withColumn("grade", grade).where("grade is not null").withColumn("other", other_level), key, "grade", "jw", F.when(F.col("grade") == 0, F.col("other")), "r_id")
+    graded = lambda rows, grade: rows.withColumn("grade", grade).where("grade is not null").withColumn("other", other_level).select(*key, "r_id", "jw", "grade", "other")
+    best = first_per(graded(pairs, grade).union(graded(settled, F.lit(0))), key, "grade", "jw", F.when(F.col("grade") == 0, F.col("other")), "r_id")
     category = F.when(F.col("jw") <= exact_at, "Exact Match").when(F.col("jw") <= 2 * exact_at, "High").when(F.col("jw") <= 5 * exact_at, "Moderate").otherwise("Low")
-    best = l.alias("l").join(best.alias("b"), reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]))
+    best = l.alias("l").join(best.alias("b"), nulls_too("l", "b"))
     matched = best.select(F.col("l_id").alias("orig_id_1"), F.col("r_id").alias("orig_id_2"), (1 - F.col("jw")).alias("match_score"), category.alias("match_category"))
     return split_off(matched, left, right, left_id, right_id)
 

@@ -431,7 +431,7 @@ def cost_estimate(spark, sf_dir):
 
 def rosters_of(spark, sf_dir):
     """Records, a directory and a department's list, made of parts: three spellings of the same schools."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size").repartition(4 * spark.sparkContext.defaultParallelism)  # few bytes a row, but much to clean
     school = F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" Elementary School"))
     shared = [F.col("p_brand").alias("county"), F.concat(F.col("p_size").cast("string"), F.lit(" Oak Street")).alias("street"), F.lit("public").alias("school_type")]
     typo = F.concat(F.substring(school, 1, 4), F.lit("x"), F.substring(school, 5, 200))

@@ -90,6 +90,7 @@ def standardize(records: DataFrame, directory: DataFrame, department: DataFrame,
     by similar names against elementary schools, which ``synonyms`` may list under further names. ``joined`` holds every record once: school_id is the master's, or
     ``vacc-`` and the record's own school. The records carry vacc_data_id and year_source.
     """
+    records, directory, department = records.checkpoint(), directory.checkpoint(), department.checkpoint()  # cleaned once, read by several steps
     master = collapsed(locate(location_keys(directory, "dir", directory_id))).checkpoint()
     master = absorbed(master, location_keys(department, "doe", department_id), locate)
     if other is not None:

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -57,6 +58,34 @@ def test_fuzzy_compares_few_pairs(rosters):
     assert few < n / 4
 
 
+def test_names_a_byte_off_are_settled_without_pairs(spark):
+    rng = random.Random(3)
+    names = [f"{rng.choice(['large ring', 'élan prairie', 'small brass'])} {n}" for n in rng.sample(range(10_000), 60)]
+    slips = [t[:4] + "x" + t[4:] for t in names] + [t[:5] + t[6:] for t in names[:20]] + ["another name"]
+    asked, held = spark.createDataFrame([(t,) for t in slips], "l_name string"), spark.createDataFrame(list(enumerate(names)), "r_id long, r_name string")
+    got = {}
+    for r in linkage.one_byte_off(asked, held, F.lit(True), ["l_name"], 0.1).collect():
+        got.setdefault(r["l_name"], set()).add((r["r_id"], round(r["jw"], 9)))
+    for t, found in got.items():  # all of the nearest, and none else
+        every = [(i, similarity.jaro_winkler(t.encode(), n.encode())) for i, n in enumerate(names)]
+        low = min(d for _, d in every)
+        assert found == {(i, round(d, 9)) for i, d in every if d == low}
+    assert len(got) > len(slips) / 2 and "another name" not in got  # the rest meet the pairs of their block
+
+
+def test_spellings(spark):
+    rng = random.Random(4)
+    names = sorted({"".join(rng.choices("abé", k=rng.randint(0, 5))) for _ in range(90)})
+    df = spark.createDataFrame([(t,) for t in names], "t string")
+    pairs = df.select(F.col("t").alias("a")).join(df.select(F.col("t").alias("b"))).select("a", "b", F.arrays_overlap(similarity.spellings(F.col("a")), similarity.spellings(F.col("b"))).alias("met"),
+        (similarity.sounds("a", "b")["jw"] + similarity.SLACK < similarity.least_unspelled(F.col("a"))).alias("near"))
+    for r in pairs.collect():
+        x, y = Counter(r["a"].encode()), Counter(r["b"].encode())
+        if max((x - y).total(), (y - x).total()) <= 1:
+            assert r["met"], r
+        assert r["met"] or not r["near"], r
+
+
 def test_review_candidates_are_the_best_of_all(spark, rosters):
     left, right = rosters
     schools = left.where("name is not null").select(F.concat("name", F.col("id").cast("string")).alias("school_name"), F.col("county").alias("county_std"), F.col("name").alias("school_name_std"), F.lit(39.0).alias("lat"), (F.col("id") / 1e4 - 77).alias("lon"))
