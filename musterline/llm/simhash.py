@@ -10,7 +10,7 @@ and leaves out buckets of one component.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from itertools import accumulate
 from math import acos, ceil, comb, log2, pi
 
@@ -28,6 +28,7 @@ WORDS = 6  # of a fingerprint at least where texts are compared by similarity
 ROUNDS, CENTRES = 2, 8  # of stars, before texts that are still apart are compared in pairs
 SKETCH = 4  # words of the parities of a set, which bound how many shingles two sets do not share
 SPREAD = 4  # standard deviations of bits that candidates may differ by beyond the mean of pairs right at the similarity
+TURN = 4  # segments whose buckets are joined at once, as shuffles of all of them would fill the disk
 CELL_SETS, CELL_VALUES = 1000, 1 << 19  # sets, and values in them, on each side of a cell of pairs
 
 
@@ -157,15 +158,19 @@ def cut(words: list[str], low: int, width: int):
     return part.bitwiseAND(F.lit((1 << width) - 1))
 
 
-def keys(nodes: DataFrame, words: list[str], balls: bool, parts: list[tuple[int, int, int]]) -> DataFrame:
-    """One row per node, segment and (with ``balls``) mask of its Hamming ball; k holds segment and bits."""
+def keys(nodes: DataFrame, words: list[str], balls: bool, parts: list[tuple[int, int, int]], turn: range | None = None) -> DataFrame:
+    """One row per node, segment (of those in ``turn``) and (with ``balls``) mask of half its Hamming ball; k holds segment and bits.
+
+    Of two nodes that differ by a mask, one has 0 and one has 1 at its lowest bit; the one that has 0 takes the mask, so they meet once.
+    """
     lists = []
-    for i, (low, width, radius) in enumerate(parts):
+    for i in turn or range(len(parts)):
+        low, width, radius = parts[i]
         part, masks = cut(words, low, width), ball(width, radius) if balls else [0]
-        of = lambda m, part=part, i=i: part.bitwiseXOR(m).cast("long") + F.lit(i << 32)
+        of = lambda m, part=part, i=i: F.when(part.bitwiseAND(m.bitwiseAND(-m)) == 0, part.bitwiseXOR(m).cast("long") + F.lit(i << 32))
         few = len(masks) <= 64
         lists.append(F.array(*[of(F.lit(m)) for m in masks]) if few else F.transform(F.lit(masks).cast("array<long>"), of))
-    return nodes.withColumn("k", F.explode(F.concat(*lists)))
+    return nodes.withColumn("k", F.explode(F.concat(*lists))).where(F.col("k").isNotNull())
 
 
 def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None, rounds: int = 1, centres: int = 1, near: int | None = None, similarity: float | None = None) -> DataFrame:
@@ -204,15 +209,34 @@ def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, i
         drawn = drawn.select("k", F.explode("c").alias("c")).select("k", F.col("c.p").alias("q"), F.col("c.a").alias("b"), *[F.col(f"c.{w}").alias(o) for w, o in zip(body, others)])
         stars = table.join(drawn.hint("merge"), "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)) & possible)
         named = joined(stars.select("p", "q", "a", "b").distinct())
-    # keys are many times the rows that Spark's estimate of them is made from, so their joins are never broadcast
-    left = keys(named, own, True, parts).select("k", "p", "a", *body)
-    right = keys(named, own, False, parts).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(body, others)])
-    reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
-    left = left.join(reach.hint("merge"), F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
-    # a pair shares a segment within its radius whichever side enumerates the ball, so one order is enough, and the first such segment
-    first = F.coalesce(*[F.when(F.bit_count(cut(own, low, width).bitwiseXOR(cut(other, low, width))) <= radius, i) for i, (low, width, radius) in enumerate(parts)])
-    rest = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("p") < F.col("q")) & (F.col("a") != F.col("b")) & (apart <= distance) & possible & (first == F.shiftright("k", 32)))
-    return joined((rest.select("a", "b") if single else rest.select("p", "q", "a", "b")).distinct()).select("fp", F.col("a").alias("root"))
+    # a pair counts in the first segment that it shares within its radius: if it differs there, one of both takes the mask, else both take mask 0
+    seen = []
+    for i, (low, width, radius) in enumerate(parts):
+        bits = F.bit_count(cut(own, low, width).bitwiseXOR(cut(other, low, width)))
+        seen.append(F.when(bits <= radius, F.lit(2 * i) + (bits > 0).cast("int")))
+    seen = F.coalesce(*seen)
+    once = (F.shiftright(seen, 1) == F.shiftright("k", 32)) & ((seen.bitwiseAND(F.lit(1)) == 1) | (F.col("p") < F.col("q")))
+
+    def met(turn: range) -> DataFrame:
+        """Pairs of nodes still apart that share a segment of the turn, and none before it."""
+        # keys are many times the rows that Spark's estimate of them is made from, so their joins are never broadcast
+        left = keys(named, own, True, parts, turn).select("k", "p", "a", *body)
+        right = keys(named, own, False, parts, turn).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(body, others)])
+        reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        left = left.join(reach.hint("merge"), F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
+        pairs = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("a") != F.col("b")) & (apart <= distance) & possible & once)
+        return pairs.select("a", "b").distinct() if single else pairs.select("p", "q", "a", "b")
+
+    turns = [range(i, min(i + TURN, len(parts))) for i in range(0, len(parts), TURN)]
+    if len(turns) == 1:
+        return joined(met(turns[0])).select("fp", F.col("a").alias("root"))
+    found = []
+    for turn in turns:
+        found.append(saved(met(turn)))
+        erased(prints.sparkSession)  # the shuffles of this turn
+    result = joined(reduce(DataFrame.union, found)).select("fp", F.col("a").alias("root"))
+    erased(prints.sparkSession, *found)
+    return result
 
 
 def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
@@ -303,15 +327,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["of", "set"])
 
+    spent = []
+
     def check(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        erased(docs.sparkSession)  # of the plans of the rounds before
+        erased(docs.sparkSession, *spent)  # with the plans of the rounds before
         pairs = saved(pairs)
         asked = saved(pairs.select(F.col("p").alias("node")).union(pairs.select("q")).distinct().join(nodes.select("node", "fp"), "node").join(keyed, "fp").select("node", "key"))
         text = docs.select(text_of(text_col).alias("text")).select(F.xxhash64("text", F.octet_length("text")).alias("of"), F.col("text").cast("binary").alias("t"))
         some = maybe_among(text, F.col("of"), asked.select("key").distinct(), "__asked").where("__asked").drop("__asked")
         some = some.join(asked.select(F.col("key").alias("of")).distinct(), "of", "left_semi").groupBy("of").agg(F.first("t").alias("t"))
         sets = saved(asked.join(some.mapInArrow(hashes, "of long, set array<long>"), F.col("key") == F.col("of")).select("node", "set"))
+        spent[:] = [pairs, asked, sets]
         return alike(pairs, sets, similarity)
 
     near = int(BITS * words * p)
-    return grouped(prints, linked(prints, distance, parts, words, check, ROUNDS, CENTRES, near, similarity)).select(F.col("id").alias("doc_id"), "component_id")
+    roots = linked(prints, distance, parts, words, check, ROUNDS, CENTRES, near, similarity)
+    erased(docs.sparkSession, keyed, *spent)
+    return grouped(prints, roots).select(F.col("id").alias("doc_id"), "component_id")
