@@ -163,14 +163,15 @@ def keys(nodes: DataFrame, words: list[str], balls: bool, parts: list[tuple[int,
 
     Of two nodes that differ by a mask, one has 0 and one has 1 at its lowest bit; the one that has 0 takes the mask, so they meet once.
     """
-    lists = []
-    for i in turn or range(len(parts)):
-        low, width, radius = parts[i]
-        part, masks = cut(words, low, width), ball(width, radius) if balls else [0]
-        of = lambda m, part=part, i=i: F.when(part.bitwiseAND(m.bitwiseAND(-m)) == 0, part.bitwiseXOR(m).cast("long") + F.lit(i << 32))
-        few = len(masks) <= 64
-        lists.append(F.array(*[of(F.lit(m)) for m in masks]) if few else F.transform(F.lit(masks).cast("array<long>"), of))
-    return nodes.withColumn("k", F.explode(F.concat(*lists))).where(F.col("k").isNotNull())
+    which = turn or range(len(parts))
+    codes = [i << 32 | m for i in which for m in (ball(*parts[i][1:]) if balls else [0])]
+    # one literal list and one expression for all masks: a method of a case for each would be too long for the JVM to compile
+    x, part = F.col("__code"), F.lit(None).cast("long")
+    for i in which:
+        part = F.when(F.shiftright(x, 32) == i, cut(words, *parts[i][:2])).otherwise(part)
+    m = x.bitwiseAND(F.lit(0xFFFFFFFF))
+    met = nodes.withColumn("__code", F.explode(F.lit(codes).cast("array<long>"))).where(part.bitwiseAND(m.bitwiseAND(-m)) == 0)
+    return met.select(*nodes.columns, part.bitwiseXOR(x).alias("k"))
 
 
 def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, int, int]] | None = None, words: int = 0, check=None, rounds: int = 1, centres: int = 1, near: int | None = None, similarity: float | None = None) -> DataFrame:
@@ -209,23 +210,22 @@ def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, i
         drawn = drawn.select("k", F.explode("c").alias("c")).select("k", F.col("c.p").alias("q"), F.col("c.a").alias("b"), *[F.col(f"c.{w}").alias(o) for w, o in zip(body, others)])
         stars = table.join(drawn.hint("merge"), "k").where((F.col("a") != F.col("b")) & (apart <= (distance if near is None else near)) & possible)
         named = joined(stars.select("p", "q", "a", "b").distinct())
-    # a pair counts in the first segment that it shares within its radius: if it differs there, one of both takes the mask, else both take mask 0
-    seen = []
-    for i, (low, width, radius) in enumerate(parts):
-        bits = F.bit_count(cut(own, low, width).bitwiseXOR(cut(other, low, width)))
-        seen.append(F.when(bits <= radius, F.lit(2 * i) + (bits > 0).cast("int")))
-    seen = F.coalesce(*seen)
-    once = (F.shiftright(seen, 1) == F.shiftright("k", 32)) & ((seen.bitwiseAND(F.lit(1)) == 1) | (F.col("p") < F.col("q")))
 
     def met(turn: range) -> DataFrame:
-        """Pairs of nodes still apart that share a segment of the turn, and none before it."""
+        """Pairs of nodes still apart that share a segment of the turn, each once.
+
+        Which segment is a pair's first is not asked in the join: with it the join's code was over the 8,000 bytes that the JVM compiles, and each pair
+        was interpreted.
+        """
         # keys are many times the rows that Spark's estimate of them is made from, so their joins are never broadcast
         left = keys(named, own, True, parts, turn).select("k", "p", "a", *body)
         right = keys(named, own, False, parts, turn).select(F.col("k").alias("k2"), F.col("p").alias("q"), F.col("a").alias("b"), *[F.col(w).alias(o) for w, o in zip(body, others)])
         reach = right.groupBy(F.col("k2").alias("k3")).agg(F.min("b").alias("low"), F.max("b").alias("high"))
         left = left.join(reach.hint("merge"), F.col("k") == F.col("k3")).where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high"))).drop("k3", "low", "high")
-        pairs = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("a") != F.col("b")) & (apart <= distance) & possible & once)
-        return pairs.select("a", "b").distinct() if single else pairs.select("p", "q", "a", "b")
+        pairs = left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("a") != F.col("b")) & (apart <= distance) & possible)
+        ahead = F.col("p") < F.col("q")
+        ends = [F.when(ahead, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in ("pq", "qp", "ab", "ba")]
+        return (pairs.select("a", "b") if single else pairs.select(*ends)).distinct()
 
     turns = [range(i, min(i + TURN, len(parts))) for i in range(0, len(parts), TURN)]
     if len(turns) == 1:
@@ -234,7 +234,7 @@ def linked(prints: DataFrame, distance: int = DISTANCE, parts: list[tuple[int, i
     for turn in turns:
         found.append(saved(met(turn)))
         erased(prints.sparkSession)  # the shuffles of this turn
-    result = joined(reduce(DataFrame.union, found)).select("fp", F.col("a").alias("root"))
+    result = joined(reduce(DataFrame.union, found).distinct()).select("fp", F.col("a").alias("root"))
     erased(prints.sparkSession, *found)
     return result
 

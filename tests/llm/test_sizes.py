@@ -38,3 +38,23 @@ def test_buckets_of_long_fingerprints_are_joined_in_turns(spark, monkeypatch):
     found = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: 0 if i < 3 else i for i in range(8)}
     assert len(turns) > 1 and max(map(len, turns)) <= 4 and sorted(sum(turns, [])) == list(range(len(sum(turns, []))))
+
+
+def test_the_join_of_buckets_is_short_enough_to_be_compiled(spark, monkeypatch):
+    """The JVM interprets methods of over 8,000 bytes, however often they run."""
+    import re
+
+    codes, whole, held = [], simhash.saved, {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    monkeypatch.setattr(simhash, "saved", lambda df, *a: codes.append(df._jdf.queryExecution().explainString(mode)) or whole(df, *a))
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(f"v{rng.randrange(99)}" for _ in range(30))) for i in range(6)], "doc_id long, text string")
+    try:
+        for k, v in zip(held, ("false", "-1")):
+            spark.conf.set(k, v)
+        assert simhash.similar_documents(docs).count() == 6
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    found = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", " ".join(codes))]
+    assert len(found) > 20 and max(found) < 8000
