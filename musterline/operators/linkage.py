@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity
+from .places import shared_out
 from .service import durable
 
 
@@ -27,10 +28,15 @@ def filled(c: str) -> Column:
     return F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
 
 
+def sorted_in(df: DataFrame) -> DataFrame:
+    """``df`` for a join that sorts it: rows that are few bytes in a shuffle may be too many for the driver to broadcast."""
+    return df.hint("merge")
+
+
 def split_off(matched: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> Matched:
     return Matched(
-        matched, left.join(matched.select(F.col("orig_id_1").alias(left_id)).distinct(), left_id, "left_anti"),
-        right.join(matched.select(F.col("orig_id_2").alias(right_id)).distinct(), right_id, "left_anti"),
+        matched, left.join(sorted_in(matched.select(F.col("orig_id_1").alias(left_id)).distinct()), left_id, "left_anti"),
+        right.join(sorted_in(matched.select(F.col("orig_id_2").alias(right_id)).distinct()), right_id, "left_anti"),
     )
 
 
@@ -38,7 +44,7 @@ def by_key(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id:
     """Many to one on a key that is not blank; of several right rows with one key the smallest id counts."""
     keyed = lambda df, i, name: df.select(F.col(i).alias(name), filled(key).alias("k")).where("k is not null")
     one = first_per(keyed(right, right_id, "orig_id_2"), ["k"], "orig_id_2")
-    matched = keyed(left, left_id, "orig_id_1").join(one, "k").select(
+    matched = keyed(left, left_id, "orig_id_1").join(sorted_in(one), "k").select(
         "orig_id_1", "orig_id_2", F.lit(1.0).alias("match_score"), F.lit(f"Exact Match ({key})").alias("match_category"))
     return split_off(matched, left, right, left_id, right_id)
 
@@ -79,10 +85,10 @@ def confirmed(pairs: DataFrame, every: DataFrame, within: Callable[[DataFrame],
     """
     open_groups = pairs.where(F.col("low") > threshold_min).select(*key).distinct()
     same = reduce(lambda x, y: x & y, [every[c].eqNullSafe(open_groups[c]) for c in key])
-    rest = every.where((F.col("least") > wide) & (F.col("least") <= threshold_min + similarity.SLACK)).join(open_groups, same, "left_semi")
+    rest = every.where((F.col("least") > wide) & (F.col("least") <= threshold_min + similarity.SLACK)).join(sorted_in(open_groups), same, "left_semi")
     lower = within(rest).groupBy(*key).agg(F.min("jw").alias("__low"))
     lower = lower.select(*[F.col(c).alias(f"__{c}") for c in key], "__low")
-    joined = pairs.join(lower, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]), "left")
+    joined = pairs.join(sorted_in(lower), reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]), "left")
     return joined.withColumn("low", F.least("low", "__low")).drop("__low", *[f"__{c}" for c in key])
 
 
@@ -92,7 +98,7 @@ def one_byte_off(asked: DataFrame, held: DataFrame, on: Column, key: list[str],
     Names meet on their bytes without one, so the work follows the names and not the pairs of a block.
     """
     spelled = lambda df, p: df.withColumn(f"{p}_spelling", F.explode(similarity.spellings(f"{p}_name")))
-    met = spelled(asked, "l").join(spelled(held, "r"), on & (F.col("l_spelling") == F.col("r_spelling"))).drop("l_spelling", "r_spelling").distinct()
+    met = spelled(asked, "l").join(sorted_in(spelled(held, "r")), on & (F.col("l_spelling") == F.col("r_spelling"))).drop("l_spelling", "r_spelling").distinct()
     near = met.withColumn("jw", similarity.sounds("l_name", "r_name")["jw"]).withColumn("low", F.min("jw").over(Window.partitionBy(*key)))
     sure = (F.col("low") <= exact_at) & (F.col("low") + similarity.SLACK < similarity.least_unspelled(F.col("l_name")))
     return near.where(sure & (F.col("jw") == F.col("low"))).drop("low")
@@ -109,22 +115,26 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     """
     keys = [F.lower(F.col(c)) for c in block]
     side = lambda df, i, p: df.select(F.col(i).alias(f"{p}_id"), F.col(name).alias(f"{p}_name"), *([F.col(level).alias(f"{p}_level")] if level else []), *[k.alias(f"{p}{j}") for j, k in enumerate(keys)]).distinct()
-    l, r = side(left, left_id, "l").where("l_name is not null"), side(right, right_id, "r").where("r_name is not null")  # noqa: E741
+    known = lambda p: f"{p}_name is not null" + (f" and {p}0 is not null" if len(block) == 1 else "")
+    blocked = lambda df, p: df.withColumn("__block", F.struct(*[F.struct(F.col(f"{p}{j}").isNull().alias("n"), F.coalesce(f"{p}{j}", F.lit("")).alias("v")).alias(f"b{j}") for j in range(len(block))]))
+    meeting = lambda one, other: one.join(sorted_in(other.select("__block").distinct()), "__block", "left_semi").drop("__block").checkpoint()
+    durable(left.sparkSession)
+    l, r = blocked(side(left, left_id, "l").where(known("l")), "l"), blocked(side(right, right_id, "r").where(known("r")), "r")  # noqa: E741
+    l, r = meeting(l, r), meeting(r, l)  # noqa: E741 - rows whose block the other side has; the plan of the rest names them several times
     key = [c for c in l.columns if c != "l_id"]  # rows alike in all that is compared are scored once
     on = [F.col(f"l{j}") == F.col(f"r{j}") if len(block) == 1 else F.col(f"l{j}").eqNullSafe(F.col(f"r{j}")) for j in range(len(block))]
     met = reduce(lambda x, y: x & y, on)
     whole = l.select(*key).distinct()
-    durable(left.sparkSession)
     settled = one_byte_off(whole, r, met, key, exact_at).checkpoint()  # the plan of the rest names it several times
     nulls_too = lambda x, y: reduce(lambda p, q: p & q, [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in key])
-    asked = whole.alias("w").join(settled.select(*key).distinct().alias("s"), nulls_too("w", "s"), "left_anti").withColumn("l_sign", similarity.signs("l_name"))
-    held = r.join(r.select("r_name").distinct().withColumn("r_sign", similarity.signs("r_name")), "r_name")
-    every = asked.join(held, met).withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign")))
+    asked = whole.alias("w").join(sorted_in(settled.select(*key).distinct()).alias("s"), nulls_too("w", "s"), "left_anti").withColumn("l_sign", similarity.signs("l_name"))
+    held = r.join(sorted_in(r.select("r_name").distinct().withColumn("r_sign", similarity.signs("r_name"))), "r_name")
+    every = shared_out(blocked(asked, "l"), blocked(held, "r"), "__block").drop("__block").withColumn("least", similarity.least_distance(F.col("l_sign"), F.col("r_sign")))
     # a candidate is taken for a distance within the larger bound, or for its sound below 0.5; others matter at most for whether any is near
     wide, sound = max(exact_at, min(0.5, threshold)) + similarity.SLACK, (F.col("l_sign.soundex") == F.col("r_sign.soundex")) & (F.col("least") < 0.5)
     within = lambda rows: rows.drop("l_sign", "r_sign", "least").withColumn("e", similarity.sounds("l_name", "r_name")).withColumn("jw", F.col("e.jw")).where((F.col("jw") < 0.5) | (F.col("jw") <= exact_at))
     a, b = F.col("l_name"), F.col("r_name")
-    pairs = within(every.where((F.col("least") <= wide) | sound)).withColumn("low", F.min("jw").over(Window.partitionBy(*key)))
+    pairs = within(every.where((F.col("least") <= wide) | sound)).checkpoint().withColumn("low", F.min("jw").over(Window.partitionBy(*key)))
     if threshold_min > wide - similarity.SLACK:
         pairs = confirmed(pairs, every, within, key, threshold_min, wide)
     pairs = pairs.where(F.col("low") <= threshold_min)
@@ -142,7 +152,7 @@ def fuzzy(left: DataFrame, right: DataFrame, name: str, block: list[str], left_i
     graded = lambda rows, grade: rows.withColumn("grade", grade).where("grade is not null").withColumn("other", other_level).select(*key, "r_id", "jw", "grade", "other")
     best = first_per(graded(pairs, grade).union(graded(settled, F.lit(0))), key, "grade", "jw", F.when(F.col("grade") == 0, F.col("other")), "r_id")
     category = F.when(F.col("jw") <= exact_at, "Exact Match").when(F.col("jw") <= 2 * exact_at, "High").when(F.col("jw") <= 5 * exact_at, "Moderate").otherwise("Low")
-    best = l.alias("l").join(best.alias("b"), nulls_too("l", "b"))
+    best = l.alias("l").join(sorted_in(best).alias("b"), nulls_too("l", "b"))
     matched = best.select(F.col("l_id").alias("orig_id_1"), F.col("r_id").alias("orig_id_2"), (1 - F.col("jw")).alias("match_score"), category.alias("match_category"))
     return split_off(matched, left, right, left_id, right_id)
 
@@ -170,7 +180,7 @@ def cascade(left: DataFrame, right: DataFrame, passes: list[Pass], left_id: str,
         r = right if step.right_filter is None else right.where(step.right_filter)
         hits = step.match(l, r).matched.select("orig_id_1", "orig_id_2", F.lit(step.name).alias("pass")).checkpoint()
         found = hits if found is None else found.union(hits)
-        rest = rest.join(hits.select(F.col("orig_id_1").alias(left_id)).distinct(), left_id, "left_anti")
+        rest = left.join(sorted_in(found.select(F.col("orig_id_1").alias(left_id)).distinct()), left_id, "left_anti")  # not on the rest before, so that plans stay small
     if found is None:
         found = left.sparkSession.createDataFrame([], "orig_id_1 long, orig_id_2 long, pass string")
     return split_off(found, left, right, left_id, right_id)

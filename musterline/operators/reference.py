@@ -69,8 +69,8 @@ def reference_key(directory: DataFrame, department: DataFrame, other: DataFrame
     one, two = with_city(directory), with_city(department)
     found = linkage.cascade(one, two, passes("data1_id", "data2_id"), "data1_id", "data2_id").matched
     links = found.select(F.col("orig_id_1").alias("data1_id"), F.col("orig_id_2").alias("data2_id"), F.col("pass").alias("match_pass"))
-    out = directory.withColumn("source", F.lit("Great Schools")).join(links, "data1_id", "left").join(prefixed(department, "doe", "data2_id"), "data2_id", "left")
-    rest = department.join(links.select("data2_id").distinct(), "data2_id", "left_anti").withColumn("source", F.lit("DOE"))
+    out = directory.withColumn("source", F.lit("Great Schools")).join(linkage.sorted_in(links), "data1_id", "left").join(linkage.sorted_in(prefixed(department, "doe", "data2_id")), "data2_id", "left")
+    rest = department.join(linkage.sorted_in(links.select("data2_id").distinct()), "data2_id", "left_anti").withColumn("source", F.lit("DOE"))
     out = out.unionByName(rest, allowMissingColumns=True)
     if other is not None:
         out = with_third(out, other)
@@ -84,8 +84,8 @@ def with_third(matched: DataFrame, other: DataFrame) -> DataFrame:
     keyed = dense_id(with_city(matched), ["school_name_std", "county_std", "data1_id", "data2_id"], "temp_id").checkpoint()
     found = linkage.cascade(with_city(other), keyed, passes("data3_id", "temp_id", by_place=False, city=False), "data3_id", "temp_id").matched
     one = linkage.first_per(found, ["orig_id_2"], "orig_id_1").select(F.col("orig_id_1").alias("data3_id"), F.col("orig_id_2").alias("temp_id"))
-    out = keyed.join(one, "temp_id", "left").join(prefixed(other, "third", "data3_id"), "data3_id", "left").drop("temp_id", "city_cln")
-    rest = other.join(found.select(F.col("orig_id_1").alias("data3_id")).distinct(), "data3_id", "left_anti")
+    out = keyed.join(linkage.sorted_in(one), "temp_id", "left").join(linkage.sorted_in(prefixed(other, "third", "data3_id")), "data3_id", "left").drop("temp_id", "city_cln")
+    rest = other.join(linkage.sorted_in(found.select(F.col("orig_id_1").alias("data3_id")).distinct()), "data3_id", "left_anti")
     return out.unionByName(rest.withColumn("source", F.lit("Third")), allowMissingColumns=True)
 
 

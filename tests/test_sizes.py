@@ -95,3 +95,19 @@ def test_no_task_holds_a_place_with_all_its_schools(spark):
     listed = spark.range(5).select(F.concat(F.lit("n"), "id").alias("nces_id"), F.lit("d").alias("nces_source"), F.lit("oak").alias("nces_name"), F.lit("OPERATIONAL").alias("business_status"), F.lit(40.0).alias("lat"), F.lit(-80.0).alias("lon"), F.array(F.lit("oak")).alias("names"))
     found = review.match_directory(places, listed)
     assert "Window" not in planned(found) and [(r["place_id"], r["nces_id"], r["name_sim"]) for r in found.orderBy("place_id").collect()] == [(i, "n0", 1.0) for i in range(3)]
+
+
+def test_no_pass_of_a_cascade_is_broadcast_or_holds_those_before(spark, monkeypatch):
+    from musterline.operators import linkage
+
+    frame, plans = type(spark.range(1)), []
+    whole = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda df, *a: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or whole(df, *a))
+    linkage.durable(spark)
+    rows = lambda i: spark.createDataFrame([(k, f"oak {k}" if k < 3 else f"elm hill {k}{i}", "a", None if k % 2 else "z") for k in range(6)], f"{i} long, n string, c string, z string")
+    step = lambda name, block: linkage.Pass(name, lambda a, b: linkage.fuzzy(a, b, "n", block, "x", "y", 0.2, 0.2, 0.01))
+    steps = [step("both", ["c", "z"]), step("z", ["z"]), step("c", ["c"]), step("again", ["c"])]
+    found = linkage.cascade(rows("x"), rows("y"), steps, "x", "y").matched
+    assert {(r["orig_id_1"], r["orig_id_2"]) for r in found.collect() if r["orig_id_1"] < 3} == {(k, k) for k in range(3)}
+    assert found.where("pass = 'both'").count() >= 3 and not any("BroadcastHashJoin" in p for p in plans)
+    assert max(p.count("Anti") for p in plans) <= 2
